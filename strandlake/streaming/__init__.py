@@ -1,0 +1 @@
+"""Empty on purpose: all inputs are finite files that are listed up front."""
