@@ -71,10 +71,13 @@ def depth_runs(df: DataFrame, keys: Sequence[str], weight: str | None = None, wi
     )
 
 
-def _islands(df: DataFrame, part: Sequence[str], gap: int, same: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+def _islands(
+    df: DataFrame, part: Sequence[str], gap: int | str, same: Sequence[str], aggs: Sequence[Column]
+) -> DataFrame:
+    far = F.col(gap) if isinstance(gap, str) else F.lit(gap)
     along = Window.partitionBy(*part).orderBy("s", "e")
     reach = F.max("e").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = reach.isNull() | (F.col("s") > reach + F.lit(gap))
+    fresh = reach.isNull() | (F.col("s") > reach + far)
     for c in same:
         fresh = fresh | ~F.lag(c).over(along).eqNullSafe(F.col(c))
     return (
@@ -86,10 +89,12 @@ def _islands(df: DataFrame, part: Sequence[str], gap: int, same: Sequence[str],
 
 
 def join_runs(
-    df: DataFrame, keys: Sequence[str], gap: int = 0, same: Sequence[str] = (), aggs: Sequence[Column] = ()
+    df: DataFrame, keys: Sequence[str], gap: int | str = 0, same: Sequence[str] = (), aggs: Sequence[Column] = ()
 ) -> DataFrame:
     """Join runs at most ``gap`` apart (and equal in ``same``), given runs that are cut at tile edges.
 
+    ``gap`` is a number of bases or the name of a key column that holds one.
+
     First inside each tile; then only the first and last island of every tile are
     compared along the chromosome, at most two rows per tile. ``aggs`` must survive
     being applied twice (sum of sums, max of maxima) and keep their input name.
@@ -98,7 +103,10 @@ def join_runs(
     local = _islands(df, tile, gap, same, aggs)
     last = F.max("island").over(Window.partitionBy(*tile))
     edge = (F.col("island") == 1) | (F.col("island") == last)
-    local = local.withColumn("block", F.when(edge, F.lit(-1)).otherwise(F.col("tile"))).drop("tile", "island")
+    local = local.withColumn("edge", edge)
+    local = local.withColumn("block", F.when(F.col("edge"), F.lit(-1)).otherwise(F.col("tile"))).drop(
+        "tile", "island", "edge"
+    )
     return _islands(local, [*keys, "block"], gap, same, aggs).drop("block", "island")
 
 

@@ -97,7 +97,8 @@ def compact_runs(spark, sf):
 
 
 @query(v.with_views("""
-select sample, chrom, factor, bin // factor as zbin, round(sum(n) / factor, 4) as mean, max(n) as max
-from bins cross join (select unnest([4::bigint, 16, 64]) as factor) group by all""", "fragments", bins=BINS))
+select sample, chrom, factor, bin // factor as zbin, round(sum(n) / any_value(factor), 4) as mean, max(n) as max
+from bins cross join (select unnest([4::bigint, 16, 64]) as factor)
+group by sample, chrom, factor, bin // factor""", "fragments", bins=BINS))
 def zoom(spark, sf):
     return cov.zoom(cov.bin_coverage(v.fragments(spark, sf)), [4, 16, 64], "n")
