@@ -36,36 +36,42 @@ def clip_to_tiles(df: DataFrame, width: int = TILE) -> DataFrame:
     )
 
 
-def depth_runs(df: DataFrame, keys: Sequence[str], weight: str | None = None, width: int = TILE) -> DataFrame:
-    """Number of intervals over each position, as runs of equal depth cut at tile edges.
+def _events(df: DataFrame, keys: Sequence[str], weight: str | None, width: int) -> DataFrame:
+    """(keys, tile, p, d, born): change of depth at p, and number of intervals that really start there.
 
     Two events per interval, summed by position on the map side first: a position
-    that holds a third of all reads is one row when it reaches the window.
+    that holds a third of all reads is one row when it reaches a window.
     """
     w = F.col(weight) if weight else F.lit(1).cast("bigint")
-    pieces = clip_to_tiles(df.select(*keys, "s", "e", w.alias("w")).filter("s < e"), width)
-    events = (
-        pieces.select(
-            *keys,
-            "tile",
-            F.explode(
-                F.array(
-                    F.struct(F.col("s").alias("p"), F.col("w").alias("d")),
-                    F.struct(F.col("e").alias("p"), (-F.col("w")).alias("d")),
-                )
-            ).alias("ev"),
-        )
-        .groupBy(*keys, "tile", F.col("ev.p").alias("p"))
-        .agg(F.sum("ev.d").alias("d"))
+    whole = df.select(*keys, "s", "e", F.col("s").alias("origin"), w.alias("w")).filter("s < e")
+    pieces = clip_to_tiles(whole, width)
+    zero = F.lit(0).cast("bigint")
+    born = F.when(F.col("s") == F.col("origin"), F.col("w")).otherwise(zero)
+    up = F.struct(F.col("s").alias("p"), F.col("w").alias("d"), born.alias("born"))
+    down = F.struct(F.col("e").alias("p"), (-F.col("w")).alias("d"), zero.alias("born"))
+    return (
+        pieces.select(*keys, "tile", F.inline(F.array(up, down)))
+        .groupBy(*keys, "tile", "p")
+        .agg(F.sum("d").alias("d"), F.sum("born").alias("born"))
     )
+
+
+def depth_runs(df: DataFrame, keys: Sequence[str], weight: str | None = None, width: int = TILE,
+               births: bool = False) -> DataFrame:
+    """Number of intervals over each position, as runs of equal depth cut at tile edges.
+
+    ``births`` adds the number of intervals that start with the run.
+    """
     along = Window.partitionBy(*keys, "tile").orderBy("p")
     return (
-        events.select(
+        _events(df, keys, weight, width)
+        .select(
             *keys,
             "tile",
             F.col("p").alias("s"),
             F.lead("p").over(along).alias("e"),
             F.sum("d").over(along).alias("depth"),
+            *(["born"] if births else []),
         )
         .filter("e is not null and depth > 0")
     )

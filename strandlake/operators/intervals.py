@@ -42,8 +42,8 @@ def merge_intervals(df: DataFrame, keys: Sequence[str] = CHROM, gap: int = 0) ->
     return join_runs(pieces, keys, gap)
 
 
-def _touching(a: DataFrame, merged: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join of a with disjoint intervals, each row of a looked up under one key.
+def _first_reached(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Joins each row of a with the one interval that decides whether it touches b at all.
 
     Of disjoint intervals, [s, e) can only miss them all if it misses the first that
     ends after s. That one is the same for all s between the end of its predecessor
@@ -52,30 +52,41 @@ def _touching(a: DataFrame, merged: DataFrame, keys: Sequence[str], how: str) ->
     """
     before = F.lag("e", 1, 0).over(Window.partitionBy(*keys).orderBy("s"))
     reach = (
-        merged.filter("s < e")
+        merge_intervals(b.filter("s < e"), keys)
         .withColumn("before", before)
         .select(
             *[F.col(k).alias(f"b_{k}") for k in keys],
             F.col("s").alias("b_s"),
             F.col("e").alias("b_e"),
+            F.col("before").alias("b_before"),
             F.explode(tile_range("before", "e", LOOKUP)).alias("b_bin"),
         )
     )
-    top = F.greatest("e", F.col("s") + 1)  # a point counts as one base
-    cond = (idiv("s", LOOKUP) == F.col("b_bin")) & (F.col("s") < F.col("b_e")) & (F.col("b_s") < top)
+    cond = (idiv("s", LOOKUP) == F.col("b_bin")) & (F.col("b_before") <= F.col("s")) & (F.col("s") < F.col("b_e"))
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"b_{k}"))
+    if how != "left":
+        cond = cond & _reaches()
     return a.join(reach, cond, how)
 
 
+def _reaches() -> Column:
+    return F.col("b_s") < F.greatest("e", F.col("s") + 1)  # a point counts as one base
+
+
 def exclude_overlaps(a: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM) -> DataFrame:
     """Rows of a that share no base with any interval of b; an empty b excludes nothing."""
-    return _touching(a, merge_intervals(b, keys), keys, "left_anti")
+    return _first_reached(a, b, keys, "left_anti")
 
 
 def keep_overlaps(a: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM) -> DataFrame:
     """Rows of a that share a base with some interval of b."""
-    return _touching(a, merge_intervals(b, keys), keys, "left_semi")
+    return _first_reached(a, b, keys, "left_semi")
+
+
+def flag_overlaps(a: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM, name: str = "hit") -> DataFrame:
+    """All rows of a, with whether they share a base with some interval of b."""
+    return _first_reached(a, b, keys, "left").select(*a.columns, F.coalesce(_reaches(), F.lit(False)).alias(name))
 
 
 def points_in(points: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM) -> DataFrame:
@@ -91,22 +102,21 @@ def exclude_peaks_and_summits(peaks: DataFrame, summits: DataFrame, b: DataFrame
 def overlap_counts(a: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM, name: str = "n") -> DataFrame:
     """Number of intervals of b that touch each row of a (rows of a no shorter than a base).
 
-    n = depth of b at a.s + starts of b inside (a.s, a.e). Both parts come from
-    tables with one row per position, so no (a, b) pair is ever formed.
+    n = depth of b at a.s + starts of b inside (a.s, a.e). Both come from one table
+    with a row per position of b, so no (a, b) pair is ever formed.
     """
-    spans = a.select(*keys, "s", "e").distinct()
-    runs = depth_runs(b, keys, width=LOOKUP).select(
-        *keys, F.col("tile").alias("bin"), F.col("s").alias("p"), F.col("e").alias("q"), F.col("depth").alias("v")
+    spans = a.select(*keys, "s", "e").distinct().select("*", F.explode(tile_range("s", "e", LOOKUP)).alias("bin"))
+    runs = depth_runs(b, keys, width=LOOKUP, births=True).select(
+        *keys, F.col("tile").alias("bin"), F.col("s").alias("p"), F.col("e").alias("q"), "depth", "born"
     )
-    starts = b.filter("s < e").groupBy(*keys, F.col("s").alias("p")).agg(F.count(F.lit(1)).alias("v"))
-    at_start = spans.withColumn("bin", idiv("s", LOOKUP)).join(runs, [*keys, "bin"]).filter("p <= s and s < q")
-    inside = (
-        spans.select("*", F.explode(tile_range("s", "e", LOOKUP)).alias("bin"))
-        .join(starts.withColumn("bin", idiv("p", LOOKUP)), [*keys, "bin"])
-        .filter("s < p and p < e")
+    at_start = (F.col("p") <= F.col("s")) & (F.col("s") < F.col("q"))
+    inside = (F.col("s") < F.col("p")) & (F.col("p") < F.col("e"))
+    sums = (
+        spans.join(runs, [*keys, "bin"])
+        .filter(at_start | inside)
+        .groupBy(*keys, "s", "e")
+        .agg(F.sum(F.when(at_start, F.col("depth")).otherwise(F.col("born"))).alias(name))
     )
-    parts = [d.select(*keys, "s", "e", "v") for d in (at_start, inside)]
-    sums = parts[0].unionByName(parts[1]).groupBy(*keys, "s", "e").agg(F.sum("v").alias(name))
     return a.join(sums, [*keys, "s", "e"], "left").withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("bigint")))
 
 

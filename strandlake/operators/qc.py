@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import arith as A
 from ..functions.tiling import depth_runs
 from ..sources.genome import genome_constants
-from .intervals import exclude_overlaps, keep_overlaps, overlap_counts, overlap_join
+from .intervals import exclude_overlaps, flag_overlaps, overlap_counts, overlap_join
 
 TRACK = ["sample", "chrom"]
 
@@ -39,12 +39,11 @@ def peak_reads(df: DataFrame, peaks: DataFrame) -> DataFrame:
 
 
 def peak_fractions(df: DataFrame, peaks: DataFrame) -> DataFrame:
-    """Per sample: reads, reads in any peak (each once) and their share."""
-    inside = keep_overlaps(df, peaks, TRACK).groupBy("sample").agg(F.count(F.lit(1)).alias("in_peaks"))
-    total = df.groupBy("sample").agg(F.count(F.lit(1)).alias("reads"))
-    return total.join(inside, "sample", "left").select(
-        "sample", "reads", F.coalesce("in_peaks", F.lit(0)).alias("in_peaks"),
-        (F.coalesce("in_peaks", F.lit(0)) / F.col("reads")).alias("fraction"),
+    """Per sample: reads, reads in any peak (each once) and their share; the reads are passed once."""
+    return flag_overlaps(df, peaks, TRACK).groupBy("sample").agg(
+        F.count(F.lit(1)).alias("reads"),
+        F.count_if("hit").alias("in_peaks"),
+        (F.count_if("hit") / F.count(F.lit(1))).alias("fraction"),
     )
 
 
@@ -59,17 +58,13 @@ def ranked_peaks(counted: DataFrame) -> DataFrame:
 
 
 def duplicate_split(df: DataFrame, peaks: DataFrame) -> DataFrame:
-    """Reads and duplicates inside and outside of peaks; the outside is the total less the inside."""
-    def counts(d: DataFrame, suffix: str) -> DataFrame:
-        return d.groupBy("sample").agg(
-            F.count(F.lit(1)).alias(f"reads{suffix}"), A.count_flag("flag", A.DUPLICATE).alias(f"duplicates{suffix}")
-        )
-
-    both = counts(df, "").join(counts(keep_overlaps(df, peaks, TRACK), "_in"), "sample", "left").fillna(0)
-    return both.select(
-        "sample", "reads_in", "duplicates_in",
-        (F.col("reads") - F.col("reads_in")).alias("reads_out"),
-        (F.col("duplicates") - F.col("duplicates_in")).alias("duplicates_out"),
+    """Reads and duplicates inside and outside of peaks."""
+    hit, dup = F.col("hit"), A.has_any("flag", A.DUPLICATE)
+    return flag_overlaps(df, peaks, TRACK).groupBy("sample").agg(
+        F.count_if(hit).alias("reads_in"),
+        F.count_if(hit & dup).alias("duplicates_in"),
+        F.count_if(~hit).alias("reads_out"),
+        F.count_if(~hit & dup).alias("duplicates_out"),
     )
 
 

@@ -36,7 +36,7 @@ def read_run_table(spark, sf):
     rows = v.runs(spark, sf).select(F.spark_partition_id().alias("part"), line.alias("value"))
     head = rows.select("part").distinct().select("part", F.lit(0).alias("n"), F.lit("Run,BioSample,antibody,Bases").alias("value"))
     text = rows.select("part", F.lit(1).alias("n"), "value").unionByName(head)
-    text.repartition("part").sortWithinPartitions("part", "n").write.partitionBy("part").text(path + "/t")
+    text.repartition("part").sortWithinPartitions("part", "n").select("part", "value").write.partitionBy("part").text(path + "/t")
     return ts.read_run_table(spark, path + "/t/*", "Run string, BioSample string, antibody string, Bases bigint")
 
 
