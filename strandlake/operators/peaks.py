@@ -15,6 +15,7 @@ from ..functions.arith import idiv
 from ..functions.ranking import running_total
 from ..functions.stats import poisson_score
 from ..functions.tiling import TILE, depth_runs, join_runs, tile_range, with_halo
+from ..session import stage
 from ..sources.genome import chromosome_ordinal
 from .coverage import depth
 from .intervals import overlap_join
@@ -101,16 +102,22 @@ def bh_scores(scores: DataFrame) -> DataFrame:
     return adjusted.join(tops, ["sample", "bucket"]).withColumn("qscore", best).select("sample", "score", "weight", "qscore")
 
 
+def score_values(bins: DataFrame, width: int = BIN) -> DataFrame:
+    """(sample, k, lam, weight, score): -log10 p of every distinct height and rate; 0 where k is not above lam."""
+    k, lam = F.col("k"), F.col("lam")
+    score = F.when(k > lam, F.greatest(poisson_score(k, lam), F.lit(0.0))).otherwise(0.0)
+    values = bins.groupBy("sample", "k", "lam").agg((F.count(F.lit(1)) * width).alias("weight"))
+    return values.withColumn("score", score)
+
+
 def score_bins(bins: DataFrame, width: int = BIN) -> DataFrame:
-    """Adds ``pscore`` and ``qscore`` (-log10 p and q); bins not above their rate score 0.
+    """Adds ``pscore`` and ``qscore`` (-log10 p and q).
 
     Both depend on (sample, k, lam) alone and are worked out once per distinct value.
+    Bins and values are each read several times, so they are written first.
     """
-    values = bins.groupBy("sample", "k", "lam").agg((F.count(F.lit(1)) * width).alias("weight"))
-    # adding 0.0 turns a negative zero into zero
-    values = values.withColumn(
-        "score", F.when(F.col("k") > F.col("lam"), F.greatest(poisson_score(F.col("k"), F.col("lam")), F.lit(0.0)) + 0.0).otherwise(0.0)
-    )
+    bins = stage(bins, "bins")
+    values = stage(score_values(bins, width), "scores")
     q = bh_scores(values.groupBy("sample", "score").agg(F.sum("weight").alias("weight")))
     scored = values.join(q.select("sample", "score", "qscore"), ["sample", "score"]).select(
         "sample", "k", "lam", F.col("score").alias("pscore"), "qscore"

@@ -12,9 +12,29 @@ from ..functions.arith import (
 from ..functions.names import reverse_complement
 
 
-def mismatches(a: Column, b: Column) -> Column:
-    differ = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(x == y, 0).otherwise(1))
-    return F.aggregate(differ, F.lit(0), lambda n, d: n + d)
+WORD = 31  # bases per 64-bit word, two bits each
+
+
+def _words(text: Column, n: int, prefix: str) -> list[Column]:
+    """The bases as ``n`` words of two-bit codes, each with a word that marks letters other than ACGT."""
+    out = []
+    for i in range(n):
+        part = F.regexp_replace(F.substring(text, i * WORD + 1, WORD), "[^ACGT]", "N")
+        for kind, digits in (("c", "01230"), ("x", "00001")):
+            code = F.conv(F.translate(part, "ACGTN", digits), 4, 10).cast("bigint")
+            out.append(F.coalesce(F.when(part != "", code), F.lit(0)).alias(f"{prefix}{kind}{i}"))
+    return out
+
+
+def _mismatches(n: int, a: str, b: str) -> Column:
+    """Bases that differ between two sets of words; any other letter differs from everything."""
+    odd = F.lit(0x5555555555555555)
+    total = F.lit(0)
+    for i in range(n):
+        x = F.col(f"{a}c{i}").bitwiseXOR(F.col(f"{b}c{i}"))
+        differ = x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(odd)
+        total = total + F.bit_count(differ.bitwiseOR(F.col(f"{a}x{i}")).bitwiseOR(F.col(f"{b}x{i}")))
+    return total
 
 
 def _seeds(text: str, length: str, seeds: int) -> Column:
@@ -54,19 +74,21 @@ def place_reads(reads: DataFrame, sequences: DataFrame, lengths: Sequence[int],
         .select("chrom", (F.col("off") + F.col("at")).alias("pos"), "len",
                 F.substring(F.col("ref"), F.col("at") + 1, F.col("len")).alias("r"))
     )
-    left = turned.select("*", F.inline(_seeds("q", "len", seeds)))
-    right = stretch.select("len", "r").distinct().select("*", F.inline(_seeds("r", "len", seeds)))
-    part = F.floor(F.col("len") / seeds).cast("int")
-    earlier = F.exists(
-        F.sequence(F.lit(0), F.lit(seeds - 1)),
-        lambda j: (j < F.col("i"))
-        & (F.substring(F.col("q"), j * part + 1, part) == F.substring(F.col("r"), j * part + 1, part)),
+    n = -(-max(lengths) // WORD)
+    left = turned.select("*", *_words(F.col("q"), n, "q"), F.inline(_seeds("q", "len", seeds)))
+    right = stretch.select("len", "r").distinct().select(
+        "*", *_words(F.col("r"), n, "r"), F.inline(_seeds("r", "len", seeds))
     )
+    part = F.floor(F.col("len") / seeds).cast("int")
+    earlier = F.lit(False)
+    for j in range(seeds - 1):
+        same = F.substring(F.col("q"), j * part + 1, part) == F.substring(F.col("r"), j * part + 1, part)
+        earlier = earlier | ((F.col("i") > j) & same)
     alike = (
         left.join(right, ["len", "i", "seed"])
-        .filter(~earlier)
-        .withColumn("nm", mismatches(F.col("q"), F.col("r")))
+        .withColumn("nm", _mismatches(n, "q", "r"))
         .filter(F.col("nm") <= max_mismatch)
+        .filter(~earlier)
         .select("seq", "len", "strand", "r", "nm")
     )
     hits = alike.join(stretch, ["len", "r"]).select("seq", "strand", "nm", "chrom", "pos", "len")

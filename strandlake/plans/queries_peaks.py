@@ -80,9 +80,7 @@ def local_lambda(spark, sf):
 def poisson_scores(spark, sf):
     f = v.fragments(spark, sf)
     lam = pk.local_lambda(pk.pileup_bins(f), pk.background(f, GENOME))
-    values = lam.groupBy("sample", "k", "lam").agg((F.count(F.lit(1)) * 25).alias("weight"))
-    score = F.when(F.col("k") > F.col("lam"), F.greatest(pk.poisson_score(F.col("k"), F.col("lam")), F.lit(0.0))).otherwise(0.0)
-    return values.withColumn("score", score)
+    return pk.score_values(lam)
 
 
 @query(v.with_views("""

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.arith import idiv
 from ..functions.ranking import row_index
+from ..session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +26,7 @@ def _label(prefix: str, number: Column) -> Column:
 def frag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paired-end fragments; a third of them in twenty dense clusters."""
     o, c = F.col("o_orderkey"), F.col("o_custkey")
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey").select(
         o.alias("fid"),
         "o_custkey",
         _label("S", c % 3 + 1).alias("sample"),
@@ -133,7 +134,7 @@ def peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seqs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """32-base sequences."""
     k = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id"), "doc_id").select(
         k.alias("sid"),
         F.translate(F.md5(k.cast("string")), "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"),
     )
@@ -144,7 +145,7 @@ def fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, m = F.col("o_orderkey"), F.col("mate")
     file = F.concat(_label("F", F.col("o_custkey") % 3 + 1), F.lit("_R"), m.cast("string"))
     base = (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
         .select("o_orderkey", "o_custkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("mate"))
         .filter(~((m == 2) & (k % 19 == 0)))
         .select(

@@ -53,3 +53,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deals rows out to all cores where a few unsplittable files feed too few tasks.
+
+    A large scan has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if 2 * df._jdf.queryExecution().toRdd().getNumPartitions() > cores:
+        return df
+    return df.repartition(cores, key)
