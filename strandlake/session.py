@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -29,6 +28,9 @@ def get_session(app: str = "strandlake", master: str | None = None, partitions:
     return spark
 
 
+_local_root: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder the session names in ``spark.checkpoint.dir``.
 
@@ -39,9 +41,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="strandlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+        if not _local_root:
+            _local_root.append(tempfile.mkdtemp(prefix="strandlake-"))
+        root = _local_root[0]
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
