@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import arith as A
 from ..functions.arith import idiv
+from ..functions.ranking import per_unit
 from ..functions.tiling import TILE, depth_runs, join_runs, tile_range
 from .intervals import exclude_overlaps
 
@@ -62,7 +63,7 @@ def sample_totals(df: DataFrame) -> DataFrame:
 
 def normalise_cpm(bins: DataFrame, totals: DataFrame, value: str = "n") -> DataFrame:
     """Count per million fragments used; the totals hold one row per sample."""
-    return bins.join(totals, "sample").withColumn("cpm", F.col(value) * 1e6 / F.col("total")).drop("total")
+    return bins.join(per_unit(totals), "sample").withColumn("cpm", F.col(value) * 1e6 / F.col("total")).drop("total")
 
 
 def coverage_excluding(df: DataFrame, excluded: DataFrame | None = None, width: int = 25) -> DataFrame:

@@ -16,7 +16,8 @@ from ..functions.arith import idiv
 from ..functions.tiling import TILE, clip_to_tiles, depth_runs, join_runs, tile_range
 
 CHROM = ("chrom",)
-LOOKUP = 1 << 13
+LOOKUP = 1 << 14  # bases per bin where a row looks up one interval
+NEAR = 1 << 11  # bases per bin where intervals meet single positions
 
 
 def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM, bin_width: int = 1 << 11) -> DataFrame:
@@ -105,8 +106,8 @@ def overlap_counts(a: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM, name
     n = depth of b at a.s + starts of b inside (a.s, a.e). Both come from one table
     with a row per position of b, so no (a, b) pair is ever formed.
     """
-    spans = a.select(*keys, "s", "e").distinct().select("*", F.explode(tile_range("s", "e", LOOKUP)).alias("bin"))
-    runs = depth_runs(b, keys, width=LOOKUP, births=True).select(
+    spans = a.select(*keys, "s", "e").distinct().select("*", F.explode(tile_range("s", "e", NEAR)).alias("bin"))
+    runs = depth_runs(b, keys, width=NEAR, births=True).select(
         *keys, F.col("tile").alias("bin"), F.col("s").alias("p"), F.col("e").alias("q"), "depth", "born"
     )
     at_start = (F.col("p") <= F.col("s")) & (F.col("s") < F.col("q"))

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arith import idiv
-from ..functions.ranking import running_total
+from ..functions.ranking import per_unit, running_total
 from ..functions.stats import poisson_score
 from ..functions.tiling import TILE, depth_runs, join_runs, tile_range, with_halo
 from ..session import stage
@@ -23,6 +23,7 @@ from .intervals import overlap_join
 TRACK = ["sample", "chrom"]
 BIN = 25
 SEARCH = 1 << 13  # bins per tile of the local rate
+SALTS = 16
 
 # fixed values: effective genome size by size code
 EFFECTIVE_SIZE = {"hs": 2.7e9, "mm": 1.87e9}
@@ -37,11 +38,11 @@ def pileup_bins(fragments: DataFrame, width: int = BIN) -> DataFrame:
     )
 
 
-def background(fragments: DataFrame, genome_size: float) -> DataFrame:
-    """One row per sample: fragment bases, and their rate over the effective genome."""
+def background(bins: DataFrame, genome_size: float) -> DataFrame:
+    """One row per sample, from its pileup bins: fragment bases, and their rate over the effective genome."""
     return (
-        fragments.groupBy("sample")
-        .agg(F.sum(F.col("e") - F.col("s")).alias("total_bases"))
+        bins.groupBy("sample")
+        .agg(F.sum("bases").alias("total_bases"))
         .withColumn("lam_bg", F.col("total_bases") / F.lit(float(genome_size)))
     )
 
@@ -74,7 +75,7 @@ def local_lambda(
     along = Window.partitionBy(*TRACK, "tile").orderBy("bin")
     for i, h in enumerate(halves):
         near = near.withColumn(f"w{i}", F.sum("cb").over(along.rangeBetween(-h, h)) / float((2 * h + 1) * width))
-    near = near.filter("own and k is not null").join(per_sample, "sample")
+    near = near.filter("own and k is not null").join(per_unit(per_sample), "sample")
     local = [F.col(f"w{i}") * F.col("scale") for i in range(len(halves))]
     return near.select(*TRACK, "bin", "k", "bases", F.greatest("lam_bg", "lam_bg", *local).alias("lam"))
 
@@ -90,7 +91,7 @@ def bh_scores(scores: DataFrame) -> DataFrame:
     ranged = scores.withColumn("bucket", bucket)
     ranked = running_total(ranged, ["sample"], "bucket", [F.col("score").desc()], F.col("weight"), "rank", down=True)
     total = scores.groupBy("sample").agg(F.sum("weight").alias("tests"))
-    adjusted = ranked.join(total, "sample").withColumn(
+    adjusted = ranked.join(per_unit(total), "sample").withColumn(
         "t", F.col("score") + F.log10(F.col("rank").cast("double")) - F.log10(F.col("tests").cast("double"))
     )
     below = Window.partitionBy("sample").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -114,24 +115,31 @@ def score_bins(bins: DataFrame, width: int = BIN) -> DataFrame:
     """Adds ``pscore`` and ``qscore`` (-log10 p and q).
 
     Both depend on (sample, k, lam) alone and are worked out once per distinct value.
-    Bins and values are each read several times, so they are written first.
+    Bins and values are each read several times, so they are written first. Most bins
+    share a few values (one fragment over the background rate), so the values are
+    joined back under a salt.
     """
     bins = stage(bins, "bins")
     values = stage(score_values(bins, width), "scores")
     q = bh_scores(values.groupBy("sample", "score").agg(F.sum("weight").alias("weight")))
     scored = values.join(q.select("sample", "score", "qscore"), ["sample", "score"]).select(
-        "sample", "k", "lam", F.col("score").alias("pscore"), "qscore"
+        "sample", "k", "lam", F.col("score").alias("pscore"), "qscore",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"),
+    )
+    salted = bins.withColumn("salt", F.col("bin") % SALTS)
+    return salted.join(scored, ["sample", "k", "lam", "salt"]).select(
+        *TRACK, "bin", "k", "bases", "lam", "pscore", "qscore"
     )
-    return bins.join(scored, ["sample", "k", "lam"]).select(*TRACK, "bin", "k", "bases", "lam", "pscore", "qscore")
 
 
 def scored_pileup(fragments: DataFrame, genome_size: float, windows: Sequence[int] = (10000,), width: int = BIN,
                   control: DataFrame | None = None) -> DataFrame:
-    """Pileup, rates and scores of all samples at once."""
+    """Pileup, rates and scores of all samples at once; the fragments are passed once."""
+    bins = stage(pileup_bins(fragments, width), "pileup")
+    against = None if control is None else stage(pileup_bins(control, width), "control-pileup")
     lam = local_lambda(
-        pileup_bins(fragments, width), background(fragments, genome_size), windows, width,
-        None if control is None else pileup_bins(control, width),
-        None if control is None else background(control, genome_size),
+        bins, background(bins, genome_size), windows, width,
+        against, None if against is None else background(against, genome_size),
     )
     return score_bins(lam, width)
 

@@ -86,20 +86,22 @@ def tss_profile(fragments: DataFrame, tss: DataFrame, flank: int = 1000) -> Data
     first = F.when(forward, lo - F.col("b_p")).otherwise(F.col("b_p") - hi + 1)
     end = F.when(forward, hi - F.col("b_p")).otherwise(F.col("b_p") - lo + 1)
     amount = F.col("depth") * F.col("b_weight")
+    zero = F.lit(0).cast("bigint")
+    # the third event only makes sure that the profile begins at the left end
     events = (
-        met.select("sample", F.explode(F.array(
-            F.struct(first.alias("offset"), amount.alias("d")), F.struct(end.alias("offset"), (-amount).alias("d"))
-        )).alias("ev"))
-        .groupBy("sample", F.col("ev.offset").alias("offset"))
-        .agg(F.sum("ev.d").alias("d"))
+        met.select("sample", F.inline(F.array(
+            F.struct(first.alias("offset"), amount.alias("d")),
+            F.struct(end.alias("offset"), (-amount).alias("d")),
+            F.struct(F.lit(-flank).cast("bigint").alias("offset"), zero.alias("d")),
+        )))
+        .groupBy("sample", "offset")
+        .agg(F.sum("d").alias("d"))
     )
-    # every offset gets a row: at most 2 * flank + 2 per sample
-    grid = fragments.select("sample").distinct().select(
-        "sample", F.explode(F.sequence(F.lit(-flank).cast("bigint"), F.lit(flank).cast("bigint"))).alias("offset")
-    )
-    along = Window.partitionBy("sample").orderBy("offset")
-    full = grid.join(events, ["sample", "offset"], "left").withColumn("d", F.coalesce("d", F.lit(0)))
-    return full.select("sample", "offset", F.sum("d").over(along).alias("depth"))
+    along = Window.partitionBy("sample").orderBy("offset")  # at most 2 * flank + 2 rows
+    upto = F.least(F.lead("offset").over(along) - 1, F.lit(flank))
+    steps = events.select("sample", "offset", F.coalesce(upto, F.lit(flank).cast("bigint")).alias("upto"),
+                          F.sum("d").over(along).alias("depth")).filter("offset <= upto")
+    return steps.select("sample", F.explode(F.sequence("offset", "upto")).alias("offset"), "depth")
 
 
 def tss_enrichment(fragments: DataFrame, tss: DataFrame, flank: int = 1000, outer: int = 100) -> DataFrame:

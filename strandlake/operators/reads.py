@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arith import idiv
+from ..functions.ranking import per_unit
 
 MATES = ["sample", "ordinal", "idx"]
 
@@ -29,7 +30,7 @@ def concat_reads(reads: DataFrame, manifest: DataFrame) -> DataFrame:
     ``manifest`` has (sample, read, paths).
     """
     listed = manifest.select("sample", "read", F.posexplode("paths").alias("ordinal", "file"))
-    return reads.join(listed, "file")
+    return reads.join(per_unit(listed), "file")
 
 
 def count_reads(reads: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def split_reads(reads: DataFrame, sample: str, mate: int, lane: int = 1, files:
     number = F.lit(lane - 1) + F.when((d >= 2) & (n > d), opened).otherwise(0)
     out = F.format_string(f"{sample}_L%03d_R{mate}.fastq", F.col("lane"))
     return (
-        reads.join(count_reads(reads), "file").withColumn("lane", number).withColumn("out_file", out).drop("reads")
+        reads.join(per_unit(count_reads(reads)), "file").withColumn("lane", number).withColumn("out_file", out).drop("reads")
     )
 
 

@@ -9,11 +9,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arith import idiv
+from ..functions.ranking import per_unit
 from ..functions.stats import poisson_score
 from ..functions.tiling import TILE, tile_range, with_halo
 from .intervals import merge_intervals
 
 TRACK = ["sample", "chrom"]
+NEAR = 1 << 10  # bases per bin where regions meet single positions
 
 
 def tag_directory(df: DataFrame) -> DataFrame:
@@ -118,8 +120,8 @@ def find_peaks_region(tags: DataFrame, width: int = 500, min_dist: int = 1000, t
 def count_tags(peaks: DataFrame, tags: DataFrame, name: str) -> DataFrame:
     """Adds the number of tags with s <= p < e, from one row per position."""
     spans = peaks.select(*TRACK, "s", "e").distinct()
-    at = spans.select("*", F.explode(tile_range("s", "e", TILE)).alias("bin"))
-    hits = at.join(tags.select(*TRACK, "p", "n", idiv("p", TILE).alias("bin")), [*TRACK, "bin"])
+    at = spans.select("*", F.explode(tile_range("s", "e", NEAR)).alias("bin"))
+    hits = at.join(tags.select(*TRACK, "p", "n", idiv("p", NEAR).alias("bin")), [*TRACK, "bin"])
     sums = hits.filter("s <= p and p < e").groupBy(*TRACK, "s", "e").agg(F.sum("n").alias(name))
     return peaks.join(sums, [*TRACK, "s", "e"], "left").withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
 
@@ -136,7 +138,7 @@ def control_filter(peaks: DataFrame, tags: DataFrame, control: DataFrame, fold:
     share = F.col("tags") / F.col("total")
     other = (F.col("control_tags") + 1) / F.col("control_total")
     return (
-        counted.join(totals, "sample").withColumn("fold", share / other)
+        counted.join(per_unit(totals), "sample").withColumn("fold", share / other)
         .filter(share >= fold * other).drop("total", "control_total")
     )
 
@@ -150,7 +152,7 @@ def fdr_cutoff(candidates: DataFrame, tags: DataFrame, genome_size: float, width
     rate = tags.groupBy("sample").agg((F.sum("n") * F.lit(width / float(genome_size))).alias("rate"))
     counts = candidates.groupBy("sample", "tags").agg(F.count(F.lit(1)).alias("n"))
     upward = Window.partitionBy("sample").orderBy(F.col("tags").desc())
-    observed = counts.withColumn("observed", F.sum("n").over(upward)).join(rate, "sample").filter("tags > rate")
+    observed = counts.withColumn("observed", F.sum("n").over(upward)).join(per_unit(rate), "sample").filter("tags > rate")
     expected = F.lit(genome_size / width) * F.pow(F.lit(10.0), -poisson_score(F.col("tags"), F.col("rate")))
     return (
         observed.withColumn("ratio", expected / F.col("observed"))

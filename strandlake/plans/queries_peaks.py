@@ -67,19 +67,19 @@ def pileup_bins(spark, sf):
 
 @query(v.with_views("select sample, total_bases, round(lam_bg, 4) as lam_bg from bg", "fragments", bg=BG))
 def background_rate(spark, sf):
-    return pk.background(v.fragments(spark, sf), GENOME)
+    return pk.background(pk.pileup_bins(v.fragments(spark, sf)), GENOME)
 
 
 @query(v.with_views("select sample, chrom, bin, k, bases, round(lam, 4) as lam from lam", "fragments", **steps("lam")))
 def local_lambda(spark, sf):
-    f = v.fragments(spark, sf)
-    return pk.local_lambda(pk.pileup_bins(f), pk.background(f, GENOME))
+    bins = stage(pk.pileup_bins(v.fragments(spark, sf)), "pileup")
+    return pk.local_lambda(bins, pk.background(bins, GENOME))
 
 
 @query(v.with_views("select sample, k, round(lam, 4) as lam, weight, round(score, 4) as score from vals", "fragments", **steps("vals")))
 def poisson_scores(spark, sf):
-    f = v.fragments(spark, sf)
-    lam = pk.local_lambda(pk.pileup_bins(f), pk.background(f, GENOME))
+    bins = stage(pk.pileup_bins(v.fragments(spark, sf)), "pileup")
+    lam = pk.local_lambda(bins, pk.background(bins, GENOME))
     return pk.score_values(lam)
 
 
@@ -181,5 +181,5 @@ def local_lambda_with_control(spark, sf):
     f = v.fragments(spark, sf)
     treated = f.filter("sample <> 'S3'")
     control = f.filter("sample = 'S3'").withColumn("sample", F.explode(F.array(F.lit("S1"), F.lit("S2"))))
-    return pk.local_lambda(pk.pileup_bins(treated), pk.background(treated, GENOME),
-                           control=pk.pileup_bins(control), control_rates=pk.background(control, GENOME))
+    bins, other = stage(pk.pileup_bins(treated), "pileup"), stage(pk.pileup_bins(control), "control")
+    return pk.local_lambda(bins, pk.background(bins, GENOME), control=other, control_rates=pk.background(other, GENOME))

@@ -97,7 +97,7 @@ where tags_in / tt.total >= {fold} * ((control_tags + 1) / ct.total)"""
 
 
 def _controlled(spark, sf, fold):
-    tags = _tags(spark, sf)
+    tags = stage(_tags(spark, sf), "tags")
     control = tags.filter("sample = 'S3'").withColumn("sample", F.explode(F.array(F.lit("S1"), F.lit("S2"))))
     treated = tags.filter("sample <> 'S3'")
     return tg.control_filter(tg.find_peaks_factor(treated, 200, 400, 8), treated, control, fold)
@@ -119,7 +119,7 @@ select sample, min(tags) as threshold, arg_min(observed, tags) as observed, roun
     group by f.sample, tags) where tags > rate)
 where ratio <= 0.001 group by sample""", "reads", **STEPS, found=FACTOR.format(t=1)))
 def fdr_cutoff(spark, sf):
-    tags = _tags(spark, sf)
+    tags = stage(_tags(spark, sf), "tags")
     return tg.fdr_cutoff(tg.find_peaks_factor(tags, 200, 400, 1), tags, GENOME, 200, 0.001)
 
 
@@ -139,7 +139,7 @@ from (
   left join (select sample, count(*) as peaks, cast(sum(tags) as bigint) as inside from found group by sample) f
   on f.sample = t.sample)""", "reads", **STEPS, found=FACTOR.format(t=8)))
 def peak_report_header(spark, sf):
-    tags = _tags(spark, sf)
+    tags = stage(_tags(spark, sf), "tags")
     return tg.report_header(tg.find_peaks_factor(tags, 200, 400, 8), tags)
 
 

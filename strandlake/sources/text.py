@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..functions.ranking import per_unit
+
 
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str], **options: object) -> DataFrame:
     """(path, line_no, value) with 0-based line numbers per file, also where a file is read in many splits.
@@ -23,6 +25,6 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str], **options: o
     splits = raw.groupBy("path", "split").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first")).select(
         "path", "split", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
     )
-    return raw.join(splits, ["path", "split"]).select(
+    return raw.join(per_unit(splits), ["path", "split"]).select(
         "path", (F.col("row") - F.col("first") + F.col("offset")).alias("line_no"), "value"
     )
