@@ -63,9 +63,11 @@ def depth_runs(df: DataFrame, keys: Sequence[str], weight: str | None = None, wi
     ``births`` adds the number of intervals that start with the run.
     """
     along = Window.partitionBy(*keys, "tile").orderBy("p")
+    events = _events(df, keys, weight, width)
+    if not births:  # where as many end as start the depth goes on
+        events = events.filter("d <> 0")
     return (
-        _events(df, keys, weight, width)
-        .select(
+        events.select(
             *keys,
             "tile",
             F.col("p").alias("s"),
@@ -108,12 +110,22 @@ def join_runs(
     tile = [*keys, "tile"]
     local = _islands(df, tile, gap, same, aggs)
     last = F.max("island").over(Window.partitionBy(*tile))
-    edge = (F.col("island") == 1) | (F.col("island") == last)
-    local = local.withColumn("edge", edge)
-    local = local.withColumn("block", F.when(F.col("edge"), F.lit(-1)).otherwise(F.col("tile"))).drop(
-        "tile", "island", "edge"
-    )
-    return _islands(local, [*keys, "block"], gap, same, aggs).drop("block", "island")
+    local = local.withColumn("edge", (F.col("island") == 1) | (F.col("island") == last))
+    return _across_tiles(local.drop("island"), keys, gap, same, aggs)
+
+
+def join_cut_runs(df: DataFrame, keys: Sequence[str], same: Sequence[str], width: int = TILE) -> DataFrame:
+    """Join the parts of runs that were cut at tile edges; inside a tile there is nothing to join."""
+    edge = (F.col("s") % width == 0) | (F.col("e") % width == 0)
+    return _across_tiles(df.withColumn("edge", edge), keys, 0, same, ())
+
+
+def _across_tiles(
+    local: DataFrame, keys: Sequence[str], gap: int | str, same: Sequence[str], aggs: Sequence[Column]
+) -> DataFrame:
+    block = F.when(F.col("edge"), F.lit(-1)).otherwise(F.col("tile"))
+    rows = local.withColumn("block", block).drop("tile", "edge")
+    return _islands(rows, [*keys, "block"], gap, same, aggs).drop("block", "island")
 
 
 def with_halo(df: DataFrame, pos: str, reach: int, width: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import arith as A
 from ..functions.arith import idiv
 from ..functions.ranking import per_unit
-from ..functions.tiling import TILE, depth_runs, join_runs, tile_range
+from ..functions.tiling import TILE, depth_runs, join_cut_runs, join_runs, tile_range
 from .intervals import exclude_overlaps
 
 TRACK = ("sample", "chrom")
@@ -74,7 +74,7 @@ def coverage_excluding(df: DataFrame, excluded: DataFrame | None = None, width:
 
 def depth(df: DataFrame, keys: Sequence[str] = TRACK) -> DataFrame:
     """Exact depth as maximal runs (s, e, depth)."""
-    return compact_runs(depth_runs(df, keys).withColumnRenamed("depth", "value"), keys).withColumnRenamed("value", "depth")
+    return join_cut_runs(depth_runs(df, keys), keys, ["depth"]).select(*keys, "s", "e", "depth")
 
 
 def compact_runs(runs: DataFrame, keys: Sequence[str] = TRACK) -> DataFrame:

@@ -18,7 +18,7 @@ from ..functions.tiling import TILE, depth_runs, join_runs, tile_range, with_hal
 from ..session import stage
 from ..sources.genome import chromosome_ordinal
 from .coverage import depth
-from .intervals import overlap_join
+from .intervals import keep_overlaps, overlap_join
 
 TRACK = ["sample", "chrom"]
 BIN = 25
@@ -180,9 +180,12 @@ def sweep(scored: DataFrame, paramsets: Mapping[str, Mapping[str, float]], width
 
 
 def summits(peaks: DataFrame, fragments: DataFrame) -> DataFrame:
-    """Adds ``summit``: the middle of the leftmost run of greatest depth inside the peak."""
-    ids = [c for c in peaks.columns]
-    runs = depth(fragments).select(*TRACK, "s", "e", "depth")
+    """Adds ``summit``: the middle of the leftmost run of greatest depth inside the peak.
+
+    Only fragments that touch a peak shape the depth inside one.
+    """
+    ids = list(peaks.columns)
+    runs = depth(keep_overlaps(fragments, peaks, TRACK))
     lo, hi = F.greatest("s", "b_s"), F.least("e", "b_e")
     return (
         overlap_join(peaks, runs, TRACK)

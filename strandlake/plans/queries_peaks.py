@@ -183,3 +183,23 @@ def local_lambda_with_control(spark, sf):
     control = f.filter("sample = 'S3'").withColumn("sample", F.explode(F.array(F.lit("S1"), F.lit("S2"))))
     bins, other = stage(pk.pileup_bins(treated), "pileup"), stage(pk.pileup_bins(control), "control")
     return pk.local_lambda(bins, pk.background(bins, GENOME), control=other, control_rates=pk.background(other, GENOME))
+
+
+PRUNED = """
+select qname, sample, chrom, fs as s, fe as e from marked
+where chrom <> 'chrM' and mflag & 3 = 3 and mflag & 3340 = 0 and mate = 1"""
+
+
+@query(v.with_views(f"""
+select * from (
+  select 'default_params' as paramset, * from ({DEFAULT})
+  union all select 'strict', * from ({PEAKS.format(gap=0, q=0.0001, length=50)})
+  union all select 'wide', * from ({PEAKS.format(gap=400, q=0.1, length=200)})) f
+where not exists (select 1 from excluded x where x.chrom = f.chrom and x.s < f.e and f.s < x.e)""",
+                    "excluded", "marked", fragments=PRUNED, **steps("scored")))
+def atac_peaks_outside_excluded(spark, sf):
+    """From alignments to filtered peaks under three parameter sets."""
+    from .trunk import atac_peaks, prune_atac, whole_fragments
+
+    fragments = stage(whole_fragments(prune_atac(v.alignments(spark, sf), "mm10")), "fragments")
+    return atac_peaks(fragments, GENOME, PARAMSETS, v.excluded(spark, sf))["peaks"].select("paramset", "sample", "chrom", "s", "e")

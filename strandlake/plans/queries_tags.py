@@ -150,9 +150,9 @@ from kept k where not exists (
                     **STEPS, found=FACTOR.format(t=8), kept=CONTROLLED.format(fold=1.2)))
 def chip_peaks_against_control(spark, sf):
     """Tag peaks against a control, outside the excluded regions: peak table, BED, anti-join, selection by id."""
-    from ..operators.intervals import peaks_to_bed
+    from .trunk import chip_peaks
 
-    rows = stage(tg.peak_rows(_controlled(spark, sf, 1.2)), "peaks")
-    named = rows.withColumn("id", F.concat_ws("|", "sample", "id"))
-    bed = exclude_overlaps(peaks_to_bed(named), v.excluded(spark, sf))
-    return keep_by_id(named, bed).withColumn("id", F.substring_index("id", "|", -1)).select(rows.columns)
+    # S3 is the control of the other samples
+    sheet = v.reads(spark, sf).select("sample").distinct().select(
+        "sample", F.lit("hg19").alias("genome"), F.when(F.col("sample") != "S3", F.lit("S3")).alias("input"))
+    return chip_peaks(v.reads(spark, sf), sheet, v.excluded(spark, sf), "factor", 1.2, width=200, min_dist=400, threshold=8)

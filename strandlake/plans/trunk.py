@@ -1,21 +1,29 @@
-"""The analyses from marked alignments to tracks, peaks and metrics, as one plan each."""
+"""The analyses from alignments to tracks, peaks and metrics.
+
+What several results read (marked and pruned alignments, scored pileups, tags) is
+written once; a study of many samples is one set of jobs.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, functions as F
 
-from ..operators import alignments as al, coverage as cov
-from ..operators.intervals import exclude_overlaps
+from ..operators import alignments as al, coverage as cov, manifest as mf, peaks as pk, qc, tags as tg
+from ..operators.intervals import exclude_overlaps, exclude_peaks_and_summits, keep_by_id, peaks_to_bed
 from ..session import stage
 
+TRACK = ["sample", "chrom"]
+
 
 def prune_atac(alignments: DataFrame, genome: str) -> DataFrame:
+    """The chromosome filter goes first, where it reaches the scan: copies share their chromosome."""
     marked = al.mark_duplicates(al.keep_chromosomes(alignments, genome))
     return al.filter_flags(marked, *al.PRUNE_ATAC)
 
 
 def prune_chip_paired(alignments: DataFrame, genome: str, threshold: int = 2, mode: str = "both") -> DataFrame:
-    """Mark, prune and pair-filter. The chromosome filter goes first: copies share their chromosome."""
     marked = al.mark_duplicates(al.keep_chromosomes(alignments, genome))
     return al.x0_pair_filter(al.filter_flags(marked, *al.PRUNE_CHIP_PAIRED), threshold, mode)
 
@@ -25,12 +33,76 @@ def prune_chip_single(alignments: DataFrame, genome: str) -> DataFrame:
     return al.filter_flags(marked, *al.PRUNE_CHIP_SINGLE)
 
 
+def whole_fragments(pruned: DataFrame) -> DataFrame:
+    return cov.fragments(cov.extend_reads(pruned)).select(*TRACK, "s", "e")
+
+
 def track(pruned: DataFrame, excluded: DataFrame | None = None, width: int = 25) -> DataFrame:
     """CPM of whole fragments per bin, outside the excluded regions.
 
     The fragments are read twice, for the bins and for the totals, so they are staged.
     """
-    used = cov.fragments(cov.extend_reads(pruned)).select("sample", "chrom", "s", "e")
+    used = whole_fragments(pruned)
     if excluded is not None:
         used = exclude_overlaps(used, excluded)
     return cov.coverage_excluding(stage(used, "fragments"), width=width)
+
+
+def atac_peaks(fragments: DataFrame, genome_size: float, paramsets: Mapping[str, Mapping[str, float]],
+               excluded: DataFrame) -> dict[str, DataFrame]:
+    """Peaks under every parameter set: all of them, and peaks and summits outside the excluded regions.
+
+    The pileup is scored once and cut once per set.
+    """
+    scored = stage(pk.scored_pileup(fragments, genome_size), "scored")
+    found = stage(pk.summits(pk.sweep(scored, paramsets), fragments), "peaks")
+    table = stage(pk.narrowpeak(found, scored), "narrowpeak")
+    tops = table.select(
+        "paramset", *TRACK, (F.col("s") + F.col("offset")).alias("s"),
+        (F.col("s") + F.col("offset") + 1).alias("e"), "name",
+    )
+    kept, kept_tops = exclude_peaks_and_summits(table, tops, excluded)
+    return {"all": table, "peaks": kept, "summits": kept_tops}
+
+
+def atac_study(alignments: DataFrame, genome: str, genome_size: float, excluded: DataFrame, tss: DataFrame,
+               paramsets: Mapping[str, Mapping[str, float]]) -> dict[str, DataFrame]:
+    """Track, peaks and metrics. Metrics see marked but unpruned alignments and unfiltered peaks."""
+    marked = stage(al.mark_duplicates(alignments), "marked")
+    pruned = al.filter_flags(al.keep_chromosomes(marked, genome), *al.PRUNE_ATAC)
+    fragments = stage(whole_fragments(pruned), "fragments")
+    peaks = atac_peaks(fragments, genome_size, paramsets, excluded)
+    seen = qc.exclude_regions(marked, excluded)
+    regions = peaks["all"].select(*TRACK, "s", "e")
+    enrichment = qc.tss_enrichment(qc.exclude_regions(fragments, excluded), tss)
+    counts = qc.read_counts(marked)
+    metrics = (
+        counts.join(qc.duplicate_split(seen, regions), "sample", "left")
+        .join(qc.tss_score(enrichment), "sample", "left")
+    )
+    return {
+        "duplicates": al.duplicate_metrics(marked),
+        "track": cov.coverage_excluding(fragments),
+        **peaks,
+        "lengths": qc.fragment_lengths(marked),
+        "metrics": metrics,
+    }
+
+
+def chip_peaks(pruned: DataFrame, samplesheet: DataFrame, excluded: DataFrame, style: str = "factor",
+               fold: float = 4.0, **settings: int) -> DataFrame:
+    """Peaks of every sample with a control, outside the excluded regions.
+
+    ``style`` is ``factor`` (fixed width) or ``histone`` (variable width). Paired and
+    single reads mix freely: a tag is a 5' end.
+    """
+    find = {"factor": tg.find_peaks_factor, "histone": tg.find_peaks_region}[style]
+    tags = stage(tg.tag_directory(pruned), "tags")
+    pairs = mf.pair_controls(samplesheet).select("sample", "control")
+    treated = tags.join(pairs.select("sample").distinct(), "sample", "left_semi")
+    against = mf.label_controls(tags, pairs)
+    peaks = tg.control_filter(find(treated, **settings), treated, against, fold)
+    rows = stage(tg.peak_rows(peaks), "hpeaks")
+    named = rows.withColumn("id", F.concat_ws("|", "sample", "id"))
+    kept = keep_by_id(named, exclude_overlaps(peaks_to_bed(named), excluded))
+    return kept.withColumn("id", F.substring_index("id", "|", -1)).select(rows.columns)
