@@ -16,7 +16,7 @@ from ..functions.arith import idiv
 from ..functions.tiling import TILE, clip_to_tiles, depth_runs, join_runs, tile_range
 
 CHROM = ("chrom",)
-LOOKUP = 1 << 14  # bases per bin where a row looks up one interval
+LOOKUPS = [1 << n for n in (14, 18, 22, 26, 32)]  # bases per bin where a row looks up one interval
 NEAR = 1 << 11  # bases per bin where intervals meet single positions
 
 
@@ -43,27 +43,44 @@ def merge_intervals(df: DataFrame, keys: Sequence[str] = CHROM, gap: int = 0) ->
     return join_runs(pieces, keys, gap)
 
 
+def _level(length: Column, of: Sequence[Column | int]) -> Column:
+    """The entry of ``of`` for the narrowest look-up width that holds ``length``."""
+    pick = F.lit(of[-1])
+    for w, value in list(zip(LOOKUPS, of))[-2::-1]:
+        pick = F.when(length <= w, value).otherwise(pick)
+    return pick
+
+
 def _first_reached(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Joins each row of a with the one interval that decides whether it touches b at all.
 
     Of disjoint intervals, [s, e) can only miss them all if it misses the first that
-    ends after s. That one is the same for all s between the end of its predecessor
-    and its own end, so each interval is listed under the bins of that whole stretch.
-    A row of any length is then settled in the bin of its start, and never copied.
+    ends after s: the one with ``before`` <= s < its end, ``before`` being the end of
+    its predecessor. A row no longer than w need not look further than w ahead, so an
+    interval is listed under the bins of width w from w before its start to its end,
+    a few for each of five widths. A row of any length is settled in the bin of its
+    start, at the narrowest width that holds it, and never copied.
     """
     before = F.lag("e", 1, 0).over(Window.partitionBy(*keys).orderBy("s"))
+    widths = F.explode(F.array(*[F.lit(w) for w in LOOKUPS])).alias("b_width")
+    ahead = F.greatest(F.col("before"), F.col("s") - F.col("b_width"))
     reach = (
         merge_intervals(b.filter("s < e"), keys)
         .withColumn("before", before)
+        .select("*", widths)
         .select(
             *[F.col(k).alias(f"b_{k}") for k in keys],
             F.col("s").alias("b_s"),
             F.col("e").alias("b_e"),
             F.col("before").alias("b_before"),
-            F.explode(tile_range("before", "e", LOOKUP)).alias("b_bin"),
+            "b_width",
+            F.explode(F.sequence(idiv(ahead, F.col("b_width")), idiv(F.col("e") - 1, F.col("b_width")))).alias("b_bin"),
         )
     )
-    cond = (idiv("s", LOOKUP) == F.col("b_bin")) & (F.col("b_before") <= F.col("s")) & (F.col("s") < F.col("b_e"))
+    length = F.greatest(F.col("e") - F.col("s"), F.lit(1))
+    width = _level(length, LOOKUPS)
+    at = _level(length, [idiv("s", w) for w in LOOKUPS])
+    cond = (width == F.col("b_width")) & (at == F.col("b_bin")) & (F.col("b_before") <= F.col("s")) & (F.col("s") < F.col("b_e"))
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"b_{k}"))
     if how != "left":

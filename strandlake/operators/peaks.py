@@ -23,7 +23,7 @@ from .intervals import keep_overlaps, overlap_join
 TRACK = ["sample", "chrom"]
 BIN = 25
 SEARCH = 1 << 13  # bins per tile of the local rate
-SALTS = 16
+SALTS = 8
 
 # fixed values: effective genome size by size code
 EFFECTIVE_SIZE = {"hs": 2.7e9, "mm": 1.87e9}

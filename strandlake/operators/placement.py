@@ -85,13 +85,13 @@ def place_reads(reads: DataFrame, sequences: DataFrame, lengths: Sequence[int],
         same = F.substring(F.col("q"), j * part + 1, part) == F.substring(F.col("r"), j * part + 1, part)
         earlier = earlier | ((F.col("i") > j) & same)
     alike = (
-        left.join(right, ["len", "i", "seed"])
+        left.join(right.hint("merge"), ["len", "i", "seed"])  # written out from few rows: its size estimate is too low
         .withColumn("nm", _mismatches(n, "q", "r"))
         .filter(F.col("nm") <= max_mismatch)
         .filter(~earlier)
         .select("seq", "len", "strand", "r", "nm")
     )
-    hits = alike.join(stretch, ["len", "r"]).select("seq", "strand", "nm", "chrom", "pos", "len")
+    hits = alike.join(stretch.hint("merge"), ["len", "r"]).select("seq", "strand", "nm", "chrom", "pos", "len")
     hits = hits.distinct()  # chunks overlap, so a stretch may be listed twice
     return reads.select(*cols, F.upper("seq").alias("seq")).join(hits, "seq").drop("seq")
 

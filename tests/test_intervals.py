@@ -124,3 +124,17 @@ def test_cpm_gives_back_counts(spark, sf_dir):
     f = v.fragments(spark, sf_dir)
     out = cov.coverage_excluding(f).join(cov.sample_totals(f), "sample")
     assert out.filter(F.abs(F.col("cpm") * F.col("total") / 1e6 - F.col("n")) > 1e-6).count() == 0
+
+
+def test_rows_of_every_length_and_many_sparse_keys(spark):
+    rng = random.Random(9)
+    rows, regions = [], []
+    for i in range(400):
+        c = f"chr{rng.randrange(1, 6)}"
+        s = rng.randrange(0, 200_000_000)
+        rows.append((i, c, s, s + rng.choice([1, 100, 16384, 16385, 300_000, 5_000_000, 80_000_000])))
+        regions.append((i, f"chr{rng.randrange(1, 300)}", t := rng.randrange(0, 240_000_000), t + rng.choice([1, 500, 40_000, 3_000_000])))
+    da, db = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(regions, SCHEMA)
+    hit = {x[0] for x in rows if any(touch(x, y) for y in regions)}
+    assert {r["id"] for r in iv.keep_overlaps(da, db).collect()} == hit
+    assert {r["id"]: r["hit"] for r in iv.flag_overlaps(da, db).collect()} == {x[0]: x[0] in hit for x in rows}
