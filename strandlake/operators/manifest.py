@@ -160,9 +160,9 @@ def planned_outputs(samples: DataFrame, paramsets: Sequence[str]) -> DataFrame:
         peaks = expand(samples.filter("input is not null").select("sample"), paramsets)
         plan = plan.unionByName(peaks.select("sample", F.lit("peaks").alias("kind"), "paramset"))
         if "homer_fmg_genome" in has:
-            any_control = samples.filter("input is not null").select(F.lit(1).alias("one")).distinct()
-            wanted = samples.filter("homer_fmg_genome is not null").select("sample", F.lit(1).alias("one"))
-            motifs = expand(wanted.join(any_control, "one", "left_semi").select("sample"), paramsets)
+            controls = samples.filter("input is not null").agg(F.count(F.lit(1))).scalar()
+            wanted = samples.filter(F.col("homer_fmg_genome").isNotNull() & (controls > 0))
+            motifs = expand(wanted.select("sample"), paramsets)
             plan = plan.unionByName(motifs.select("sample", F.lit("motifs").alias("kind"), "paramset"))
     return plan
 

@@ -77,14 +77,12 @@ def motif_enrichment(targets: DataFrame, background: DataFrame, k: int, top: int
     """Words more frequent in the targets than in the background, the ``top`` by binomial tail."""
     t = motif_counts(targets, k)
     b = motif_counts(background, k).withColumnRenamed("n", "background_hits")
-    sizes = targets.agg(F.count(F.lit(1)).alias("targets")).withColumn("one", F.lit(1)).join(
-        background.agg(F.count(F.lit(1)).alias("background")).withColumn("one", F.lit(1)), "one"
-    )
-    counts = t.join(b, "kmer", "left").fillna(0, ["background_hits"]).withColumn("one", F.lit(1))
-    share = (F.col("background_hits") + 1) / (F.col("background") + 2)
+    n_targets = targets.agg(F.count(F.lit(1))).scalar()
+    n_background = background.agg(F.count(F.lit(1))).scalar()
     scored = (
-        counts.join(F.broadcast(sizes), "one")  # one row
-        .withColumn("share", share)
+        t.join(b, "kmer", "left").fillna(0, ["background_hits"])
+        .withColumn("targets", n_targets)
+        .withColumn("share", (F.col("background_hits") + 1) / (n_background + 2))
         .filter(F.col("n") > F.col("targets") * F.col("share"))
         .withColumn("score", binomial_score(F.col("n"), F.col("targets"), F.col("share")))
     )
