@@ -160,14 +160,9 @@ def keep_by_id(peaks: DataFrame, bed: DataFrame, peak_id: str = "id", bed_id: st
 
 def rewrite_header(header: DataFrame, bed: DataFrame, line: int = 4) -> DataFrame:
     """Replaces header line 4 by the number of BED lines, repeats counted."""
-    total = bed.agg(F.count(F.lit(1)).alias("n")).withColumn("line_no", F.lit(line))
-    return header.join(total, "line_no", "left").select(
-        "line_no",
-        F.when(
-            F.col("n").isNotNull(),
-            F.concat(F.lit("# peaks remaining after blacklist filtering "), F.col("n").cast("string"), F.lit(" ")),
-        ).otherwise(F.col("text")).alias("text"),
-    )
+    total = bed.agg(F.count(F.lit(1))).scalar()
+    counted = F.concat(F.lit("# peaks remaining after blacklist filtering "), total.cast("string"), F.lit(" "))
+    return header.select("line_no", F.when(F.col("line_no") == line, counted).otherwise(F.col("text")).alias("text"))
 
 
 def peaks_to_bed(peaks: DataFrame, score: str | Column = "score") -> DataFrame:
