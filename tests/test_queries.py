@@ -4,18 +4,23 @@ import pytest
 
 import __spark_entry__ as entry
 from scripts.check_oracle import compare
+from strandlake.plans import load_queries
 
-SQL = entry.oracle_sql()
+QUERIES, SQL = load_queries()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(name, spark, duck, sf_dir):
-    line, ok, _ = compare(spark, duck, sf_dir, name, entry.queries()[name], SQL[name])
+    line, ok, _ = compare(spark, duck, sf_dir, name, QUERIES[name], SQL[name])
     assert ok, line
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+
+
+def test_entry_registers_them():
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry_returns_rows(spark):
