@@ -121,14 +121,15 @@ class Texts:
         return starts, ends, docs
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with texts of about ``limit`` bytes together."""
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES,
+           rows: int = 1 << 13) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with texts of about ``limit`` bytes together, and at most so many rows."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     total = np.cumsum(sizes)
     at = 0
     while at < len(sizes):
         done = total[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(total, done + limit, side="right")))
+        end = min(at + rows, max(at + 1, int(np.searchsorted(total, done + limit, side="right"))))
         yield batch.slice(at, end - at)
         at = end
 
@@ -147,3 +148,95 @@ def is_held_out(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the id as text, modulo 4, is 2; a null id is not held out."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+class Chars:
+    """Lower-cased code points of a slice; blanks are spaces, and each text stands between two."""
+
+    def __init__(self, column: pa.Array):
+        texts = [(t or "").lower() for t in column.to_pylist()]
+        self.count = len(texts)
+        joined = "".join(f" {t} \0" for t in texts)
+        self.codes = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32).copy()
+        self.codes[(self.codes <= 32) & (self.codes > 0)] = 32
+        sizes = np.fromiter((len(t) + 3 for t in texts), np.int64, len(texts))
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
+
+    def grams(self, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Start and hashed bin of every n-gram within a text."""
+        m = len(self.codes) - n + 1
+        if m <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        h = np.full(m, n, np.uint32)
+        inside = np.ones(m, bool)
+        for k in range(n):
+            part = self.codes[k : k + m]
+            h *= np.uint32(0x9E3779B1)
+            h += part
+            inside &= part != 0
+        h ^= h >> np.uint32(15)
+        h *= np.uint32(0x85EBCA6B)
+        h ^= h >> np.uint32(13)
+        h *= np.uint32(0xC2B2AE35)
+        h >>= np.uint32(32 - bits)
+        at = np.flatnonzero(inside)
+        return at, h[at]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
+                    order_by: Column | None = None) -> DataFrame:
+    """At most ``bound`` labelled texts of each label value 0 and 1 outside the held-out rows: text, label.
+
+    Which ones is settled by a hash of the id. Only ids and labels are ordered; the chosen
+    ones (bounded, hence broadcast) then pick their texts from one scan of the documents.
+    """
+    known = (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+        .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~is_held_out())
+    )
+    order = order_by if order_by is not None else F.xxhash64("doc_id")
+    chosen = None
+    for v in (0, 1):
+        part = known.filter(F.col("label") == v).orderBy(order, "doc_id").limit(bound)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    return whole_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+
+
+def label_counts(labels: DataFrame, label: str) -> dict[int, int]:
+    """Number of labelled rows outside the held-out ones, by label value."""
+    got = (
+        labels.filter(F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id").cast("long")))
+        .groupBy(F.col(label).cast("int").alias("label")).count().filter("label in (0, 1)").collect()
+    )
+    return {r["label"]: r["count"] for r in got}
+
+
+def logistic(x: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Weights and bias of an L2-regularised logistic regression, by accelerated gradient steps."""
+    n, d = x.shape
+    weight = weight / weight.sum()
+    beta, bias = np.zeros(d), 0.0
+    mb, mc = beta.copy(), bias
+    x = np.ascontiguousarray(x, np.float64)
+    top = 0.25 * float(weight @ np.einsum("ij,ij->i", x, x)) + 0.25 + l2
+    # the largest eigenvalue bounds the curvature; a few power steps find it
+    v = np.ones(d) / max(1.0, np.sqrt(d))
+    for _ in range(20 if d else 0):
+        u = x.T @ (weight * (x @ v))
+        norm = float(np.linalg.norm(u))
+        if norm == 0:
+            break
+        v = u / norm
+        top = min(top, 0.25 * (1.5 * norm + 1.0) + l2)
+    for k in range(steps):
+        err = weight * (logistic(x @ mb + mc) - y)
+        nb, nc = mb - (x.T @ err + l2 * mb) / top, mc - err.sum() / top
+        t = k / (k + 3.0)
+        mb, mc = nb + t * (nb - beta), nc + t * (nc - bias)
+        beta, bias = nb, nc
+    return beta, float(bias)
