@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
 from .language import identify
+from .packing import VOCABULARY, pack_documents
+from .quality_crf import quality
+from .quality_rules import apply_rules
 from .toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +28,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def vocabulary() -> str:
+    """The tokenizer file, which the workers' installation has at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -55,3 +65,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query()
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
