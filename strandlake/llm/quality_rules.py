@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stage
 from .textkit import IS_LEAD, IS_SPACE, SpanHash, Texts, is_held_out, mix, per_text, slices
@@ -147,8 +147,8 @@ def strictest(rejected: np.ndarray, n: int, limit: float, error: float) -> int |
 
 
 def cutoffs(rows: DataFrame, labels: DataFrame, limit: float = FALSE_REJECTION,
-            confidence: float = CONFIDENCE) -> dict[str, dict[str, int]]:
-    """Cutoff of each stratum and rule, from good documents outside the held-out rows that pass the base rules.
+            confidence: float = CONFIDENCE) -> tuple[list[str], dict[str, dict[str, int]]]:
+    """The strata judged on their own, and the cutoff of each stratum and rule, from good documents outside the held-out rows that pass the base rules.
 
     The limit is shared among the rules, the error among all strata and rules (Bonferroni).
     Only counts by stratum, rule and step reach the driver.
@@ -172,7 +172,7 @@ def cutoffs(rows: DataFrame, labels: DataFrame, limit: float = FALSE_REJECTION,
         cut = strictest(rejected, int(hist.sum()), limit / len(RULES), (1 - confidence) / len(tables))
         if cut is not None:
             out.setdefault(stratum, {})[rule] = cut
-    return out
+    return named, out
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", limit: float = FALSE_REJECTION,
@@ -190,18 +190,18 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", limit
     Empty table: no rows.
     """
     rows = measures(stage(counted(docs, stratum), "rule-counts"))
-    found = cutoffs(rows, labels, limit, confidence)
-    spark = docs.sparkSession
-    cuts = spark.createDataFrame(
-        [(s, *[c.get(r) for r in RULES]) for s, c in sorted(found.items())],
-        "cut_stratum string, " + ", ".join(f"cut_{r} int" for r in RULES))
-    named = [s for s in found if s != OTHER]
+    named, found = cutoffs(rows, labels, limit, confidence)
     own = F.when(F.col("stratum").isin(named), F.col("stratum")).otherwise(OTHER) if named else F.lit(OTHER)
-    failed = F.array_compact(F.array(*[
-        F.when(F.col(r) >= F.col(f"cut_{r}"), F.lit(r)) for r in RULES]))
+
+    def broken(rule: str) -> Column:
+        cuts = {s: c[rule] for s, c in sorted(found.items()) if rule in c}
+        if not cuts:
+            return F.lit(None).cast("string")
+        cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])[own]
+        return F.when(F.col(rule) >= cut, F.lit(rule))
+
     return (
-        rows.withColumn("cut_stratum", own).join(F.broadcast(cuts), "cut_stratum", "left")
-        .withColumn("failed_rules", failed)
+        rows.withColumn("failed_rules", F.array_compact(F.array(*map(broken, RULES))))
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                 (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"), "failed_rules")
     )
