@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .exact_dedup import exact_dedup
 from .language import identify
 from .mixing import mix
+from .ngram_jaccard import link_components
 from .packing import VOCABULARY, pack_documents
 from .quality_crf import quality
 from .quality_rules import apply_rules
@@ -58,6 +59,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_components(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
