@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
 from .components import components
+from .dealing import SCHEMA, pack, unpack
 from .textkit import ASCII_LOWER, SpanHash, Texts, mix, slices, whole_texts
 
 #: words of a shingle; two sets link when 100 * intersection >= 80 * union
@@ -161,19 +162,7 @@ def _dealt_signatures(docs: DataFrame, tasks: int) -> DataFrame:
 
         def packed() -> Iterator[pa.RecordBatch]:
             sig, fp = (np.concatenate(x) for x in zip(*held))
-            to = (sig % np.uint64(tasks)).astype(np.int32)
-            order = np.argsort(to, kind="stable")  # sets stay together within a task
-            sig, fp, to = sig[order], fp[order], to[order]
-            cuts = np.flatnonzero(np.diff(to, prepend=-1, append=tasks))
-            rows = []
-            for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                new = np.flatnonzero(np.concatenate([[True], fp[s + 1 : e] != fp[s : e - 1]]))
-                rows.append((int(to[s]), fp[s:e][new].tobytes(), np.diff(np.append(new, e - s)).astype(np.uint32).tobytes(),
-                             sig[s:e].tobytes()))
-            for i in range(0, len(rows), 512):
-                p, a, b, c = zip(*rows[i : i + 512])
-                yield pa.record_batch({"task": pa.array(p, pa.int32()), "fps": pa.array(a, pa.binary()),
-                                       "runs": pa.array(b, pa.binary()), "sigs": pa.array(c, pa.binary())})
+            yield from pack(sig, fp, (sig % np.uint64(tasks)).astype(np.int32))
 
         for batch in batches:
             for part in slices(batch):
@@ -195,16 +184,12 @@ def _dealt_signatures(docs: DataFrame, tasks: int) -> DataFrame:
             yield from packed()
 
     texts = whole_texts(docs).filter(F.col("doc_id").isNotNull())
-    return texts.mapInArrow(run, "task int, fps binary, runs binary, sigs binary")
+    return texts.mapInArrow(run, SCHEMA)
 
 
 def _meeting_sets(table: pa.Table) -> pa.Table:
     """Sets that show the same signature, as (bucket, fp); buckets with the same sets are one."""
-    fps, sigs = [], []
-    for f, r, s in zip(*(table.column(c).to_pylist() for c in ("fps", "runs", "sigs"))):
-        fps.append(np.repeat(np.frombuffer(f, np.int64), np.frombuffer(r, np.uint32)))
-        sigs.append(np.frombuffer(s, np.uint64))
-    fp, sig = np.concatenate(fps), np.concatenate(sigs)
+    sig, fp = unpack(table)
     order = np.argsort(sig, kind="stable")
     sig, fp = sig[order], fp[order]
     met = np.zeros(len(sig), bool)

@@ -13,6 +13,7 @@ from .ngram_jaccard import link_components
 from .packing import VOCABULARY, pack_documents
 from .quality_crf import quality
 from .quality_rules import apply_rules
+from .substrings import remove_repeats
 from .toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +93,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
