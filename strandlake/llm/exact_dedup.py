@@ -23,10 +23,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     the digest of each content goes back to the documents; that join is on a skewed key
     and left to adaptive execution, which splits it.
 
-    Null and blank texts are one group (empty content). Rows with a null id are counted
-    and dropped (kept is false) unless their group has no id at all, in which case
-    keep_id is null and kept false for all. A row that repeats a kept id and text is kept
-    as well. Empty table: no rows. Other columns of ``docs`` are not read.
+    Null and blank texts are one group (empty content). Rows with a null id come last: they
+    are dropped unless their group has no id at all; then keep_id is null and the longest
+    ones are kept, which nothing tells apart. A row that repeats a kept id and text is
+    kept as well. Empty table: no rows. Other columns of ``docs`` are not read.
     """
     norm = F.translate(F.coalesce(F.col("text"), F.lit("")), BLANK, "")
     rows = whole_texts(docs, id_col, text_col).select(
@@ -49,13 +49,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .join(heads, "sha")
         .select(
             "doc_id", "keep_id", "group_size",
-            F.coalesce((F.col("doc_id") == F.col("keep_id")) & (F.col("len") == F.col("keep_len")),
-                       F.lit(False)).alias("kept"),
+            (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("len") == F.col("keep_len"))).alias("kept"),
             F.lower(F.hex("sha")).alias("text_sha256"))
     )
 
 
 def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].cast("long") == kept["_kept"], "left_semi")
+    """The documents that stay, with all their columns; a row that repeats an id and text stays once."""
+    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(
+        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    norm = F.translate(F.coalesce(docs[text_col].cast("string"), F.lit("")), BLANK, "")
+    same = docs[id_col].cast("long").eqNullSafe(kept["_id"]) & (F.sha2(norm, 256) == kept["_sha"])
+    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])

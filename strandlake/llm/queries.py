@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
 from .language import identify
+from .licences import scan_licences
 from .mixing import mix
 from .ngram_jaccard import link_components
 from .packing import VOCABULARY, pack_documents
@@ -98,3 +99,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))

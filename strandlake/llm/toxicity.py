@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from .textkit import Chars, fit_logistic, is_held_out, label_counts, labelled_sample, logistic, slices, whole_texts
 
@@ -84,17 +84,25 @@ def fit(sample: pa.Table, totals: dict[int, int]) -> ToxicModel:
     return ToxicModel(bins, beta * ratio, bias)
 
 
+def _odds(part: pa.RecordBatch, model: ToxicModel, table: np.ndarray, column: str = "text") -> np.ndarray:
+    doc, f, n = _present(part.column(column), table)
+    return logistic(np.bincount(doc, weights=model.weights[f] if len(f) else None, minlength=n) + model.bias)
+
+
+def _features(model: ToxicModel) -> np.ndarray:
+    table = np.full(1 << BITS, -1, np.int32)
+    table[model.bins] = np.arange(len(model.bins))
+    return table
+
+
 def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score, predicted for each row of ``docs`` by its whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.full(1 << BITS, -1, np.int32)
-        table[model.bins] = np.arange(len(model.bins))
+        table = _features(model)
         for batch in batches:
             for part in slices(batch):
-                doc, f, n = _present(part.column("text"), table)
-                total = np.bincount(doc, weights=model.weights[f] if len(f) else None, minlength=n) + model.bias
-                p = logistic(total)
+                p = _odds(part, model, table)
                 yield pa.record_batch({"doc_id": part.column("doc_id"), "score": p,
                                        "predicted": (p >= threshold).astype(np.int32)})
 
@@ -121,7 +129,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_
     return score(docs, model, threshold).select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
-    gone = toxicity(docs, labels).filter("predicted = 1").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+def drop_toxic(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER_LABEL,
+               threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that are not predicted toxic, with all their columns; each row is judged where it lies."""
+    sample = labelled_sample(docs, labels, "toxic", sample_per_label).toArrow()
+    model = fit(sample, label_counts(labels, "toxic"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _features(model)
+        for batch in batches:
+            for part in slices(batch):
+                yield part.filter(pa.array(_odds(part, model, table) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
