@@ -5,21 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
 from .components import components
 from .dealing import SCHEMA, pack, unpack
-from .textkit import ASCII_LOWER, SpanHash, Texts, mix, slices, whole_texts
+from .textkit import ASCII_LOWER, SpanHash, Texts, mix, slices, unzipped, whole_texts, zipped
 
 #: words of a shingle; two sets link when 100 * intersection >= 80 * union
 WORDS = 5
-#: token groups of a count vector
+#: token groups of the shortest count vector; larger sets have a power of two more, four tokens to a group at most
 GROUPS = 64
 #: token signatures that one task compares, about
 TASK_SIGNATURES = 400_000
+#: points of buckets that one task holds, about
+TASK_POINTS = 50_000
 #: points of an R-tree that one task joins with another such tree
 TREE_POINTS = 1024
 LEAF = 16
@@ -78,11 +79,60 @@ def fingerprints(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return mix(_sums(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), sizes) + sizes.astype(np.uint64)).view(np.int64)
 
 
-def count_vectors(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Number of a set's tokens in each of GROUPS groups, a row per set."""
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    flat = np.bincount(doc * GROUPS + (hashes % np.uint64(GROUPS)).astype(np.int64), minlength=len(sizes) * GROUPS)
-    return flat.reshape(len(sizes), GROUPS).astype(np.uint32)
+def count_vectors(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Number of a set's tokens in each group, as 16-bit numbers.
+
+    The group is the hash modulo the number of groups, so that a longer vector folds into
+    a shorter one by summing.
+    """
+    out = []
+    end = np.cumsum(sizes)
+    for s, e in zip((end - sizes).tolist(), end.tolist()):
+        groups = GROUPS
+        while groups * 4 < e - s:
+            groups *= 2
+        counts = np.bincount((hashes[s:e] % np.uint64(groups)).astype(np.int64), minlength=groups)
+        while counts.max() > 65535:  # never with hashes that spread, but the bound must stay one
+            groups *= 2
+            counts = np.bincount((hashes[s:e] % np.uint64(groups)).astype(np.int64), minlength=groups)
+        out.append(counts.astype(np.uint16).tobytes())
+    return out
+
+
+class Vectors:
+    """Count vectors of several lengths, with bounds on the overlap of pairs of them."""
+
+    def __init__(self, column: list[bytes]):
+        self.length = np.fromiter((len(v) // 2 for v in column), np.int64, len(column))
+        self.flat = np.frombuffer(b"".join(column), np.uint16)
+        self.start = np.cumsum(self.length) - self.length
+        self.short = self.folded(np.arange(len(column)), GROUPS)
+
+    def folded(self, rows: np.ndarray, groups: int) -> np.ndarray:
+        out = np.empty((len(rows), groups), np.int32)
+        for n in np.unique(self.length[rows]).tolist():
+            own = np.flatnonzero(self.length[rows] == n)
+            v = self.flat[self.start[rows[own]][:, None] + np.arange(n)[None, :]]
+            out[own] = v.reshape(len(own), n // groups, groups).sum(axis=1)
+        return out
+
+    def allowed(self, i: np.ndarray, j: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether the pairs (i, j) may link: by the shortest vectors first, then by the longest both have."""
+        keep = np.zeros(len(i), bool)
+        for s in range(0, len(i), 8192):
+            x, y = i[s : s + 8192], j[s : s + 8192]
+            bound = np.minimum(self.short[x], self.short[y]).sum(axis=1)
+            keep[s : s + 8192] = may_link(bound, sizes[x], sizes[y])
+        live = np.flatnonzero(keep)
+        groups = np.minimum(self.length[i[live]], self.length[j[live]])
+        for n in np.unique(groups[groups > GROUPS]).tolist():
+            own = live[groups == n]
+            step = max(1, (1 << 20) // n)
+            for s in range(0, len(own), step):
+                at = own[s : s + step]
+                bound = np.minimum(self.folded(i[at], n), self.folded(j[at], n)).sum(axis=1)
+                keep[at] = may_link(bound, sizes[i[at]], sizes[j[at]])
+        return keep
 
 
 def signatures(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,11 +192,10 @@ def described(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 hashes, sizes = shingle_sets(Texts(part.column("text")))
-                vectors = count_vectors(hashes, sizes)
                 yield pa.record_batch({
                     "doc_id": part.column("doc_id"), "n_shingles": sizes.astype(np.int64),
                     "fp": pa.array(fingerprints(hashes, sizes), mask=sizes == 0),
-                    "vec": pa.array([v.tobytes() for v in vectors], pa.binary())})
+                    "vec": pa.array(count_vectors(hashes, sizes), pa.binary())})
 
     return whole_texts(docs).mapInArrow(run, "doc_id long, n_shingles long, fp long, vec binary")
 
@@ -288,55 +337,53 @@ def tree_pairs(left: RTree, right: RTree) -> tuple[np.ndarray, np.ndarray]:
     return left.rows[i[live]], right.rows[j[live]]
 
 
-def _vectors(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint32).reshape(len(column), GROUPS).astype(np.int32)
-
-
 def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose count vectors allow a link."""
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("fp").alias(side), F.col("n_shingles").alias(f"n_{side}"),
                                        F.col("vec").alias(f"vec_{side}")), side)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for s in range(0, len(pdf), 8192):
-                p = pdf.iloc[s : s + 8192]
-                bound = np.minimum(_vectors(p["vec_a"]), _vectors(p["vec_b"])).sum(axis=1)
-                yield p.loc[may_link(bound, p["n_a"].to_numpy(), p["n_b"].to_numpy()), ["a", "b"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in range(0, len(batch), 2048):
+                p = batch.slice(s, 2048)
+                both = Vectors(p.column("vec_a").to_pylist() + p.column("vec_b").to_pylist())
+                sizes = np.concatenate([p.column("n_a").to_numpy(), p.column("n_b").to_numpy()])
+                keep = both.allowed(np.arange(len(p)), np.arange(len(p)) + len(p), sizes)
+                yield p.select(["a", "b"]).filter(pa.array(keep))
 
-    return pairs.filter("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)").mapInPandas(run, "a long, b long")
+    return pairs.filter("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)").mapInArrow(run, "a long, b long")
 
 
 def _own_text(rows: DataFrame) -> DataFrame:
-    """The rows (fp, text) whose text has the set of that number; one id may stand for several texts."""
+    """The rows (fp, z) whose text has the set of that number; one id may stand for several texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                own = fingerprints(*shingle_sets(Texts(part.column("text"))))
+            for part in slices(batch, "z"):
+                own = fingerprints(*shingle_sets(Texts(unzipped(part.column("z")))))
                 yield part.filter(pa.array(own == part.column("fp").to_numpy()))
 
-    return rows.select("fp", "text").mapInArrow(run, "fp long, text string")
+    return rows.select("fp", "z").mapInArrow(run, "fp long, z binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set numbers that link, by their whole sets; texts: (fp, text)."""
-    one = texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b"))
-    two = texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a"))
-    rows = pairs.join(one, "b").join(two, "a").select("a", "b", "text_a", "text_b")
+    """The pairs (a, b) of set numbers, and whether they link, by their whole sets; texts: (fp, z)."""
+    one = texts.select(F.col("fp").alias("b"), F.col("z").alias("z_b"))
+    two = texts.select(F.col("fp").alias("a"), F.col("z").alias("z_a"))
+    rows = pairs.join(one, "b").join(two, "a").select("a", "b", "z_a", "z_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, np.zeros(0, np.uint64)
         for batch in batches:
-            for part in slices(batch, "text_b"):
-                hashes, sizes = shingle_sets(Texts(part.column("text_b")))
+            for part in slices(batch, "z_b"):
+                hashes, sizes = shingle_sets(Texts(unzipped(part.column("z_b"))))
                 a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
                 end = np.cumsum(sizes)
                 linked = np.zeros(len(a), bool)
                 for i in range(len(a)):
                     if a[i] != last:
-                        last, kept = a[i], shingle_sets(Texts(part.column("text_a").slice(i, 1)))[0]
+                        last, kept = a[i], shingle_sets(Texts(unzipped(part.column("z_a").slice(i, 1))))[0]
                     own = hashes[end[i] - sizes[i] : end[i]]
                     at = np.searchsorted(kept, own)
                     at[at == len(kept)] = 0
@@ -348,35 +395,81 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, linked boolean")
 
 
+def _pairs_of_buckets(table: pa.Table) -> pa.Table:
+    """Pairs (a, b) of one bucket, of different components, that may link; rows of many buckets at a time.
+
+    A bucket that fits a leaf is compared as one; a larger one, or two parts of one, by R-trees.
+    """
+    table = table.sort_by([(c, "ascending") for c in ("bucket", "p", "q", "own", "fp")])
+    bucket, p, q, own, fp, root, n = (table.column(c).to_numpy() for c in ("bucket", "p", "q", "own", "fp", "root", "n"))
+    vectors = Vectors(table.column("vec").to_pylist())
+    rows = len(bucket)
+    new = np.ones(rows, bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
+    start = np.flatnonzero(new)
+    end = np.append(start[1:], rows)
+    small = (end - start <= LEAF) & (p[start] == q[start])
+    found = []
+    # every row of a small bucket with every later one
+    seg = np.cumsum(new) - 1
+    later = np.where(small[seg], end[seg] - np.arange(rows) - 1, 0)
+    for s in range(0, rows, 1 << 16):
+        part = later[s : s + (1 << 16)]
+        i = np.repeat(np.arange(s, s + len(part)), part)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(part) - part, part)
+        found.append(_reduced(i, j, fp, root, n, vectors))
+    for a, b in zip(start[~small].tolist(), end[~small].tolist()):
+        trees = []
+        for part in sorted({int(p[a]), int(q[a])}):
+            at = a + np.flatnonzero(own[a:b] == part)
+            if len(at):
+                trees.append((RTree(vectors.short[at], n[at], root[at]), at))
+        if len(trees) == 1 and p[a] != q[a]:
+            continue
+        (left, x), (right, y) = trees[0], trees[-1]
+        i, j = tree_pairs(left, right)
+        found.append(_reduced(x[i], y[j], fp, root, n, vectors))
+    a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    once = np.ones(len(a), bool)
+    once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return pa.table({"a": a[once], "b": b[once]})
+
+
+def _reduced(i: np.ndarray, j: np.ndarray, fp: np.ndarray, root: np.ndarray, n: np.ndarray,
+             vectors: Vectors) -> tuple[np.ndarray, np.ndarray]:
+    """Set numbers of the pairs of rows that may link, the smaller number first, each once."""
+    small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+    live = (root[i] != root[j]) & (5 * small >= 4 * large)
+    i, j = i[live], j[live]
+    a, b = np.minimum(fp[i], fp[j]), np.maximum(fp[i], fp[j])
+    order = np.lexsort((b, a))
+    once = np.ones(len(a), bool)
+    once[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    at = order[once]
+    at = at[vectors.allowed(i[at], j[at], n)]
+    return a[at], b[at]
+
+
 def _across(met: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) that met in a bucket, are in different components and may link by R-tree."""
     now = met.join(roots, met["fp"] == roots["node"], "left").select(
         "bucket", "fp", F.coalesce("root", "fp").alias("root"))
     mixed = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    mixed = mixed.filter("lo <> hi").select("bucket", F.ceil(F.col("n") / TREE_POINTS).cast("int").alias("parts"))
+    # two sets alone have been compared already
+    mixed = mixed.filter("lo <> hi and n > 2").select("bucket", F.ceil(F.col("n") / TREE_POINTS).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("fp"), F.col("parts").cast("long")).cast("int")
+    tasks = max(32, met.count() // TASK_POINTS)
     each = (
         now.join(mixed, "bucket").withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .join(sets.select("fp", "n_shingles", "vec"), "fp")
         .select("bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "fp", "root",
                 F.col("n_shingles").alias("n"), "vec")
+        .withColumn("task", F.pmod(F.xxhash64("bucket", "p", "q"), F.lit(tasks)))
     )
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        trees = []
-        for part in (key[1], key[2]) if key[1] != key[2] else (key[1],):
-            own = pdf[pdf["own"] == part]
-            if not len(own):
-                return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-            trees.append((RTree(_vectors(own["vec"]), own["n"].to_numpy(), own["root"].to_numpy()), own["fp"].to_numpy()))
-        (left, x), (right, y) = trees[0], trees[-1]
-        i, j = tree_pairs(left, right)
-        a, b = x[i], y[j]
-        once = a < b if left is right else np.ones(len(a), bool)
-        return pd.DataFrame({"a": np.minimum(a, b)[once], "b": np.maximum(a, b)[once]})
-
-    return each.groupBy("bucket", "p", "q").applyInPandas(run, "a long, b long").distinct()
+    return each.groupBy("task").applyInArrow(_pairs_of_buckets, "a long, b long").distinct()
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -414,7 +507,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = met.groupBy("bucket").agg(F.min("fp").alias("a"))
     star = met.join(heads, "bucket").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
     wanted = met.select("fp").distinct().join(sets.select("fp", "doc_id"), "fp")
-    texts = stage(_own_text(docs.join(wanted, "doc_id")).dropDuplicates(["fp"]), "texts")
+    texts = stage(_own_text(zipped(docs).join(wanted, "doc_id")).dropDuplicates(["fp"]), "texts")
     checked = stage(_verified(_bounded(star, sets), texts), "pairs")
     roots = stage(components(checked.filter("linked")), "roots")
     across = _across(met, roots, sets).join(checked, ["a", "b"], "left_anti")

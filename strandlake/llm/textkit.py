@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 SLICE_BYTES = 1 << 20
@@ -134,6 +135,25 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         at = end
 
 
+def zipped(docs: DataFrame) -> DataFrame:
+    """doc_id and z: each text compressed by itself, for shuffles of whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for part in slices(batch):
+                z = [press.compress((t or "").encode()) for t in part.column("text").to_pylist()]
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "z": pa.array(z, pa.binary())})
+
+    return whole_texts(docs).mapInArrow(run, "doc_id long, z binary")
+
+
+def unzipped(column: pa.Array) -> pa.Array:
+    """The texts of a column that ``zipped`` made."""
+    press = zstandard.ZstdDecompressor()
+    return pa.array([press.decompress(z) for z in column.to_pylist()], pa.binary()).cast(pa.string())
+
+
 def per_text(counts: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
     """Sum of counts by text number."""
     return np.bincount(docs, weights=counts, minlength=n).astype(np.int64)
