@@ -9,16 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .arith import idiv
 
 
-def per_unit(df: DataFrame) -> DataFrame:
-    """Marks a table with one short row per sample, file or input split for broadcast.
-
-    Its size is that of a list the driver holds anyway (samplesheet, file listing, scan
-    tasks), whatever the amount of data; joined by hash, one sample or file would send
-    its whole share of the rows to one task.
-    """
-    return F.broadcast(df)
-
-
 def running_total(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column], value: Column,
                   name: str, down: bool = False) -> DataFrame:
     """Running sum of ``value`` within ``keys``, where ``bucket`` is monotone in ``order``.

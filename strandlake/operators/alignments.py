@@ -122,9 +122,14 @@ def mark_duplicates(df: DataFrame) -> DataFrame:
         )
 
     r1, r2 = F.col("r1"), F.col("r2")
+    def placed(r: Column) -> Column:
+        return F.struct(r["us"].alias("us"), r["ue"].alias("ue"), r["strand"].alias("strand"))
+
+    # strands in order of position, whichever mate lies there
+    left, right = F.least(placed(r1), placed(r2)), F.greatest(placed(r1), placed(r2))
     pair = unit(
         0, r1["chrom"], F.least(r1["us"], r2["us"]), F.greatest(r1["ue"], r2["ue"]),
-        F.concat(r1["strand"], r2["strand"]), r1["q"] + r2["q"],
+        F.concat(left["strand"], right["strand"]), r1["q"] + r2["q"],
     )
     paired = r1.isNotNull() & r2.isNotNull() & (r1["chrom"] == r2["chrom"])
     units = by_name.select(
@@ -223,4 +228,6 @@ def x0_pair_filter(df: DataFrame, threshold: int = 2, mode: str = "both") -> Dat
 
 
 def distinct_names(df: DataFrame, name: str = "qname") -> DataFrame:
-    return df.select(clean_read_name(name).alias(name)).distinct()
+    """Clean read names, each once in its sample."""
+    keys = ["sample"] if "sample" in df.columns else []
+    return df.select(*keys, clean_read_name(name).alias(name)).distinct()

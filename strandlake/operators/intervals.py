@@ -18,6 +18,7 @@ from ..functions.tiling import TILE, clip_to_tiles, depth_runs, join_runs, tile_
 CHROM = ("chrom",)
 LOOKUPS = [1 << n for n in (14, 18, 22, 26, 32)]  # bases per bin where a row looks up one interval
 NEAR = 1 << 11  # bases per bin where intervals meet single positions
+STRETCH = 1 << 20  # bases within which merged intervals are ordered by one task
 
 
 def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM, bin_width: int = 1 << 11) -> DataFrame:
@@ -51,6 +52,22 @@ def _level(length: Column, of: Sequence[Column | int]) -> Column:
     return pick
 
 
+def _with_end_before(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``before``: the end of the interval ahead of each of disjoint ones, 0 for the first.
+
+    Inside stretches of the genome first; across them only their last ends are ordered.
+    """
+    ranged = df.withColumn("_range", idiv("s", STRETCH))
+    along = Window.partitionBy(*keys).orderBy("_range")
+    ends = ranged.groupBy(*keys, "_range").agg(F.max("e").alias("_last")).select(
+        *keys, "_range", F.lag("_last", 1, 0).over(along).alias("_ahead"))
+    inside = Window.partitionBy(*keys, "_range").orderBy("s")
+    return (
+        ranged.join(ends, [*keys, "_range"]).withColumn("before", F.coalesce(F.lag("e").over(inside), F.col("_ahead")))
+        .drop("_range", "_ahead")
+    )
+
+
 def _first_reached(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Joins each row of a with the one interval that decides whether it touches b at all.
 
@@ -61,12 +78,10 @@ def _first_reached(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) ->
     a few for each of five widths. A row of any length is settled in the bin of its
     start, at the narrowest width that holds it, and never copied.
     """
-    before = F.lag("e", 1, 0).over(Window.partitionBy(*keys).orderBy("s"))
     widths = F.explode(F.array(*[F.lit(w) for w in LOOKUPS])).alias("b_width")
     ahead = F.greatest(F.col("before"), F.col("s") - F.col("b_width"))
     reach = (
-        merge_intervals(b.filter("s < e"), keys)
-        .withColumn("before", before)
+        _with_end_before(merge_intervals(b.filter("s < e"), keys), keys)
         .select("*", widths)
         .select(
             *[F.col(k).alias(f"b_{k}") for k in keys],
@@ -81,8 +96,13 @@ def _first_reached(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) ->
     width = _level(length, LOOKUPS)
     at = _level(length, [idiv("s", w) for w in LOOKUPS])
     cond = (width == F.col("b_width")) & (at == F.col("b_bin")) & (F.col("b_before") <= F.col("s")) & (F.col("s") < F.col("b_e"))
+    kinds = dict(a.dtypes)
+    whole = F.xxhash64(*[F.col(c) for c in a.columns if "map<" not in kinds[c]])
     for k in keys:
-        cond = cond & (F.col(k) == F.col(f"b_{k}"))
+        own = F.col(k)
+        if kinds[k] == "string":  # rows without a place match nothing; a hash keeps them out of one task
+            own = F.coalesce(own, F.concat(F.lit("\0"), F.pmod(whole, F.lit(1 << 12)).cast("string")))
+        cond = cond & (own == F.col(f"b_{k}"))
     if how != "left":
         cond = cond & _reaches()
     return a.join(reach, cond, how)

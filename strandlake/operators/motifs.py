@@ -73,8 +73,8 @@ def motif_counts(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
     return seqs.select(F.explode(kmers(seq, k)).alias("kmer")).groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
 
 
-def motif_enrichment(targets: DataFrame, background: DataFrame, k: int, top: int = 20) -> DataFrame:
-    """Words more frequent in the targets than in the background, the ``top`` by binomial tail."""
+def motif_enrichment(targets: DataFrame, background: DataFrame, k: int) -> DataFrame:
+    """All words more frequent in the targets than in the background, ranked by binomial tail, then by word."""
     t = motif_counts(targets, k)
     b = motif_counts(background, k).withColumnRenamed("n", "background_hits")
     n_targets = targets.agg(F.count(F.lit(1))).scalar()
@@ -86,9 +86,10 @@ def motif_enrichment(targets: DataFrame, background: DataFrame, k: int, top: int
         .filter(F.col("n") > F.col("targets") * F.col("share"))
         .withColumn("score", binomial_score(F.col("n"), F.col("targets"), F.col("share")))
     )
-    best = scored.orderBy(F.round("score", 9).desc(), "kmer").limit(top)
-    rank = F.row_number().over(Window.orderBy(F.round("score", 9).desc(), "kmer"))  # over the top rows alone
-    return best.select(rank.alias("rank"), "kmer", F.col("n").alias("hits"), "background_hits", "score")
+    by = F.round("score", 9)
+    ranged = scored.withColumn("all", F.lit(0)).withColumn("at", F.floor(by * 16))
+    ranked = running_total(ranged, ["all"], "at", [by.desc(), F.col("kmer")], F.lit(1).cast("bigint"), "rank", down=True)
+    return ranked.select("rank", "kmer", F.col("n").alias("hits"), "background_hits", "score")
 
 
 def motif_information(seqs: DataFrame, seq: str = "seq") -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arith import idiv
-from ..functions.ranking import per_unit, running_total
+from ..functions.ranking import running_total
 from ..functions.stats import poisson_score
 from ..functions.tiling import TILE, depth_runs, join_runs, tile_range, with_halo
 from ..session import stage
@@ -54,7 +54,8 @@ def local_lambda(
     """Adds ``lam``, the larger of the background and the rate in each window around the bin.
 
     With a control (bins of the same form, under the name of the treated sample), the
-    windows are taken over the control, scaled to the depth of the treated sample.
+    windows are taken over the control, scaled to the depth of the treated sample; a
+    sample without a control is its own.
     Bins are copied into the tiles whose windows reach them, so a window group is a
     tile and not a chromosome.
     """
@@ -62,20 +63,22 @@ def local_lambda(
         rows = bins.withColumn("cb", F.col("bases"))
         per_sample = rates.select("sample", "lam_bg", F.lit(1.0).alias("scale"))
     else:
-        rows = bins.withColumn("cb", F.lit(0).cast("bigint")).unionByName(
+        other = control_rates.select("sample", F.col("total_bases").alias("control_bases"))
+        own = bins.join(other.select("sample", F.lit(True).alias("has_control")), "sample", "left")
+        rows = own.withColumn("cb", F.when(F.col("has_control"), F.lit(0).cast("bigint")).otherwise(F.col("bases"))).drop(
+            "has_control").unionByName(
             control.select(*TRACK, "bin", F.lit(None).cast("bigint").alias("k"),
                            F.lit(0).cast("bigint").alias("bases"), F.col("bases").alias("cb"))
         )
-        other = control_rates.select("sample", F.col("total_bases").alias("control_bases"))
         per_sample = rates.join(other, "sample", "left").select(
-            "sample", "lam_bg", F.coalesce(F.col("total_bases") / F.col("control_bases"), F.lit(0.0)).alias("scale")
+            "sample", "lam_bg", F.coalesce(F.col("total_bases") / F.col("control_bases"), F.lit(1.0)).alias("scale")
         )
     halves = [w // (2 * width) for w in windows]
     near = with_halo(rows, "bin", max(halves, default=0), SEARCH)
     along = Window.partitionBy(*TRACK, "tile").orderBy("bin")
     for i, h in enumerate(halves):
         near = near.withColumn(f"w{i}", F.sum("cb").over(along.rangeBetween(-h, h)) / float((2 * h + 1) * width))
-    near = near.filter("own and k is not null").join(per_unit(per_sample), "sample")
+    near = near.filter("own and k is not null").join(per_sample, "sample")
     local = [F.col(f"w{i}") * F.col("scale") for i in range(len(halves))]
     return near.select(*TRACK, "bin", "k", "bases", F.greatest("lam_bg", "lam_bg", *local).alias("lam"))
 
@@ -91,7 +94,7 @@ def bh_scores(scores: DataFrame) -> DataFrame:
     ranged = scores.withColumn("bucket", bucket)
     ranked = running_total(ranged, ["sample"], "bucket", [F.col("score").desc()], F.col("weight"), "rank", down=True)
     total = scores.groupBy("sample").agg(F.sum("weight").alias("tests"))
-    adjusted = ranked.join(per_unit(total), "sample").withColumn(
+    adjusted = ranked.join(total, "sample").withColumn(
         "t", F.col("score") + F.log10(F.col("rank").cast("double")) - F.log10(F.col("tests").cast("double"))
     )
     below = Window.partitionBy("sample").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -196,9 +199,9 @@ def summits(peaks: DataFrame, fragments: DataFrame) -> DataFrame:
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
-    """1-based number in coordinate order within ``keys``, counted tile by tile."""
-    ranged = df.withColumn("_at", chromosome_ordinal("chrom").cast("bigint") * (1 << 40) + idiv("s", TILE))
-    order = [F.col("chrom"), F.col("s"), F.col("e")]
+    """1-based number in coordinate order within ``keys``, counted tile by tile; contigs of one rank go by name."""
+    ranged = df.withColumn("_at", F.struct(chromosome_ordinal("chrom").alias("rank"), "chrom", idiv("s", TILE).alias("tile")))
+    order = [F.col("s"), F.col("e")]
     return running_total(ranged, keys, "_at", order, F.lit(1).cast("bigint"), name).drop("_at")
 
 

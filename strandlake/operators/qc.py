@@ -73,7 +73,7 @@ def tss_profile(fragments: DataFrame, tss: DataFrame, flank: int = 1000) -> Data
 
     Depth runs (already one per stretch of a genome, however many reads) meet the
     points; each meeting adds two events, which are summed by offset. Equal points
-    are counted once with a weight.
+    are counted once with a weight. A sample that meets no point has depth 0 everywhere.
     """
     points = tss.groupBy("chrom", "s", "strand").agg(F.count(F.lit(1)).alias("weight"))
     around = points.select(
@@ -87,13 +87,14 @@ def tss_profile(fragments: DataFrame, tss: DataFrame, flank: int = 1000) -> Data
     end = F.when(forward, hi - F.col("b_p")).otherwise(F.col("b_p") - lo + 1)
     amount = F.col("depth") * F.col("b_weight")
     zero = F.lit(0).cast("bigint")
-    # the third event only makes sure that the profile begins at the left end
+    # one event without weight per sample makes sure that each profile begins at the left end
     events = (
         met.select("sample", F.inline(F.array(
             F.struct(first.alias("offset"), amount.alias("d")),
             F.struct(end.alias("offset"), (-amount).alias("d")),
-            F.struct(F.lit(-flank).cast("bigint").alias("offset"), zero.alias("d")),
         )))
+        .unionByName(fragments.select("sample").distinct().select(
+            "sample", F.lit(-flank).cast("bigint").alias("offset"), zero.alias("d")))
         .groupBy("sample", "offset")
         .agg(F.sum("d").alias("d"))
     )

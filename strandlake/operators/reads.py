@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arith import idiv
-from ..functions.ranking import per_unit
 
 MATES = ["sample", "ordinal", "idx"]
 
@@ -30,7 +29,7 @@ def concat_reads(reads: DataFrame, manifest: DataFrame) -> DataFrame:
     ``manifest`` has (sample, read, paths).
     """
     listed = manifest.select("sample", "read", F.posexplode("paths").alias("ordinal", "file"))
-    return reads.join(per_unit(listed), "file")
+    return reads.join(listed, "file")
 
 
 def count_reads(reads: DataFrame) -> DataFrame:
@@ -54,13 +53,14 @@ def split_reads(reads: DataFrame, sample: str, mate: int, lane: int = 1, files:
     number = F.lit(lane - 1) + F.when((d >= 2) & (n > d), opened).otherwise(0)
     out = F.format_string(f"{sample}_L%03d_R{mate}.fastq", F.col("lane"))
     return (
-        reads.join(per_unit(count_reads(reads)), "file").withColumn("lane", number).withColumn("out_file", out).drop("reads")
+        reads.join(count_reads(reads), "file").withColumn("lane", number).withColumn("out_file", out).drop("reads")
     )
 
 
 def subset_reads(reads: DataFrame, names: DataFrame) -> DataFrame:
-    """Reads whose name is listed."""
-    return reads.join(names.select("name").distinct(), "name", "left_semi")
+    """Reads whose name is listed, for their sample where both tables have one."""
+    keys = [c for c in ("sample", "name") if c in reads.columns and c in names.columns]
+    return reads.join(names.select(*keys).distinct(), keys, "left_semi")
 
 
 def pair_mates(r1: DataFrame, r2: DataFrame) -> DataFrame:
@@ -79,7 +79,8 @@ def slice_reads(reads: DataFrame, first: int, last: int) -> DataFrame:
 def split_mates(reads: DataFrame) -> DataFrame:
     """Adds ``part``: read 1 or 2 of a complete pair, or a single read.
 
-    A name is complete if both mates occur; the group is the reads of one name.
+    A name is complete if both mates occur in one sample; the group is the reads of one name.
     """
-    mates = F.size(F.collect_set("mate").over(Window.partitionBy("name")))
+    template = [c for c in ("sample", "name") if c in reads.columns]
+    mates = F.size(F.collect_set("mate").over(Window.partitionBy(*template)))
     return reads.withColumn("part", F.when(mates == 2, F.col("mate").cast("string")).otherwise("single"))

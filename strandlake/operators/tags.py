@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arith import idiv
-from ..functions.ranking import per_unit
 from ..functions.stats import poisson_score
 from ..functions.tiling import TILE, tile_range, with_halo
 from .intervals import merge_intervals
@@ -129,17 +128,18 @@ def count_tags(peaks: DataFrame, tags: DataFrame, name: str) -> DataFrame:
 def control_filter(peaks: DataFrame, tags: DataFrame, control: DataFrame, fold: float = 4.0) -> DataFrame:
     """Peaks whose share of target tags is ``fold`` times that of control tags (plus one).
 
-    ``control`` holds the tags of the control under the name of the treated sample.
+    ``control`` holds the tags of the control under the name of the treated sample. A
+    control without any tag cannot speak against a peak: all peaks stay, with null ``fold``.
     """
     counted = count_tags(count_tags(peaks.drop("tags"), _positions(tags), "tags"), _positions(control), "control_tags")
     totals = tags.groupBy("sample").agg(F.sum("n").alias("total")).join(
-        control.groupBy("sample").agg(F.sum("n").alias("control_total")), "sample"
+        control.groupBy("sample").agg(F.sum("n").alias("control_total")), "sample", "left"
     )
     share = F.col("tags") / F.col("total")
     other = (F.col("control_tags") + 1) / F.col("control_total")
     return (
-        counted.join(per_unit(totals), "sample").withColumn("fold", share / other)
-        .filter(share >= fold * other).drop("total", "control_total")
+        counted.join(totals, "sample").withColumn("fold", share / other)
+        .filter(F.col("control_total").isNull() | (share >= fold * other)).drop("total", "control_total")
     )
 
 
@@ -152,7 +152,7 @@ def fdr_cutoff(candidates: DataFrame, tags: DataFrame, genome_size: float, width
     rate = tags.groupBy("sample").agg((F.sum("n") * F.lit(width / float(genome_size))).alias("rate"))
     counts = candidates.groupBy("sample", "tags").agg(F.count(F.lit(1)).alias("n"))
     upward = Window.partitionBy("sample").orderBy(F.col("tags").desc())
-    observed = counts.withColumn("observed", F.sum("n").over(upward)).join(per_unit(rate), "sample").filter("tags > rate")
+    observed = counts.withColumn("observed", F.sum("n").over(upward)).join(rate, "sample").filter("tags > rate")
     expected = F.lit(genome_size / width) * F.pow(F.lit(10.0), -poisson_score(F.col("tags"), F.col("rate")))
     return (
         observed.withColumn("ratio", expected / F.col("observed"))

@@ -156,7 +156,7 @@ def clean_read_names(spark, sf):
     return v.reads(spark, sf).select("sample", raw.alias("raw"), clean_read_name(raw).alias("qname"))
 
 
-@query(v.with_views("select distinct qname from reads", "reads"))
+@query(v.with_views("select distinct sample, qname from reads", "reads"))
 def distinct_read_names(spark, sf):
     raw = F.concat("qname", F.lit("/"), F.col("mate").cast("string"))
     return al.distinct_names(v.reads(spark, sf).withColumn("qname", raw))

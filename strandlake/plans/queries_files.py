@@ -56,23 +56,31 @@ def list_reads(spark, sf):
     return found.select(F.regexp_extract("path", r"/file=([^/]+)/", 1).alias("file")).distinct()
 
 
-@query(v.with_views("select file, name, seq, qual from fastq", "fastq"))
+@query(v.with_views("select file, idx, name, seq, qual from fastq", "fastq"))
 def fastq_round_trip(spark, sf):
     path = scratch_path(spark, "fastq")
     sinks.write_fastq(v.fastq(spark, sf), path)
-    back = gs.read_fastq(spark, path, F.regexp_extract("path", r"/file=([^/]+)/", 1))
-    return back.select("file", "name", "seq", "qual")
+    return gs.read_fastq(spark, path, F.regexp_extract("path", r"/file=([^/]+)/", 1))
 
 
 @query(v.with_views("""
 select sample, qname, mate, chrom, s, s + case when fid % 23 < 3 then 45 else 50 end as e, strand,
-  flag | case strand when '-' then 16 else 0 end as flag, mapq, cigar, tlen, seq, qual, x0, null::varchar as reject from alignments""", "alignments"))
+  flag | case strand when '-' then 16 else 0 end as flag, mapq, cigar, tlen, seq, qual, x0, null::varchar as reject,
+  case when mate = 1 then chrom else 'chrX' end as mate_chrom, s + 100 as mate_s,
+  'RG=g' || mate || case when x0 is null then ';X?=NO_X0' else ';X0=' || x0 || case when x0 > 2 then ';X?=HI_X0' else '' end end
+    || ';XF=1.5' as tags
+from alignments""", "alignments"))
 def sam_round_trip(spark, sf):
     path = scratch_path(spark, "sam")
-    a = v.alignments(spark, sf)
+    a = v.alignments(spark, sf).withColumns({
+        "mate_chrom": F.when(F.col("mate") == 1, F.col("chrom")).otherwise("chrX"), "mate_s": F.col("s") + 100,
+        "tags": F.create_map(F.lit("RG"), F.concat(F.lit("g"), F.col("mate").cast("string")), F.lit("XF"), F.lit("1.5"))})
+    a = al.tag_failures(a, 2)
     sinks.write_sam(a.withColumn("flag", F.when(F.col("strand") == "-", F.col("flag").bitwiseOR(F.lit(16))).otherwise(F.col("flag"))), path)
+    tags = F.array_join(F.transform(F.array_sort(F.map_entries("tags")), lambda t: F.concat_ws("=", t["key"], t["value"])), ";")
     return gs.read_alignments(spark, path).select(
-        "sample", "qname", "mate", "chrom", "s", "e", "strand", "flag", "mapq", "cigar", "tlen", "seq", "qual", "x0", "reject")
+        "sample", "qname", "mate", "chrom", "s", "e", "strand", "flag", "mapq", "cigar", "tlen", "seq", "qual", "x0", "reject",
+        "mate_chrom", "mate_s", tags.alias("tags"))
 
 
 @query(v.with_views("""
@@ -115,24 +123,24 @@ def narrowpeak_round_trip(spark, sf):
 
 
 @query(v.with_views("""
-select sample, 'row' as kind, id || ' ' || chrom || ' ' || (s + 1) || ' ' || e || ' + ' || (e - s) || '.0' as text from peaks
+select sample, 0::bigint as line_no, id || ' ' || chrom || ' ' || (s + 1) || ' ' || e || ' + ' || (e - s) || '.0' as text from peaks
 union all
-select sample, 'header', '# total peaks = ' || count(*) from peaks group by sample
+select sample, 2, '# total peaks = ' || count(*) from peaks group by sample
 union all
-select sample, 'header', '# sample = ' || sample from peaks group by sample""", "peaks"))
+select sample, 1, '# sample = ' || sample from peaks group by sample""", "peaks"))
 def hpeaks_round_trip(spark, sf):
     path = scratch_path(spark, "hpeaks")
     p = v.peaks(spark, sf)
-    rows = p.select("sample", F.concat_ws(
-        "\t", "id", "chrom", (F.col("s") + 1).cast("string"), F.col("e").cast("string"), F.lit("+"), (F.col("e") - F.col("s")).cast("string")).alias("value"))
-    facts = p.groupBy("sample").agg(F.count(F.lit(1)).alias("n")).select("sample", F.explode(F.array(
-        F.concat(F.lit("# sample = "), "sample"), F.concat(F.lit("# total peaks = "), F.col("n").cast("string")))).alias("value"))
-    facts.unionByName(rows).write.partitionBy("sample").text(path)
+    rows = p.select("sample", "id", "chrom", (F.col("s") + 1).alias("start"), F.col("e").alias("end"), F.lit("+").alias("strand"),
+                    (F.col("e") - F.col("s")).alias("score"))
+    facts = p.groupBy("sample").agg(F.count(F.lit(1)).alias("n")).select("sample", F.posexplode(F.array(
+        F.concat(F.lit("# sample = "), "sample"), F.concat(F.lit("# total peaks = "), F.col("n").cast("string")))).alias("i", "text"))
+    sinks.write_peak_report(facts.select("sample", (F.col("i") + 1).alias("line_no"), "text"), rows, path)
     header, back = gs.read_hpeaks(spark, path)
     sample = F.regexp_extract("path", r"/sample=([^/]+)/", 1)
     text = F.concat_ws(" ", "id", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "strand", F.col("score").cast("string"))
-    return header.select(sample.alias("sample"), F.lit("header").alias("kind"), "text").unionByName(
-        back.select("sample", F.lit("row").alias("kind"), text.alias("text")))
+    return header.select(sample.alias("sample"), "line_no", "text").unionByName(
+        back.select("sample", F.lit(0).cast("bigint").alias("line_no"), text.alias("text")))
 
 
 @query(v.with_views("select sample, chrom, bin * 25 as s, bin * 25 + 25 as e, cast(n as double) as value from bins", "fragments", bins=BINS))
@@ -145,21 +153,32 @@ def track_round_trip(spark, sf):
 
 
 @query(v.with_views("""
-select 'a' as paramset, sample, count(*) as total, count(*) filter (where flag & 1024 <> 0) as duplicate from reads group by sample""", "reads"))
+select 'a' as paramset, sample, count(*) as total, count(*) filter (where flag & 1 <> 0) as paired,
+  count(*) filter (where flag & 2 <> 0) as proper, count(*) filter (where flag & 4 <> 0) as unmapped,
+  count(*) filter (where flag & 8 <> 0) as mate_unmapped, count(*) filter (where flag & 256 <> 0) as secondary,
+  count(*) filter (where flag & 2048 <> 0) as supplementary, count(*) filter (where flag & 512 <> 0) as qc_fail,
+  count(*) filter (where flag & 1024 <> 0) as duplicate
+from reads group by sample""", "reads"))
 def metrics_round_trip(spark, sf):
     path = scratch_path(spark, "metrics")
     counts = qc.read_counts(v.reads(spark, sf)).withColumn("paramset", F.lit("a"))
     sinks.write_metrics(counts, path)
-    return ts.read_metrics(spark, path, "paramset string, sample string, total bigint, duplicate bigint")
+    return ts.read_metrics(spark, path, "paramset string, sample string, " + ", ".join(
+        f"{c} bigint" for c in counts.columns if c not in ("paramset", "sample")))
 
 
 @query(v.with_views("""
 select sample || chr(9) || metric || chr(9) || n || '.0' as line from (
-  select sample, 'total' as metric, count(*) as n from reads group by sample
-  union all select sample, 'paired', count(*) filter (where flag & 1 <> 0) from reads group by sample)""", "reads"))
+  unpivot (
+    select sample, count(*) as total, count(*) filter (where flag & 1 <> 0) as paired,
+      count(*) filter (where flag & 2 <> 0) as proper, count(*) filter (where flag & 4 <> 0) as unmapped,
+      count(*) filter (where flag & 8 <> 0) as mate_unmapped, count(*) filter (where flag & 256 <> 0) as secondary,
+      count(*) filter (where flag & 2048 <> 0) as supplementary, count(*) filter (where flag & 512 <> 0) as qc_fail,
+      count(*) filter (where flag & 1024 <> 0) as duplicate
+    from reads group by sample) on columns(* exclude (sample)) into name metric value n)""", "reads"))
 def metrics_summary(spark, sf):
     path = scratch_path(spark, "summary")
-    sinks.write_summary(qc.long_metrics(qc.read_counts(v.reads(spark, sf)).select("sample", "total", "paired")), path)
+    sinks.write_summary(qc.long_metrics(qc.read_counts(v.reads(spark, sf))), path)
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 

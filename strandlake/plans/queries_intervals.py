@@ -32,10 +32,10 @@ def keep_overlaps(spark, sf):
 @query(v.with_views("""
 select id, chrom, s, e from peaks f where not exists (
   select 1 from long_regions x where x.chrom = f.chrom and x.s < f.e and f.s < x.e)""", "peaks", "excluded",
-    long_regions="select chrom, s * 9 as s, s * 9 + 20000 + bid * 11 as e from excluded where bid % 9 = 0"))
+    long_regions="select chrom, s * 9 as s, s * 9 + 20000 + bid * 11 as e from excluded"))
 def exclude_long_overlaps(spark, sf):
     """Regions longer than a look-up bin."""
-    x = v.excluded(spark, sf).filter("bid % 9 = 0").select(
+    x = v.excluded(spark, sf).select(
         "chrom", (F.col("s") * 9).alias("s"), (F.col("s") * 9 + 20000 + F.col("bid") * 11).alias("e"))
     return iv.exclude_overlaps(v.peaks(spark, sf), x).select("id", "chrom", "s", "e")
 
@@ -148,7 +148,7 @@ def peaks_to_bed(spark, sf):
 
 
 @query(v.with_views("""
-select distinct r.qname from reads r join excluded x on x.chrom = r.chrom and x.s < r.e and r.s < x.e""", "reads", "excluded"))
+select distinct r.sample, r.qname from reads r join excluded x on x.chrom = r.chrom and x.s < r.e and r.s < x.e""", "reads", "excluded"))
 def region_read_names(spark, sf):
     r = v.reads(spark, sf).withColumn("qname", F.concat("qname", F.lit("/"), F.col("mate").cast("string")))
     return iv.region_read_names(v.excluded(spark, sf), r)

@@ -79,14 +79,13 @@ select rank, kmer, hits, background_hits, round(score, 4) as score from (
         (coalesce(b, 0) + 1) / ((select count(*) from other) + 2) as p
       from (select kmer, count(*) as h from tw group by kmer) x left join (select kmer, count(*) as b from bw group by kmer) y
       on x.kmer = y.kmer)
-    where h > t * p))
-where rank <= 20""", "seqs", planted="select sid, case when sid % 2 = 0 then 'TTGACTCA' || substr(seq, 9) else seq end as seq from seqs where sid % 3 = 0",
+    where h > t * p))""", "seqs", planted="select sid, case when sid % 2 = 0 then 'TTGACTCA' || substr(seq, 9) else seq end as seq from seqs where sid % 3 = 0",
     other="select * from seqs where sid % 3 <> 0", tw=WORDS.format(k=6, table="planted"), bw=WORDS.format(k=6, table="other")))
 def motif_enrichment(spark, sf):
     """Half of the targets carry a planted word."""
     s = v.seqs(spark, sf)
     planted = F.when(F.col("sid") % 2 == 0, F.concat(F.lit("TTGACTCA"), F.substring("seq", 9, 32))).otherwise(F.col("seq"))
-    return mo.motif_enrichment(s.filter("sid % 3 = 0").withColumn("seq", planted), s.filter("sid % 3 <> 0"), 6, 20)
+    return mo.motif_enrichment(s.filter("sid % 3 = 0").withColumn("seq", planted), s.filter("sid % 3 <> 0"), 6)
 
 
 @query(v.with_views("""

@@ -53,7 +53,7 @@ def fragments_all(spark, sf):
 @query(v.with_views("""
 select sample, chrom, s, e, rn as copy from (
   select *, row_number() over (partition by sample, chrom, s, e) as rn
-  from (select sample, chrom, fs // 50 * 50 as s, fs // 50 * 50 + 100 as e from reads where mate = 1))
+  from (select sample, chrom, s // 50 * 50 as s, s // 50 * 50 + 100 as e from reads where mate = 1))
 where rn <= 2""", "reads"))
 def fragments_keep_two(spark, sf):
     f = cov.fragments(v.reads(spark, sf)).withColumn("s", F.expr("s div 50 * 50")).withColumn("e", F.col("s") + 100)
@@ -141,13 +141,12 @@ select t.sample, t.chrom, t.s, t.e, t.sample || '_peak_' || row_number() over (p
 from tops t join scored c on c.sample = t.sample and c.chrom = t.chrom and c.bin = t.summit // 25"""
 
 
-@query(v.with_views(NARROW + " where t.chrom <> 'chrM'", "fragments",
-                    **steps("scored", called=DEFAULT, tops=SUMMITS)))
+@query(v.with_views(NARROW, "fragments", **steps("scored", called=DEFAULT, tops=SUMMITS)))
 def narrowpeak(spark, sf):
     f = v.fragments(spark, sf)
     scored = stage(_scored(spark, sf), "scored")
     peaks = stage(pk.summits(pk.call_peaks(scored), f), "peaks")
-    return pk.narrowpeak(peaks, scored).filter("chrom <> 'chrM'")
+    return pk.narrowpeak(peaks, scored)
 
 
 @query(v.with_views("""

@@ -58,18 +58,32 @@ def split_reads_by_count(spark, sf):
     return rd.split_reads(v.fastq(spark, sf), "s1", 1, 5, per_file=700).select("file", "idx", "name", "lane", "out_file")
 
 
+# Every template under the same name in two samples; in the second one the first mate of each fifth is missing.
+SHARED = """
+select 'S' || s.k as sample, file, mate, idx, 'T.' || split_part(name, '.', 2) as name, seq from fastq
+cross join (select unnest([1, 2]) as k) s where not (s.k = 2 and mate = 1 and key % 5 = 0)"""
+
+
+def _shared(spark, sf):
+    key = F.substring_index("name", ".", -1)
+    return v.fastq(spark, sf).select(
+        F.explode(F.array(F.lit("S1"), F.lit("S2"))).alias("sample"), "file", "mate", "idx",
+        F.concat(F.lit("T."), key).alias("name"), "seq"
+    ).filter(~((F.col("sample") == "S2") & (F.col("mate") == 1) & (F.substring_index("name", ".", -1).cast("bigint") % 5 == 0)))
+
+
 @query(v.with_views("""
-select file, idx, name, seq from fastq where split_part(name, '.', 2) in (
-  select distinct r.qname from reads r join excluded x on x.chrom = r.chrom and x.s < r.e and r.s < x.e)""",
-                    "fastq", "reads", "excluded"))
+select file, idx, name, seq from shared f where exists (
+  select 1 from reads r join excluded x on x.chrom = r.chrom and x.s < r.e and r.s < x.e
+  where r.sample = f.sample and 'T.' || r.qname = f.name)""",
+                    "fastq", "reads", "excluded", shared=SHARED))
 def subset_reads(spark, sf):
-    """Reads of the templates that touch a region."""
+    """Reads of the templates that touch a region; every name occurs in two samples."""
     from ..operators.intervals import region_read_names
 
-    names = region_read_names(v.excluded(spark, sf), v.reads(spark, sf)).withColumnRenamed("qname", "key")
-    f = v.fastq(spark, sf).select("file", "idx", "name", "seq")
-    full = f.select("name", F.substring_index("name", ".", -1).alias("key")).join(names, "key").select("name")
-    return rd.subset_reads(f, full)
+    names = region_read_names(v.excluded(spark, sf), v.reads(spark, sf))
+    named = names.select("sample", F.concat(F.lit("T."), "qname").alias("name"))
+    return rd.subset_reads(_shared(spark, sf), named).select("file", "idx", "name", "seq")
 
 
 @query(v.with_views("""
@@ -87,10 +101,11 @@ def slice_reads(spark, sf):
 
 
 @query(v.with_views("""
-select file, idx, name, case when count(*) over (partition by name) = 2 then cast(mate as varchar) else 'single' end as part
-from fastq""", "fastq"))
+select sample, file, idx, name,
+  case when count(*) over (partition by sample, name) = 2 then cast(mate as varchar) else 'single' end as part
+from shared""", "fastq", shared=SHARED))
 def split_mates(spark, sf):
-    return rd.split_mates(v.fastq(spark, sf)).select("file", "idx", "name", "part")
+    return rd.split_mates(_shared(spark, sf)).select("sample", "file", "idx", "name", "part")
 
 
 @query(v.with_views("select name || '.' || mate as raw, name from fastq", "fastq"))

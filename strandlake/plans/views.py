@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.arith import idiv
 from ..functions.ranking import row_index
-from ..session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +25,7 @@ def _label(prefix: str, number: Column) -> Column:
 def frag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paired-end fragments; a third of them in twenty dense clusters."""
     o, c = F.col("o_orderkey"), F.col("o_custkey")
-    return spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey").select(
+    return table(spark, sf_dir, "orders").select(
         o.alias("fid"),
         "o_custkey",
         _label("S", c % 3 + 1).alias("sample"),
@@ -43,9 +42,10 @@ def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alignment rows: two mates per fragment, some mates missing, hit count nullable."""
+    """Alignment rows: two mates per fragment, either one in front, some missing, hit count nullable."""
     f, c, m = F.col("fid"), F.col("o_custkey"), F.col("mate")
     first = m == 1
+    left = first != (f % 7 == 3)  # every seventh template was read from its other end
 
     def bit(cond: Column, value: int) -> Column:
         return F.when(cond, F.lit(value)).otherwise(F.lit(0))
@@ -70,10 +70,10 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
             f.cast("string").alias("qname"),
             "mate",
             "chrom",
-            F.when(first, F.col("pos")).otherwise(F.col("pos") + F.col("tlen") - 50).alias("s"),
-            F.when(first, F.col("pos") + 50).otherwise(F.col("pos") + F.col("tlen")).alias("e"),
+            F.when(left, F.col("pos")).otherwise(F.col("pos") + F.col("tlen") - 50).alias("s"),
+            F.when(left, F.col("pos") + 50).otherwise(F.col("pos") + F.col("tlen")).alias("e"),
             "tlen",
-            F.when(first, F.lit("+")).otherwise(F.lit("-")).alias("strand"),
+            F.when(left, F.lit("+")).otherwise(F.lit("-")).alias("strand"),
             flag.alias("flag"),
             F.when((f + m) % 11 != 0, 1 + (f * m) % 4).cast("int").alias("x0"),
         )
@@ -134,7 +134,7 @@ def peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seqs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """32-base sequences."""
     k = F.col("doc_id")
-    return spread(table(spark, sf_dir, "documents").select("doc_id"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         k.alias("sid"),
         F.translate(F.md5(k.cast("string")), "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"),
     )
@@ -145,7 +145,7 @@ def fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, m = F.col("o_orderkey"), F.col("mate")
     file = F.concat(_label("F", F.col("o_custkey") % 3 + 1), F.lit("_R"), m.cast("string"))
     base = (
-        spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+        table(spark, sf_dir, "orders")
         .select("o_orderkey", "o_custkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("mate"))
         .filter(~((m == 2) & (k % 19 == 0)))
         .select(
@@ -219,10 +219,10 @@ from orders""",
 select fid, sample, chrom, pos as s, pos + tlen as e from frag""",
     "reads": """
 select f.fid, f.sample, cast(f.fid as varchar) as qname, m.mate, f.chrom,
-  case when m.mate = 1 then f.pos else f.pos + f.tlen - 50 end as s,
-  case when m.mate = 1 then f.pos + 50 else f.pos + f.tlen end as e,
+  case when (m.mate = 1) <> (f.fid % 7 = 3) then f.pos else f.pos + f.tlen - 50 end as s,
+  case when (m.mate = 1) <> (f.fid % 7 = 3) then f.pos + 50 else f.pos + f.tlen end as e,
   f.pos as fs, f.pos + f.tlen as fe, f.tlen,
-  case when m.mate = 1 then '+' else '-' end as strand,
+  case when (m.mate = 1) <> (f.fid % 7 = 3) then '+' else '-' end as strand,
   1::bigint + (case when f.o_custkey % 13 = 0 then 0 else 2 end)
     + (case when f.fid % 29 = 0 then 4 else 0 end)
     + (case when f.fid % 31 = 0 then 8 else 0 end)

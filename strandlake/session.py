@@ -48,23 +48,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Writes an intermediate that several results read, and returns the written table.
 
     A written table survives the loss of executors and is computed once, which a
     second branch of the same plan is not.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deals rows out to all cores where a few unsplittable files feed too few tasks.
-
-    A large scan has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if 2 * df._jdf.queryExecution().toRdd().getNumPartitions() > cores:
-        return df
-    return df.repartition(cores, key)

@@ -58,7 +58,7 @@ def write_alignments(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def sam_lines(df: DataFrame) -> DataFrame:
-    """(sample, value): SAM text of alignment records, 1-based."""
+    """(sample, value): SAM text of alignment records, 1-based, with all tags in order of their names."""
     def text(c: str) -> Column:
         return F.coalesce(F.col(c).cast("string"), F.lit("*")) if c in df.columns else F.lit("*")
 
@@ -66,15 +66,41 @@ def sam_lines(df: DataFrame) -> DataFrame:
         return F.coalesce((F.col(c) + 1).cast("string"), F.lit("0")) if c in df.columns else F.lit("0")
 
     number = F.coalesce(F.col("mapq"), F.lit(255)).cast("string") if "mapq" in df.columns else F.lit("255")
-    x0 = F.concat(F.lit("X0:i:"), F.col("x0").cast("string"))
+    tags = F.col("tags") if "tags" in df.columns else F.lit(None).cast("map<string,string>")
+    kept = F.coalesce(tags, F.create_map().cast("map<string,string>"))
+    if "x0" in df.columns:
+        kept = F.when(F.col("x0").isNotNull(), F.map_concat(
+            F.map_filter(kept, lambda k, _: k != "X0"), F.create_map(F.lit("X0"), F.col("x0").cast("string")))).otherwise(kept)
+    if "x_fail" in df.columns:
+        kept = F.when(F.col("x_fail").isNotNull(), F.map_concat(
+            F.map_filter(kept, lambda k, _: k != "X?"), F.create_map(F.lit("X?"), F.col("x_fail")))).otherwise(kept)
+    # the type letter is told from the value, as the map does not hold it
+    fields = F.transform(F.array_sort(F.map_entries(kept)), lambda t: F.concat_ws(
+        ":", t["key"], F.when(t["value"].rlike(r"^[-+]?\d+$"), "i").when(t["value"].rlike(r"^[-+]?\d*\.\d+([eE][-+]?\d+)?$"), "f")
+        .otherwise("Z"), t["value"]))
     line = F.concat_ws(
         "\t", "qname", F.col("flag").cast("string"), text("chrom"), one_based("s"), number, text("cigar"),
         text("mate_chrom"), one_based("mate_s"), F.coalesce(F.col("tlen"), F.lit(0)).cast("string"),
-        text("seq"), text("qual"), x0,
+        text("seq"), text("qual"), F.array_join(fields, "\t"),
     )
+    line = F.regexp_replace(line, "\t$", "")
     return df.select("sample", line.alias("value"))
 
 
 def write_sam(df: DataFrame, path: str, mode: str = "error") -> None:
-    """SAM text per sample, without a header."""
-    sam_lines(df).write.mode(mode).partitionBy("sample").text(path)
+    """SAM text per sample in coordinate order, without a header."""
+    ordered = _in_order(df, "sample", chromosome_ordinal("chrom"), "chrom", "s", "qname")
+    sam_lines(ordered).write.mode(mode).partitionBy("sample").text(path)
+
+
+def write_peak_report(header: DataFrame, rows: DataFrame, path: str, mode: str = "error") -> None:
+    """Peak reports, one folder per sample: header lines (sample, line_no, text), then rows in coordinate order."""
+    body = F.concat_ws("\t", "id", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "strand",
+                       F.col("score").cast("string"))
+    lines = header.select("sample", F.lit(0).alias("part"), F.col("line_no").cast("bigint").alias("at"),
+                          F.lit("").alias("chrom"), F.lit(0).cast("bigint").alias("start"), F.col("text").alias("value"))
+    lines = lines.unionByName(rows.select(
+        "sample", F.lit(1).alias("part"), chromosome_ordinal("chrom").cast("bigint").alias("at"), "chrom", "start",
+        body.alias("value")))
+    ordered = _in_order(lines, "sample", "part", "at", "chrom", "start").select("sample", "value")
+    ordered.write.mode(mode).partitionBy("sample").text(path)

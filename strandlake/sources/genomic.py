@@ -23,11 +23,11 @@ BEDGRAPH = BED + ", value double"
 def read_fastq(spark: SparkSession, paths: str | Sequence[str], label: Column | None = None) -> DataFrame:
     """(file, idx, name, seq, qual); gzipped files are one task each, plain ones are split.
 
-    ``label`` names the file from its ``path`` (default: the last part of it).
+    ``label`` names the file from its ``path`` (default: the last part of it). Parts with
+    the same name are one file, whose records are numbered on in order of the parts.
     """
     file = F.substring_index("path", "/", -1) if label is None else label
-    lines = numbered_lines(spark, paths).select(F.col("path").alias("file"), "line_no", "value")
-    return assemble_records(lines).withColumnRenamed("file", "path").withColumn("file", file).drop("path").select(
+    return assemble_records(numbered_lines(spark, paths, file).withColumnRenamed("path", "file")).select(
         "file", "idx", "name", "seq", "qual"
     )
 

@@ -38,24 +38,26 @@ def list_reads(spark: SparkSession, folder: str, glob: str = "*.fastq.gz") -> Da
 
     A listing through the file system that Spark itself uses, so it works on shared storage.
     """
+    return spark.createDataFrame([(p,) for p in _matching(spark, folder, glob)], "path string")
+
+
+def _matching(spark: SparkSession, folder: str, glob: str) -> list[str]:
     jvm = spark._jvm
     pattern = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{glob}")
     found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
     paths = sorted(f.getPath().toUri().getPath() for f in found)
     if not paths:
         raise FileNotFoundError(f"no file matches {glob} in {folder}")
-    return spark.createDataFrame([(p,) for p in paths], "path string")
+    return paths
 
 
 def list_sample_reads(spark: SparkSession, samples: dict[str, str], glob: str = "*.fastq.gz") -> DataFrame:
     """(sample, path) over the folders of all samples."""
-    out = None
-    for sample, folder in samples.items():
-        part = list_reads(spark, folder, glob).select(F.lit(sample).alias("sample"), "path")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    if not samples:
         raise ValueError("no samples given")
-    return out
+    return spark.createDataFrame(
+        [(sample, path) for sample, folder in samples.items() for path in _matching(spark, folder, glob)],
+        "sample string, path string")
 
 
 def read_metrics(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
