@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arith import (
     MATE_1, MATE_2, MATE_REVERSE, MATE_UNMAPPED, PAIRED, PROPER, REVERSE, UNMAPPED, idiv,
@@ -15,26 +15,26 @@ from ..functions.names import reverse_complement
 WORD = 31  # bases per 64-bit word, two bits each
 
 
-def _words(text: Column, n: int, prefix: str) -> list[Column]:
-    """The bases as ``n`` words of two-bit codes, each with a word that marks letters other than ACGT."""
-    out = []
-    for i in range(n):
-        part = F.regexp_replace(F.substring(text, i * WORD + 1, WORD), "[^ACGT]", "N")
-        for kind, digits in (("c", "01230"), ("x", "00001")):
-            code = F.conv(F.translate(part, "ACGTN", digits), 4, 10).cast("bigint")
-            out.append(F.coalesce(F.when(part != "", code), F.lit(0)).alias(f"{prefix}{kind}{i}"))
-    return out
+def _words(text: Column) -> Column:
+    """The bases as an array of words of two-bit codes, each with a word that marks letters other than ACGT."""
+    def word(i: Column) -> Column:
+        part = F.regexp_replace(F.substring(text, i * WORD + 1, F.lit(WORD)), "[^ACGT]", "N")
+        return F.named_struct(F.lit("c"), F.conv(F.translate(part, "ACGTN", "01230"), 4, 10).cast("bigint"),
+                              F.lit("x"), F.conv(F.translate(part, "ACGTN", "00001"), 4, 10).cast("bigint"))
 
+    return F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / WORD).cast("int")), word)
 
-def _mismatches(n: int, a: str, b: str) -> Column:
-    """Bases that differ between two sets of words; any other letter differs from everything."""
+
+def _mismatches(a: str, b: str) -> Column:
+    """Bases that differ between two equally long texts as words; any other letter differs from everything."""
     odd = F.lit(0x5555555555555555)
-    total = F.lit(0)
-    for i in range(n):
-        x = F.col(f"{a}c{i}").bitwiseXOR(F.col(f"{b}c{i}"))
-        differ = x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(odd)
-        total = total + F.bit_count(differ.bitwiseOR(F.col(f"{a}x{i}")).bitwiseOR(F.col(f"{b}x{i}")))
-    return total
+
+    def differing(x: Column, y: Column) -> Column:
+        differ = x["c"].bitwiseXOR(y["c"])
+        differ = differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(odd)
+        return F.bit_count(differ.bitwiseOR(x["x"]).bitwiseOR(y["x"])).cast("int")
+
+    return F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda n, x: n + x)
 
 
 def _seeds(text: str, length: str, seeds: int) -> Column:
@@ -46,17 +46,17 @@ def _seeds(text: str, length: str, seeds: int) -> Column:
     )
 
 
-def place_reads(reads: DataFrame, sequences: DataFrame, lengths: Sequence[int], max_mismatch: int = 2) -> DataFrame:
-    """All hits (sample, name, mate, chrom, pos, strand, nm) of reads whose length is listed.
+def _alike(reads: DataFrame, sequences: DataFrame, max_mismatch: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct texts beside distinct reference stretches (seq, len, strand, rid, nm), and the places of each stretch.
 
     A read with at most m mismatches agrees in at least one of m + 1 parts. Equal
     reads, and equal stretches of the reference, are compared once: a repeat is one
-    row in the seed join however often it occurs. A pair found by several seeds is
-    kept for the first.
+    row in the seed join however often it occurs, and only its key goes on. A pair found
+    by several seeds is kept for the first. Lengths are those of the reads.
     """
-    cols = ["sample", "name", "mate"]
     seeds = max_mismatch + 1
-    texts = reads.select(F.upper("seq").alias("seq")).distinct()
+    texts = reads.select(F.upper("seq").alias("seq")).filter(F.length("seq") > 0).distinct()
+    lengths = texts.agg(F.sort_array(F.collect_set(F.length("seq")))).scalar()  # a few hundred numbers at most
     turned = texts.select(
         "seq", F.length("seq").alias("len"),
         F.explode(F.array(
@@ -65,55 +65,86 @@ def place_reads(reads: DataFrame, sequences: DataFrame, lengths: Sequence[int],
         )).alias("o"),
     ).select("seq", "len", "o.strand", "o.q")
     stretch = (
-        sequences.select(
-            "chrom", F.col("off"), F.upper("seq").alias("ref"),
-            F.explode(F.array(*[F.lit(n) for n in lengths])).alias("len"),
-        )
+        sequences.select("chrom", "off", F.upper("seq").alias("ref"), F.explode(lengths).alias("len"))
         .filter(F.length("ref") >= F.col("len"))
         .select("*", F.explode(F.sequence(F.lit(0), F.length("ref") - F.col("len"))).alias("at"))
         .select("chrom", (F.col("off") + F.col("at")).alias("pos"), "len",
                 F.substring(F.col("ref"), F.col("at") + 1, F.col("len")).alias("r"))
     )
-    n = -(-max(lengths) // WORD)
-    left = turned.select("*", *_words(F.col("q"), n, "q"), F.inline(_seeds("q", "len", seeds)))
+    key = F.struct(F.xxhash64("r").alias("a"), F.crc32(F.col("r").cast("binary")).alias("b"), "len")
+    places = stretch.select(key.alias("rid"), "chrom", "pos").distinct()  # chunks overlap: a stretch may be listed twice
+    left = turned.select("*", _words(F.col("q")).alias("qw"), F.inline(_seeds("q", "len", seeds)))
     right = stretch.select("len", "r").distinct().select(
-        "*", *_words(F.col("r"), n, "r"), F.inline(_seeds("r", "len", seeds))
-    )
+        "*", key.alias("rid"), _words(F.col("r")).alias("rw"), F.inline(_seeds("r", "len", seeds)))
     part = F.floor(F.col("len") / seeds).cast("int")
     earlier = F.lit(False)
     for j in range(seeds - 1):
         same = F.substring(F.col("q"), j * part + 1, part) == F.substring(F.col("r"), j * part + 1, part)
         earlier = earlier | ((F.col("i") > j) & same)
     alike = (
-        left.join(right.hint("merge"), ["len", "i", "seed"])  # written out from few rows: its size estimate is too low
-        .withColumn("nm", _mismatches(n, "q", "r"))
+        left.join(right, ["len", "i", "seed"])
+        .withColumn("nm", _mismatches("qw", "rw"))
         .filter(F.col("nm") <= max_mismatch)
         .filter(~earlier)
-        .select("seq", "len", "strand", "r", "nm")
+        .select("seq", F.col("len").cast("int").alias("len"), "strand", "rid", "nm")
     )
-    hits = alike.join(stretch.hint("merge"), ["len", "r"]).select("seq", "strand", "nm", "chrom", "pos", "len")
-    hits = hits.distinct()  # chunks overlap, so a stretch may be listed twice
-    return reads.select(*cols, F.upper("seq").alias("seq")).join(hits, "seq").drop("seq")
+    return alike, places
+
+
+def place_reads(reads: DataFrame, sequences: DataFrame, max_mismatch: int = 2) -> DataFrame:
+    """All hits (sample, name, mate, chrom, pos, strand, len, nm); a read without any gives no row."""
+    alike, places = _alike(reads, sequences, max_mismatch)
+    hits = alike.join(places, "rid").select("seq", "strand", "nm", "chrom", "pos", "len")
+    return reads.select("sample", "name", "mate", F.upper("seq").alias("seq")).join(hits, "seq").drop("seq")
+
+
+def _choose(hits: DataFrame, keys: Sequence[str], n: Column, at: Column) -> DataFrame:
+    """Of the fewest mismatches the first hit, with ``x0``, the number of equally good ones; partial aggregates."""
+    by_nm = hits.groupBy(*keys, "nm").agg(F.sum(n).alias("x0"), F.min(at).alias("hit"))
+    best = by_nm.groupBy(*keys).agg(F.min(F.struct("nm", "x0", "hit")).alias("b"))
+    return best.select(*keys, "b.hit.*", "b.nm", "b.x0")
 
 
 def best_hits(hits: DataFrame) -> DataFrame:
     """One hit per read, of the fewest mismatches; ``x0`` counts the equally good ones.
 
-    Ties go to the first by (chrom, pos, strand). Both steps are partial aggregates.
+    Ties go to the first by (chrom, pos, strand).
     """
-    read = ["sample", "name", "mate"]
-    at = F.struct("chrom", "pos", "strand", "len")
-    by_nm = hits.groupBy(*read, "nm").agg(F.count(F.lit(1)).alias("x0"), F.min(at).alias("hit"))
-    best = by_nm.groupBy(*read).agg(F.min(F.struct("nm", "x0", "hit")).alias("b"))
-    return best.select(*read, "b.hit.*", "b.nm", "b.x0")
+    return _choose(hits, ["sample", "name", "mate"], F.lit(1), F.struct("chrom", "pos", "strand", "len"))
+
+
+def best_placements(reads: DataFrame, sequences: DataFrame, max_mismatch: int = 2) -> DataFrame:
+    """Every read with its best hit; chrom, pos, strand, len, nm and x0 are null for a read without one.
+
+    The best hit is chosen per distinct text, from the number and the first place of each
+    distinct stretch; hits of single reads are never formed.
+    """
+    alike, places = _alike(reads, sequences, max_mismatch)
+    each = places.groupBy("rid").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("chrom", "pos")).alias("first"))
+    of_text = _choose(alike.join(each, "rid"), ["seq"], F.col("n"),
+                      F.struct("first.chrom", "first.pos", "strand", "len"))
+    return reads.select("sample", "name", "mate", F.upper("seq").alias("seq")).join(of_text, "seq", "left").drop("seq")
+
+
+def single_alignments(best: DataFrame) -> DataFrame:
+    """Alignment rows of unpaired reads from their best hits; a read without one is kept with flag 0x4."""
+    placed = F.col("pos").isNotNull()
+    flag = F.when(~placed, UNMAPPED).when(F.col("strand") == "-", REVERSE).otherwise(0)
+    return best.select(
+        "sample", F.col("name").alias("qname"), F.lit(1).alias("mate"), flag.alias("flag"), "chrom",
+        F.col("pos").alias("s"), (F.col("pos") + F.col("len")).alias("e"), "strand",
+        F.lit(0).cast("bigint").alias("tlen"), "nm", F.col("x0").cast("int").alias("x0"))
 
 
-def join_mates(hits1: DataFrame, hits2: DataFrame, smallest: int = 0, largest: int = 500) -> DataFrame:
+def join_mates(hits1: DataFrame, hits2: DataFrame, smallest: int = 0, largest: int = 500,
+               templates: DataFrame | None = None) -> DataFrame:
     """Alignment rows of both mates with flags and insert size.
 
     A proper pair lies on one chromosome, on opposite strands, the forward mate first,
     its outer ends within the range given. Of several the one with the fewest
-    mismatches is taken, then the first. A read in no proper pair keeps its best hit.
+    mismatches is taken, then the first. A read in no proper pair keeps its best hit;
+    ``x0`` is always the number of its best hits, also where the pair lies elsewhere. With
+    ``templates`` (sample, name) those without any hit are kept, unmapped on both sides.
     Candidates meet in a bin of the position, not in all positions of a name.
     """
     name = ["sample", "name"]
@@ -139,7 +170,10 @@ def join_mates(hits1: DataFrame, hits2: DataFrame, smallest: int = 0, largest: i
         return best_hits(h).select(*name, F.struct(
             "chrom", F.col("pos").alias("s"), (F.col("pos") + F.col("len")).alias("e"), "strand", "nm", "x0").alias(f"h{n}"))
 
-    both = best(hits1, 1).join(best(hits2, 2), name, "full").join(proper, name, "left")
+    both = best(hits1, 1).join(best(hits2, 2), name, "full")
+    if templates is not None:
+        both = templates.select(*name).distinct().join(both, name, "left")
+    both = both.join(proper, name, "left")
     p = F.col("p")
 
     def mate(n: int, other: int, bit: int) -> Column:

@@ -99,29 +99,34 @@ def motif_information(spark, sf):
     return mo.motif_information(v.seqs(spark, sf))
 
 
-# Reads of 20 bases cut from the sequences, with a base or two changed, every second one turned around.
+# Reads of 18 to 20 bases cut from the sequences, with a base or two changed, every second one turned around; every
+# ninth is of a letter that the reference does not hold.
 READS = """
 select sid, 'S' || (1 + sid % 3) as sample, 'r' || sid as name, mate, case when (sid + mate) % 2 = 0
-  then reverse(translate(raw, 'ACGT', 'TGCA')) else raw end as seq
-from (
+  then reverse(translate(cut, 'ACGT', 'TGCA')) else cut end as seq
+from (select sid, mate, case when sid % 9 = 4 then repeat('N', 20) else substr(raw, 1, 20 - sid % 3) end as cut from (
   select sid, mate, substr(f, 1, 5) || (case when sid % 5 = 0 then 'A' else substr(f, 6, 1) end) || substr(f, 7, 8)
     || (case when sid % 7 = 0 then 'C' else substr(f, 15, 1) end) || substr(f, 16) as raw
   from (select sid, mate, case when mate = 1 then substr(seq, 1 + sid % 3, 20) else substr(seq, 10 + sid % 4, 20) end as f
-        from seqs cross join (select unnest([1::bigint, 2]) as mate)))"""
+        from seqs cross join (select unnest([1::bigint, 2]) as mate))))"""
 HITS = """
-select sample, name, mate, chrom, pos, strand, 20::bigint as len, nm from (
-  select sample, name, mate, chrom, pos, strand,
-    cast(list_sum(list_transform(range(1, 21), lambda i: case when substr(q, i, 1) = substr(w, i, 1) then 0 else 1 end)) as bigint) as nm
+select sample, name, mate, chrom, pos, strand, len, nm from (
+  select sample, name, mate, chrom, pos, strand, len,
+    cast(list_sum(list_transform(range(1, len + 1), lambda i: case when substr(q, i, 1) = substr(w, i, 1) then 0 else 1 end)) as bigint) as nm
   from (
-    select r.*, win.* from ori r join win on substr(q, 1, 6) = substr(w, 1, 6)
-    union select r.*, win.* from ori r join win on substr(q, 7, 6) = substr(w, 7, 6)
-    union select r.*, win.* from ori r join win on substr(q, 13, 6) = substr(w, 13, 6)))
+    select r.*, win.chrom, win.pos, substr(w, 1, len) as w from ori r join win on substr(q, 1, 6) = substr(w, 1, 6) and len <= length(w)
+    union select r.*, win.chrom, win.pos, substr(w, 1, len) from ori r join win on substr(q, 7, 6) = substr(w, 7, 6) and len <= length(w)
+    union select r.*, win.chrom, win.pos, substr(w, 1, len) from ori r join win on substr(q, 13, 6) = substr(w, 13, 6) and len <= length(w)))
 where nm <= 2"""
 ORI = """
-select sample, name, mate, '+' as strand, seq as q from rd
-union all select sample, name, mate, '-', reverse(translate(seq, 'ACGT', 'TGCA')) from rd"""
+select sample, name, mate, '+' as strand, seq as q, length(seq) as len from rd
+union all select sample, name, mate, '-', reverse(translate(seq, 'ACGT', 'TGCA')), length(seq) from rd"""
 WIN = """
-select chrom, off + i as pos, substr(seq, i + 1, 20) as w from genome cross join (select unnest(range(0, 13)) as i)"""
+select chrom, off + i as pos, substr(seq, i + 1, 20) as w from genome cross join (select unnest(range(0, 15)) as i)"""
+BEST = """
+select * from (
+  select *, count(*) over (partition by name, mate, nm) as x0,
+    row_number() over (partition by name, mate order by nm, chrom, pos, strand) as rn from hits) where rn = 1"""
 PLACED = {"genome": GENOME, "rd": READS, "ori": ORI, "win": WIN}
 
 
@@ -133,6 +138,7 @@ def _reads(spark, sf):
     raw = F.concat(
         F.substring("f", 1, 5), F.when(k % 5 == 0, "A").otherwise(F.substring("f", 6, 1)), F.substring("f", 7, 8),
         F.when(k % 7 == 0, "C").otherwise(F.substring("f", 15, 1)), F.substring("f", 16, 20))
+    raw = F.when(k % 9 == 4, F.repeat(F.lit("N"), F.lit(20))).otherwise(F.substring(raw, F.lit(1), (F.lit(20) - k % 3).cast("int")))
     turned = F.when((k + m) % 2 == 0, F.reverse(F.translate(raw, "ACGT", "TGCA"))).otherwise(raw)
     return f.select(
         F.concat(F.lit("S"), (k % 3 + 1).cast("string")).alias("sample"), F.concat(F.lit("r"), k.cast("string")).alias("name"),
@@ -141,43 +147,50 @@ def _reads(spark, sf):
 
 @query(v.with_views("select * from hits", "seqs", **PLACED, hits=HITS))
 def place_reads(spark, sf):
-    return pl.place_reads(_reads(spark, sf), _genome(spark, sf), [20], 2)
+    return pl.place_reads(_reads(spark, sf), _genome(spark, sf), 2)
 
 
 @query(v.with_views("""
-select sample, name, mate, chrom, pos, strand, len, nm, x0 from (
+select r.sample, r.name, r.mate, chrom, pos, strand, len, nm, x0 from rd r left join (
   select *, count(*) over (partition by name, mate, nm) as x0,
-    row_number() over (partition by name, mate order by nm, chrom, pos, strand) as rn from hits)
-where rn = 1""", "seqs", **PLACED, hits=HITS))
+    row_number() over (partition by name, mate order by nm, chrom, pos, strand) as rn from hits) h
+on h.name = r.name and h.mate = r.mate and h.rn = 1""", "seqs", **PLACED, hits=HITS))
 def best_hits(spark, sf):
-    return pl.best_hits(pl.place_reads(_reads(spark, sf), _genome(spark, sf), [20], 2))
+    return pl.best_placements(_reads(spark, sf), _genome(spark, sf), 2)
+
+
+@query(v.with_views("""
+select r.sample, r.name as qname, 1::bigint as mate, case when b.name is null then 4::bigint when b.strand = '-' then 16 else 0 end as flag,
+  chrom, pos as s, pos + len as e, strand, 0::bigint as tlen, nm, x0
+from rd r left join best b on b.name = r.name and b.mate = 1 where r.mate = 1""", "seqs", **PLACED, hits=HITS, best=BEST))
+def single_alignments(spark, sf):
+    """Unpaired reads from text to alignment rows, unmapped ones kept."""
+    return pl.single_alignments(pl.best_placements(_reads(spark, sf).filter("mate = 1"), _genome(spark, sf), 2))
 
 
-BEST = """
-select * from (
-  select *, count(*) over (partition by name, mate, nm) as x0,
-    row_number() over (partition by name, mate order by nm, chrom, pos, strand) as rn from hits) where rn = 1"""
 PROPER = """
 select * from (
   select a.sample, a.name, a.chrom, a.pos as s1, b.pos as s2, a.strand as st1, b.strand as st2, a.nm as nm1, b.nm as nm2,
-    greatest(a.pos, b.pos) + 20 - least(a.pos, b.pos) as size,
+    a.len as len1, b.len as len2, greatest(a.pos + a.len, b.pos + b.len) - least(a.pos, b.pos) as size,
     row_number() over (partition by a.name order by a.nm + b.nm, a.chrom, a.pos, b.pos, a.strand) as rn
   from hits a join hits b on a.name = b.name and a.chrom = b.chrom and a.mate = 1 and b.mate = 2
-  where ((a.strand = '+' and b.strand = '-' and a.pos <= b.pos) or (a.strand = '-' and b.strand = '+' and b.pos <= a.pos))
-    and greatest(a.pos, b.pos) + 20 - least(a.pos, b.pos) <= 40) where rn = 1"""
+  where ((a.strand = '+' and b.strand = '-' and a.pos <= b.pos and a.pos + a.len <= b.pos + b.len)
+      or (a.strand = '-' and b.strand = '+' and b.pos <= a.pos and b.pos + b.len <= a.pos + a.len))
+    and greatest(a.pos + a.len, b.pos + b.len) - least(a.pos, b.pos) <= 40) where rn = 1"""
 MATES = """
 select sample, qname, mate, 1::bigint + case mate when 1 then 64 else 128 end + case when size is not null then 2 else 0 end
     + case when os is null then 4 else 0 end + case when fs is null then 8 else 0 end
     + case when ost = '-' then 16 else 0 end + case when fst = '-' then 32 else 0 end as flag,
-  chrom, os as s, os + 20 as e, ost as strand, coalesce(case when ost = '-' then -size else size end, 0) as tlen, nm, x0
+  chrom, os as s, os + olen as e, ost as strand, coalesce(case when ost = '-' then -size else size end, 0) as tlen, nm, x0
 from (
   select n.sample, n.name as qname, n.mate, coalesce(p.chrom, o.chrom) as chrom, size, o.x0,
     case when p.name is null then o.pos when n.mate = 1 then s1 else s2 end as os,
     case when p.name is null then f.pos when n.mate = 1 then s2 else s1 end as fs,
     case when p.name is null then o.strand when n.mate = 1 then st1 else st2 end as ost,
     case when p.name is null then f.strand when n.mate = 1 then st2 else st1 end as fst,
-    case when p.name is null then o.nm when n.mate = 1 then nm1 else nm2 end as nm
-  from (select distinct sample, name, unnest([1::bigint, 2]) as mate from hits) n
+    case when p.name is null then o.nm when n.mate = 1 then nm1 else nm2 end as nm,
+    case when p.name is null then o.len when n.mate = 1 then len1 else len2 end as olen
+  from (select distinct sample, name, unnest([1::bigint, 2]) as mate from rd) n
   left join best o on o.name = n.name and o.mate = n.mate
   left join best f on f.name = n.name and f.mate <> n.mate
   left join proper p on p.name = n.name)"""
@@ -187,5 +200,6 @@ from (
 def join_mates(spark, sf):
     from ..session import stage
 
-    hits = stage(pl.place_reads(_reads(spark, sf), _genome(spark, sf), [20], 2), "hits")
-    return pl.join_mates(hits.filter("mate = 1"), hits.filter("mate = 2"), 0, 40)
+    reads = _reads(spark, sf)
+    hits = stage(pl.place_reads(reads, _genome(spark, sf), 2), "hits")
+    return pl.join_mates(hits.filter("mate = 1"), hits.filter("mate = 2"), 0, 40, reads)
