@@ -9,17 +9,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import arith as A
 from ..functions.arith import idiv
 from ..functions.tiling import TILE, depth_runs, join_cut_runs, join_runs, tile_range
-from .intervals import exclude_overlaps
+from .intervals import exclude_overlaps, place_keys
 
 TRACK = ("sample", "chrom")
 
 
-def extend_reads(df: DataFrame, length: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
+def extend_reads(df: DataFrame, length: int | None = None, sizes: DataFrame | None = None,
+                 unpaired: int | None = None) -> DataFrame:
     """Replaces s, e by the whole fragment of a paired read, or by ``length`` bases from the 5' end.
 
-    ``sizes`` (chrom, size) clips at the chromosome end.
+    Reads of both kinds may be mixed: with ``unpaired`` the length is that of reads without
+    an insert size. Without any length such a read is its own fragment. ``sizes``
+    (chrom, size) clips at the chromosome end.
     """
-    reach = F.abs("tlen") if length is None else F.lit(length).cast("bigint")
+    if length is not None:
+        reach = F.lit(length).cast("bigint")
+    else:
+        alone = F.col("e") - F.col("s") if unpaired is None else F.lit(unpaired).cast("bigint")
+        whole = F.coalesce(F.col("tlen"), F.lit(0)) != 0
+        if "flag" in df.columns:
+            whole = whole & A.has_any("flag", A.PAIRED)
+        reach = F.when(whole, F.abs("tlen")).otherwise(alone)
     forward = F.col("strand") == "+"
     s = F.when(forward, F.col("s")).otherwise(F.greatest(F.col("e") - reach, F.lit(0)))
     e = F.when(forward, F.col("s") + reach).otherwise(F.col("e"))
@@ -67,7 +77,7 @@ def normalise_cpm(bins: DataFrame, totals: DataFrame, value: str = "n") -> DataF
 
 def coverage_excluding(df: DataFrame, excluded: DataFrame | None = None, width: int = 25) -> DataFrame:
     """CPM track of fragments; those in excluded regions go first, and only if a table is given."""
-    used = df if excluded is None else exclude_overlaps(df, excluded)
+    used = df if excluded is None else exclude_overlaps(df, excluded, place_keys(df, excluded))
     return normalise_cpm(bin_coverage(used, width), sample_totals(used))
 
 

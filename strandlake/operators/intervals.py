@@ -112,6 +112,11 @@ def _reaches() -> Column:
     return F.col("b_s") < F.greatest("e", F.col("s") + 1)  # a point counts as one base
 
 
+def place_keys(a: DataFrame, b: DataFrame) -> list[str]:
+    """Chromosome, and genome where both tables name it: samples of several genomes meet their own regions only."""
+    return ["genome", "chrom"] if "genome" in a.columns and "genome" in b.columns else ["chrom"]
+
+
 def exclude_overlaps(a: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM) -> DataFrame:
     """Rows of a that share no base with any interval of b; an empty b excludes nothing."""
     return _first_reached(a, b, keys, "left_anti")
@@ -134,7 +139,7 @@ def points_in(points: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM) -> D
 
 def exclude_peaks_and_summits(peaks: DataFrame, summits: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both filtered on their own: a peak may go while its summit, outside the region, stays."""
-    return exclude_overlaps(peaks, b), exclude_overlaps(summits, b)
+    return exclude_overlaps(peaks, b, place_keys(peaks, b)), exclude_overlaps(summits, b, place_keys(summits, b))
 
 
 def overlap_counts(a: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM, name: str = "n") -> DataFrame:

@@ -16,14 +16,13 @@ from ..functions.ranking import running_total
 from ..functions.stats import poisson_score
 from ..functions.tiling import TILE, depth_runs, join_runs, tile_range, with_halo
 from ..session import stage
-from ..sources.genome import chromosome_ordinal
+from ..sources.genome import chromosome_ordinal, genome_constants
 from .coverage import depth
 from .intervals import keep_overlaps, overlap_join
 
 TRACK = ["sample", "chrom"]
 BIN = 25
 SEARCH = 1 << 13  # bins per tile of the local rate
-SALTS = 8
 
 # fixed values: effective genome size by size code
 EFFECTIVE_SIZE = {"hs": 2.7e9, "mm": 1.87e9}
@@ -38,13 +37,24 @@ def pileup_bins(fragments: DataFrame, width: int = BIN) -> DataFrame:
     )
 
 
-def background(bins: DataFrame, genome_size: float) -> DataFrame:
-    """One row per sample, from its pileup bins: fragment bases, and their rate over the effective genome."""
-    return (
-        bins.groupBy("sample")
-        .agg(F.sum("bases").alias("total_bases"))
-        .withColumn("lam_bg", F.col("total_bases") / F.lit(float(genome_size)))
-    )
+def effective_sizes(samplesheet: DataFrame) -> DataFrame:
+    """(sample, genome_size) by the size code of each sample's genome."""
+    codes = genome_constants(samplesheet.sparkSession).select("genome", "size_code").distinct()
+    size = F.create_map(*[F.lit(x) for pair in EFFECTIVE_SIZE.items() for x in pair])
+    return samplesheet.join(codes, "genome").select("sample", size[F.col("size_code")].alias("genome_size"))
+
+
+def background(bins: DataFrame, genome_size: float | DataFrame) -> DataFrame:
+    """One row per sample, from its pileup bins: fragment bases, and their rate over the effective genome.
+
+    ``genome_size`` is one number, or a table (sample, genome_size).
+    """
+    totals = bins.groupBy("sample").agg(F.sum("bases").alias("total_bases"))
+    if isinstance(genome_size, DataFrame):
+        totals = totals.join(genome_size, "sample")
+    else:
+        totals = totals.withColumn("genome_size", F.lit(float(genome_size)))
+    return totals.withColumn("lam_bg", F.col("total_bases") / F.col("genome_size")).drop("genome_size")
 
 
 def local_lambda(
@@ -108,34 +118,30 @@ def bh_scores(scores: DataFrame) -> DataFrame:
 
 def score_values(bins: DataFrame, width: int = BIN) -> DataFrame:
     """(sample, k, lam, weight, score): -log10 p of every distinct height and rate; 0 where k is not above lam."""
-    k, lam = F.col("k"), F.col("lam")
-    score = F.when(k > lam, F.greatest(poisson_score(k, lam), F.lit(0.0))).otherwise(0.0)
     values = bins.groupBy("sample", "k", "lam").agg((F.count(F.lit(1)) * width).alias("weight"))
-    return values.withColumn("score", score)
+    return values.withColumn("score", p_score("k", "lam"))
+
+
+def p_score(k: str, lam: str) -> Column:
+    """-log10 p of a height above its rate; 0 where it is not above."""
+    return F.when(F.col(k) > F.col(lam), F.greatest(poisson_score(F.col(k), F.col(lam)), F.lit(0.0))).otherwise(0.0)
 
 
 def score_bins(bins: DataFrame, width: int = BIN) -> DataFrame:
     """Adds ``pscore`` and ``qscore`` (-log10 p and q).
 
-    Both depend on (sample, k, lam) alone and are worked out once per distinct value.
-    Bins and values are each read several times, so they are written first. Most bins
-    share a few values (one fragment over the background rate), so the values are
-    joined back under a salt.
+    Each bin is scored where it lies and written, as the scores are read twice: summed by
+    value for the q-values, and joined with them. The q-values have unique keys, so a
+    common score (one fragment over the background rate) is a skewed side that
+    adaptive execution splits.
     """
-    bins = stage(bins, "bins")
-    values = stage(score_values(bins, width), "scores")
-    q = bh_scores(values.groupBy("sample", "score").agg(F.sum("weight").alias("weight")))
-    scored = values.join(q.select("sample", "score", "qscore"), ["sample", "score"]).select(
-        "sample", "k", "lam", F.col("score").alias("pscore"), "qscore",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"),
-    )
-    salted = bins.withColumn("salt", F.col("bin") % SALTS)
-    return salted.join(scored, ["sample", "k", "lam", "salt"]).select(
-        *TRACK, "bin", "k", "bases", "lam", "pscore", "qscore"
-    )
+    scored = stage(bins.withColumn("pscore", p_score("k", "lam")), "bins")
+    counts = scored.groupBy("sample", F.col("pscore").alias("score")).agg((F.count(F.lit(1)) * width).alias("weight"))
+    q = bh_scores(counts).select("sample", F.col("score").alias("pscore"), "qscore")
+    return scored.join(q, ["sample", "pscore"]).select(*TRACK, "bin", "k", "bases", "lam", "pscore", "qscore")
 
 
-def scored_pileup(fragments: DataFrame, genome_size: float, windows: Sequence[int] = (10000,), width: int = BIN,
+def scored_pileup(fragments: DataFrame, genome_size: float | DataFrame, windows: Sequence[int] = (10000,), width: int = BIN,
                   control: DataFrame | None = None) -> DataFrame:
     """Pileup, rates and scores of all samples at once; the fragments are passed once."""
     bins = stage(pileup_bins(fragments, width), "pileup")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import arith as A
 from ..functions.tiling import depth_runs
 from ..sources.genome import genome_constants
-from .intervals import exclude_overlaps, flag_overlaps, overlap_counts, overlap_join
+from .intervals import exclude_overlaps, flag_overlaps, overlap_counts, overlap_join, place_keys
 
 TRACK = ["sample", "chrom"]
 
@@ -57,10 +57,14 @@ def ranked_peaks(counted: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_split(df: DataFrame, peaks: DataFrame) -> DataFrame:
-    """Reads and duplicates inside and outside of peaks."""
+def duplicate_split(df: DataFrame, peaks: DataFrame, paramsets: Sequence[str] = ()) -> DataFrame:
+    """Reads and duplicates inside and outside of peaks; with ``paramsets`` (of the peaks) for each of them."""
     hit, dup = F.col("hit"), A.has_any("flag", A.DUPLICATE)
-    return flag_overlaps(df, peaks, TRACK).groupBy("sample").agg(
+    keys: list[str] = []
+    if paramsets:
+        keys = ["paramset"]
+        df = df.withColumn("paramset", F.explode(F.array(*map(F.lit, paramsets))))
+    return flag_overlaps(df, peaks, [*keys, *TRACK]).groupBy(*keys, "sample").agg(
         F.count_if(hit).alias("reads_in"),
         F.count_if(hit & dup).alias("duplicates_in"),
         F.count_if(~hit).alias("reads_out"),
@@ -137,7 +141,7 @@ def chromosome_classes(df: DataFrame, organism: str) -> DataFrame:
 
 
 def exclude_regions(df: DataFrame, excluded: DataFrame) -> DataFrame:
-    return exclude_overlaps(df, excluded)
+    return exclude_overlaps(df, excluded, place_keys(df, excluded))
 
 
 def long_metrics(df: DataFrame, keys: Sequence[str] = ("sample",)) -> DataFrame:
@@ -147,5 +151,8 @@ def long_metrics(df: DataFrame, keys: Sequence[str] = ("sample",)) -> DataFrame:
 
 
 def metrics_rollup(metrics: DataFrame, samples: Sequence[str] | None = None) -> DataFrame:
-    """One row per (paramset, metric), one column per sample."""
-    return metrics.groupBy("paramset", "metric").pivot("sample", list(samples) if samples else None).agg(F.first("value"))
+    """One row per (paramset, metric): a column for each of the given samples, or a map from sample to value."""
+    rows = metrics.groupBy("paramset", "metric")
+    if samples:
+        return rows.pivot("sample", list(samples)).agg(F.first("value"))
+    return rows.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("sample", "value")))).alias("values"))

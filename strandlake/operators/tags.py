@@ -73,6 +73,14 @@ def fragment_length(correlation: DataFrame, minimum: int = 50) -> DataFrame:
     )
 
 
+def centre_tags(tags: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Tags moved by half the fragment length of their sample (sample, fragment_length) towards the fragment's middle."""
+    half = F.coalesce(idiv("fragment_length", 2), F.lit(0).cast("bigint"))
+    p = F.when(F.col("strand") == "-", F.greatest(F.col("p") - half, F.lit(0))).otherwise(F.col("p") + half)
+    return tags.join(lengths, "sample", "left").select(*TRACK, p.alias("p"), "strand", "n").groupBy(
+        *TRACK, "p", "strand").agg(F.sum("n").alias("n"))
+
+
 def _positions(tags: DataFrame, shift: int = 0) -> DataFrame:
     p = F.when(F.col("strand") == "-", F.greatest(F.col("p") - shift, F.lit(0))).otherwise(F.col("p") + shift)
     return tags.groupBy(*TRACK, p.alias("p")).agg(F.sum("n").alias("n"))
@@ -163,19 +171,29 @@ def fdr_cutoff(candidates: DataFrame, tags: DataFrame, genome_size: float, width
     )
 
 
-def peak_rows(peaks: DataFrame) -> DataFrame:
+def peak_rows(peaks: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Rows of a peak report: id, 1-based position, strand, tag count."""
     return peaks.select(
-        "sample", F.concat_ws("-", "chrom", (F.col("s") + 1).cast("string"), F.col("e").cast("string")).alias("id"),
+        *keys, "sample", F.concat_ws("-", "chrom", (F.col("s") + 1).cast("string"), F.col("e").cast("string")).alias("id"),
         "chrom", (F.col("s") + 1).alias("start"), F.col("e").alias("end"), F.lit("+").alias("strand"),
         F.col("tags").alias("score"),
     )
 
 
-def report_header(peaks: DataFrame, tags: DataFrame) -> DataFrame:
-    """Header lines of a peak report, four facts per sample."""
-    found = peaks.groupBy("sample").agg(F.count(F.lit(1)).alias("peaks"), F.sum("tags").alias("in_peaks"))
-    facts = tags.groupBy("sample").agg(F.sum("n").alias("total")).join(found, "sample", "left")
+def filtered_header(header: DataFrame, rows: DataFrame, keys: Sequence[str] = (), line: int = 4) -> DataFrame:
+    """Header lines with the fourth replaced by the number of rows that are left, per sample (and keys)."""
+    by = [*keys, "sample"]
+    left = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_left"))
+    # fixed value: the text of the line
+    text = F.concat(F.lit("# peaks remaining after blacklist filtering "), F.coalesce("_left", F.lit(0)).cast("string"), F.lit(" "))
+    return header.join(left, by, "left").select(
+        *by, "line_no", F.when(F.col("line_no") == line, text).otherwise(F.col("text")).alias("text"))
+
+
+def report_header(peaks: DataFrame, tags: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Header lines of a peak report, four facts per sample (and keys; those without a peak have no header then)."""
+    found = peaks.groupBy(*keys, "sample").agg(F.count(F.lit(1)).alias("peaks"), F.sum("tags").alias("in_peaks"))
+    facts = tags.groupBy("sample").agg(F.sum("n").alias("total")).join(found, "sample", "inner" if keys else "left")
 
     def num(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0)).cast("string")
@@ -186,6 +204,6 @@ def report_header(peaks: DataFrame, tags: DataFrame) -> DataFrame:
         F.concat(F.lit("# tags in peaks = "), num("in_peaks")),
         F.concat(F.lit("# total peaks = "), num("peaks")),
     ]
-    return facts.select("sample", F.posexplode(F.array(*lines)).alias("i", "text")).select(
-        "sample", (F.col("i") + 1).alias("line_no"), "text"
+    return facts.select(*keys, "sample", F.posexplode(F.array(*lines)).alias("i", "text")).select(
+        *keys, "sample", (F.col("i") + 1).alias("line_no"), "text"
     )

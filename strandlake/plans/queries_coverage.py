@@ -102,3 +102,46 @@ from bins cross join (select unnest([4::bigint, 16, 64]) as factor)
 group by sample, chrom, factor, bin // factor""", "fragments", bins=BINS))
 def zoom(spark, sf):
     return cov.zoom(cov.bin_coverage(v.fragments(spark, sf)), [4, 16, 64], "n")
+
+
+SINGLE = """
+select sample, chrom, case when strand = '+' then s else greatest(e - 150, 0) end as s,
+  case when strand = '+' then s + 150 else e end as e
+from marked where chrom <> 'chrM' and mflag & 3844 = 0 and mate = 1"""
+
+
+@query(v.with_views("select b.sample, chrom, bin, n, round(n * 1e6 / total, 4) as cpm from bins b "
+                    "join totals t on b.sample = t.sample", "marked", "excluded", fragments=SINGLE, outside=OUTSIDE,
+                    bins=BINS.replace("from fragments", "from outside"),
+                    totals=TOTALS.replace("from fragments", "from outside")))
+def clean_single_track(spark, sf):
+    """Single reads extended to 150 bases, pruned and outside the excluded regions."""
+    from ..functions import arith as A
+    from .trunk import prune_chip_single, track
+
+    pruned = prune_chip_single(v.alignments(spark, sf), "mm10").withColumn(
+        "flag", F.col("flag").bitwiseAND(F.lit(~(A.PAIRED | A.PROPER | A.MATE_UNMAPPED))))
+    return track(pruned, v.excluded(spark, sf), length=150)
+
+
+GENOMES = """
+select *, case sample when 'S1' then 'hg19' else 'mm10' end as genome from marked
+where chrom <> 'chrM' and mflag & 3 = 3 and mflag & 3340 = 0 and mate = 1"""
+
+
+@query(v.with_views("select b.sample, chrom, bin, n, round(n * 1e6 / total, 4) as cpm from bins b "
+                    "join totals t on b.sample = t.sample", "marked", "excluded", of_genome=GENOMES,
+                    outside="""
+select sample, chrom, fs as s, fe as e from of_genome f where not exists (
+  select 1 from excluded x where x.chrom = f.chrom and x.s < f.fe and f.fs < x.e
+    and (x.bid % 2 = 0 and f.genome = 'hg19' or x.bid % 2 = 1 and f.genome = 'mm10'))""",
+                    bins=BINS.replace("from fragments", "from outside"),
+                    totals=TOTALS.replace("from fragments", "from outside")))
+def clean_track_two_genomes(spark, sf):
+    """Samples of two genomes, each against the excluded regions of its own."""
+    from .trunk import prune_atac, track, with_genomes
+
+    sheet = v.reads(spark, sf).select("sample").distinct().select(
+        "sample", F.when(F.col("sample") == "S1", "hg19").otherwise("mm10").alias("genome"))
+    own = v.excluded(spark, sf).withColumn("genome", F.when(F.col("bid") % 2 == 0, "hg19").otherwise("mm10"))
+    return track(prune_atac(with_genomes(v.alignments(spark, sf), sheet)), own)

@@ -114,3 +114,19 @@ def metrics_rollup(spark, sf):
     counts = qc.read_counts(v.reads(spark, sf)).select("sample", "total", "duplicate")
     long = qc.long_metrics(counts).withColumn("paramset", F.explode(F.array(F.lit("a"), F.lit("b"))))
     return qc.metrics_rollup(long, ["S1", "S2", "S3"])
+
+
+@query(v.with_views("""
+select ps as paramset, sample, count(*) filter (where hit) as reads_in, count(*) filter (where hit and mflag & 1024 <> 0) as duplicates_in,
+  count(*) filter (where not hit) as reads_out, count(*) filter (where not hit and mflag & 1024 <> 0) as duplicates_out
+from (
+  select r.sample, r.mflag, p.ps, exists (
+    select 1 from peaks k where k.sample = r.sample and k.chrom = r.chrom and k.s < r.e and r.s < k.e
+      and (p.ps = 'all' or k.e - k.s > 300)) as hit
+  from marked r cross join (select unnest(['all', 'wide']) as ps) p)
+group by ps, sample""", "peaks", "marked"))
+def duplicate_split_paramsets(spark, sf):
+    """Two parameter sets whose peaks differ, each measured for itself."""
+    p = v.peaks(spark, sf)
+    both = p.withColumn("paramset", F.lit("all")).unionByName(p.filter("e - s > 300").withColumn("paramset", F.lit("wide")))
+    return qc.duplicate_split(al.mark_duplicates(v.alignments(spark, sf)), both, ["all", "wide"])

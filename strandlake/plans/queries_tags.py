@@ -143,6 +143,75 @@ def peak_report_header(spark, sf):
     return tg.report_header(tg.find_peaks_factor(tags, 200, 400, 8), tags)
 
 
+TWO_SETS = """
+select 'loose' as paramset, sample, chrom, s, e, tags from ({loose}) union all
+select 'tight', sample, chrom, s, e, tags from ({tight})"""
+
+
+@query(v.with_views("select * from both_sets", "reads", **STEPS, found=FACTOR.format(t=8), strong=FACTOR.format(t=12),
+                    both_sets=TWO_SETS.format(loose=CONTROLLED.format(fold=1.0),
+                                              tight=CONTROLLED.format(fold=1.5).replace("from found", "from strong"))))
+def tag_peaks_paramsets(spark, sf):
+    """Two settings of the same finder, each filtered against the control."""
+    from .trunk import tag_peaks
+
+    tags = stage(_tags(spark, sf), "tags")
+    return tag_peaks(tags, _sheet(spark, sf), {
+        "loose": {"fold": 1.0, "width": 200, "min_dist": 400, "threshold": 8},
+        "tight": {"fold": 1.5, "width": 200, "min_dist": 400, "threshold": 12}})
+
+
+def _sheet(spark, sf):
+    """S3 is the control of the other samples."""
+    return v.reads(spark, sf).select("sample").distinct().select(
+        "sample", F.lit("mm10").alias("genome"), F.when(F.col("sample") != "S3", F.lit("S3")).alias("input"))
+
+
+LEFT = """
+select * from both_sets k where not exists (
+  select 1 from excluded x where x.chrom = k.chrom and x.s < k.e and k.s < x.e)"""
+
+
+@query(v.with_views("""
+select paramset, sample, line_no, case line_no when 1 then '# sample = ' || sample when 2 then '# total tags = ' || total
+  when 3 then '# tags in peaks = ' || inside
+  else '# peaks remaining after blacklist filtering ' || (
+    select count(*) from clean c where c.paramset = h.paramset and c.sample = h.sample) || ' ' end as text
+from (
+  select paramset, f.sample, total, inside, unnest([1::bigint, 2, 3, 4]) as line_no
+  from (select paramset, sample, cast(sum(tags) as bigint) as inside from both_sets group by paramset, sample) f
+  join (select sample, cast(sum(n) as bigint) as total from tags group by sample) t on t.sample = f.sample) h
+union all
+select paramset, sample, 0, chrom || '-' || (s + 1) || '-' || e || ' ' || chrom || ' ' || (s + 1) || ' ' || e || ' + ' || tags || '.0' from clean""",
+                    "reads", "excluded", **STEPS, found=FACTOR.format(t=8), strong=FACTOR.format(t=12),
+                    both_sets=TWO_SETS.format(loose=CONTROLLED.format(fold=1.0),
+                                              tight=CONTROLLED.format(fold=1.5).replace("from found", "from strong")), clean=LEFT))
+def chip_report(spark, sf):
+    """Reports of two parameter sets, written with their headers and read back."""
+    from .. import sinks
+    from ..session import scratch_path
+    from ..sources.genomic import read_hpeaks
+    from .trunk import outside, tag_peaks
+
+    tags = stage(_tags(spark, sf), "tags")
+    peaks = stage(tag_peaks(tags, _sheet(spark, sf), {
+        "loose": {"fold": 1.0, "width": 200, "min_dist": 400, "threshold": 8},
+        "tight": {"fold": 1.5, "width": 200, "min_dist": 400, "threshold": 12}}), "peaks")
+    rows = stage(outside(tg.peak_rows(peaks, ["paramset"]), v.excluded(spark, sf), ["paramset", "sample"]), "rows")
+    header = tg.filtered_header(tg.report_header(peaks, tags, ["paramset"]), rows, ["paramset"])
+    label = F.concat_ws(".", "paramset", "sample").alias("sample")
+    path = scratch_path(spark, "report")
+    sinks.write_peak_report(header.select(label, "line_no", "text"),
+                            rows.select(label, "id", "chrom", "start", "end", "strand", "score"), path)
+    head, body = read_hpeaks(spark, path)
+    at = F.regexp_extract("path", r"/sample=([^/]+)/", 1)
+    text = F.concat_ws(" ", "id", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "strand", F.col("score").cast("string"))
+    lines = head.select(at.alias("label"), "line_no", "text").unionByName(
+        body.select(F.col("sample").alias("label"), F.lit(0).cast("bigint").alias("line_no"), text.alias("text")))
+    return lines.select(F.substring_index("label", ".", 1).alias("paramset"), F.substring_index("label", ".", -1).alias("sample"),
+                        "line_no", "text")
+
+
 @query(v.with_views("""
 select sample, chrom || '-' || (s + 1) || '-' || e as id, chrom, s + 1 as start, e as "end", '+' as strand, tags as score
 from kept k where not exists (

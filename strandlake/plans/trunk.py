@@ -10,99 +10,180 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import alignments as al, coverage as cov, manifest as mf, peaks as pk, qc, tags as tg
-from ..operators.intervals import exclude_overlaps, exclude_peaks_and_summits, keep_by_id, peaks_to_bed
+from ..operators import alignments as al, coverage as cov, manifest as mf, motifs as mo, peaks as pk, qc, tags as tg
+from ..operators.intervals import exclude_overlaps, exclude_peaks_and_summits, keep_by_id, peaks_to_bed, place_keys
 from ..session import stage
 
 TRACK = ["sample", "chrom"]
 
 
-def prune_atac(alignments: DataFrame, genome: str) -> DataFrame:
-    """The chromosome filter goes first, where it reaches the scan: copies share their chromosome."""
+def with_genomes(alignments: DataFrame, samplesheet: DataFrame) -> DataFrame:
+    """Adds each sample's genome; pruning, exclusion and point features then go by genome and chromosome."""
+    return alignments.join(samplesheet.select("sample", "genome").distinct(), "sample")
+
+
+def prune_atac(alignments: DataFrame, genome: str | None = None) -> DataFrame:
+    """The chromosome filter goes first, where it reaches the scan: copies share their chromosome.
+
+    Without ``genome`` the alignments name it themselves (``with_genomes``).
+    """
     marked = al.mark_duplicates(al.keep_chromosomes(alignments, genome))
     return al.filter_flags(marked, *al.PRUNE_ATAC)
 
 
-def prune_chip_paired(alignments: DataFrame, genome: str, threshold: int = 2, mode: str = "both") -> DataFrame:
+def prune_chip_paired(alignments: DataFrame, genome: str | None = None, threshold: int = 2, mode: str = "both") -> DataFrame:
     marked = al.mark_duplicates(al.keep_chromosomes(alignments, genome))
     return al.x0_pair_filter(al.filter_flags(marked, *al.PRUNE_CHIP_PAIRED), threshold, mode)
 
 
-def prune_chip_single(alignments: DataFrame, genome: str) -> DataFrame:
+def prune_chip_single(alignments: DataFrame, genome: str | None = None) -> DataFrame:
     marked = al.mark_duplicates(al.keep_chromosomes(alignments, genome))
     return al.filter_flags(marked, *al.PRUNE_CHIP_SINGLE)
 
 
-def whole_fragments(pruned: DataFrame) -> DataFrame:
-    return cov.fragments(cov.extend_reads(pruned)).select(*TRACK, "s", "e")
+def whole_fragments(pruned: DataFrame, length: int | None = None) -> DataFrame:
+    """Fragments of pairs; ``length`` is that of unpaired reads, which may stand beside pairs."""
+    genome = [c for c in ("genome",) if c in pruned.columns]
+    return cov.fragments(cov.extend_reads(pruned, unpaired=length)).select(*TRACK, "s", "e", *genome)
 
 
-def track(pruned: DataFrame, excluded: DataFrame | None = None, width: int = 25) -> DataFrame:
+def track(pruned: DataFrame, excluded: DataFrame | None = None, width: int = 25, length: int | None = None) -> DataFrame:
     """CPM of whole fragments per bin, outside the excluded regions.
 
     The fragments are read twice, for the bins and for the totals, so they are staged.
     """
-    used = whole_fragments(pruned)
+    used = whole_fragments(pruned, length)
     if excluded is not None:
-        used = exclude_overlaps(used, excluded)
+        used = exclude_overlaps(used, excluded, place_keys(used, excluded))
     return cov.coverage_excluding(stage(used, "fragments"), width=width)
 
 
-def atac_peaks(fragments: DataFrame, genome_size: float, paramsets: Mapping[str, Mapping[str, float]],
+def atac_peaks(fragments: DataFrame, genome_size: float | DataFrame, paramsets: Mapping[str, Mapping[str, float]],
                excluded: DataFrame) -> dict[str, DataFrame]:
     """Peaks under every parameter set: all of them, and peaks and summits outside the excluded regions.
 
-    The pileup is scored once and cut once per set.
+    The pileup is scored once and cut once per set. ``genome_size`` may be a table (sample, genome_size).
     """
     scored = stage(pk.scored_pileup(fragments, genome_size), "scored")
     found = stage(pk.summits(pk.sweep(scored, paramsets), fragments), "peaks")
     table = stage(pk.narrowpeak(found, scored), "narrowpeak")
+    if "genome" in fragments.columns:
+        table = table.join(fragments.select("sample", "genome").distinct(), "sample")
     tops = table.select(
         "paramset", *TRACK, (F.col("s") + F.col("offset")).alias("s"),
-        (F.col("s") + F.col("offset") + 1).alias("e"), "name",
+        (F.col("s") + F.col("offset") + 1).alias("e"), "name", *[c for c in ("genome",) if c in table.columns],
     )
     kept, kept_tops = exclude_peaks_and_summits(table, tops, excluded)
     return {"all": table, "peaks": kept, "summits": kept_tops}
 
 
-def atac_study(alignments: DataFrame, genome: str, genome_size: float, excluded: DataFrame, tss: DataFrame,
-               paramsets: Mapping[str, Mapping[str, float]]) -> dict[str, DataFrame]:
-    """Track, peaks and metrics. Metrics see marked but unpruned alignments and unfiltered peaks."""
+def atac_study(alignments: DataFrame, genome: str | None, genome_size: float | DataFrame, excluded: DataFrame, tss: DataFrame,
+               paramsets: Mapping[str, Mapping[str, float]], clean_track: bool = False) -> dict[str, DataFrame]:
+    """Track, peaks and metrics. Metrics see marked but unpruned alignments and unfiltered peaks of each parameter set.
+
+    Without ``genome`` the samples' own are used: the alignments carry the column, and so
+    may the tables of excluded regions and points. ``clean_track`` takes fragments in excluded
+    regions out of the track.
+    """
     marked = stage(al.mark_duplicates(alignments), "marked")
     pruned = al.filter_flags(al.keep_chromosomes(marked, genome), *al.PRUNE_ATAC)
     fragments = stage(whole_fragments(pruned), "fragments")
     peaks = atac_peaks(fragments, genome_size, paramsets, excluded)
     seen = qc.exclude_regions(marked, excluded)
-    regions = peaks["all"].select(*TRACK, "s", "e")
+    regions = peaks["all"].select("paramset", *TRACK, "s", "e")
     enrichment = qc.tss_enrichment(qc.exclude_regions(fragments, excluded), tss)
-    counts = qc.read_counts(marked)
     metrics = (
-        counts.join(qc.duplicate_split(seen, regions), "sample", "left")
+        qc.duplicate_split(seen, regions, list(paramsets))
+        .join(qc.read_counts(marked), "sample", "right")
         .join(qc.tss_score(enrichment), "sample", "left")
     )
     return {
         "duplicates": al.duplicate_metrics(marked),
-        "track": cov.coverage_excluding(fragments),
+        "track": cov.coverage_excluding(fragments, excluded if clean_track else None),
         **peaks,
         "lengths": qc.fragment_lengths(marked),
         "metrics": metrics,
+        "rollup": qc.metrics_rollup(qc.long_metrics(metrics, ("paramset", "sample"))),
     }
 
 
-def chip_peaks(pruned: DataFrame, samplesheet: DataFrame, excluded: DataFrame, style: str = "factor",
-               fold: float = 4.0, **settings: int) -> DataFrame:
-    """Peaks of every sample with a control, outside the excluded regions.
+def tag_peaks(tags: DataFrame, samplesheet: DataFrame, paramsets: Mapping[str, Mapping[str, object]]) -> DataFrame:
+    """Peaks of every sample with a control under every parameter set.
 
-    ``style`` is ``factor`` (fixed width) or ``histone`` (variable width). Paired and
-    single reads mix freely: a tag is a 5' end.
+    A set holds ``style`` (``factor``: fixed width, ``histone``: variable width), ``fold``
+    and the settings of that finder. Paired and single reads mix freely: a tag is a 5' end.
     """
-    find = {"factor": tg.find_peaks_factor, "histone": tg.find_peaks_region}[style]
-    tags = stage(tg.tag_directory(pruned), "tags")
+    finders = {"factor": tg.find_peaks_factor, "histone": tg.find_peaks_region}
     pairs = mf.pair_controls(samplesheet).select("sample", "control")
     treated = tags.join(pairs.select("sample").distinct(), "sample", "left_semi")
     against = mf.label_controls(tags, pairs)
-    peaks = tg.control_filter(find(treated, **settings), treated, against, fold)
-    rows = stage(tg.peak_rows(peaks), "hpeaks")
-    named = rows.withColumn("id", F.concat_ws("|", "sample", "id"))
-    kept = keep_by_id(named, exclude_overlaps(peaks_to_bed(named), excluded))
+    found = None
+    for name, settings in paramsets.items():
+        rest = {k: v for k, v in settings.items() if k not in ("style", "fold")}
+        peaks = finders[str(settings.get("style", "factor"))](treated, **rest)
+        kept = tg.control_filter(peaks, treated, against, float(settings.get("fold", 4.0)))
+        part = kept.select(F.lit(name).alias("paramset"), *TRACK, "s", "e", "tags")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        raise ValueError("no parameter sets given")
+    return found
+
+
+def outside(rows: DataFrame, excluded: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a peak report whose BED line survives the exclusion, chosen by id."""
+    named = rows.withColumn("id", F.concat_ws("|", *keys, "id"))
+    bed = peaks_to_bed(named)
+    if "genome" in named.columns:
+        bed = bed.join(named.select(F.col("id").alias("name"), "genome").distinct(), "name")
+    kept = keep_by_id(named, exclude_overlaps(bed, excluded, place_keys(bed, excluded)))
     return kept.withColumn("id", F.substring_index("id", "|", -1)).select(rows.columns)
+
+
+def chip_peaks(pruned: DataFrame, samplesheet: DataFrame, excluded: DataFrame, style: str = "factor",
+               fold: float = 4.0, **settings: int) -> DataFrame:
+    """Peaks of every sample with a control, outside the excluded regions, under one setting."""
+    tags = stage(tg.tag_directory(pruned), "tags")
+    peaks = tag_peaks(tags, samplesheet, {"": {"style": style, "fold": fold, **settings}})
+    return outside(stage(tg.peak_rows(peaks), "hpeaks"), excluded, ["sample"])
+
+
+def chip_study(alignments: DataFrame, samplesheet: DataFrame, excluded: DataFrame,
+               paramsets: Mapping[str, Mapping[str, object]], sequences: DataFrame | None = None, chunk: int = 1 << 16,
+               paired: bool = True, length: int | None = None, max_dist: int = 1000, word: int = 8) -> dict[str, DataFrame]:
+    """Tracks, duplicate metrics, peaks, report lines and motifs of a study, each sample on its own genome.
+
+    Tags are centred by the fragment length that their autocorrelation shows. ``report`` holds
+    the header and the rows outside the excluded regions, as written by
+    ``write_peak_report``; its fourth header line counts those rows. With ``sequences`` (genome
+    chunks) words are compared between the kept peaks of a sample and those beside them.
+    """
+    own = with_genomes(alignments, samplesheet)
+    marked = stage(al.mark_duplicates(own), "marked")
+    kept = al.keep_chromosomes(marked)
+    if paired:
+        pruned = stage(al.x0_pair_filter(al.filter_flags(kept, *al.PRUNE_CHIP_PAIRED)), "pruned")
+    else:
+        pruned = stage(al.filter_flags(kept, *al.PRUNE_CHIP_SINGLE), "pruned")
+    raw = stage(tg.tag_directory(pruned), "raw-tags")
+    lengths = stage(tg.fragment_length(tg.tag_autocorrelation(raw, max_dist)), "lengths")
+    tags = stage(tg.centre_tags(raw, lengths), "tags")
+    peaks = stage(tag_peaks(tags, samplesheet, paramsets), "peaks")
+    genomes = samplesheet.select("sample", "genome").distinct()
+    rows = stage(tg.peak_rows(peaks, ["paramset"]).join(genomes, "sample"), "hpeaks")
+    clean = stage(outside(rows, excluded, ["paramset", "sample"]), "clean-hpeaks")
+    out = {
+        "duplicates": al.duplicate_metrics(marked),
+        "track": track(pruned, excluded, length=length),
+        "lengths": lengths,
+        "all": rows,
+        "peaks": clean,
+        "header": tg.filtered_header(tg.report_header(peaks, tags, ["paramset"]), clean, ["paramset"]),
+    }
+    if sequences is not None:
+        spots = clean.select(F.concat_ws("|", "paramset", "sample", "id").alias("id"), "paramset", "sample", "chrom",
+                             (F.col("start") - 1).alias("s"), F.col("end").alias("e"))
+        width = F.col("e") - F.col("s")
+        beside = spots.withColumn("s", F.col("e") + width).withColumn("e", F.col("s") + width)
+        out["motifs"] = mo.motif_enrichment(
+            mo.peak_sequences(spots, sequences, chunk, ["id"]), mo.peak_sequences(beside, sequences, chunk, ["id"]), word)
+    return out
