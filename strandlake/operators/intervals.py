@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.arith import idiv
 from ..functions.tiling import TILE, clip_to_tiles, depth_runs, join_runs, tile_range
 
+# fixed value: beginning of the header line that counts the peaks left, which ends with a space
+PEAKS_LEFT = "# peaks remaining after blacklist filtering "
+
 CHROM = ("chrom",)
 LOOKUPS = [1 << n for n in (14, 18, 22, 26, 32)]  # bases per bin where a row looks up one interval
 NEAR = 1 << 11  # bases per bin where intervals meet single positions
@@ -186,7 +189,7 @@ def keep_by_id(peaks: DataFrame, bed: DataFrame, peak_id: str = "id", bed_id: st
 def rewrite_header(header: DataFrame, bed: DataFrame, line: int = 4) -> DataFrame:
     """Replaces header line 4 by the number of BED lines, repeats counted."""
     total = bed.agg(F.count(F.lit(1))).scalar()
-    counted = F.concat(F.lit("# peaks remaining after blacklist filtering "), total.cast("string"), F.lit(" "))
+    counted = F.concat(F.lit(PEAKS_LEFT), total.cast("string"), F.lit(" "))
     return header.select("line_no", F.when(F.col("line_no") == line, counted).otherwise(F.col("text")).alias("text"))
 
 

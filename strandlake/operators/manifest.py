@@ -118,7 +118,7 @@ def check_read_names(reads: DataFrame) -> DataFrame:
 
 def looks_like_sra(files: DataFrame) -> DataFrame:
     """One row: whether any base name looks like an archive accession with a read number."""
-    hit = N.base_name("path").rlike(r"^SRR\d+_\d\.(fastq|fq)")
+    hit = N.base_name("path").rlike(N.ARCHIVE_FILE)
     return files.agg(F.coalesce(F.bool_or(hit), F.lit(False)).alias("sra"))
 
 

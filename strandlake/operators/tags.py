@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.arith import idiv
 from ..functions.stats import poisson_score
 from ..functions.tiling import TILE, tile_range, with_halo
-from .intervals import merge_intervals
+from .intervals import PEAKS_LEFT, merge_intervals
 
 TRACK = ["sample", "chrom"]
 NEAR = 1 << 10  # bases per bin where regions meet single positions
@@ -184,8 +184,7 @@ def filtered_header(header: DataFrame, rows: DataFrame, keys: Sequence[str] = ()
     """Header lines with the fourth replaced by the number of rows that are left, per sample (and keys)."""
     by = [*keys, "sample"]
     left = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_left"))
-    # fixed value: the text of the line
-    text = F.concat(F.lit("# peaks remaining after blacklist filtering "), F.coalesce("_left", F.lit(0)).cast("string"), F.lit(" "))
+    text = F.concat(F.lit(PEAKS_LEFT), F.coalesce("_left", F.lit(0)).cast("string"), F.lit(" "))
     return header.join(left, by, "left").select(
         *by, "line_no", F.when(F.col("line_no") == line, text).otherwise(F.col("text")).alias("text"))
 

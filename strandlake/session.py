@@ -30,6 +30,7 @@ def get_session(app: str = "strandlake", master: str | None = None, partitions:
 
 
 _local_root: list[str] = []
+_staged: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -45,7 +46,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not _local_root:
             _local_root.append(tempfile.mkdtemp(prefix="strandlake-"))
         root = _local_root[0]
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Deletes all intermediates that this process has written, and returns how many there were.
+
+    For the end of a study, when its results have been stored: DataFrames that read an
+    intermediate cannot be computed afterwards.
+    """
+    jvm = spark._jvm
+    n = 0
+    while _staged:
+        folder = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        n += bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
+    return n
 
 
 def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
