@@ -33,10 +33,11 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["task", "owners", "runs", "keys"])
 
 
-def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and owners of all rows of a task."""
-    keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+def unpack(table: pa.Table, width: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and owners of all rows of a task; keys of another width than 8 come as rows of bytes."""
+    raw, owners = [], [np.zeros(0, np.int64)]
     for o, r, k in zip(*(table.column(c).to_pylist() for c in ("owners", "runs", "keys"))):
         owners.append(np.repeat(np.frombuffer(o, np.int64), np.frombuffer(r, np.uint32)))
-        keys.append(np.frombuffer(k, np.uint64))
-    return np.concatenate(keys), np.concatenate(owners)
+        raw.append(k)
+    keys = np.frombuffer(b"".join(raw), np.uint64 if width == 8 else np.uint8)
+    return keys if width == 8 else keys.reshape(-1, width), np.concatenate(owners)

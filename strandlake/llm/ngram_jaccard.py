@@ -15,12 +15,12 @@ from .textkit import ASCII_LOWER, SpanHash, Texts, mix, slices, unzipped, whole_
 
 #: words of a shingle; two sets link when 100 * intersection >= 80 * union
 WORDS = 5
-#: token groups of the shortest count vector; larger sets have a power of two more, four tokens to a group at most
+#: token groups of the shortest count vector; larger sets have a power of two more, two tokens to a group at most
 GROUPS = 64
 #: token signatures that one task compares, about
 TASK_SIGNATURES = 400_000
-#: points of buckets that one task holds, about
-TASK_POINTS = 50_000
+#: points that one task joins, about
+TASK_POINTS = 20_000
 #: points of an R-tree that one task joins with another such tree
 TREE_POINTS = 1024
 LEAF = 16
@@ -80,7 +80,7 @@ def fingerprints(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def count_vectors(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """Number of a set's tokens in each group, as 16-bit numbers.
+    """Number of a set's tokens in each group, a byte each.
 
     The group is the hash modulo the number of groups, so that a longer vector folds into
     a shorter one by summing.
@@ -89,13 +89,13 @@ def count_vectors(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     end = np.cumsum(sizes)
     for s, e in zip((end - sizes).tolist(), end.tolist()):
         groups = GROUPS
-        while groups * 4 < e - s:
+        while groups * 2 < e - s:
             groups *= 2
         counts = np.bincount((hashes[s:e] % np.uint64(groups)).astype(np.int64), minlength=groups)
-        while counts.max() > 65535:  # never with hashes that spread, but the bound must stay one
+        while counts.max() > 255:  # hardly ever with hashes that spread, but the bound must stay one
             groups *= 2
             counts = np.bincount((hashes[s:e] % np.uint64(groups)).astype(np.int64), minlength=groups)
-        out.append(counts.astype(np.uint16).tobytes())
+        out.append(counts.astype(np.uint8).tobytes())
     return out
 
 
@@ -103,8 +103,8 @@ class Vectors:
     """Count vectors of several lengths, with bounds on the overlap of pairs of them."""
 
     def __init__(self, column: list[bytes]):
-        self.length = np.fromiter((len(v) // 2 for v in column), np.int64, len(column))
-        self.flat = np.frombuffer(b"".join(column), np.uint16)
+        self.length = np.fromiter(map(len, column), np.int64, len(column))
+        self.flat = np.frombuffer(b"".join(column), np.uint8)
         self.start = np.cumsum(self.length) - self.length
         self.short = self.folded(np.arange(len(column)), GROUPS)
 
@@ -113,7 +113,7 @@ class Vectors:
         for n in np.unique(self.length[rows]).tolist():
             own = np.flatnonzero(self.length[rows] == n)
             v = self.flat[self.start[rows[own]][:, None] + np.arange(n)[None, :]]
-            out[own] = v.reshape(len(own), n // groups, groups).sum(axis=1)
+            out[own] = v.reshape(len(own), n // groups, groups).sum(axis=1, dtype=np.int32)
         return out
 
     def allowed(self, i: np.ndarray, j: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -395,22 +395,22 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, linked boolean")
 
 
-def _pairs_of_buckets(table: pa.Table) -> pa.Table:
-    """Pairs (a, b) of one bucket, of different components, that may link; rows of many buckets at a time.
+def _pairs_of_heads(table: pa.Table) -> pa.Table:
+    """Pairs (a, b) of points of one head, of different components, that may link; rows of many heads at a time.
 
-    A bucket that fits a leaf is compared as one; a larger one, or two parts of one, by R-trees.
+    Points that fit a leaf are compared as one; more of them, or two parts of a head, by R-trees.
     """
-    table = table.sort_by([(c, "ascending") for c in ("bucket", "p", "q", "own", "fp")])
-    bucket, p, q, own, fp, root, n = (table.column(c).to_numpy() for c in ("bucket", "p", "q", "own", "fp", "root", "n"))
+    table = table.sort_by([(c, "ascending") for c in ("head", "p", "q", "own", "fp")])
+    head, p, q, own, fp, root, n = (table.column(c).to_numpy() for c in ("head", "p", "q", "own", "fp", "root", "n"))
     vectors = Vectors(table.column("vec").to_pylist())
-    rows = len(bucket)
+    rows = len(head)
     new = np.ones(rows, bool)
-    new[1:] = (bucket[1:] != bucket[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
+    new[1:] = (head[1:] != head[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
     start = np.flatnonzero(new)
     end = np.append(start[1:], rows)
     small = (end - start <= LEAF) & (p[start] == q[start])
     found = []
-    # every row of a small bucket with every later one
+    # every point of a small group with every later one
     seg = np.cumsum(new) - 1
     later = np.where(small[seg], end[seg] - np.arange(rows) - 1, 0)
     for s in range(0, rows, 1 << 16):
@@ -452,24 +452,30 @@ def _reduced(i: np.ndarray, j: np.ndarray, fp: np.ndarray, root: np.ndarray, n:
     return a[at], b[at]
 
 
-def _across(met: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) that met in a bucket, are in different components and may link by R-tree."""
+def _across(met: DataFrame, heads: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that met in a bucket, are in different components and may link by R-tree.
+
+    Buckets with one head hold much the same points, so the points of all of them are joined
+    at once. A head's points are cut into parts of about TREE_POINTS, joined two by two.
+    """
     now = met.join(roots, met["fp"] == roots["node"], "left").select(
         "bucket", "fp", F.coalesce("root", "fp").alias("root"))
     mixed = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
     # two sets alone have been compared already
-    mixed = mixed.filter("lo <> hi and n > 2").select("bucket", F.ceil(F.col("n") / TREE_POINTS).cast("int").alias("parts"))
+    mixed = mixed.filter("lo <> hi and n > 2").select("bucket").join(heads, "bucket")
+    points = now.join(mixed, "bucket").select("head", "fp", "root").distinct()
+    parts = points.groupBy("head").agg(F.ceil(F.count("*") / TREE_POINTS).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("fp"), F.col("parts").cast("long")).cast("int")
-    tasks = max(32, met.count() // TASK_POINTS)
+    tasks = max(32, sets.count() // TASK_POINTS)
     each = (
-        now.join(mixed, "bucket").withColumn("own", own)
+        points.join(parts, "head").withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .join(sets.select("fp", "n_shingles", "vec"), "fp")
-        .select("bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "fp", "root",
+        .select("head", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "fp", "root",
                 F.col("n_shingles").alias("n"), "vec")
-        .withColumn("task", F.pmod(F.xxhash64("bucket", "p", "q"), F.lit(tasks)))
+        .withColumn("task", F.pmod(F.xxhash64("head", "p", "q"), F.lit(tasks)))
     )
-    return each.groupBy("task").applyInArrow(_pairs_of_buckets, "a long, b long").distinct()
+    return each.groupBy("task").applyInArrow(_pairs_of_heads, "a long, b long").distinct()
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -481,15 +487,16 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     1. Equal sets are one point (set number, size, count vector of its tokens by group).
     2. Points are dealt into buckets by signatures; linked points always meet in one.
-    3. In each bucket every point is held against the bucket's smallest one: summed
-       coordinate minima bound the overlap, what survives is verified on the whole sets, and
-       verified links make components.
-    4. Buckets whose points are in several components still: R-trees over their points
-       find, by the same bound, all pairs across components that may link, and these
-       are verified too. So every pair of linked points is verified or in one component.
+    3. In each bucket every point is held against the bucket's head, the point that is in most
+       buckets: summed coordinate minima bound the overlap, what survives is verified on
+       the whole sets, and verified links make components.
+    4. Buckets whose points are in several components still: R-trees over the points of all
+       such buckets with one head find, by the same bound, all pairs across components
+       that may link, and these are verified too. So every pair of linked points is
+       verified or in one component.
 
-    No task holds a bucket as a whole in step 4 (it is cut into trees of ``TREE_POINTS``
-    points, joined two by two), and no list of all pairs of a bucket is written.
+    No task holds a bucket as a whole in step 4 (points are cut into trees of
+    ``TREE_POINTS``, joined two by two), and no list of all pairs of a bucket is written.
 
     Null, empty and blank texts have no shingle and link with nothing, not with each other.
     A row with a null id gets a null component and links nothing. Rows that repeat are
@@ -504,13 +511,17 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tasks = max(32, int(total * 0.4 / TASK_SIGNATURES))
     met = _dealt_signatures(docs, tasks).groupBy("task").applyInArrow(_meeting_sets, "bucket long, fp long")
     met = stage(met.distinct(), "buckets")
-    heads = met.groupBy("bucket").agg(F.min("fp").alias("a"))
-    star = met.join(heads, "bucket").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    # the point in most buckets is the least changed copy of a group
+    often = met.groupBy("fp").agg(F.count("*").alias("often"))
+    heads = stage(met.join(often, "fp").groupBy("bucket").agg(
+        F.max_by("fp", F.struct("often", "fp")).alias("head")), "heads")
+    star = met.join(heads, "bucket").filter("fp <> head").select(
+        F.least("head", "fp").alias("a"), F.greatest("head", "fp").alias("b")).distinct()
     wanted = met.select("fp").distinct().join(sets.select("fp", "doc_id"), "fp")
     texts = stage(_own_text(zipped(docs).join(wanted, "doc_id")).dropDuplicates(["fp"]), "texts")
     checked = stage(_verified(_bounded(star, sets), texts), "pairs")
     roots = stage(components(checked.filter("linked")), "roots")
-    across = _across(met, roots, sets).join(checked, ["a", "b"], "left_anti")
+    across = _across(met, heads, roots, sets).join(checked, ["a", "b"], "left_anti")
     more = stage(_verified(across, texts), "pairs")
     links = checked.unionByName(more).filter("linked").select("a", "b")
     if not more.filter("linked").isEmpty():
