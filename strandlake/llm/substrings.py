@@ -11,17 +11,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
 from .dealing import SCHEMA, pack, unpack
-from .textkit import SpanHash, Texts, mix, slices, whole_texts
+from .textkit import SpanHash, Texts, mix, slices, unzipped, whole_texts, zipped
 
 #: a string of so many bytes that also starts in an earlier document is removed
 LENGTH = 50
 #: bytes of the grams among which each string picks its anchor
-GRAM = 18
+GRAM = 16
 #: anchors that one task compares, and bytes of contexts in one suffix array, about
-TASK_ANCHORS = 1_000_000
+TASK_ANCHORS = 800_000
 TASK_BYTES = 1 << 20
 #: an anchor with more different contexts is split by what stands around it
 MANY_CONTEXTS = 2000
+#: an anchor with more different contexts in one map task is known to be shared by different ones
+MANY_LOCAL = 256
 #: starts of strings that such a part covers
 PART = 4
 
@@ -69,52 +71,107 @@ def contents(docs: DataFrame) -> DataFrame:
     return whole_texts(docs).mapInArrow(run, "doc_id long, n_bytes long, ch long, sha binary")
 
 
-def _dealt_anchors(docs: DataFrame, tasks: int) -> DataFrame:
-    """Anchors of each distinct content, packed by the task that compares them.
+def stretches(texts: Texts, spans: SpanHash) -> tuple[np.ndarray, ...]:
+    """Contexts: strings in a row with one anchor. Start, end (in bytes), text number, anchor and hash of each.
 
-    Anchors that several contents of this map task hold are known to be shared: one pair
-    goes to the comparing task, the others pass through a task chosen at random, so that
-    an anchor which very many contents hold weighs on none.
+    In a periodic text a context ends after as many strings as hold one anchor.
+    """
+    at, doc, key = anchors(texts, spans)
+    if not len(at):
+        return at, at, doc, key, key
+    new = np.ones(len(at), bool)
+    new[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
+    place = np.arange(len(at)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    new |= place % _SPAN == 0
+    s = np.flatnonzero(new)
+    e = np.append(s[1:], len(at)) - 1
+    return at[s], at[e] + LENGTH, doc[s], key[s], spans.of(at[s], at[e] + LENGTH)
+
+
+_CONTEXT = np.uint64((1 << 48) - 1)  # six bytes tell the contexts of an anchor apart
+
+
+def _records(anchor: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Ten bytes for each pair: four of the anchor, six of the context's hash."""
+    out = np.empty((len(anchor), 10), np.uint8)
+    out[:, :4] = (anchor >> np.uint64(32)).astype("<u4").view(np.uint8).reshape(-1, 4)
+    out[:, 4:] = context.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return out
+
+
+def _fields(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    wide = np.zeros((len(records), 8), np.uint8)
+    wide[:, :6] = records[:, 4:]
+    return np.ascontiguousarray(records[:, :4]).view("<u4").ravel(), wide.view("<u8").ravel().astype(np.uint64)
+
+
+def _sorted_out(anchor: np.ndarray, context: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The pairs in order of (anchor, context, document), each once, and three marks of each.
+
+    known: a smaller document has the same context, so that all its strings go; first: the
+    smallest document with the context; number: of the anchor.
+    """
+    order = np.lexsort((doc, context, anchor))
+    anchor, context, doc = anchor[order], context[order], doc[order]
+    same_anchor = anchor[1:] == anchor[:-1]
+    same = same_anchor & (context[1:] == context[:-1])
+    once = np.ones(len(anchor), bool)
+    once[1:] = ~(same & (doc[1:] == doc[:-1]))
+    anchor, context, doc = anchor[once], context[once], doc[once]
+    first = np.ones(len(anchor), bool)
+    first[1:] = (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1])
+    number = np.cumsum(np.concatenate([[0], anchor[1:] != anchor[:-1]])[: len(anchor)]).astype(np.int64)
+    return anchor, context, doc, first, number
+
+
+def _dealt_contexts(docs: DataFrame, tasks: int) -> DataFrame:
+    """(anchor, context) pairs of the documents, packed by the task that compares them.
+
+    A map task sorts out its own pairs first. A document after the first one with a context
+    is known to lose it: that passes through a task chosen at random (from ``tasks`` on). So
+    do the contexts of an anchor that has very many different ones here, all but two
+    (from ``2 * tasks`` on: they have to be compared by their bytes). What comes to the task
+    of an anchor thus does not grow with the number of documents that share a context.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        seen: dict[int, int] = {}
+        held: list[tuple[np.ndarray, ...]] = []
         count = 0
 
         def packed() -> Iterator[pa.RecordBatch]:
-            key, ch = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((ch, key))
-            key, ch = key[order], ch[order]
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (ch[1:] != ch[:-1])
-            key, ch = key[fresh], ch[fresh]
-            follows = np.zeros(len(key), bool)
-            follows[1:] = key[1:] == key[:-1]
-            # the first two pairs of an anchor show to its task that it is shared
-            third = np.zeros(len(key), bool)
-            third[2:] = follows[2:] & follows[1:-1]
-            to = (key % np.uint64(tasks)).astype(np.int32)
-            to[third] = tasks + (mix(ch[third].view(np.uint64)) % np.uint64(tasks)).astype(np.int32)
-            order = np.lexsort((ch, to))
-            yield from pack(key[order], ch[order], to[order])
+            anchor, context, doc, first, number = _sorted_out(*(np.concatenate(x) for x in zip(*held)))
+            spread = (mix(doc.view(np.uint64)) % np.uint64(tasks)).astype(np.int32)
+            to = (anchor % np.uint64(tasks)).astype(np.int32)
+            to[~first] = tasks + spread[~first]
+            kinds = np.bincount(number[first], minlength=int(number[-1]) + 1)
+            at = np.flatnonzero(first & (kinds[number] > MANY_LOCAL))
+            if len(at):  # of each such anchor two contexts of different documents go on to its task
+                lead = np.concatenate([[True], number[at][1:] != number[at][:-1]])
+                head = doc[at[lead]][np.cumsum(lead) - 1]
+                other = np.flatnonzero(doc[at] != head)
+                _, pick = np.unique(number[at[other]], return_index=True)
+                stay = lead.copy()
+                stay[other[pick]] = True
+                to[at[~stay]] = 2 * tasks + spread[at[~stay]]
+            order = np.lexsort((doc, to))
+            yield from pack(_records(anchor, context)[order], doc[order], to[order])
 
         for batch in batches:
             for part in slices(batch):
                 texts = Texts(part.column("text"))
                 spans = SpanHash(texts.data)
-                ch = spans.of(texts.starts, texts.ends).view(np.int64)
+                ids = part.column("doc_id").to_numpy()
                 fresh = np.zeros(texts.count, bool)
-                for i, c in enumerate(ch.tolist()):
-                    fresh[i] = c not in seen
-                    seen.add(c)
-                _, doc, key = anchors(texts, spans)
-                new = np.ones(len(key), bool)
-                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-                new &= fresh[doc]
-                held.append((key[new], ch[doc[new]]))
-                count += int(new.sum())
-                if count >= 1 << 21:
+                for i, (c, d) in enumerate(zip(spans.of(texts.starts, texts.ends).tolist(), ids.tolist())):
+                    fresh[i] = d < seen.get(c, d + 1)
+                    if fresh[i]:
+                        seen[c] = d
+                _, _, doc, key, context = stretches(texts, spans)
+                own = fresh[doc]
+                held.append((key[own], context[own] & _CONTEXT, ids[doc[own]]))
+                count += int(own.sum())
+                if count >= 1 << 20:
                     yield from packed()
                     held, count = [], 0
         if count:
@@ -123,64 +180,85 @@ def _dealt_anchors(docs: DataFrame, tasks: int) -> DataFrame:
     return whole_texts(docs).filter(F.col("doc_id").isNotNull()).mapInArrow(run, SCHEMA)
 
 
-def _shared_anchors(tasks: int):
-    """Anchors that several contents hold, packed by content."""
+def _judged(tasks: int):
+    """By document: contexts that a smaller one has as well, and contexts to be compared by their bytes."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        anchor, ch = unpack(table)
-        if key[0].as_py() < tasks:
-            order = np.lexsort((ch, anchor))
-            anchor, ch = anchor[order], ch[order]
-            same = (anchor[1:] == anchor[:-1]) & (ch[1:] != ch[:-1])
-            first = np.concatenate([[True], anchor[1:] != anchor[:-1]]) if len(anchor) else np.zeros(0, bool)
-            group = np.cumsum(first) - 1
-            several = np.zeros(int(first.sum()), bool)
-            several[group[1:][same]] = True
-            anchor, ch = anchor[several[group]], ch[several[group]]
-        order = np.argsort(ch, kind="stable")
-        anchor, ch = anchor[order], ch[order]
-        new = np.flatnonzero(np.concatenate([[True], ch[1:] != ch[:-1]])) if len(ch) else np.zeros(0, np.int64)
-        end = np.append(new[1:], len(ch))
-        return pa.table({"ch": ch[new], "anchors": pa.array([anchor[s:e].tobytes() for s, e in zip(new, end)], pa.binary())})
+        records, doc = unpack(table, 10)
+        anchor, context = _fields(records)
+        role = key[0].as_py() // tasks
+        if role == 0:
+            anchor, context, doc, first, number = _sorted_out(anchor, context, doc)
+            # an anchor of one document only, or of one context only, has nothing to compare
+            least, most = np.full(int(number[-1]) + 1, np.iinfo(np.int64).max), np.full(int(number[-1]) + 1, np.iinfo(np.int64).min)
+            np.minimum.at(least, number, doc)
+            np.maximum.at(most, number, doc)
+            kinds = np.bincount(number[first], minlength=len(least))
+            compare = first & (kinds > 1)[number] & (least < most)[number]
+            gone = ~first
+        else:
+            gone = np.full(len(doc), role == 1)
+            compare = ~gone
+        live = gone | compare
+        context, doc, gone = context[live], doc[live], gone[live]
+        order = np.lexsort((gone, doc))
+        context, doc, gone = context[order], doc[order], gone[order]
+        if not len(doc):
+            return pa.table({"doc_id": doc, "compare": pa.array([], pa.binary()), "gone": pa.array([], pa.binary())})
+        new = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        end = np.append(new[1:], len(doc))
+        middle = end - np.add.reduceat(gone.astype(np.int64), new)
+        return pa.table({
+            "doc_id": doc[new],
+            "compare": pa.array([context[s:m].tobytes() for s, m in zip(new, middle)], pa.binary()),
+            "gone": pa.array([context[m:e].tobytes() for m, e in zip(middle, end)], pa.binary())})
 
     return run
 
 
-def _contexts(rows: DataFrame) -> DataFrame:
-    """Each stretch of strings with one shared anchor: ch, first_id, at, anchor, context (their bytes together)."""
+def _found(rows: DataFrame) -> DataFrame:
+    """From (doc_id, z, gone, compare): cuts (ch, doc_id, s, e) that are known, without context; and the
+    contexts to be compared with their anchor, s and e being their place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                texts = Texts(part.column("text"))
+            for part in slices(batch, "z"):
+                texts = Texts(unzipped(part.column("z")))
                 spans = SpanHash(texts.data)
-                ch = part.column("ch").to_numpy()
-                mine = spans.of(texts.starts, texts.ends).view(np.int64) == ch
-                shared = [np.frombuffer(b"".join(x), np.uint64) for x in part.column("anchors").to_pylist()]
-                at, doc, key = anchors(texts, spans)
+                ch = spans.of(texts.starts, texts.ends).view(np.int64)
+                ids = part.column("doc_id").to_numpy()
+                s, e, doc, key, context = stretches(texts, spans)
+                context &= _CONTEXT
                 bounds = np.searchsorted(doc, np.arange(texts.count + 1))
-                hit = np.zeros(len(at), bool)
-                for i in np.flatnonzero(mine).tolist():
-                    s, e = bounds[i], bounds[i + 1]
-                    hit[s:e] = np.isin(key[s:e], shared[i])
-                at, doc, key = at[hit], doc[hit], key[hit]
-                if not len(at):
-                    continue
-                new = np.ones(len(at), bool)
-                new[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
-                run_no = np.cumsum(new) - 1
-                place = np.arange(len(at)) - np.flatnonzero(new)[run_no]
-                new |= place % _SPAN == 0  # periodic texts: a stretch is never longer
-                s = np.flatnonzero(new)
-                e = np.append(s[1:], len(at)) - 1
-                raw = texts.data.tobytes()
-                first = part.column("first_id").to_numpy()
-                yield pa.record_batch({
-                    "ch": ch[doc[s]], "first_id": first[doc[s]], "at": at[s] - texts.starts[doc[s]],
-                    "anchor": key[s].view(np.int64),
-                    "context": pa.array([raw[a : b + LENGTH] for a, b in zip(at[s].tolist(), at[e].tolist())], pa.binary())})
+                marks = np.zeros(len(s), np.int8)
+                for i, (g, c) in enumerate(zip(part.column("gone").to_pylist(), part.column("compare").to_pylist())):
+                    own = slice(bounds[i], bounds[i + 1])
+                    marks[own][np.isin(context[own], np.frombuffer(b"".join(c), np.uint64))] = 2
+                    marks[own][np.isin(context[own], np.frombuffer(b"".join(g), np.uint64))] = 1
+                place = s - texts.starts[doc], e - texts.starts[doc]
+                cut = np.flatnonzero(marks == 1)
+                if len(cut):  # cuts that touch are one
+                    new = np.ones(len(cut), bool)
+                    new[1:] = (doc[cut][1:] != doc[cut][:-1]) | (place[0][cut][1:] > place[1][cut][:-1])
+                    lead = np.flatnonzero(new)
+                    ends = np.maximum.reduceat(place[1][cut], lead)
+                    d = doc[cut[lead]]
+                    none = pa.nulls(len(lead), pa.int64()), pa.nulls(len(lead), pa.binary())
+                    yield _rows(ch[d], ids[d], place[0][cut[lead]], ends, *none)
+                cmp = np.flatnonzero(marks == 2)
+                if len(cmp):
+                    raw = texts.data.tobytes()
+                    text = pa.array([raw[a:b] for a, b in zip(s[cmp].tolist(), e[cmp].tolist())], pa.binary())
+                    yield _rows(ch[doc[cmp]], ids[doc[cmp]], place[0][cmp], place[1][cmp], key[cmp].view(np.int64), text)
+
+    return rows.mapInArrow(run, _FOUND)
+
+
+_FOUND = "ch long, doc_id long, s long, e long, anchor long, context binary"
 
-    return rows.mapInArrow(run, "ch long, first_id long, at long, anchor long, context binary")
+
+def _rows(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["ch", "doc_id", "s", "e", "anchor", "context"])
 
 
 def _split_around(rows: DataFrame) -> DataFrame:
@@ -192,9 +270,10 @@ def _split_around(rows: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["ch", "doc_id", "s", "e", "anchor", "context"]
         for batch in batches:
             out: list[tuple] = []
-            for h, anchor, context, first_id in zip(*(batch.column(c).to_pylist() for c in ("h", "anchor", "context", "first_id"))):
+            for ch, doc_id, at, _, anchor, context in zip(*(batch.column(c).to_pylist() for c in names)):
                 spans = SpanHash(np.frombuffer(context, np.uint8))
                 grams = spans.windows(GRAM)
                 strings = len(context) - LENGTH + 1
@@ -206,35 +285,55 @@ def _split_around(rows: DataFrame) -> DataFrame:
                     q = s + int(place[s])  # the anchor; the part's strings start from q - c PART - PART + 1 to q - c PART
                     core = spans.of(np.array([q - c * PART]), np.array([q - c * PART - PART + 1 + LENGTH]))
                     key = mix(core + np.uint64(c) + np.array([anchor], np.int64).view(np.uint64))
-                    out.append((h, s, int(key.view(np.int64)[0]), context[s : e - 1 + LENGTH], first_id))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
-            columns = list(zip(*out)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                             ["h", "skip", "anchor", "context", "first_id"])
+                    out.append((ch, doc_id, at + s, at + e - 1 + LENGTH, int(key.view(np.int64)[0]), context[s : e - 1 + LENGTH]))
+            kinds = (pa.int64(),) * 5 + (pa.binary(),)
+            columns = list(zip(*out)) if out else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-    return rows.select("h", "anchor", "context", "first_id").mapInArrow(
-        run, "h long, skip int, anchor long, context binary, first_id long")
+    return rows.select("ch", "doc_id", "s", "e", "anchor", "context").mapInArrow(run, _FOUND)
 
 
 def suffix_array(codes: np.ndarray) -> np.ndarray:
-    """Order of all suffixes of an array of small numbers (prefix doubling; the place parts equal ones)."""
+    """Order of all suffixes of an array of numbers up to 256, in which each 0 is an end of its own.
+
+    Seven symbols are the first key; then places that are equal so far are ordered by the
+    ranks of what follows, twice as far each time. Places equal up to their end stay in
+    order of place.
+    """
     n = len(codes)
-    padded = np.concatenate([codes.astype(np.uint64), np.zeros(4, np.uint64)])
+    stops = np.flatnonzero(codes == 0)
+    left = stops[np.searchsorted(stops, np.arange(n))] - np.arange(n)  # symbols before the end; codes ends with a 0
+    wide = np.zeros(n + 7, np.uint64)
+    wide[:n] = codes
     key = np.zeros(n, np.uint64)
-    for k in range(4):
-        key = (key << np.uint64(16)) | padded[k : k + n]
-    width = 4
+    for k in range(7):
+        key <<= np.uint64(9)
+        key |= np.where(left >= k, wide[k : k + n], np.uint64(0))
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    new = np.ones(n, bool)
+    new[1:] = key[1:] != key[:-1]
+    rank = np.empty(n, np.int64)  # of a place: where its group starts
+    rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    width = 7
     while True:
-        order = np.argsort(key, kind="stable")
-        new = np.ones(n, bool)
-        new[1:] = key[order][1:] != key[order][:-1]
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(new).astype(np.uint64)
-        if new.all():
+        tied = np.zeros(n, bool)
+        tied[:-1] = ~new[1:]
+        tied |= ~new
+        at = np.flatnonzero(tied)
+        if not len(at):
             return order
-        after = np.zeros(n, np.uint64)
-        after[: max(0, n - width)] = rank[width:]
-        key = (rank << np.uint64(32)) | after
+        own = order[at]
+        ended = left[own] < width
+        after = np.where(ended, own, rank[np.minimum(own + width, n - 1)])
+        key = rank[own] * n + after
+        by = np.argsort(key, kind="stable")
+        own, key = own[by], key[by]
+        order[at] = own
+        split = np.ones(len(at), bool)
+        split[1:] = key[1:] != key[:-1]
+        new[at] = split
+        rank[own] = at[np.flatnonzero(split)[np.cumsum(split) - 1]]
         width *= 2
 
 
@@ -255,13 +354,15 @@ def common_prefix_groups(bwt: np.ndarray, first: np.ndarray, length: int) -> np.
     apart[1:] = first[1:] != first[:-1]
     apart[first == 0] = True  # ends of contexts never match
     open_ = np.flatnonzero(~apart)
+    here, above = source[open_].astype(np.int32), source[open_ - 1].astype(np.int32)
     for _ in range(length - 1):
         if not len(open_):
             break
-        interval = np.cumsum(apart)
-        parted = interval[source[open_]] != interval[source[open_ - 1]]
+        interval = np.cumsum(apart, dtype=np.int32)
+        parted = interval[here] != interval[above]
         apart[open_[parted]] = True
-        open_ = open_[~parted]
+        live = ~parted
+        open_, here, above = open_[live], here[live], above[live]
     return apart
 
 
@@ -285,19 +386,16 @@ def least_ids(contexts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     return [least[s : s + n - LENGTH + 1] for s, n in zip(starts.tolist(), sizes.tolist())]
 
 
-def _runs(table: pa.Table) -> pa.Table:
-    """Stretches of strings with the same least id: h, start (string in the context), count, least."""
-    rows: list[tuple[int, int, int, int]] = []
-    h, skip = table.column("h").to_numpy(), table.column("skip").to_numpy()
-    context, ids = table.column("context").to_pylist(), table.column("first_id").to_numpy()
-    anchor = table.column("anchor").to_numpy()
-    several = np.zeros(len(h), bool)
-    _, inverse, count = np.unique(anchor, return_inverse=True, return_counts=True)
-    several = count[inverse] > 1
-    for i in np.flatnonzero(~several).tolist():  # all copies of this context are alike
-        rows.append((int(h[i]), int(skip[i]), len(context[i]) - LENGTH + 1, int(ids[i])))
-    order = np.flatnonzero(several)
-    order = order[np.argsort(anchor[order], kind="stable")]
+def _repeated(table: pa.Table) -> pa.Table:
+    """Cuts (ch, doc_id, s, e): strings of the contexts of one task that a smaller document's context has too."""
+    anchor, ids = table.column("anchor").to_numpy(), table.column("doc_id").to_numpy()
+    ch, place = table.column("ch").to_numpy(), table.column("s").to_numpy()
+    context = table.column("context").to_pylist()
+    rows: list[tuple[np.ndarray, ...]] = []
+    order = np.argsort(anchor, kind="stable")
+    new = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]])) if len(order) else np.zeros(0, np.int64)
+    several = np.diff(np.append(new, len(order))) > 1
+    order = order[np.repeat(several, np.diff(np.append(new, len(order))))]
     at = 0
     while at < len(order):  # whole anchors up to the bound go into one suffix array
         end, size = at, 0
@@ -306,22 +404,24 @@ def _runs(table: pa.Table) -> pa.Table:
             end += 1
         own = order[at:end]
         for i, least in zip(own.tolist(), least_ids([context[i] for i in own.tolist()], ids[own])):
-            cut = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-            for s, e in zip(cut.tolist(), np.append(cut[1:], len(least)).tolist()):
-                rows.append((int(h[i]), int(skip[i]) + s, e - s, int(least[s])))
+            hit = least < ids[i]
+            if hit.any():
+                edge = np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))
+                s = np.flatnonzero(edge == 1)
+                rows.append((np.full(len(s), ch[i]), np.full(len(s), ids[i]), place[i] + s,
+                             place[i] + np.flatnonzero(edge == -1) - 1 + LENGTH))
         at = end
-    columns = list(zip(*rows)) if rows else [()] * 4
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64())
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["h", "start", "count", "least"])
+    columns = [np.concatenate(c) for c in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 4
+    return pa.table(dict(zip(("ch", "doc_id", "s", "e"), columns)))
 
 
 def _removed(rows: DataFrame) -> DataFrame:
-    """ch, removed (number of bytes), spans, sha (of the rest) from (ch, text, cuts) with cuts of (from, to)."""
+    """ch, removed (number of bytes), spans, rest (its digest) from (ch, z, cuts) with cuts of (from, to)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                texts = Texts(part.column("text"))
+            for part in slices(batch, "z"):
+                texts = Texts(unzipped(part.column("z")))
                 ch = part.column("ch").to_numpy()
                 mine = SpanHash(texts.data).of(texts.starts, texts.ends).view(np.int64) == ch
                 out = []
@@ -345,34 +445,30 @@ def _removed(rows: DataFrame) -> DataFrame:
 
 
 def repeated_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Contents (doc_id, n_bytes, ch, sha of every row) and cuts (ch, s, e) of each content's first document."""
+    """Contents (doc_id, n_bytes, ch, sha of every row), and cuts (ch, s, e) of each content's first document."""
     docs = whole_texts(docs, id_col, text_col)
     rows = stage(contents(docs), "contents")
     known = rows.filter("doc_id is not null")
     firsts = known.groupBy("ch").agg(F.min("doc_id").alias("first_id"))
     total = known.agg(F.sum("n_bytes")).first()[0] or 0
     tasks = max(32, int(2 * total / (_SPAN + 1) / TASK_ANCHORS))
-    shared = _dealt_anchors(docs, tasks).groupBy("task").applyInArrow(_shared_anchors(tasks), "ch long, anchors binary")
-    of_content = shared.groupBy("ch").agg(F.collect_list("anchors").alias("anchors")).join(firsts, "ch")
-    texts = docs.join(of_content, docs["doc_id"] == of_content["first_id"]).select("ch", "first_id", "text", "anchors")
-    found = stage(_contexts(texts).withColumn("h", F.xxhash64("context")), "contexts")
-    kinds = found.groupBy("h", "anchor", "context").agg(F.min("first_id").alias("first_id"), F.count("*").alias("n"))
-    kinds = stage(kinds, "kinds")
-    many = kinds.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MANY_CONTEXTS).select("anchor")
-    plain = kinds.join(many, "anchor", "left_anti").select(
-        "h", F.lit(0).cast("int").alias("skip"), "anchor", "context", "first_id")
-    apart = _split_around(kinds.join(many, "anchor", "left_semi"))
-    size = kinds.agg(F.sum(F.octet_length("context"))).first()[0] or 0
+    judged = _dealt_contexts(docs, tasks).groupBy("task").applyInArrow(
+        _judged(tasks), "doc_id long, compare binary, gone binary")
+    of_doc = judged.groupBy("doc_id").agg(F.collect_list("compare").alias("compare"), F.collect_list("gone").alias("gone"))
+    of_doc = of_doc.join(firsts.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    found = stage(_found(zipped(docs).join(of_doc, "doc_id").select("doc_id", "z", "gone", "compare")), "contexts", "zstd")
+    open_ = found.filter("context is not null")
+    many = open_.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MANY_CONTEXTS).select("anchor")
+    apart = _split_around(open_.join(many, "anchor", "left_semi"))
+    size = open_.agg(F.sum(F.octet_length("context"))).first()[0] or 0
     parts = max(32, int(size / (4 * TASK_BYTES)))
-    runs = (
-        plain.unionByName(apart).withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
-        .groupBy("task").applyInArrow(_runs, "h long, start int, count int, least long")
-    )
-    cuts = (
-        found.select("h", "ch", "first_id", "at").join(runs, "h").filter("least < first_id")
-        .select("ch", (F.col("at") + F.col("start")).alias("s"), (F.col("at") + F.col("start") + F.col("count") + (LENGTH - 1)).alias("e"))
+    compared = (
+        open_.join(many, "anchor", "left_anti").select(*open_.columns).unionByName(apart)
+        .withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
+        .groupBy("task").applyInArrow(_repeated, "ch long, doc_id long, s long, e long")
     )
-    return rows, cuts
+    cuts = found.filter("context is null").select("ch", "doc_id", "s", "e").unionByName(compared)
+    return rows, cuts.join(firsts.select("ch", F.col("first_id").alias("doc_id")), ["ch", "doc_id"]).select("ch", "s", "e")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -383,14 +479,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     the input.
 
     1. Equal texts are one content; all but its first document go whole (if 50 bytes or more).
-    2. Each string has an anchor, the least hash of its grams; anchors of several contents
-       are found by packed pairs, and contents learn which of theirs are shared.
-    3. Strings in a row with one shared anchor form a context. Contexts of an anchor come to one
-       task, each different one once. A Burrows-Wheeler transform of them is expanded
-       backwards, breadth first, until intervals have a common prefix of 50 bytes; an
-       interval's least id is that of the first document with the string. Anchors with very
-       many contexts are split by what stands around them before.
-    4. The cuts go back to the contents, and each first document is cut once.
+    2. Each string has an anchor, the least hash of its grams; strings in a row with one
+       anchor form a context. Hashes of (anchor, context) come to the anchor's task, packed.
+       After the first document with a context all others lose it. Different contexts of
+       a shared anchor have to be compared.
+    3. Their bytes, one copy of each, come to one task by anchor. A Burrows-Wheeler transform
+       of them is expanded backwards, breadth first, until intervals have a common prefix
+       of 50 bytes; an interval's least id is that of the first document with the string.
+       Anchors with very many contexts are split by what stands around them before.
+    4. The cuts go back to the documents, and the first one of each content is cut once.
 
     Null and empty texts have nothing to remove. A row with a null id is compared with
     nothing and stays whole. Rows that repeat an id and text are cut alike. Empty table:
@@ -400,7 +497,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = whole_texts(docs, id_col, text_col)
     firsts = rows.filter("doc_id is not null").groupBy("ch").agg(F.min("doc_id").alias("first_id"))
     marked = cuts.groupBy("ch").agg(F.collect_list(F.struct("s", "e")).alias("cuts")).join(firsts, "ch")
-    done = _removed(docs.join(marked, docs["doc_id"] == marked["first_id"]).select("ch", "text", "cuts")).dropDuplicates(["ch"])
+    texts = zipped(docs)
+    done = _removed(texts.join(marked, texts["doc_id"] == marked["first_id"]).select("ch", "z", "cuts")).dropDuplicates(["ch"])
     later = (F.col("doc_id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)
     first = F.col("doc_id") == F.col("first_id")
     return rows.join(firsts, "ch", "left").join(done, "ch", "left").select(

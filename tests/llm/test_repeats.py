@@ -59,6 +59,7 @@ def test_equals_dictionary(spark):
 
 def test_split_anchors(spark, monkeypatch):
     monkeypatch.setattr(substrings, "MANY_CONTEXTS", 1)
+    monkeypatch.setattr(substrings, "MANY_LOCAL", 1)
     rows = mixed_rows(9)
     assert result(spark.createDataFrame(rows, SCHEMA)) == by_dictionary(rows)
 
@@ -94,7 +95,9 @@ def test_least_ids(seed):
 
 
 def test_suffixes_are_sorted():
-    codes = np.array([0, 3, 3, 1, 3, 3, 1, 0, 3, 3, 1, 0], np.uint16)
+    rng = np.random.default_rng(0)
+    codes = np.concatenate([[0, 3, 3, 1, 3, 3, 1, 0, 3, 3, 1, 0], rng.integers(0, 3, 300), np.full(40, 5), [0]]).astype(np.uint16)
     order = substrings.suffix_array(codes)
-    tails = [codes[i:].tolist() for i in order]
+    stops = np.flatnonzero(codes == 0)
+    tails = [(codes[i : stops[np.searchsorted(stops, i)]].tolist(), i) for i in order.tolist()]
     assert tails == sorted(tails)
