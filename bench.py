@@ -17,6 +17,7 @@ HEADLINE = [
     "narrowpeak", "tag_directory", "tag_autocorrelation", "find_peaks_factor", "find_peaks_region",
     "chip_peaks_against_control", "read_counts", "peak_fractions", "duplicate_split", "tss_enrichment",
     "motif_enrichment", "place_reads", "join_mates", "fastq_round_trip", "sam_round_trip",
+    "clean_single_track", "clean_track_two_genomes", "tag_peaks_paramsets", "chip_report", "best_hits",
 ]
 
 

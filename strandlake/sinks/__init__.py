@@ -1,4 +1,4 @@
-"""Writers. Files are split by the same columns the reference puts into its paths."""
+"""Writers. Files are split by sample and parameter set, which stand in their paths."""
 
 from __future__ import annotations
 
