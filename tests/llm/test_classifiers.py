@@ -12,6 +12,7 @@ from strandlake.llm.queries import op2_toxicity, op4_language, op9_quality
 SF = "/root/testdata/sf0.01"
 ODD = [(1, None, "en"), (2, "", None), (3, "  \n\n", "en"), (4, "1234 !!", "xx"), (None, "some text", "en"),
        (5, "wörd " * 30_000, "de"), (5, "wörd " * 30_000, "de")]
+ODD = [(*r, "h", "s", 1) for r in ODD]
 SCHEMA = "doc_id long, text string, lang string, held_out string, score string, label int"
 
 

@@ -77,3 +77,14 @@ def test_mixed_documents_are_in_order(spark, sf_dir):
     place = {r.doc_id: (r.slot, r.in_block) for r in mixing.mix(docs).collect()}
     order = [place[r.doc_id] for r in mixing.mixed_documents(docs).collect()]
     assert order == sorted(order) and len(order) == len(place)
+
+
+def test_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
+    df = spark.createDataFrame([(i, f"s{min(i % 10, 5)}") for i in range(300)], "doc_id long, source string")
+    rows = mixing.mix(df, block=4).collect()
+    assert Counter(r.source for r in rows) == Counter(r.source for r in df.collect())
+    blocks = {}
+    for r in rows:
+        blocks.setdefault(r.slot, set()).add("rest" if r.source not in ("s5", "s0") else r.source)
+    assert sorted(blocks) == list(range(len(blocks))) and all(len(b) == 1 for b in blocks.values())
