@@ -8,6 +8,8 @@ from .textkit import whole_texts
 
 #: fixed values: the characters [\x20\x09-\x0D], which do not count
 BLANK = "\t\n\x0b\x0c\r "
+#: characters of a content that splitters hold
+BEGIN = 48
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -17,8 +19,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stays, of equally long ones the smallest id.
 
     Copies are first summed on the map side, to one row per content and length. These
-    rows are range-partitioned by content, with splitters that Spark samples, and sorted
-    on disk; equal contents are then neighbours, told apart by comparing them in full.
+    rows are range-partitioned by the beginning of the content (and its hash, as many may
+    begin alike), with splitters that Spark samples, and sorted on disk; equal contents are
+    then neighbours, told apart by comparing them in full.
     A group of any size costs one row per length and map task, so no group is hot. Only
     the digest of each content goes back to the documents; that join is on a skewed key
     and left to adaptive execution, which splits it.
@@ -33,8 +36,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "doc_id", norm.alias("norm"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("len"))
     copies = rows.groupBy("norm", "len").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     best_first = [F.col("first_id").isNull().asc(), F.col("len").desc(), F.col("first_id").asc()]
-    ordered = copies.repartitionByRange("norm").sortWithinPartitions("norm", *best_first)
-    equal = Window.partitionBy("norm")
+    # splitters are sampled from the beginnings of the contents; a hash splits those that begin alike
+    keyed = copies.withColumns({"begin": F.substring("norm", 1, BEGIN), "mark": F.xxhash64("norm")})
+    ordered = keyed.repartitionByRange("begin", "mark").sortWithinPartitions("begin", "mark", "norm", *best_first)
+    equal = Window.partitionBy("begin", "mark", "norm")
     best = equal.orderBy(*best_first)
     heads = (
         ordered
