@@ -164,11 +164,20 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
 
 def mixed_documents(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK) -> DataFrame:
     """All documents with their columns, sorted by their place in the mix."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    row, slot, place = (unused(docs, n) for n in ("_row", "_slot", "_place"))
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
     ids = docs.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
                       F.monotonically_increasing_id().alias("_row"))
-    order = _placed(ids, weights, block).select("_row", F.col("slot").alias("_slot"), F.col("in_block").alias("_place"))
+    order = _placed(ids, weights, block).select(
+        F.col("_row").alias(row), F.col("slot").alias(slot), F.col("in_block").alias(place))
     return (
-        rows.join(order, "_row").repartitionByRange("_slot", "_place").sortWithinPartitions("_slot", "_place")
+        rows.join(order, row).repartitionByRange(slot, place).sortWithinPartitions(slot, place)
         .select(*docs.columns)
     )
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name

@@ -43,6 +43,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# the same results by plain joins over all shingles and over all strings of 50 bytes
+LINKS = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), s as (
+  select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) as sh
+  from w where len(w) > 0
+), n as (select doc_id, count(*) as n from s group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by 1, 2
+), link as (
+  select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)
+), edge as (select a, b from link union select b, a from link),
+reach as (
+  select doc_id, doc_id as r from documents
+  union select edge.b, reach.r from reach join edge on edge.a = reach.doc_id
+)
+select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r) as component_id
+from documents d join reach on reach.doc_id = d.doc_id left join n on n.doc_id = d.doc_id group by d.doc_id
+"""
+REPEATS = r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select doc_id, p, substr(h, 2 * p + 1, 100) as s from (
+  select doc_id, h, unnest(range(0, length(h) // 2 - 49)) as p from d)),
+f as (select s, min(doc_id) as m from w group by s),
+c as (select w.doc_id, p from w join f on f.s = w.s where m < w.doc_id),
+i as (
+  select doc_id, min(p) as s, max(p) + 50 as e from (
+    select doc_id, p, sum(fresh) over (partition by doc_id order by p) as g from (
+      select doc_id, p, case when p - lag(p) over (partition by doc_id order by p) <= 50 then 0 else 1 end as fresh from c))
+  group by doc_id, g),
+k as (
+  select i.doc_id, s, substr(h, 2 * coalesce(lag(e) over (partition by i.doc_id order by s), 0) + 1,
+    2 * (s - coalesce(lag(e) over (partition by i.doc_id order by s), 0))) as piece, e from i join d on d.doc_id = i.doc_id),
+r as (select doc_id, sum(e - s) as gone, count(*) as spans, string_agg(piece, '' order by s) as kept, max(e) as last from k group by doc_id)
+select d.doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(gone, 0) as bigint) as n_removed,
+  coalesce(spans, 0) as n_spans, sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from d left join r on r.doc_id = d.doc_id
+"""
+
+
 @query("""
 with t as (
   select doc_id, coalesce(text, '') as text,
@@ -61,7 +104,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(LINKS)
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(table(spark, sf_dir, "documents"))
 
@@ -96,7 +139,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query()
+@query(REPEATS)
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 

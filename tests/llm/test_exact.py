@@ -16,8 +16,8 @@ from strandlake.llm.ngram_jaccard import link_components
 SCHEMA = "doc_id long, text string, norm string, len int, rank int"
 
 
-def test_equals_sql(spark, duck, sf_dir):
-    name = "op10_exact_dedup"
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_equals_sql(spark, duck, sf_dir, name):
     line, ok, _ = compare(spark, duck, sf_dir, name, queries.QUERIES[name], queries.ORACLE[name])
     assert ok, line
 

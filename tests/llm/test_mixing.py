@@ -66,6 +66,7 @@ def test_odd_rows(spark):
     got = mixing.mix(df).collect()
     assert Counter((r.doc_id, r.source) for r in got) == Counter((a, b or "") for a, b, _ in rows)
     assert mixing.mix(df.limit(0)).count() == 0
+    df = df.withColumnRenamed("slot", "_row").selectExpr("*", "'a' as _Slot", "1 as block")
     whole = mixing.mixed_documents(df)
     assert whole.columns == df.columns and sorted(map(str, whole.collect())) == sorted(map(str, df.collect()))
     with pytest.raises(ValueError):
