@@ -148,3 +148,21 @@ def test_intermediates_can_be_dropped(spark):
     staged = session.stage(spark.range(3), "x")
     assert staged.count() == 3 and session.drop_staged(spark) == 1 and not session._staged
     session._staged[:] = kept
+
+
+def test_reads_of_all_samples_are_listed_at_once(spark, tmp_path):
+    import pytest
+
+    from strandlake.sources.tables import list_sample_reads
+
+    for s in ("a", "b"):
+        (tmp_path / s).mkdir()
+        for m in (1, 2):
+            (tmp_path / s / f"{s}_R{m}.fastq.gz").touch()
+    rows = list_sample_reads(spark, {"x": str(tmp_path / "a"), "y": str(tmp_path / "b")}).collect()
+    assert [(r["sample"], r["path"].rsplit("/", 1)[-1]) for r in rows] == [
+        ("x", "a_R1.fastq.gz"), ("x", "a_R2.fastq.gz"), ("y", "b_R1.fastq.gz"), ("y", "b_R2.fastq.gz")]
+    with pytest.raises(FileNotFoundError):
+        list_sample_reads(spark, {"x": str(tmp_path)})
+    with pytest.raises(ValueError):
+        list_sample_reads(spark, {})
