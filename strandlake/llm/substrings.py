@@ -17,9 +17,10 @@ from .textkit import SpanHash, Texts, mix, slices, unzipped, whole_texts, zipped
 LENGTH = 50
 #: bytes of the grams among which each string picks its anchor
 GRAM = 16
-#: anchors that one task compares, and bytes of contexts in one suffix array, about
+#: anchors that one task compares, bytes of contexts that one task gets, and those in one suffix array, about
 TASK_ANCHORS = 800_000
-TASK_BYTES = 1 << 20
+TASK_BYTES = 1 << 22
+ARRAY_BYTES = 1 << 17
 #: an anchor with more different contexts is split by what stands around it
 MANY_CONTEXTS = 2000
 #: an anchor with more different contexts in one map task is known to be shared by different ones
@@ -111,7 +112,9 @@ def _sorted_out(anchor: np.ndarray, context: np.ndarray, doc: np.ndarray) -> tup
     known: a smaller document has the same context, so that all its strings go; first: the
     smallest document with the context; number: of the anchor.
     """
-    order = np.lexsort((doc, context, anchor))
+    # the upper bits of both decide; where they do not, a pair more has to be compared
+    upper = anchor if anchor.dtype == np.uint32 else anchor >> np.uint64(32)
+    order = np.lexsort((doc, (upper.astype(np.uint64) << np.uint64(32)) | (context & np.uint64(0xFFFFFFFF))))
     anchor, context, doc = anchor[order], context[order], doc[order]
     same_anchor = anchor[1:] == anchor[:-1]
     same = same_anchor & (context[1:] == context[:-1])
@@ -301,8 +304,8 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
     order of place.
     """
     n = len(codes)
-    stops = np.flatnonzero(codes == 0)
-    left = stops[np.searchsorted(stops, np.arange(n))] - np.arange(n)  # symbols before the end; codes ends with a 0
+    stops = np.flatnonzero(codes == 0)  # the last symbol is one
+    left = np.repeat(stops, np.diff(stops, prepend=-1)) - np.arange(n)  # symbols before the end
     wide = np.zeros(n + 7, np.uint64)
     wide[:n] = codes
     key = np.zeros(n, np.uint64)
@@ -377,9 +380,9 @@ def least_ids(contexts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     codes[inside] = np.frombuffer(b"".join(contexts), np.uint8).astype(np.uint16) + 1
     order = suffix_array(codes)
     apart = common_prefix_groups(codes[order - 1], codes[order], LENGTH)
-    owner = np.searchsorted(starts, order, side="right") - 1
-    whole = (order >= 1) & (order + LENGTH <= (starts + sizes)[owner])
-    own = np.where(whole, ids[owner], np.iinfo(np.int64).max)
+    last = np.repeat(np.concatenate([[0], starts + sizes]), np.concatenate([[1], sizes + 1]))[order]
+    id_of = np.repeat(np.concatenate([[0], ids]), np.concatenate([[1], sizes + 1]))[order]
+    own = np.where(order + LENGTH <= last, id_of, np.iinfo(np.int64).max)
     at = np.flatnonzero(apart)
     least = np.empty(len(codes), np.int64)
     least[order] = np.minimum.reduceat(own, at)[np.cumsum(apart) - 1]
@@ -399,7 +402,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     at = 0
     while at < len(order):  # whole anchors up to the bound go into one suffix array
         end, size = at, 0
-        while end < len(order) and (size < TASK_BYTES or anchor[order[end]] == anchor[order[end - 1]]):
+        while end < len(order) and (size < ARRAY_BYTES or anchor[order[end]] == anchor[order[end - 1]]):
             size += len(context[order[end]])
             end += 1
         own = order[at:end]
@@ -459,15 +462,20 @@ def repeated_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = stage(_found(zipped(docs).join(of_doc, "doc_id").select("doc_id", "z", "gone", "compare")), "contexts", "zstd")
     open_ = found.filter("context is not null")
     many = open_.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MANY_CONTEXTS).select("anchor")
-    apart = _split_around(open_.join(many, "anchor", "left_semi"))
+    # parts of different contexts may be alike: of these too only the first document's is compared
+    apart = stage(_split_around(open_.join(many, "anchor", "left_semi")), "parts", "zstd")
+    first = apart.groupBy("anchor", "context").agg(F.min("doc_id").alias("first_doc"))
+    apart = apart.join(first, ["anchor", "context"])
     size = open_.agg(F.sum(F.octet_length("context"))).first()[0] or 0
-    parts = max(32, int(size / (4 * TASK_BYTES)))
+    parts = max(32, int(size / TASK_BYTES))
     compared = (
-        open_.join(many, "anchor", "left_anti").select(*open_.columns).unionByName(apart)
+        open_.join(many, "anchor", "left_anti").select(*open_.columns).unionByName(
+            apart.filter("doc_id = first_doc").select(*open_.columns))
         .withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
         .groupBy("task").applyInArrow(_repeated, "ch long, doc_id long, s long, e long")
     )
-    cuts = found.filter("context is null").select("ch", "doc_id", "s", "e").unionByName(compared)
+    cuts = found.filter("context is null").select("ch", "doc_id", "s", "e").unionByName(compared).unionByName(
+        apart.filter("doc_id > first_doc").select("ch", "doc_id", "s", "e"))
     return rows, cuts.join(firsts.select("ch", F.col("first_id").alias("doc_id")), ["ch", "doc_id"]).select("ch", "s", "e")
 
 
