@@ -13,6 +13,7 @@ from strandlake.llm.mixing import mixed_documents
 from strandlake.llm.ngram_jaccard import keep_one_of_each
 from strandlake.llm.packing import pack_documents
 from strandlake.llm.queries import table, vocabulary
+from strandlake.llm.textkit import small_batches
 from strandlake.llm.toxicity import drop_toxic
 from strandlake.session import stage
 
@@ -24,21 +25,25 @@ def drop_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The longest, then first document of each group of equal texts."""
+    small_batches(spark)
     return keep_distinct(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group that links of similarity 0.8 hold together."""
+    small_batches(spark)
     return keep_one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: its place decides the file and the place in it."""
+    small_batches(spark)
     return mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece of a document with its sequence and place."""
+    small_batches(spark)
     return pack_documents(docs, vocabulary())
 
 

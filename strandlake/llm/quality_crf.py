@@ -216,6 +216,6 @@ def quality(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_P
     empty weigh the lines equally. Repeated rows are scored alike. Without labels (or with
     one label only) every score is the smoothed share of label 1. Empty table: no rows.
     """
-    sample = labelled_sample(docs, labels, "quality", sample_per_label).toArrow()
-    model = fit(sample, label_counts(labels, "quality"))
+    totals = label_counts(labels, "quality")
+    model = fit(labelled_sample(docs, labels, "quality", sample_per_label, totals).toArrow(), totals)
     return score(docs, model, threshold).select("doc_id", is_held_out().alias("held_out"), "score", "predicted")

@@ -15,6 +15,7 @@ from .packing import VOCABULARY, pack_documents
 from .quality_crf import quality
 from .quality_rules import apply_rules
 from .substrings import remove_repeats
+from .textkit import small_batches
 from .toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,7 @@ def vocabulary() -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

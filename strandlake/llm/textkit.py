@@ -6,13 +6,14 @@ megabytes; a single longer text forms a slice of its own. Nulls count as empty t
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 1 << 20
 
@@ -154,6 +155,19 @@ def unzipped(column: pa.Array) -> pa.Array:
     return pa.array([press.decompress(z) for z in column.to_pylist()], pa.binary()).cast(pa.string())
 
 
+def small_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Has Spark send texts to Python tasks in Arrow batches of a few megabytes, not 64, in this session.
+
+    Both sides of a task hold whole batches, so that these decide its memory more than the
+    operators do. A smaller setting of the session stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get(name).lower()).groups()
+    now = int(size) << 10 * " kmgt".index(unit or " ")
+    if not 0 < now <= limit:
+        spark.conf.set(name, f"{limit}b")
+
+
 def per_text(counts: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
     """Sum of counts by text number."""
     return np.bincount(docs, weights=counts, minlength=n).astype(np.int64)
@@ -204,23 +218,15 @@ class Chars:
         return at, h[at]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
-                    order_by: Column | None = None) -> DataFrame:
-    """At most ``bound`` labelled texts of each label value 0 and 1 outside the held-out rows: text, label.
+def few_by_hash(rows: DataFrame, count: int, bound: int, id_col: str = "doc_id") -> DataFrame:
+    """At most ``bound`` of the ``count`` rows, chosen by a hash of the id.
 
-    Which ones is settled by a hash of the id. Only ids and labels are ordered; the chosen
-    ones (bounded, hence broadcast) then pick their texts from one scan of the documents.
+    A threshold on the hash leaves about twice as many as are wanted, so that what is
+    ordered for the exact bound does not grow with the table.
     """
-    known = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~is_held_out())
-    )
-    order = order_by if order_by is not None else F.xxhash64("doc_id")
-    chosen = None
-    for v in (0, 1):
-        part = known.filter(F.col("label") == v).orderBy(order, "doc_id").limit(bound)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    return whole_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+    share = min(1.0, 2.0 * bound / max(1, count) + 64.0 / max(1, count))
+    mark = F.pmod(F.xxhash64(id_col), F.lit(1 << 40))
+    return rows.filter(mark <= int(share * (1 << 40))).orderBy(F.xxhash64(id_col), id_col).limit(bound)
 
 
 def label_counts(labels: DataFrame, label: str) -> dict[int, int]:
@@ -232,6 +238,21 @@ def label_counts(labels: DataFrame, label: str) -> dict[int, int]:
     return {r["label"]: r["count"] for r in got}
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int, totals: dict[int, int]) -> DataFrame:
+    """At most ``bound`` labelled texts of each label value 0 and 1 outside the held-out rows: doc_id, text, label.
+
+    ``totals`` are the label counts. Only ids and labels are ordered; the chosen ones
+    (bounded, hence broadcast) then pick their texts from one scan of the documents.
+    """
+    known = (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+        .filter(F.col("doc_id").isNotNull() & ~is_held_out())
+    )
+    parts = [few_by_hash(known.filter(F.col("label") == v), totals.get(v, 0), bound) for v in (0, 1)]
+    chosen = parts[0].unionByName(parts[1])
+    return whole_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+
+
 def logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 

@@ -124,16 +124,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_
     smoothed share of label 1. Rows with a null id are scored and never learned from.
     Empty table: no rows.
     """
-    sample = labelled_sample(docs, labels, "toxic", sample_per_label).toArrow()
-    model = fit(sample, label_counts(labels, "toxic"))
+    totals = label_counts(labels, "toxic")
+    model = fit(labelled_sample(docs, labels, "toxic", sample_per_label, totals).toArrow(), totals)
     return score(docs, model, threshold).select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER_LABEL,
                threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns; each row is judged where it lies."""
-    sample = labelled_sample(docs, labels, "toxic", sample_per_label).toArrow()
-    model = fit(sample, label_counts(labels, "toxic"))
+    totals = label_counts(labels, "toxic")
+    model = fit(labelled_sample(docs, labels, "toxic", sample_per_label, totals).toArrow(), totals)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _features(model)

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
-from strandlake.llm.textkit import Chars, SpanHash, Texts, fit_logistic, logistic, slices
+from strandlake.llm.textkit import Chars, SpanHash, Texts, fit_logistic, logistic, slices, small_batches
 
 ODD = st.lists(st.one_of(st.none(), st.text(alphabet=" \n\t\x0b\x0c\r\x1c\u0085 abé日🙂.", max_size=12)), max_size=6)
 
@@ -53,3 +53,15 @@ def test_logistic_regression_separates():
     y = (x[:, 0] - x[:, 1] > 0).astype(float)
     beta, bias = fit_logistic(x, y, np.ones(400), l2=1e-4, steps=500)
     assert ((logistic(x @ beta + bias) > 0.5) == (y == 1)).mean() > 0.97
+
+
+def test_batch_limit(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(name)
+    try:
+        for given, want in (("64m", "4194304b"), ("1m", "1m"), ("67108864b", "4194304b"), ("100b", "100b")):
+            spark.conf.set(name, given)
+            small_batches(spark)
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, old)
