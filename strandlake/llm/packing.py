@@ -20,7 +20,9 @@ END_ID = 2
 #: pieces that one best-fit run sees; the waste of a run is a few open sequences at its end
 RUN_PIECES = 16384
 #: a worker remembers the ids of distinct chunks of text up to so many bytes of chunks
-CACHE_BYTES = 16 << 20
+CACHE_BYTES = 8 << 20
+#: bytes of text that are encoded together, about
+SLICE = 1 << 19
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -64,7 +66,7 @@ class Encoder:
         self.reset()
 
     def reset(self) -> None:
-        self.keys, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.ids, self.bytes = np.zeros(0, np.uint32), 0
 
     def _learn(self, keys: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
@@ -85,11 +87,11 @@ class Encoder:
         more = np.fromiter(chain.from_iterable(got), np.uint32)
         first = len(self.ids) + np.cumsum(size) - size
         self.ids = np.concatenate([self.ids, ids, more])
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.first = np.concatenate([self.first, first])[order]
-        self.size = np.concatenate([self.size, size])[order]
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, at, keys[order])
+        self.first = np.insert(self.first, at, first[order])
+        self.size = np.insert(self.size, at, size[order])
         self.bytes += int((end - begin).sum())
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +111,7 @@ class Encoder:
             new = where[~known]
             self._learn(keys[~known], texts.data, begin[new], end[new])
             at = np.searchsorted(self.keys, keys)
-        first, size = self.first[at][back], self.size[at][back]
+        first, size = self.first[at][back].astype(np.int64), self.size[at][back].astype(np.int64)
         total = np.cumsum(size)
         ids = self.ids[np.arange(int(total[-1])) + np.repeat(first - (total - size), size)]
         doc = np.searchsorted(texts.ends, begin, side="right")
@@ -138,7 +140,7 @@ def pieces(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end_id: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(vocabulary)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 texts = Texts(part.column("text"))
                 ids, counts = encoder.encode(texts)
                 rows: list[tuple] = []
@@ -261,7 +263,7 @@ def packed_ids(docs: DataFrame, packed: DataFrame, vocabulary: str, sequence: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(vocabulary)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 ids, counts = encoder.encode(Texts(part.column("text")))
                 at, out = 0, []
                 for doc_id, n in zip(part.column("doc_id").to_pylist(), counts.tolist()):
