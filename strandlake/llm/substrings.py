@@ -18,7 +18,7 @@ LENGTH = 50
 #: bytes of the grams among which each string picks its anchor
 GRAM = 16
 #: anchors that one task compares, bytes of contexts that one task gets, and those in one suffix array, about
-TASK_ANCHORS = 800_000
+TASK_ANCHORS = 1_600_000
 TASK_BYTES = 1 << 22
 ARRAY_BYTES = 1 << 17
 #: an anchor with more different contexts is split by what stands around it
@@ -461,7 +461,8 @@ def repeated_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of_doc = of_doc.join(firsts.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     found = stage(_found(zipped(docs).join(of_doc, "doc_id").select("doc_id", "z", "gone", "compare")), "contexts", "zstd")
     open_ = found.filter("context is not null")
-    many = open_.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MANY_CONTEXTS).select("anchor")
+    # written, so that Spark knows its size: while it is small, the contexts are not shuffled for it
+    many = stage(open_.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MANY_CONTEXTS).select("anchor"), "many")
     # parts of different contexts may be alike: of these too only the first document's is compared
     apart = stage(_split_around(open_.join(many, "anchor", "left_semi")), "parts", "zstd")
     first = apart.groupBy("anchor", "context").agg(F.min("doc_id").alias("first_doc"))
