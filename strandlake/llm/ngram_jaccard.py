@@ -19,6 +19,8 @@ WORDS = 5
 GROUPS = 64
 #: token signatures that one task compares, about
 TASK_SIGNATURES = 400_000
+#: a signature of more sets of one map task is known to be shared: its sets need not all meet in one task
+MANY_LOCAL = 64
 #: points that one task joins, about
 TASK_POINTS = 20_000
 #: points of an R-tree that one task joins with another such tree
@@ -201,8 +203,14 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def _dealt_signatures(docs: DataFrame, tasks: int) -> DataFrame:
-    """Signatures of each distinct set, packed by the task that will compare them."""
-    flush = 1 << 21
+    """Signatures of each distinct set, packed by the task that will compare them.
+
+    The lowest bit of a signature is a mark. Where very many sets of one map task show a
+    signature, two of them go on to its task, marked; the others, which are sure to meet
+    them, pass through tasks chosen at random (from ``tasks`` on). What comes together
+    for one signature thus does not grow with the number of sets that show it.
+    """
+    flush = 1 << 20
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -211,7 +219,20 @@ def _dealt_signatures(docs: DataFrame, tasks: int) -> DataFrame:
 
         def packed() -> Iterator[pa.RecordBatch]:
             sig, fp = (np.concatenate(x) for x in zip(*held))
-            yield from pack(sig, fp, (sig % np.uint64(tasks)).astype(np.int32))
+            sig &= ~np.uint64(1)
+            to = (mix(sig) % np.uint64(tasks)).astype(np.int32)
+            order = np.argsort(sig, kind="stable")
+            new = np.flatnonzero(np.concatenate([[True], sig[order][1:] != sig[order][:-1]]))
+            size = np.diff(np.append(new, len(order)))
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order)) - np.repeat(new, size)
+            hot = np.empty(len(order), bool)
+            hot[order] = np.repeat(size > MANY_LOCAL, size)
+            sig[hot] |= np.uint64(1)
+            over = hot & (place > 1)
+            to[over] = tasks + (mix(fp[over].view(np.uint64)) % np.uint64(tasks)).astype(np.int32)
+            order = np.lexsort((np.arange(len(to)), to))
+            yield from pack(sig[order], fp[order], to[order])
 
         for batch in batches:
             for part in slices(batch):
@@ -236,30 +257,39 @@ def _dealt_signatures(docs: DataFrame, tasks: int) -> DataFrame:
     return texts.mapInArrow(run, SCHEMA)
 
 
-def _meeting_sets(table: pa.Table) -> pa.Table:
-    """Sets that show the same signature, as (bucket, fp); buckets with the same sets are one."""
-    sig, fp = unpack(table)
-    order = np.argsort(sig, kind="stable")
-    sig, fp = sig[order], fp[order]
-    met = np.zeros(len(sig), bool)
-    same = sig[1:] == sig[:-1]
-    met[1:] |= same
-    met[:-1] |= same
-    sig, fp = sig[met], fp[met]
-    order = np.lexsort((fp, sig))
-    sig, fp = sig[order], fp[order]
-    fresh = np.ones(len(sig), bool)
-    fresh[1:] = (sig[1:] != sig[:-1]) | (fp[1:] != fp[:-1])
-    sig, fp = sig[fresh], fp[fresh]
-    new = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
-    size = np.diff(np.append(new, len(sig)))
-    bucket = mix(_sums(mix(fp.view(np.uint64)), size) + size.astype(np.uint64))
-    _, first = np.unique(bucket, return_index=True)
-    chosen = np.zeros(len(size), bool)
-    chosen[first] = True
-    chosen &= size > 1
-    rows = np.repeat(chosen, size)
-    return pa.table({"bucket": np.repeat(bucket, size)[rows].view(np.int64), "fp": fp[rows]})
+def _meeting_sets(tasks: int):
+    """Sets that show the same signature, as (bucket, fp).
+
+    Buckets with the same sets are one; that of a marked signature is known by the
+    signature itself, as other tasks hold sets of it too.
+    """
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        sig, fp = unpack(table)
+        if key[0].as_py() >= tasks:
+            return pa.table({"bucket": mix(sig >> np.uint64(1)).view(np.int64), "fp": fp})
+        marked = (sig & np.uint64(1)) == 1
+        sig = sig >> np.uint64(1)
+        order = np.lexsort((fp, sig))
+        sig, fp, marked = sig[order], fp[order], marked[order]
+        new = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        group = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(sig))))
+        hot = np.zeros(len(new), bool)
+        hot[group[marked]] = True
+        fresh = np.ones(len(sig), bool)
+        fresh[1:] = (sig[1:] != sig[:-1]) | (fp[1:] != fp[:-1])
+        sig, fp, group = sig[fresh], fp[fresh], group[fresh]
+        size = np.bincount(group, minlength=len(new))
+        bucket = mix(_sums(mix(fp.view(np.uint64)), size) + size.astype(np.uint64))
+        bucket[hot] = mix(sig[np.cumsum(size) - size][hot])
+        _, first = np.unique(bucket, return_index=True)
+        chosen = np.zeros(len(size), bool)
+        chosen[first] = True
+        chosen &= (size > 1) | hot
+        rows = np.repeat(chosen, size)
+        return pa.table({"bucket": np.repeat(bucket, size)[rows].view(np.int64), "fp": fp[rows]})
+
+    return run
 
 
 class RTree:
@@ -509,7 +539,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                          F.first("vec").alias("vec")), "points")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     tasks = max(32, int(total * 0.4 / TASK_SIGNATURES))
-    met = _dealt_signatures(docs, tasks).groupBy("task").applyInArrow(_meeting_sets, "bucket long, fp long")
+    met = _dealt_signatures(docs, tasks).groupBy("task").applyInArrow(_meeting_sets(tasks), "bucket long, fp long")
     met = stage(met.distinct(), "buckets")
     # the point in most buckets is the least changed copy of a group
     often = met.groupBy("fp").agg(F.count("*").alias("often"))

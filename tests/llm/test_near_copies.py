@@ -79,6 +79,7 @@ def test_equals_all_pairs(spark):
 
 def test_buckets_larger_than_a_tree(spark, monkeypatch):
     monkeypatch.setattr(join, "TREE_POINTS", 7)
+    monkeypatch.setattr(join, "MANY_LOCAL", 3)
     rows = clusters(11, 6, [40])
     assert result(spark.createDataFrame(rows, SCHEMA)) == by_all_pairs(rows)
 
