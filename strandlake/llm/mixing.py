@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -12,8 +15,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 #: documents of a source that are scheduled together
 BLOCK = 8
-#: slots of a period, at least; a source's weight is a whole number of them
-PERIOD = 4096
+#: whole tickets that stand for all weights together; a mix is short against it, so that none is off by a block
+PERIOD = 1 << 48
 #: so many sources, the largest ones, are scheduled by themselves; all others together take part as one
 MAX_SOURCES = 512
 REST = "\0rest"
@@ -23,31 +26,54 @@ EXPONENT = 0.7
 ORDERED_ROWS = 512
 
 
-def pfair(tickets: list[int]) -> list[int]:
-    """Source of each of ``sum(tickets)`` slots, earliest deadline first.
+def deal(blocks: list[int], tickets: list[int]) -> np.ndarray:
+    """Source of each of ``sum(blocks)`` slots, earliest deadline first; all numbers are above 0.
 
-    With period Q and k tickets, job j of a source is released at floor(j Q / k) and due
-    by ceil((j + 1) Q / k). Every job then meets its window, so that after any number t of
-    slots a source has had less than one slot more or less than t k / Q.
+    In the ideal mix every source runs at its share of the tickets of those that are not yet
+    used up; F(v) = sum of min(blocks, v tickets) slots are then over when a source with k
+    tickets has had v k of its blocks. Block j of it is released at floor(F(j / k)) and due by
+    ceil(F((j + 1) / k)). The ideal mix fills all slots and keeps to these windows, so that
+    earliest deadline first does too: after any number of slots a source has had less than one
+    block more or less than in the ideal mix. Whole numbers throughout, nothing is rounded.
     """
-    q = sum(tickets)
-    future = [(0, s, 0) for s, k in enumerate(tickets) if k]
-    heapq.heapify(future)
-    ready: list[tuple[int, int, int]] = []
-    out = []
-    for t in range(q):
+    shift = 2 * max(tickets).bit_length() + 2  # tells any two fractions over tickets apart
+    ends = sorted(((n << shift) // k, n, k) for n, k in zip(blocks, tickets))
+    at = [e for e, _, _ in ends]
+    over = [0, *accumulate(n for _, n, _ in ends)]
+    left = [*accumulate((k for _, _, k in reversed(ends)), initial=0)][::-1]
+
+    def window_end(s: int, j: int) -> tuple[int, int]:
+        k = tickets[s]
+        gone = bisect_right(at, (j << shift) // k)
+        whole, rest = divmod(j * left[gone], k)
+        return over[gone] + whole, over[gone] + whole + (rest > 0)
+
+    edge = [window_end(s, 1) for s in range(len(blocks))]  # of the block that is next
+    had = [0] * len(blocks)
+    future, ready = [(0, s) for s in range(len(blocks))], []
+    out = np.empty(over[-1], np.int32)
+    for t in range(over[-1]):
         while future and future[0][0] <= t:
-            _, s, j = heapq.heappop(future)
-            heapq.heappush(ready, (-(-(j + 1) * q // tickets[s]), s, j))
-        due, s, j = heapq.heappop(ready)
+            s = heapq.heappop(future)[1]
+            heapq.heappush(ready, (edge[s][1], s))
+        due, s = heapq.heappop(ready)
         if due <= t:
             raise AssertionError("a block missed its deadline")
-        out.append(s)
-        if j + 1 < tickets[s]:
-            heapq.heappush(future, ((j + 1) * q // tickets[s], s, j + 1))
+        out[t] = s
+        had[s] += 1
+        if had[s] < blocks[s]:
+            heapq.heappush(future, (edge[s][0], s))
+            edge[s] = window_end(s, had[s] + 1)
     return out
 
 
+def pfair(tickets: list[int]) -> list[int]:
+    """Source of each of ``sum(tickets)`` slots: after any number t of them a source with k tickets
+    has had less than one slot more or less than t k / Q, Q being their sum."""
+    own = [s for s, k in enumerate(tickets) if k]
+    return [own[i] for i in deal([tickets[s] for s in own], [tickets[s] for s in own]).tolist()] if own else []
+
+
 def tickets_for(weights: list[float], period: int) -> list[int]:
     """Whole numbers near the weights with sum ``period``, one at least each (largest remainders)."""
     total = sum(weights)
@@ -60,45 +86,40 @@ def tickets_for(weights: list[float], period: int) -> list[int]:
 
 
 @dataclass
-class Phase:
-    """A stretch of the mix: its first slot, and for each source its first and last block and slots in a period."""
-
-    base: int
-    period: int
-    first: dict[str, int]
-    until: dict[str, int]
-    slots: dict[str, np.ndarray]
-
-
-def schedule(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[Phase]:
-    """Phases until all blocks are placed. Each ends as soon as a source has run out; the others share its weight."""
-    placed = {s: 0 for s in blocks}
-    phases, base = [], 0
-    while active := sorted(s for s in blocks if placed[s] < blocks[s]):
-        q = max(period, 8 * len(active))
-        line = np.array(pfair(tickets_for([weights[s] for s in active], q)))
-        slots = {s: np.flatnonzero(line == i) for i, s in enumerate(active)}
-        length = min(
-            (blocks[s] - placed[s] - 1) // len(slots[s]) * q + int(slots[s][(blocks[s] - placed[s] - 1) % len(slots[s])]) + 1
-            for s in active)
-        until = {s: placed[s] + length // q * len(slots[s]) + int(np.searchsorted(slots[s], length % q)) for s in active}
-        phases.append(Phase(base, q, {s: placed[s] for s in active}, until, slots))
-        placed |= until
-        base += length
-    return phases
-
-
-def slot_of(phases: list[Phase], source: str, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Schedule:
+    """The slots of each source's blocks, one source after the other, and the slots at which phases end."""
+
+    sources: pd.Index
+    first: np.ndarray
+    slots: np.ndarray
+    ends: np.ndarray
+
+
+def schedule(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> Schedule:
+    """Places all blocks. A phase ends as soon as a source is used up; the others share its weight."""
+    names = sorted(s for s in blocks if blocks[s])
+    if not names:
+        return Schedule(pd.Index([], dtype=object), *[np.zeros(0, np.int64)] * 3)
+    n = [blocks[s] for s in names]
+    k = tickets_for([weights[s] for s in names], max(period, 8 * len(names)))
+    line = deal(n, k)
+    ends, over, left = [], 0, sum(k)
+    for size, tickets in sorted(zip(n, k), key=lambda x: Fraction(*x)):
+        ends.append(over + size * left // tickets)
+        over, left = over + size, left - tickets
+    first = np.cumsum([0, *n[:-1]])
+    return Schedule(pd.Index(names, dtype=object), first, np.argsort(line, kind="stable"), np.unique(ends))
+
+
+def slots_of(plan: Schedule, sources: pd.Series, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slot and phase of each given block of the source beside it."""
+    slot = plan.slots[plan.first[plan.sources.get_indexer(sources)] + block]
+    return slot, np.searchsorted(plan.ends, slot, side="right").astype(np.int32)
+
+
+def slot_of(plan: Schedule, source: str, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slot and phase of the given blocks of a source."""
-    slot, phase = np.full(len(block), -1, np.int64), np.full(len(block), -1, np.int32)
-    for k, p in enumerate(phases):
-        if source in p.first:
-            own = (block >= p.first[source]) & (block < p.until[source])
-            i = block[own] - p.first[source]
-            n = len(p.slots[source])
-            slot[own] = p.base + i // n * p.period + p.slots[source][i % n]
-            phase[own] = k
-    return slot, phase
+    return slots_of(plan, pd.Series([source] * len(block), dtype=object), block)
 
 
 def _placed(ids: DataFrame, weights: dict[str, float] | None, block: int) -> DataFrame:
@@ -113,7 +134,7 @@ def _placed(ids: DataFrame, weights: dict[str, float] | None, block: int) -> Dat
     targets = {s: (weights or {}).get(s, (n / total) ** EXPONENT) for s, n in counts.items()}
     if any(w <= 0 for w in targets.values()):
         raise ValueError("target weights must be above 0")
-    phases = schedule({s: -(-n // block) for s, n in counts.items()}, targets)
+    plan = schedule({s: -(-n // block) for s, n in counts.items()}, targets)
     # the order within a source is random but fixed; it is ranked by ranges, so that no source meets in one task
     ranges = min(1 << 16, max(1, total // ORDERED_ROWS))
     keyed = ids.withColumn("_group", group).withColumn("_key", F.xxhash64("_row")).withColumn(
@@ -132,9 +153,7 @@ def _placed(ids: DataFrame, weights: dict[str, float] | None, block: int) -> Dat
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            slot, phase = np.full(len(pdf), -1, np.int64), np.full(len(pdf), -1, np.int32)
-            for s, at in pdf.groupby("_group", sort=False).indices.items():
-                slot[at], phase[at] = slot_of(phases, s, pdf["block"].to_numpy()[at])
+            slot, phase = slots_of(plan, pdf["_group"], pdf["block"].to_numpy())
             yield pdf.drop(columns="_group").assign(slot=slot, phase=phase)
 
     kept = [f"{n} {t}" for n, t in ranked.dtypes if n != "_group"]
@@ -146,9 +165,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
 
     Each source's documents, in a fixed random order, are dealt into blocks of ``block``;
     a block takes one slot of the mix. Slots are given out by earliest deadline first, so
-    that in every prefix of a phase each source is within one block of its target weight.
-    A phase ends when a source has run out; then the weights of the others are scaled up.
-    All documents are placed; phase 0 is the stretch at the target weights themselves.
+    that in every prefix of the mix each source is within one block of what its weight gives
+    it. A phase ends when a source has run out; then the weights of the others are scaled up.
+    All documents are placed; phase 0 is the stretch at the target weights themselves. The
+    schedule is listed on the driver, some twelve bytes a block.
 
     ``weights`` gives targets by source (any positive scale); a source without one gets
     its share of documents to the power 0.7. Beyond the ``MAX_SOURCES`` largest sources all

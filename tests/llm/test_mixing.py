@@ -89,3 +89,30 @@ def test_many_sources(spark, monkeypatch):
     for r in rows:
         blocks.setdefault(r.slot, set()).add("rest" if r.source not in ("s5", "s0") else r.source)
     assert sorted(blocks) == list(range(len(blocks))) and all(len(b) == 1 for b in blocks.values())
+
+
+def test_exact_weights_over_many_blocks():
+    """Unequal weights, far beyond 4,096 slots: within one block of t * w in every prefix."""
+    import numpy as np
+
+    names = [f"s{i:02}" for i in range(21)]
+    weights = dict(zip(names, [0.2] + [0.8 * k / 210 for k in range(1, 21)]))
+    plan = mixing.schedule({s: int(40_000 * w) for s, w in weights.items()}, weights)
+    until = int(plan.ends[0])
+    assert until > 35_000
+    for s, w in weights.items():
+        slots, phase = mixing.slot_of(plan, s, np.arange(int(40_000 * w)))
+        had = np.searchsorted(slots, np.arange(until + 1))
+        assert abs(had - np.arange(until + 1) * w).max() < 1
+        assert ((slots < until) == (phase == 0)).all()
+
+
+def test_weights_are_shared_when_a_source_ends():
+    import numpy as np
+
+    plan = mixing.schedule({"a": 10, "b": 400, "c": 90}, {"a": 0.2, "b": 0.5, "c": 0.3})
+    assert [round(e, -1) for e in plan.ends.tolist()] == [50, 250, 500]
+    one, two = int(plan.ends[0]), int(plan.ends[1])
+    had = np.searchsorted(mixing.slot_of(plan, "b", np.arange(400))[0], np.arange(two + 1))
+    ideal = np.where(np.arange(two + 1) <= one, 0.5 * np.arange(two + 1), 0.5 * one + (np.arange(two + 1) - one) * 5 / 8)
+    assert abs(had - ideal).max() < 1
