@@ -17,9 +17,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 BLOCK = 8
 #: whole tickets that stand for all weights together; a mix is short against it, so that none is off by a block
 PERIOD = 1 << 48
-#: so many sources, the largest ones, are scheduled by themselves; all others together take part as one
+#: no longer a bound, every source is scheduled by itself; the name stays for those who set it
 MAX_SOURCES = 512
-REST = "\0rest"
 #: target weight of a source without a given one: its share of documents to this power
 EXPONENT = 0.7
 #: documents that one task orders together, about
@@ -124,28 +123,23 @@ def slot_of(plan: Schedule, source: str, block: np.ndarray) -> tuple[np.ndarray,
 
 def _placed(ids: DataFrame, weights: dict[str, float] | None, block: int) -> DataFrame:
     """Adds block, in_block, slot and phase to (_row, source, ...); ``_row`` is unique."""
-    largest = ids.groupBy("source").count().orderBy(F.desc("count"), "source").limit(MAX_SOURCES).collect()
-    counts = {r["source"]: r["count"] for r in largest}
-    total = ids.count()
-    group = F.col("source")
-    if sum(counts.values()) < total:
-        group = F.when(group.isin(list(counts)), group).otherwise(REST)
-        counts[REST] = total - sum(counts.values())
+    counts = {r["source"]: r["count"] for r in ids.groupBy("source").count().collect()}
+    total = sum(counts.values())
     targets = {s: (weights or {}).get(s, (n / total) ** EXPONENT) for s, n in counts.items()}
     if any(w <= 0 for w in targets.values()):
         raise ValueError("target weights must be above 0")
     plan = schedule({s: -(-n // block) for s, n in counts.items()}, targets)
     # the order within a source is random but fixed; it is ranked by ranges, so that no source meets in one task
     ranges = min(1 << 16, max(1, total // ORDERED_ROWS))
-    keyed = ids.withColumn("_group", group).withColumn("_key", F.xxhash64("_row")).withColumn(
+    keyed = ids.withColumn("_key", F.xxhash64("_row")).withColumn(
         "_range", F.floor((F.shiftrightunsigned("_key", 32) * ranges) / float(1 << 32)).cast("int"))
-    sums = keyed.groupBy("_group", "_range").agg(F.count("*").alias("_n"))
-    base = sums.select("_group", "_range", (F.sum("_n").over(
-        Window.partitionBy("_group").orderBy("_range")) - F.col("_n")).alias("_base"))
+    sums = keyed.groupBy("source", "_range").agg(F.count("*").alias("_n"))
+    base = sums.select("source", "_range", (F.sum("_n").over(
+        Window.partitionBy("source").orderBy("_range")) - F.col("_n")).alias("_base"))
     ranked = (
-        keyed.join(base, ["_group", "_range"])
+        keyed.join(base, ["source", "_range"])
         .withColumn("_i", F.col("_base") + F.row_number().over(
-            Window.partitionBy("_group", "_range").orderBy("_key", "_row")) - 1)
+            Window.partitionBy("source", "_range").orderBy("_key", "_row")) - 1)
         .withColumn("block", F.floor(F.col("_i") / block).cast("long"))
         .withColumn("in_block", F.pmod("_i", F.lit(block)).cast("int"))
         .drop("_key", "_range", "_base", "_i")
@@ -153,10 +147,10 @@ def _placed(ids: DataFrame, weights: dict[str, float] | None, block: int) -> Dat
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            slot, phase = slots_of(plan, pdf["_group"], pdf["block"].to_numpy())
-            yield pdf.drop(columns="_group").assign(slot=slot, phase=phase)
+            slot, phase = slots_of(plan, pdf["source"], pdf["block"].to_numpy())
+            yield pdf.assign(slot=slot, phase=phase)
 
-    kept = [f"{n} {t}" for n, t in ranked.dtypes if n != "_group"]
+    kept = [f"{n} {t}" for n, t in ranked.dtypes]
     return ranked.mapInPandas(run, ", ".join(kept) + ", slot long, phase int")
 
 
@@ -171,8 +165,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     schedule is listed on the driver, some twelve bytes a block.
 
     ``weights`` gives targets by source (any positive scale); a source without one gets
-    its share of documents to the power 0.7. Beyond the ``MAX_SOURCES`` largest sources all
-    others together are scheduled as one. A null source is the source "". Repeated rows
+    its share of documents to the power 0.7. Every source has windows and blocks of its
+    own, however many there are. A null source is the source "". Repeated rows
     and null ids are placed like any other row. Empty table: no rows. ``docs`` must be a
     stored table, so that its row numbers are the same when a task runs again.
     """

@@ -116,3 +116,19 @@ def test_weights_are_shared_when_a_source_ends():
     had = np.searchsorted(mixing.slot_of(plan, "b", np.arange(400))[0], np.arange(two + 1))
     ideal = np.where(np.arange(two + 1) <= one, 0.5 * np.arange(two + 1), 0.5 * one + (np.arange(two + 1) - one) * 5 / 8)
     assert abs(had - ideal).max() < 1
+
+
+def test_weights_hold_beyond_512_sources(spark):
+    """A weight of one of 700 small sources counts, and no block holds two sources."""
+    rows = [(i, f"s{i % 600:03}") for i in range(3600)] + [(3600 + i, f"t{i % 100:02}") for i in range(100)]
+    rows += [(4000 + i, "t00") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(df, {"t00": 5.0, "s000": 5.0} | {s: 0.01 for _, s in rows if s not in ("t00", "s000")}, block=1).collect()
+    assert Counter(r.source for r in got) == Counter(s for _, s in rows)
+    assert len({r.slot for r in got}) == len(rows)
+    assert {r.source for r in got if r.slot < 6 and r.phase == 0} >= {"t00", "s000"}
+    assert max(r.slot for r in got if r.source == "t00") < 12
+    blocks = {}
+    for r in mixing.mix(df, block=4).collect():
+        blocks.setdefault(r.slot, set()).add(r.source)
+    assert sorted(blocks) == list(range(len(blocks))) and all(len(b) == 1 for b in blocks.values())
