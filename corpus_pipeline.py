@@ -42,9 +42,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document with its sequence and place."""
+    """A row per piece of a document with its sequence and place. By sequence_id the sequences follow the mix."""
     small_batches(spark)
-    return pack_documents(docs, vocabulary())
+    return pack_documents(docs, vocabulary(), in_order=True)
 
 
 STAGES = [

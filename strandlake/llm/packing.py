@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
@@ -19,12 +20,16 @@ SEQUENCE = 1024
 END_ID = 2
 #: pieces that one best-fit run sees; the waste of a run is a few open sequences at its end
 RUN_PIECES = 16384
+#: documents of such a run where sequences follow the order of the table; it is how far a piece moves
+ORDERED_RUN = 2048
 #: a worker remembers the ids of distinct chunks of text up to so many bytes of chunks
 CACHE_BYTES = 8 << 20
 #: bytes of text that are encoded together, about
 SLICE = 1 << 19
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+#: bits of a sequence's number for the piece; a text has fewer than 2**31 bytes
+PIECE_BITS = 22
 
 
 _ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
@@ -134,8 +139,29 @@ def cut_lengths(length: int, sequence: int) -> list[int]:
     return ([head] if head else []) + [sequence] * (length // sequence)
 
 
-def pieces(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
-    """Pieces of all documents with the crc32 of their ids (unsigned 32-bit little-endian)."""
+def _with_stand(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and where the row stands: in which part of the table, and its number there.
+
+    Parts of a stored table are its files in order of their names, whatever order they are
+    read in; those of any other table are its partitions.
+    """
+    try:
+        stand = docs.select("*", F.col("_metadata.file_path").alias("_part"), F.col("_metadata.row_index").alias("_number"))
+    except AnalysisException:  # not read from files
+        number = F.monotonically_increasing_id()
+        stand = docs.select("*", F.format_string("%010d", F.shiftright(number, 33)).alias("_part"),
+                            number.bitwiseAND(F.lit((1 << 33) - 1)).alias("_number"))
+    return stand.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "_part", "_number")
+
+
+def pieces(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end_id: int = END_ID, in_order: bool = False) -> DataFrame:
+    """Pieces of all documents with the crc32 of their ids (unsigned 32-bit little-endian), and
+    with ``in_order`` the place of the document in the table."""
+    rows, first = whole_texts(docs), {}
+    if in_order:
+        rows = _with_stand(docs)
+        sizes = sorted((r["_part"], r["count"]) for r in rows.groupBy("_part").count().collect())
+        first = dict(zip([p for p, _ in sizes], accumulate((n for _, n in sizes), initial=0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(vocabulary)
@@ -145,19 +171,23 @@ def pieces(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end_id: i
                 ids, counts = encoder.encode(texts)
                 rows: list[tuple] = []
                 at = 0
-                for doc_id, n in zip(part.column("doc_id").to_pylist(), counts.tolist()):
+                places = part.column("doc_id").to_pylist()  # not used unless in_order
+                if in_order:
+                    places = [first[p] + k for p, k in zip(part.column("_part").to_pylist(), part.column("_number").to_pylist())]
+                for doc_id, place, n in zip(part.column("doc_id").to_pylist(), places, counts.tolist()):
                     own = np.append(ids[at : at + n], np.uint32(end_id)).astype("<u4")
                     at += n
                     start = 0
                     for k, size in enumerate(cut_lengths(n + 1, sequence)):
-                        rows.append((doc_id, k, start, size, zlib.crc32(own[start : start + size])))
+                        rows.append((doc_id, k, start, size, zlib.crc32(own[start : start + size]), place))
                         start += size
-                columns = list(zip(*rows)) if rows else [()] * 5
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                columns = list(zip(*rows)) if rows else [()] * 6
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+                names = ["doc_id", "piece", "start", "length", "ids_crc32", "place"]
+                keep = len(names) if in_order else len(names) - 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)][:keep], names[:keep])
 
-    return whole_texts(docs).mapInArrow(run, PIECES)
+    return rows.mapInArrow(run, PIECES + ", place long" * in_order)
 
 
 def best_fit(lengths: np.ndarray, capacity: np.ndarray, rule: str = "dot") -> tuple[np.ndarray, np.ndarray]:
@@ -240,7 +270,28 @@ def pack(rows: DataFrame, sequence: int = SEQUENCE, max_docs: int | None = None,
     return packed.unionByName(alone)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, **options) -> DataFrame:
+def pack_in_order(rows: DataFrame, sequence: int = SEQUENCE, max_docs: int | None = None, max_attention: float | None = None,
+                  rule: str = "dot", run_pieces: int = ORDERED_RUN) -> DataFrame:
+    """Adds sequence_id and offset to pieces with a place. The shorter pieces of ``run_pieces`` documents in
+    a row are a run, packed for itself. A sequence takes the number of the piece that opens it, by place."""
+    capacity = np.array([sequence, max_docs or sequence, max_attention or float(sequence) ** 2], np.float64)
+    rows = stage(rows, "pieces")
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("place", kind="stable")
+        number, offset = best_fit(pdf["length"].to_numpy(), capacity, rule)
+        opener = np.zeros(int(number.max()) + 1, np.int64)
+        opener[number[offset == 0]] = pdf["place"].to_numpy()[offset == 0]  # all are piece 0
+        return pdf.assign(sequence_id=opener[number] << PIECE_BITS, offset=offset).drop(columns=["run", "place"])
+
+    full = F.col("length") == sequence
+    alone = rows.filter(full).withColumn("sequence_id", F.shiftleft("place", PIECE_BITS) + F.col("piece")).withColumn(
+        "offset", F.lit(0).cast("long")).drop("place")
+    dealt = rows.filter(~full).withColumn("run", F.floor(F.col("place") / run_pieces))
+    return dealt.groupBy("run").applyInPandas(run, f"{PIECES}, sequence_id long, offset long").unionByName(alone)
+
+
+def pack_documents(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, in_order: bool = False, **options) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its ids and the end id. Only documents longer than a sequence are cut,
@@ -249,11 +300,16 @@ def pack_documents(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, *
     pieces and ``max_attention`` summed squares of lengths in a sequence; by default they
     are what ``sequence`` tokens can reach, and then never bind.
 
+    With ``in_order`` the sequences, by sequence_id, follow the rows of the stored table
+    ``docs`` (files by name, rows as they lie in them): a document comes into a sequence
+    opened by one of the same ``ORDERED_RUN`` rows. Else pieces are dealt at random.
+
     Null and empty texts are the end id alone. Rows that repeat are packed as often as they
     occur, null ids too. Ids are computed on whole texts. Empty table: no rows. Other
     columns of ``docs`` are not read.
     """
-    return pack(pieces(docs, vocabulary, sequence), sequence, **options)
+    packing = pack_in_order if in_order else pack
+    return packing(pieces(docs, vocabulary, sequence, in_order=in_order), sequence, **options)
 
 
 def packed_ids(docs: DataFrame, packed: DataFrame, vocabulary: str, sequence: int = SEQUENCE,

@@ -105,6 +105,42 @@ def test_run_gives_the_last_stage(spark, sf_dir, stages):
         (r.doc_id, r.piece, r.ids_crc32) for r in stages[-1].collect())
 
 
+def test_sequences_follow_the_mix(spark, sf_dir):
+    """In every prefix of the sequences the sources have their shares of the mix, not those of the input."""
+    from strandlake.llm.mixing import mix
+    from strandlake.session import stage
+
+    docs = stage(spark.createDataFrame(
+        [(i, ("word " * (i % 90 + 1) if i % 500 else "word " * 3000), "en", "big" if i % 16 else "small", 1) for i in range(6000)],
+        "doc_id long, text string, lang string, source string, n_chars long"), "docs")
+    source = {r.doc_id: r.source for r in docs.collect()}
+    plan = mix(docs).collect()
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # several files, of different sizes
+    try:
+        mixed = stage(corpus_pipeline.mix_sources(spark, docs, sf_dir), "mixed")
+    finally:
+        spark.conf.set(coalesce, "true")
+    assert len(mixed.inputFiles()) > 1
+    rows = corpus_pipeline.pack_sequences(spark, mixed, sf_dir).collect()
+    last = max(r.slot for r in plan if r.phase == 0)
+    length = sum(r.phase == 0 for r in plan)
+    share = sum(r.source == "small" for r in plan if r.slot <= last) / length
+    assert share > 1.8 / 16  # of 1 / 16 in the input
+    order = [source[r.doc_id] for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)) if r.piece == 0]
+    assert len(order) == 6000
+    had = 0
+    for t, s in enumerate(order[: 2048], 1):
+        had += s == "small"
+        assert abs(had - t * share) <= 45
+    assert abs(had - 2048 * share) <= 16
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+    ends = {}
+    for r in rows:
+        ends[r.sequence_id] = ends.get(r.sequence_id, 0) + r.length
+    assert max(ends.values()) <= 1024 and len(ends) <= 1.03 * sum(ends.values()) / 1024 + 3
+
+
 def test_registered():
     names = set(entry.queries())
     assert "pipeline" in names
