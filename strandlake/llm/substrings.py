@@ -149,13 +149,15 @@ def _dealt_contexts(docs: DataFrame, tasks: int) -> DataFrame:
             to[~first] = tasks + spread[~first]
             kinds = np.bincount(number[first], minlength=int(number[-1]) + 1)
             at = np.flatnonzero(first & (kinds[number] > MANY_LOCAL))
-            if len(at):  # of each such anchor two contexts of different documents go on to its task
+            if len(at):  # of each such anchor two contexts go on to its task, of different documents if it has them
                 lead = np.concatenate([[True], number[at][1:] != number[at][:-1]])
                 head = doc[at[lead]][np.cumsum(lead) - 1]
                 other = np.flatnonzero(doc[at] != head)
-                _, pick = np.unique(number[at[other]], return_index=True)
+                several, pick = np.unique(number[at[other]], return_index=True)
                 stay = lead.copy()
                 stay[other[pick]] = True
+                alone = np.flatnonzero(lead & ~np.isin(number[at], several))
+                stay[alone + 1] = True  # else a document elsewhere with the same context would not be compared
                 to[at[~stay]] = 2 * tasks + spread[at[~stay]]
             order = np.lexsort((doc, to))
             yield from pack(_records(anchor, context)[order], doc[order], to[order])

@@ -64,6 +64,21 @@ def test_split_anchors(spark, monkeypatch):
     assert result(spark.createDataFrame(rows, SCHEMA)) == by_dictionary(rows)
 
 
+def test_many_contexts_of_one_document(spark, monkeypatch):
+    """An earlier document in another task holds one of the contexts, whichever it is."""
+    monkeypatch.setattr(substrings, "MANY_LOCAL", 1)
+    rng = random.Random(3)
+    early, late = [], []
+    for k in range(24):
+        passage, *sides = ("".join(rng.choices("abcdefghijklmnop ", k=n)) for n in (60, 70, 70, 70, 70, 70, 70))
+        around = [sides[2 * i] + passage + sides[2 * i + 1] for i in range(3)]
+        early.append((k, around[k % 3]))
+        late.append((100 + k, "".join(around)))
+    rows = early + late
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), SCHEMA)
+    assert result(df) == by_dictionary(rows)
+
+
 def test_on_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
