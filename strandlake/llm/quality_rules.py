@@ -18,9 +18,6 @@ FALSE_REJECTION = 0.05
 CONFIDENCE = 0.95
 #: a rule's measure, 0 to 1, is cut at multiples of 1 / STEPS
 STEPS = 200
-#: strata beyond those with the most labels share the stratum "other"
-MAX_STRATA = 200
-OTHER = "other"
 #: measure of each rule, the higher the worse
 RULES = ("symbol_share", "repeat_share", "upper_share", "mark_share")
 #: words of a window that counts as repeated
@@ -148,7 +145,7 @@ def strictest(rejected: np.ndarray, n: int, limit: float, error: float) -> int |
 
 def cutoffs(rows: DataFrame, labels: DataFrame, limit: float = FALSE_REJECTION,
             confidence: float = CONFIDENCE) -> tuple[list[str], dict[str, dict[str, int]]]:
-    """The strata judged on their own, and the cutoff of each stratum and rule, from good documents outside the held-out rows that pass the base rules.
+    """The strata with labels, most first, and the cutoff of each stratum and rule, from good documents outside the held-out rows that pass the base rules.
 
     The limit is shared among the rules, the error among all strata and rules (Bonferroni).
     Only counts by stratum, rule and step reach the driver.
@@ -158,10 +155,9 @@ def cutoffs(rows: DataFrame, labels: DataFrame, limit: float = FALSE_REJECTION,
         .select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     )
     known = rows.filter(~F.col("base_failed")).select("doc_id", "stratum", *RULES).join(good, "doc_id")
-    sizes = known.groupBy("stratum").count().orderBy(F.desc("count"), "stratum").limit(MAX_STRATA).collect()
+    sizes = known.groupBy("stratum").count().orderBy(F.desc("count"), "stratum").collect()
     named = [r["stratum"] for r in sizes]
-    pooled = known.withColumn("stratum", F.when(F.col("stratum").isin(named), F.col("stratum")).otherwise(OTHER))
-    long = pooled.select("stratum", F.explode(F.array(*[
+    long = known.select("stratum", F.explode(F.array(*[
         F.struct(F.lit(r).alias("rule"), F.col(r).alias("step")) for r in RULES])).alias("m")).select("stratum", "m.*")
     tables: dict[tuple[str, str], np.ndarray] = {}
     for r in long.groupBy("stratum", "rule", "step").count().collect():
@@ -190,14 +186,14 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", limit
     Empty table: no rows.
     """
     rows = measures(stage(counted(docs, stratum), "rule-counts"))
-    named, found = cutoffs(rows, labels, limit, confidence)
-    own = F.when(F.col("stratum").isin(named), F.col("stratum")).otherwise(OTHER) if named else F.lit(OTHER)
+    _, found = cutoffs(rows, labels, limit, confidence)
+    if found:  # a stored table, so that its size is known to the join
+        cuts = docs.sparkSession.createDataFrame(
+            [(s, *map(c.get, RULES)) for s, c in sorted(found.items())], ", ".join(["stratum string", *[f"cut_{r} int" for r in RULES]]))
+        rows = rows.join(stage(cuts.coalesce(1), "cutoffs"), "stratum", "left")
 
     def broken(rule: str) -> Column:
-        cuts = {s: c[rule] for s, c in sorted(found.items()) if rule in c}
-        if not cuts:
-            return F.lit(None).cast("string")
-        cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])[own]
+        cut = F.col(f"cut_{rule}") if found else F.lit(None).cast("int")
         return F.when(F.col(rule) >= cut, F.lit(rule))
 
     return (

@@ -88,3 +88,12 @@ def test_cutoffs_by_stratum(spark):
     named, found = rules.cutoffs(table, labels)
     assert named == ["ab", "cd"] and "cd" not in found
     assert found["ab"] == {"symbol_share": 1, "repeat_share": 7, "upper_share": 1, "mark_share": 1}
+
+
+def test_many_strata_are_each_judged_alone(spark):
+    """250 labelled strata: none is cut by the cutoffs of others, nor is one without labels."""
+    rows = [(i, f"s{i % 249:03}", 0, 0, 0, 0) for i in range(249 * 6)] + [(9000 + i, "zz", 0, 0, 0, 100) for i in range(5)]
+    table = spark.createDataFrame(rows, "doc_id long, stratum string, symbol_share int, repeat_share int, upper_share int, mark_share int")
+    table = table.selectExpr("*", "false as base_failed")
+    named, found = rules.cutoffs(table, spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int"))
+    assert len(named) == 250 and found == {}
