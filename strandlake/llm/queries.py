@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .fill_middle import fill_digests
 from .language import identify
 from .licences import scan_licences
 from .mixing import mix
@@ -17,6 +18,7 @@ from .quality_rules import apply_rules
 from .substrings import remove_repeats
 from .textkit import small_batches
 from .toxicity import toxicity
+from .whitening import whitening_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -149,3 +151,39 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+with t as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+    sha256('1:' || coalesce(cast(doc_id as varchar), '')) as d
+  from documents
+), h as (
+  select doc_id, text, u, len(u) as n,
+    cast('0x' || substr(d, 1, 8) as bigint) as h1, cast('0x' || substr(d, 9, 8) as bigint) as h2,
+    cast('0x' || substr(d, 17, 8) as bigint) as h3, cast('0x' || substr(d, 25, 8) as bigint) as h4
+  from t
+), c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+         when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from h
+), p as (
+  select doc_id, text, n, form, array_to_string(u[1:a], '') as pre, array_to_string(u[a + 1:b], '') as mid,
+    array_to_string(u[b + 1:n], '') as suf
+  from c
+)
+select doc_id, cast(n as bigint) as n, form,
+  case when form <> 'plain' then length(pre) end as prefix_chars, case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+         else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(text) as restored_sha256
+from p
+""")
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_report(table(spark, sf_dir, "embeddings"))
