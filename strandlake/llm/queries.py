@@ -13,6 +13,7 @@ from .licences import scan_licences
 from .mixing import mix
 from .ngram_jaccard import link_components
 from .packing import VOCABULARY, pack_documents
+from .personal_data import personal_data_report
 from .quality_crf import quality
 from .quality_rules import apply_rules
 from .substrings import remove_repeats
@@ -184,6 +185,11 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_digests(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening_report(table(spark, sf_dir, "embeddings"))
