@@ -198,8 +198,4 @@ from (
 
 @query(v.with_views(MATES, "seqs", **PLACED, hits=HITS, best=BEST, proper=PROPER))
 def join_mates(spark, sf):
-    from ..session import stage
-
-    reads = _reads(spark, sf)
-    hits = stage(pl.place_reads(reads, _genome(spark, sf), 2), "hits")
-    return pl.join_mates(hits.filter("mate = 1"), hits.filter("mate = 2"), 0, 40, reads)
+    return pl.pair_placements(_reads(spark, sf), _genome(spark, sf), 2, 0, 40)
