@@ -137,7 +137,9 @@ def text_hits(texts: DataFrame, sequences: DataFrame, max_mismatch: int = 2) ->
     span = texts.agg(F.min(F.floor(F.length("seq") / seeds)), F.max(F.floor(F.length("seq") / seeds))).first()
     pieces = stage(packed(sequences), "reference")
     levels = _levels(*map(int, span)) if span[0] is not None else [1]
-    listed, wanted, found = positions(pieces), _oriented(texts, seeds), []
+    # short texts are few bytes but much work: they are not left to be merged into a few tasks by size
+    spread = texts.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    listed, wanted, found = positions(pieces), _oriented(spread, seeds), []
     if len(levels) > 1:
         listed, wanted = stage(listed, "positions"), stage(wanted, "parts")
     for n, k in enumerate(levels):
