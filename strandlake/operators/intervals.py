@@ -21,23 +21,74 @@ PEAKS_LEFT = "# peaks remaining after blacklist filtering "
 CHROM = ("chrom",)
 LOOKUPS = [1 << n for n in (14, 18, 22, 26, 32)]  # bases per bin where a row looks up one interval
 NEAR = 1 << 11  # bases per bin where intervals meet single positions
+LONGEST = 1 << 32  # bases of the widest bins
 STRETCH = 1 << 20  # bases within which merged intervals are ordered by one task
 
 
+def _levels(width: int) -> int:
+    """Number of levels of nested bins, each eight times as wide as the one below, up to the longest sequence."""
+    n = 1
+    while width << 3 * (n - 1) < LONGEST:
+        n += 1
+    return n
+
+
+def _level_of(s: str, e: str, width: int) -> Column:
+    """The finest level whose bins are no shorter than the interval, so that it touches two of them at most."""
+    pick = F.lit(_levels(width) - 1)
+    for n in range(_levels(width) - 2, -1, -1):
+        pick = F.when(F.col(e) - F.col(s) <= width << 3 * n, n).otherwise(pick)
+    return pick
+
+
+def _listed(df: DataFrame, s: str, e: str, width: int, other: Column | None, home: int, visit: int) -> DataFrame:
+    """Rows under (_lev, _bin, _way): in the level that holds them, and visiting coarser ones.
+
+    ``other``: the levels that the other side uses; None visits them all. ``home`` and ``visit``
+    are the ways of both. A side that knows the other's levels waits at home for its
+    visitors too, where it has any. A point touches one bin.
+    """
+    top = _levels(width) - 1
+    own, none = F.col("_own"), F.array().cast("array<int>")
+    rows = df.withColumn("_own", _level_of(s, e, width))
+    if other is None:
+        visits = F.when(own < top, F.transform(F.sequence(own + 1, F.lit(top)), lambda n: 4 * n + visit)).otherwise(none)
+        listed = F.concat(F.array(4 * own + home), visits)
+    else:
+        rows = rows.withColumn("_other", other)
+        coarser = F.transform(F.filter("_other", lambda n: n > own), lambda n: 4 * n + visit)
+        listed = F.concat(
+            F.array(4 * own + home), F.when(F.array_max("_other") > own, coarser).otherwise(none),
+            F.when(F.array_min("_other") < own, F.array(4 * own + 3 - home)).otherwise(none))
+    lev = F.shiftright("_code", 2)
+    wide = F.call_function("shiftleft", F.lit(width).cast("bigint"), 3 * lev)
+    bins = F.sequence(idiv(s, wide), idiv(F.greatest(F.col(e) - 1, F.col(s)), wide))
+    return rows.select(*df.columns, F.explode(listed).alias("_code")).select(
+        *df.columns, lev.alias("_lev"), F.explode(bins).alias("_bin"), F.col("_code").bitwiseAND(F.lit(3)).alias("_way"))
+
+
 def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str] = CHROM, bin_width: int = 1 << 11) -> DataFrame:
     """All pairs with a.s < b.e and b.s < a.e; columns of b other than the keys get the prefix ``b_``.
 
-    Both sides are copied into the bins they touch and a pair is kept only in the
-    first bin it shares, so nothing has to be made distinct afterwards.
+    Bins are nested, each level eight times as wide as the one below. An interval of any
+    length lies in the level whose bins just hold it, in two bins at most, and visits
+    coarser levels, in two bins at most of each: those of a only the levels that b's
+    intervals lie in, those of b (the side of fewer rows) all. Two intervals meet in the
+    coarser one of their levels and are kept in the first bin they share there, so nothing
+    has to be made distinct afterwards. Visitors never meet visitors. A dense bin is
+    split by adaptive execution, which measures it.
     """
     right = b.select(*keys, *[F.col(c).alias(f"b_{c}") for c in b.columns if c not in keys])
-    left = a.select("*", F.explode(tile_range("s", "e", bin_width)).alias("bin"))
-    right = right.select("*", F.explode(tile_range("b_s", "b_e", bin_width)).alias("bin"))
+    levels = b.agg(F.collect_set(_level_of("s", "e", bin_width))).scalar()
+    # way 1: a at home or visiting meets b at home; way 2: a at home meets visitors of b
+    left = _listed(a, "s", "e", bin_width, levels, 1, 1)
+    right = _listed(right, "b_s", "b_e", bin_width, None, 1, 2)
+    width = F.call_function("shiftleft", F.lit(bin_width).cast("bigint"), 3 * F.col("_lev"))
     return (
-        left.join(right, [*keys, "bin"])
+        left.join(right, [*keys, "_lev", "_bin", "_way"])
         .filter((F.col("s") < F.col("b_e")) & (F.col("b_s") < F.col("e")))
-        .filter(F.col("bin") == idiv(F.greatest("s", "b_s"), bin_width))
-        .drop("bin")
+        .filter(F.col("_bin") == idiv(F.greatest("s", "b_s"), width))
+        .drop("_lev", "_bin", "_way")
     )
 
 

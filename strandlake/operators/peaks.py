@@ -193,14 +193,15 @@ def summits(peaks: DataFrame, fragments: DataFrame) -> DataFrame:
 
     Only fragments that touch a peak shape the depth inside one.
     """
-    ids = list(peaks.columns)
+    peaks = stage(peaks, "peaks")  # read three times
+    ids = [F.col(c if c in TRACK else f"b_{c}").alias(c) for c in peaks.columns]
     runs = depth(keep_overlaps(fragments, peaks, TRACK))
     lo, hi = F.greatest("s", "b_s"), F.least("e", "b_e")
     return (
-        overlap_join(peaks, runs, TRACK)
-        .withColumn("mid", idiv(lo + hi, 2))
-        .groupBy(*ids)
-        .agg(F.max_by("mid", F.struct(F.col("b_depth"), -F.col("mid"))).alias("summit"), F.max("b_depth").alias("height"))
+        overlap_join(runs.select(*TRACK, "s", "e", "depth"), peaks, TRACK)
+        .select(*ids, "depth", idiv(lo + hi, 2).alias("mid"))
+        .groupBy(*peaks.columns)
+        .agg(F.max_by("mid", F.struct(F.col("depth"), -F.col("mid"))).alias("summit"), F.max("depth").alias("height"))
     )
 
 

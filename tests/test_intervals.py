@@ -138,3 +138,35 @@ def test_rows_of_every_length_and_many_sparse_keys(spark):
     hit = {x[0] for x in rows if any(touch(x, y) for y in regions)}
     assert {r["id"] for r in iv.keep_overlaps(da, db).collect()} == hit
     assert {r["id"]: r["hit"] for r in iv.flag_overlaps(da, db).collect()} == {x[0]: x[0] in hit for x in rows}
+
+
+def test_overlap_join_over_all_lengths(spark):
+    rng = random.Random(12)
+    place = lambda: rng.choice([rng.randrange(3000), rng.randrange(10**6), rng.randrange(2 * 10**8)])
+    length = lambda: rng.choice([0, 1, 50, 2047, 2048, 2049, 20_000, 150_000, 3_000_000, 200_000_000])
+    sides = []
+    for n in (150, 120):
+        rows = [(k, rng.choice(["c1", "c2"]), place()) for k in range(n)]
+        sides.append([(k, c, s, s + length()) for k, c, s in rows] + [(n, None, 5, 9), (n + 1, "c1", 0, 200_000_000)])
+    a, b = (spark.createDataFrame(r, "id int, chrom string, s bigint, e bigint") for r in sides)
+    want = sorted((x[0], y[0]) for x in sides[0] for y in sides[1] if x[1] and x[1] == y[1] and x[2] < y[3] and y[2] < x[3])
+    got = iv.overlap_join(a, b)
+    assert sorted((r["id"], r["b_id"]) for r in got.collect()) == want
+    assert got.columns == ["chrom", "id", "s", "e", "b_id", "b_s", "b_e"]
+    assert iv.overlap_join(a, b.limit(0)).count() == 0
+
+
+def test_an_interval_of_any_length_is_listed_twice_at_most_in_a_level(spark):
+    rows = [("c1", 2047, 2049), ("c1", 5, 200_000_000), ("c1", 10**8 - 5, 10**8 + 5)]
+    a = spark.createDataFrame(rows, "chrom string, s bigint, e bigint")
+    alone = iv._listed(a, "s", "e", 1 << 11, F.array().cast("array<int>"), 1, 1)
+    assert all(r["count"] <= 2 for r in alone.groupBy("s").count().collect())
+    visits = iv._listed(a, "s", "e", 1 << 11, F.array(F.lit(0), F.lit(2)), 1, 1).filter("_way = 1").groupBy("s", "_lev").count().collect()
+    assert all(r["count"] <= 2 for r in visits) and {r["_lev"] for r in visits if r["s"] == 2047} == {0, 2}
+
+
+def test_a_hot_bin(spark):
+    a = spark.range(3000).select(F.lit("c1").alias("chrom"), F.lit(100).cast("bigint").alias("s"), F.lit(150).cast("bigint").alias("e"), "id")
+    b = spark.createDataFrame([("c1", 90, 120, 1), ("c1", 140, 10**8, 2), ("c1", 150, 160, 3)], "chrom string, s bigint, e bigint, x int")
+    got = iv.overlap_join(a, b)
+    assert {(r["b_x"], r["count"]) for r in got.groupBy("b_x").count().collect()} == {(1, 3000), (2, 3000)}
