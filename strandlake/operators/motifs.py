@@ -11,6 +11,8 @@ from ..functions.names import reverse_complement
 from ..functions.ranking import running_total
 from ..functions.stats import binomial_score
 from ..functions.tiling import tile_range
+from ..session import stage
+from .intervals import place_keys
 
 
 def gc_share(seq: str | Column) -> Column:
@@ -23,24 +25,25 @@ def peak_sequences(peaks: DataFrame, sequences: DataFrame, chunk: int, ids: Sequ
 
     ``sequences`` has (chrom, off, seq) with off a multiple of ``chunk``; a chunk may
     carry bases of the next one, which are not used here. The bases gathered per row
-    are those of one interval.
+    are those of one interval. Where both tables name the genome, it is part of the place.
     """
-    part = sequences.select("chrom", idiv("off", chunk).alias("piece"), F.col("off"), F.substring("seq", 1, chunk).alias("seq"))
+    place = place_keys(peaks, sequences)
+    part = sequences.select(*place, idiv("off", chunk).alias("piece"), F.col("off"), F.substring("seq", 1, chunk).alias("seq"))
     lo = F.greatest(F.col("s"), F.col("off"))
     hi = F.least(F.col("e"), F.col("off") + F.length("seq"))
     cut = F.substring(F.col("seq"), (lo - F.col("off") + 1).cast("int"), (hi - lo).cast("int"))
     pieces = (
-        peaks.select(*ids, "chrom", "s", "e", F.explode(tile_range("s", "e", chunk)).alias("piece"))
-        .join(part, ["chrom", "piece"])
-        .select(*ids, "chrom", "s", "e", F.struct("off", cut.alias("bases")).alias("x"))
+        peaks.select(*ids, *place, "s", "e", F.explode(tile_range("s", "e", chunk)).alias("piece"))
+        .join(part, [*place, "piece"])
+        .select(*ids, *place, "s", "e", F.struct("off", cut.alias("bases")).alias("x"))
     )
     text = F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["bases"]), "")
-    return pieces.groupBy(*ids, "chrom", "s", "e").agg(text.alias("seq"))
+    return pieces.groupBy(*ids, *place, "s", "e").agg(text.alias("seq"))
 
 
 def gc_profile(intervals: DataFrame, sequences: DataFrame, chunk: int, bins: int = 20) -> DataFrame:
     """Histogram of the GC share of fragments; equal fragments are looked up once."""
-    distinct = intervals.groupBy("sample", "chrom", "s", "e").agg(F.count(F.lit(1)).alias("n"))
+    distinct = intervals.groupBy("sample", *place_keys(intervals, sequences), "s", "e").agg(F.count(F.lit(1)).alias("n"))
     found = peak_sequences(distinct, sequences, chunk, ["sample", "n"])
     return found.groupBy("sample", F.floor(gc_share("seq") * bins).alias("gc_bin")).agg(F.sum("n").alias("n"))
 
@@ -73,23 +76,33 @@ def motif_counts(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
     return seqs.select(F.explode(kmers(seq, k)).alias("kmer")).groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
 
 
-def motif_enrichment(targets: DataFrame, background: DataFrame, k: int) -> DataFrame:
-    """All words more frequent in the targets than in the background, ranked by binomial tail, then by word."""
-    t = motif_counts(targets, k)
-    b = motif_counts(background, k).withColumnRenamed("n", "background_hits")
-    n_targets = targets.agg(F.count(F.lit(1))).scalar()
-    n_background = background.agg(F.count(F.lit(1))).scalar()
+def motif_enrichment(targets: DataFrame, background: DataFrame, k: int, keys: Sequence[str] = ()) -> DataFrame:
+    """All words more frequent in the targets than in the background, ranked by binomial tail, then by word.
+
+    With ``keys`` (sample, parameter set) each value has its own targets, background and
+    ranks; one without any background sequence is compared with a share of one half. Both
+    sides are counted in one pass.
+    """
+    by = list(keys)
+    both = targets.select(*by, "seq", F.lit(1).alias("target")).unionByName(background.select(*by, "seq", F.lit(0).alias("target")))
+    words = both.select(*by, "target", F.explode(F.concat(kmers("seq", k), F.array(F.lit("")))).alias("kmer"))  # "" counts the sequence
+    counts = stage(words.groupBy(*by, "kmer").agg(
+        F.sum("target").alias("n"), F.sum(1 - F.col("target")).alias("background_hits")), "words")
+    all_of = counts.filter("kmer = ''").select(*by, F.col("n").alias("targets"), F.col("background_hits").alias("others"))
+    found = counts.filter("kmer <> '' and n > 0")
+    if by:
+        found = found.join(all_of, by)
+    else:
+        found = found.withColumns({c: all_of.select(c).scalar() for c in ("targets", "others")})
     scored = (
-        t.join(b, "kmer", "left").fillna(0, ["background_hits"])
-        .withColumn("targets", n_targets)
-        .withColumn("share", (F.col("background_hits") + 1) / (n_background + 2))
+        found.withColumn("share", (F.col("background_hits") + 1) / (F.col("others") + 2))
         .filter(F.col("n") > F.col("targets") * F.col("share"))
         .withColumn("score", binomial_score(F.col("n"), F.col("targets"), F.col("share")))
     )
-    by = F.round("score", 9)
-    ranged = scored.withColumn("all", F.lit(0)).withColumn("at", F.floor(by * 16))
-    ranked = running_total(ranged, ["all"], "at", [by.desc(), F.col("kmer")], F.lit(1).cast("bigint"), "rank", down=True)
-    return ranked.select("rank", "kmer", F.col("n").alias("hits"), "background_hits", "score")
+    of = F.round("score", 9)
+    ranged = stage(scored.withColumn("all", F.lit(0)).withColumn("at", F.floor(of * 16)), "scored-words")
+    ranked = running_total(ranged, ["all", *by], "at", [of.desc(), F.col("kmer")], F.lit(1).cast("bigint"), "rank", down=True)
+    return ranked.select(*by, "rank", "kmer", F.col("n").alias("hits"), "background_hits", "score")
 
 
 def motif_information(seqs: DataFrame, seq: str = "seq") -> DataFrame:

@@ -78,13 +78,16 @@ def tss_profile(fragments: DataFrame, tss: DataFrame, flank: int = 1000) -> Data
     Depth runs (already one per stretch of a genome, however many reads) meet the
     points; each meeting adds two events, which are summed by offset. Equal points
     are counted once with a weight. A sample that meets no point has depth 0 everywhere.
+    Where both tables name the genome, a sample meets the points of its own.
     """
-    points = tss.groupBy("chrom", "s", "strand").agg(F.count(F.lit(1)).alias("weight"))
+    place = place_keys(fragments, tss)
+    points = tss.groupBy(*place, "s", "strand").agg(F.count(F.lit(1)).alias("weight"))
     around = points.select(
-        "chrom", (F.col("s") - flank).alias("s"), (F.col("s") + flank + 1).alias("e"), F.col("s").alias("p"), "strand", "weight"
+        *place, (F.col("s") - flank).alias("s"), (F.col("s") + flank + 1).alias("e"), F.col("s").alias("p"), "strand", "weight"
     ).withColumn("s", F.greatest("s", F.lit(0)))
-    runs = depth_runs(fragments, TRACK).select(*TRACK, "s", "e", "depth")
-    met = overlap_join(runs, around, ["chrom"])
+    track = list(dict.fromkeys([*TRACK, *place]))
+    runs = depth_runs(fragments, track).select(*track, "s", "e", "depth")
+    met = overlap_join(runs, around, place)
     lo, hi = F.greatest("s", "b_s"), F.least("e", "b_e")
     forward = F.col("b_strand") == "+"
     first = F.when(forward, lo - F.col("b_p")).otherwise(F.col("b_p") - hi + 1)
@@ -121,21 +124,25 @@ def tss_score(enrichment: DataFrame) -> DataFrame:
     return enrichment.filter("offset = 0").select("sample", F.col("enrichment").alias("tss_enrichment"))
 
 
-def chromosome_classes(df: DataFrame, organism: str) -> DataFrame:
-    """Reads on autosomes, sex chromosomes, the mitochondrion and the rest."""
-    known = (
-        genome_constants(df.sparkSession).filter(F.col("organism") == organism).select("chrom")
-        .distinct().withColumn("known", F.lit(True))
-    )
+def chromosome_classes(df: DataFrame, organism: str | None = None) -> DataFrame:
+    """Reads on autosomes, sex chromosomes, the mitochondrion and the rest.
+
+    Without ``organism`` each row's ``genome`` says which chromosomes there are.
+    """
+    constants = genome_constants(df.sparkSession)
+    place = ["genome", "chrom"] if organism is None else ["chrom"]
+    if organism is not None:
+        constants = constants.filter(F.col("organism") == organism)
+    known = constants.select(*place).distinct().withColumn("known", F.lit(True))
     kind = (
         F.when(F.col("chrom").isin("chrX", "chrY"), "sex")
         .when(F.col("chrom") == "chrM", "mitochondrial")
         .when(F.col("known"), "autosomal")
         .otherwise("other")
     )
-    counts = df.groupBy(*TRACK).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy("sample", *place).agg(F.count(F.lit(1)).alias("n"))
     return (
-        counts.join(known, "chrom", "left").groupBy("sample", kind.alias("class"))
+        counts.join(known, place, "left").groupBy("sample", kind.alias("class"))
         .agg(F.sum("n").alias("reads"))
     )
 

@@ -94,11 +94,19 @@ def window_tags(tags: DataFrame, width: int, reach: int = 0, shift: int = 0) ->
     return near.withColumn("tags", F.sum("n").over(along.rangeBetween(-half, half)))
 
 
-def find_peaks_factor(tags: DataFrame, width: int = 200, min_dist: int = 400, threshold: int = 10,
+def _reaching(windows: DataFrame, threshold: int | DataFrame) -> DataFrame:
+    """Windows with as many tags as asked for; a table (sample, threshold) asks each sample for its own, and drops the others."""
+    if isinstance(threshold, DataFrame):
+        asked = windows.join(threshold.select("sample", F.col("threshold").alias("_asked")), "sample")
+        return asked.filter(F.col("tags") >= F.col("_asked")).drop("_asked")
+    return windows.filter(F.col("tags") >= threshold)
+
+
+def find_peaks_factor(tags: DataFrame, width: int = 200, min_dist: int = 400, threshold: int | DataFrame = 10,
                       shift: int = 0) -> DataFrame:
     """Fixed-width peaks: windows at or above the threshold that no other within ``min_dist`` exceeds.
 
-    Of equal windows the leftmost stays.
+    Of equal windows the leftmost stays. ``threshold`` may be a table (sample, threshold), as ``fdr_cutoff`` gives it.
     """
     near = window_tags(tags, width, min_dist, shift)
     along = Window.partitionBy(*TRACK, "tile").orderBy("p")
@@ -107,17 +115,16 @@ def find_peaks_factor(tags: DataFrame, width: int = 200, min_dist: int = 400, th
     top = (F.coalesce(left, F.lit(0)) < F.col("tags")) & (F.coalesce(right, F.lit(0)) <= F.col("tags"))
     half = width // 2
     return (
-        near.withColumn("top", top)
-        .filter(F.col("own") & F.col("top") & (F.col("tags") >= threshold))
+        _reaching(near.withColumn("top", top).filter(F.col("own") & F.col("top")), threshold)
         .select(*TRACK, F.greatest(F.col("p") - half, F.lit(0)).alias("s"), (F.col("p") + half).alias("e"), "p", "tags")
     )
 
 
-def find_peaks_region(tags: DataFrame, width: int = 500, min_dist: int = 1000, threshold: int = 20,
+def find_peaks_region(tags: DataFrame, width: int = 500, min_dist: int = 1000, threshold: int | DataFrame = 20,
                       shift: int = 0) -> DataFrame:
     """Variable-width peaks: windows at or above the threshold, joined up to ``min_dist`` apart, tags recounted."""
     half = width // 2
-    seeds = window_tags(tags, width, 0, shift).filter(F.col("own") & (F.col("tags") >= threshold)).select(
+    seeds = _reaching(window_tags(tags, width, 0, shift).filter("own"), threshold).select(
         *TRACK, F.greatest(F.col("p") - half, F.lit(0)).alias("s"), (F.col("p") + half).alias("e")
     )
     regions = merge_intervals(seeds, TRACK, min_dist)

@@ -88,6 +88,45 @@ def motif_enrichment(spark, sf):
     return mo.motif_enrichment(s.filter("sid % 3 = 0").withColumn("seq", planted), s.filter("sid % 3 <> 0"), 6)
 
 
+SCORED = """
+select sample, rank, kmer, hits, background_hits, round(score, 4) as score from (
+  select *, row_number() over (partition by sample order by round(score, 9) desc, kmer) as rank from (
+    select sample, kmer, h as hits, b as background_hits, -ln(list_sum(list_transform(range(h, t + 1),
+      lambda i: exp(lgamma(t + 1.0) - lgamma(i + 1.0) - lgamma(t - i + 1.0) + i * ln(p) + (t - i) * ln(1 - p))))) / ln(10) as score
+    from (
+      select x.sample, x.kmer, h, coalesce(b, 0) as b, t, (coalesce(b, 0) + 1) / (o + 2) as p
+      from (select sample, kmer, count(*) as h from tw join seqs using (sid) join of_sample using (sid) group by all) x
+      join (select sample, count(*) filter (where sid % 3 = 0) as t, count(*) filter (where sid % 3 <> 0) as o from of_sample group by sample) n
+        on n.sample = x.sample
+      left join (select sample, kmer, count(*) as b from bw join of_sample using (sid) group by all) y
+        on x.kmer = y.kmer and y.sample = x.sample)
+    where h > t * p))"""
+
+
+@query(v.with_views(SCORED, "seqs", of_sample="select sid, 'S' || (1 + sid % 5 // 3) as sample from seqs",
+                    planted="select sid, case when sid % 2 = 0 then 'TTGACTCA' || substr(seq, 9) else seq end as seq from seqs where sid % 3 = 0",
+                    other="select * from seqs where sid % 3 <> 0", tw=WORDS.format(k=6, table="planted"), bw=WORDS.format(k=6, table="other")))
+def motifs_by_sample(spark, sf):
+    """Each sample has its own targets, background and ranks."""
+    k = F.col("sid")
+    s = v.seqs(spark, sf).withColumn("sample", F.concat(F.lit("S"), (1 + F.floor(k % 5 / 3)).cast("string")))
+    planted = F.when(k % 2 == 0, F.concat(F.lit("TTGACTCA"), F.substring("seq", 9, 32))).otherwise(F.col("seq"))
+    return mo.motif_enrichment(s.filter("sid % 3 = 0").withColumn("seq", planted), s.filter("sid % 3 <> 0"), 6, ["sample"])
+
+
+GENOMES = "select *, case when off % 64 = 0 then 'hg19' else 'mm10' end as genome from genome"
+OWN_CUT = CUT.replace("join genome g on", "join genomes g on g.genome = case p.sample when 'S1' then 'hg19' else 'mm10' end and")
+
+
+@query(v.with_views("select id, sample, case sample when 'S1' then 'hg19' else 'mm10' end as genome, chrom, s, e, seq from cut", "seqs",
+                    genome=GENOME, genomes=GENOMES, spots=SPOTS, cut=OWN_CUT))
+def peak_sequences_by_genome(spark, sf):
+    """The bases of each peak from its own sample's genome."""
+    spots = _spots(spark, sf).withColumn("genome", F.when(F.col("sample") == "S1", "hg19").otherwise("mm10"))
+    bases = _genome(spark, sf).withColumn("genome", F.when(F.col("off") % 64 == 0, "hg19").otherwise("mm10"))
+    return mo.peak_sequences(spots, bases, CHUNK, ["id", "sample"])
+
+
 @query(v.with_views("""
 select pos, round(a, 4) as A, round(c, 4) as C, round(g, 4) as G, round(t, 4) as T,
   round(2 + case when a > 0 then a * log2(a) else 0 end + case when c > 0 then c * log2(c) else 0 end

@@ -85,6 +85,19 @@ def tss_enrichment(spark, sf):
     return qc.tss_enrichment(v.fragments(spark, sf), v.tss(spark, sf))
 
 
+OWN_POINTS = "select *, case when tid % 3 = 0 then 'hg19' else 'mm10' end as genome from tss"
+OWN_FRAGMENTS = "select *, case sample when 'S1' then 'hg19' else 'mm10' end as genome from fragments"
+
+
+@query(v.with_views("select * from profile", "fragments", "tss", own_points=OWN_POINTS, own_fragments=OWN_FRAGMENTS,
+                    profile=PROFILE.replace("from fragments f join tss t on t.chrom", "from own_fragments f join own_points t on t.genome = f.genome and t.chrom")))
+def tss_profile_two_genomes(spark, sf):
+    """Each sample meets the points of its own genome only."""
+    tss = v.tss(spark, sf).withColumn("genome", F.when(F.col("tid") % 3 == 0, "hg19").otherwise("mm10"))
+    own = v.fragments(spark, sf).withColumn("genome", F.when(F.col("sample") == "S1", "hg19").otherwise("mm10"))
+    return qc.tss_profile(own, tss)
+
+
 @query(v.with_views("""
 select sample, case chrom when 'chrM' then 'mitochondrial' else 'autosomal' end as class, count(*) as reads
 from reads group by all""", "reads"))
@@ -92,6 +105,17 @@ def chromosome_classes(spark, sf):
     return qc.chromosome_classes(v.reads(spark, sf), "mouse")
 
 
+@query(v.with_views("""
+select sample, case when place = 'chrM' then 'mitochondrial' when sample = 'S1' or place <> 'chr21' then 'autosomal' else 'other' end as class,
+  count(*) as reads
+from (select sample, case chrom when 'chr5' then 'chr21' else chrom end as place from reads) group by all""", "reads"))
+def chromosome_classes_by_genome(spark, sf):
+    """A chromosome that one sample's genome has and that of the others has not."""
+    place = F.when(F.col("chrom") == "chr5", "chr21").otherwise(F.col("chrom"))
+    own = F.when(F.col("sample") == "S1", "hg38").otherwise("mm10")
+    return qc.chromosome_classes(v.reads(spark, sf).select("sample", place.alias("chrom"), own.alias("genome")))
+
+
 @query(v.with_views("""
 select qname, mate, chrom, s, e from reads r where not exists (
   select 1 from excluded x where x.chrom = r.chrom and x.s < r.e and r.s < x.e)""", "reads", "excluded"))

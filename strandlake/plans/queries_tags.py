@@ -109,7 +109,7 @@ def control_filter(spark, sf):
     return _controlled(spark, sf, 1.2)
 
 
-@query(v.with_views("""
+CUTOFFS = """
 select sample, min(tags) as threshold, arg_min(observed, tags) as observed, round(arg_min(ratio, tags), 4) as ratio from (
   select *, 5000 * power(10, -(-(tags * ln(rate) - rate - lgamma(tags + 1.0) + ln(list_sum(list_transform(range(0, 400),
     lambda j: exp(j * ln(rate) - (lgamma(tags + j + 1.0) - lgamma(tags + 1.0))))))) / ln(10))) / observed as ratio
@@ -117,12 +117,24 @@ select sample, min(tags) as threshold, arg_min(observed, tags) as observed, roun
     select f.sample, tags, cast(sum(count(*)) over (partition by f.sample order by tags desc) as bigint) as observed, any_value(rate) as rate
     from found f join (select sample, sum(n) * 200 / 1e6 as rate from tags group by sample) r on r.sample = f.sample
     group by f.sample, tags) where tags > rate)
-where ratio <= 0.001 group by sample""", "reads", **STEPS, found=FACTOR.format(t=1)))
+where ratio <= 0.001 group by sample"""
+
+
+@query(v.with_views(CUTOFFS, "reads", **STEPS, found=FACTOR.format(t=1)))
 def fdr_cutoff(spark, sf):
     tags = stage(_tags(spark, sf), "tags")
     return tg.fdr_cutoff(tg.find_peaks_factor(tags, 200, 400, 1), tags, GENOME, 200, 0.001)
 
 
+@query(v.with_views("select f.* from found f join cutoffs c on c.sample = f.sample and f.tags >= c.threshold", "reads", **STEPS,
+                    found=FACTOR.format(t=1), cutoffs=CUTOFFS))
+def peaks_at_a_rate(spark, sf):
+    """Each sample's threshold is the least that keeps to a rate of false peaks."""
+    tags = stage(_tags(spark, sf), "tags")
+    cutoffs = tg.fdr_cutoff(tg.find_peaks_factor(tags, 200, 400, 1), tags, GENOME, 200, 0.001)
+    return tg.find_peaks_factor(tags, 200, 400, stage(cutoffs, "cutoffs"))
+
+
 @query(v.with_views("""
 select sample, chrom || '-' || (s + 1) || '-' || e as id, chrom, s + 1 as start, e as "end", '+' as strand, tags as score
 from found""", "reads", **STEPS, found=FACTOR.format(t=8)))

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.arith import PAIRED, has_any
 from ..operators import alignments as al, coverage as cov, manifest as mf, motifs as mo, peaks as pk, qc, tags as tg
 from ..operators.intervals import exclude_overlaps, exclude_peaks_and_summits, keep_by_id, peaks_to_bed, place_keys
 from ..session import stage
@@ -41,6 +42,18 @@ def prune_chip_single(alignments: DataFrame, genome: str | None = None) -> DataF
     return al.filter_flags(marked, *al.PRUNE_CHIP_SINGLE)
 
 
+def prune_chip(alignments: DataFrame, genome: str | None = None, threshold: int = 2, mode: str = "both") -> DataFrame:
+    """Pairs and single reads side by side: each read is pruned by the rules of its own layout (flag 0x1)."""
+    marked = al.mark_duplicates(al.keep_chromosomes(alignments, genome))
+    return _prune_by_layout(marked, threshold, mode)
+
+
+def _prune_by_layout(marked: DataFrame, threshold: int = 2, mode: str = "both") -> DataFrame:
+    paired = has_any("flag", PAIRED)
+    pairs = al.x0_pair_filter(al.filter_flags(marked.filter(paired), *al.PRUNE_CHIP_PAIRED), threshold, mode)
+    return pairs.select(marked.columns).unionByName(al.filter_flags(marked.filter(~paired), *al.PRUNE_CHIP_SINGLE))
+
+
 def whole_fragments(pruned: DataFrame, length: int | None = None) -> DataFrame:
     """Fragments of pairs; ``length`` is that of unpaired reads, which may stand beside pairs."""
     genome = [c for c in ("genome",) if c in pruned.columns]
@@ -77,14 +90,17 @@ def atac_peaks(fragments: DataFrame, genome_size: float | DataFrame, paramsets:
     return {"all": table, "peaks": kept, "summits": kept_tops}
 
 
-def atac_study(alignments: DataFrame, genome: str | None, genome_size: float | DataFrame, excluded: DataFrame, tss: DataFrame,
+def atac_study(alignments: DataFrame, genome: str | None, genome_size: float | DataFrame | None, excluded: DataFrame, tss: DataFrame,
                paramsets: Mapping[str, Mapping[str, float]], clean_track: bool = False) -> dict[str, DataFrame]:
     """Track, peaks and metrics. Metrics see marked but unpruned alignments and unfiltered peaks of each parameter set.
 
     Without ``genome`` the samples' own are used: the alignments carry the column, and so
-    may the tables of excluded regions and points. ``clean_track`` takes fragments in excluded
-    regions out of the track.
+    may the tables of excluded regions and points. ``genome_size`` None: the effective size of
+    each sample's genome. ``clean_track`` takes fragments in excluded regions out of the track.
     """
+    if genome_size is None:
+        named = alignments if genome is None else alignments.withColumn("genome", F.lit(genome))
+        genome_size = stage(pk.effective_sizes(named.select("sample", "genome").distinct()), "sizes")
     marked = stage(al.mark_duplicates(alignments), "marked")
     pruned = al.filter_flags(al.keep_chromosomes(marked, genome), *al.PRUNE_ATAC)
     fragments = stage(whole_fragments(pruned), "fragments")
@@ -112,6 +128,9 @@ def tag_peaks(tags: DataFrame, samplesheet: DataFrame, paramsets: Mapping[str, M
 
     A set holds ``style`` (``factor``: fixed width, ``histone``: variable width), ``fold``
     and the settings of that finder. Paired and single reads mix freely: a tag is a 5' end.
+    With ``fdr`` and ``genome_size`` instead of a threshold, each sample has the least one at
+    which expected and observed peaks of that width stand in the rate asked for; a
+    sample that never reaches the rate has no peaks.
     """
     finders = {"factor": tg.find_peaks_factor, "histone": tg.find_peaks_region}
     pairs = mf.pair_controls(samplesheet).select("sample", "control")
@@ -119,7 +138,12 @@ def tag_peaks(tags: DataFrame, samplesheet: DataFrame, paramsets: Mapping[str, M
     against = mf.label_controls(tags, pairs)
     found = None
     for name, settings in paramsets.items():
-        rest = {k: v for k, v in settings.items() if k not in ("style", "fold")}
+        rest = {k: v for k, v in settings.items() if k not in ("style", "fold", "fdr", "genome_size")}
+        if "fdr" in settings:
+            width = int(rest.get("width", 200))
+            tops = tg.find_peaks_factor(treated, width, int(rest.get("min_dist", 2 * width)), 1, int(rest.get("shift", 0)))
+            cutoffs = tg.fdr_cutoff(tops, treated, float(settings["genome_size"]), width, float(settings["fdr"]))
+            rest["threshold"] = stage(cutoffs, "cutoffs")
         peaks = finders[str(settings.get("style", "factor"))](treated, **rest)
         kept = tg.control_filter(peaks, treated, against, float(settings.get("fold", 4.0)))
         part = kept.select(F.lit(name).alias("paramset"), *TRACK, "s", "e", "tags")
@@ -149,21 +173,21 @@ def chip_peaks(pruned: DataFrame, samplesheet: DataFrame, excluded: DataFrame, s
 
 def chip_study(alignments: DataFrame, samplesheet: DataFrame, excluded: DataFrame,
                paramsets: Mapping[str, Mapping[str, object]], sequences: DataFrame | None = None, chunk: int = 1 << 16,
-               paired: bool = True, length: int | None = None, max_dist: int = 1000, word: int = 8) -> dict[str, DataFrame]:
+               length: int | None = None, max_dist: int = 1000, word: int = 8) -> dict[str, DataFrame]:
     """Tracks, duplicate metrics, peaks, report lines and motifs of a study, each sample on its own genome.
 
+    Paired and single samples mix: reads are pruned by their own layout, and single ones
+    extended to ``length`` in the tracks.
     Tags are centred by the fragment length that their autocorrelation shows. ``report`` holds
     the header and the rows outside the excluded regions, as written by
     ``write_peak_report``; its fourth header line counts those rows. With ``sequences`` (genome
-    chunks) words are compared between the kept peaks of a sample and those beside them.
+    chunks; with the genome's name, each sample's own) words are compared between the kept peaks
+    of each sample and parameter set and the stretches beside them.
     """
     own = with_genomes(alignments, samplesheet)
     marked = stage(al.mark_duplicates(own), "marked")
     kept = al.keep_chromosomes(marked)
-    if paired:
-        pruned = stage(al.x0_pair_filter(al.filter_flags(kept, *al.PRUNE_CHIP_PAIRED)), "pruned")
-    else:
-        pruned = stage(al.filter_flags(kept, *al.PRUNE_CHIP_SINGLE), "pruned")
+    pruned = stage(_prune_by_layout(kept), "pruned")
     raw = stage(tg.tag_directory(pruned), "raw-tags")
     lengths = stage(tg.fragment_length(tg.tag_autocorrelation(raw, max_dist)), "lengths")
     tags = stage(tg.centre_tags(raw, lengths), "tags")
@@ -180,10 +204,11 @@ def chip_study(alignments: DataFrame, samplesheet: DataFrame, excluded: DataFram
         "header": tg.filtered_header(tg.report_header(peaks, tags, ["paramset"]), clean, ["paramset"]),
     }
     if sequences is not None:
-        spots = clean.select(F.concat_ws("|", "paramset", "sample", "id").alias("id"), "paramset", "sample", "chrom",
+        spots = clean.select("paramset", "sample", "id", "genome", "chrom",
                              (F.col("start") - 1).alias("s"), F.col("end").alias("e"))
         width = F.col("e") - F.col("s")
         beside = spots.withColumn("s", F.col("e") + width).withColumn("e", F.col("s") + width)
+        of = ["paramset", "sample"]
         out["motifs"] = mo.motif_enrichment(
-            mo.peak_sequences(spots, sequences, chunk, ["id"]), mo.peak_sequences(beside, sequences, chunk, ["id"]), word)
+            mo.peak_sequences(spots, sequences, chunk, [*of, "id"]), mo.peak_sequences(beside, sequences, chunk, [*of, "id"]), word, of)
     return out

@@ -140,7 +140,9 @@ def test_chip_study(spark, sf_dir):
     assert left.get(("loose", "hg19"), 0) < n[("loose", "hg19")]
     fourth = {(r["paramset"], r["sample"]): r["text"] for r in out["header"].filter("line_no = 4").collect()}
     assert fourth[("loose", "S1")] == f"# peaks remaining after blacklist filtering {left[('loose', 'mm10')]} "
-    assert out["track"].count() > 0 and out["lengths"].count() == 3 and out["motifs"].columns[0] == "rank"
+    assert out["track"].count() > 0 and out["lengths"].count() == 3 and out["motifs"].columns[:3] == ["paramset", "sample", "rank"]
+    ranks = out["motifs"].groupBy("paramset", "sample").agg(F.min("rank").alias("a"), F.max("rank").alias("b"), F.count("*").alias("n")).collect()
+    assert all(r["a"] == 1 and r["b"] == r["n"] for r in ranks)
 
 
 def test_intermediates_can_be_dropped(spark):
