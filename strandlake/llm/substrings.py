@@ -298,6 +298,23 @@ def _split_around(rows: DataFrame) -> DataFrame:
     return rows.select("ch", "doc_id", "s", "e", "anchor", "context").mapInArrow(run, _FOUND)
 
 
+def _strings(rows: DataFrame) -> DataFrame:
+    """Each string of LENGTH bytes of the contexts in a row of its own: ch, doc_id, s, e, string."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context = batch.column("context").to_pylist()
+            count = np.fromiter((len(c) - LENGTH + 1 for c in context), np.int64, len(context))
+            place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            s = np.repeat(batch.column("s").to_numpy(), count) + place
+            yield pa.record_batch({
+                "ch": np.repeat(batch.column("ch").to_numpy(), count), "doc_id": np.repeat(batch.column("doc_id").to_numpy(), count),
+                "s": s, "e": s + LENGTH,
+                "string": pa.array([c[k : k + LENGTH] for c in context for k in range(len(c) - LENGTH + 1)], pa.binary())})
+
+    return rows.select("ch", "doc_id", "s", "context").mapInArrow(run, "ch long, doc_id long, s long, e long, string binary")
+
+
 def suffix_array(codes: np.ndarray) -> np.ndarray:
     """Order of all suffixes of an array of numbers up to 256, in which each 0 is an end of its own.
 
@@ -391,6 +408,39 @@ def least_ids(contexts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     return [least[s : s + n - LENGTH + 1] for s, n in zip(starts.tolist(), sizes.tolist())]
 
 
+def _may_share(contexts: list[bytes], anchor: np.ndarray) -> np.ndarray:
+    """Whether each context can share a string with another one of its anchor.
+
+    Equal strings agree in the anchor and in LENGTH - GRAM bytes around it, hence in half of
+    these on its left or on its right. A context that is alone with both halves is left
+    out; one that holds its anchor more than once, or is too short for a half, is not judged
+    by that half's hash but kept if the other does not settle it.
+    """
+    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    starts = np.cumsum(sizes) - sizes
+    spans = SpanHash(np.frombuffer(b"".join(contexts), np.uint8))
+    grams = spans.windows(GRAM)
+    inside = np.repeat(np.arange(len(sizes)), sizes - GRAM + 1)
+    at = np.arange(len(inside)) + np.repeat(starts - (np.cumsum(sizes - GRAM + 1) - (sizes - GRAM + 1)), sizes - GRAM + 1)
+    own = grams[at]
+    least = np.minimum.reduceat(own, np.cumsum(sizes - GRAM + 1) - (sizes - GRAM + 1))
+    hits = np.flatnonzero(own == least[inside])
+    times = np.bincount(inside[hits], minlength=len(sizes))
+    q = np.zeros(len(sizes), np.int64)
+    q[inside[hits]] = at[hits]
+    live = times > 1
+    half = (LENGTH - GRAM + 1) // 2
+    for s, e in ((q - half, q), (q + GRAM, q + GRAM + half)):
+        able = np.flatnonzero((s >= starts) & (e <= starts + sizes) & (times == 1))
+        key = mix(spans.of(s[able], e[able]) + anchor[able].view(np.uint64))
+        _, back, count = np.unique(key, return_inverse=True, return_counts=True)
+        live[able] |= count[back] > 1
+    several = np.flatnonzero(times > 1)
+    if len(several):  # what repeats its anchor may meet any of its contexts
+        live |= np.isin(anchor, anchor[several])
+    return live
+
+
 def _repeated(table: pa.Table) -> pa.Table:
     """Cuts (ch, doc_id, s, e): strings of the contexts of one task that a smaller document's context has too."""
     anchor, ids = table.column("anchor").to_numpy(), table.column("doc_id").to_numpy()
@@ -401,6 +451,8 @@ def _repeated(table: pa.Table) -> pa.Table:
     new = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]])) if len(order) else np.zeros(0, np.int64)
     several = np.diff(np.append(new, len(order))) > 1
     order = order[np.repeat(several, np.diff(np.append(new, len(order))))]
+    if len(order):
+        order = order[_may_share([context[i] for i in order.tolist()], anchor[order])]
     at = 0
     while at < len(order):  # whole anchors up to the bound go into one suffix array
         end, size = at, 0
@@ -469,16 +521,22 @@ def repeated_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     apart = stage(_split_around(open_.join(many, "anchor", "left_semi")), "parts", "zstd")
     first = apart.groupBy("anchor", "context").agg(F.min("doc_id").alias("first_doc"))
     apart = apart.join(first, ["anchor", "context"])
+    later = apart.filter("doc_id > first_doc").select("ch", "doc_id", "s", "e")
+    apart = apart.filter("doc_id = first_doc").select(*open_.columns)
+    # parts whose middle is common too: their few strings are told apart one by one, without a task for all of them
+    crowded = stage(apart.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MANY_CONTEXTS).select("anchor"), "crowded")
+    alone = _strings(apart.join(crowded, "anchor", "left_semi"))
+    least = alone.groupBy("string").agg(F.min("doc_id").alias("first_doc"))
+    alone = alone.join(least, "string").filter("doc_id > first_doc").select("ch", "doc_id", "s", "e")
     size = open_.agg(F.sum(F.octet_length("context"))).first()[0] or 0
     parts = max(32, int(size / TASK_BYTES))
     compared = (
         open_.join(many, "anchor", "left_anti").select(*open_.columns).unionByName(
-            apart.filter("doc_id = first_doc").select(*open_.columns))
+            apart.join(crowded, "anchor", "left_anti").select(*open_.columns))
         .withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
         .groupBy("task").applyInArrow(_repeated, "ch long, doc_id long, s long, e long")
     )
-    cuts = found.filter("context is null").select("ch", "doc_id", "s", "e").unionByName(compared).unionByName(
-        apart.filter("doc_id > first_doc").select("ch", "doc_id", "s", "e"))
+    cuts = found.filter("context is null").select("ch", "doc_id", "s", "e").unionByName(compared).unionByName(later).unionByName(alone)
     return rows, cuts.join(firsts.select("ch", F.col("first_id").alias("doc_id")), ["ch", "doc_id"]).select("ch", "s", "e")
 
 
@@ -497,7 +555,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     3. Their bytes, one copy of each, come to one task by anchor. A Burrows-Wheeler transform
        of them is expanded backwards, breadth first, until intervals have a common prefix
        of 50 bytes; an interval's least id is that of the first document with the string.
-       Anchors with very many contexts are split by what stands around them before.
+       Contexts that agree with no other one on either side of their anchor are left out
+       before. Anchors with very many contexts are split by what stands around them, and
+       where that is common too, string by string.
     4. The cuts go back to the documents, and the first one of each content is cut once.
 
     Null and empty texts have nothing to remove. A row with a null id is compared with
