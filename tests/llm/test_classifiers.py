@@ -1,5 +1,6 @@
 """Toxicity, language and line quality: accuracy on rows held out, defined results for odd rows."""
 
+import random
 import zlib
 
 import numpy as np
@@ -65,6 +66,7 @@ def test_families_are_found():
     assert language.families(means).tolist() == [0, 0, 0, 1, 1, 1]
     assert language.families(means[:2]).tolist() == [0, 1]
     assert language.families(means[:1]).tolist() == [0]
+    assert language.families(means, 2).tolist() in ([0, 0, 1, 2, 2, 3], [0, 1, 0, 2, 3, 2], [0, 1, 1, 2, 3, 3], [0, 0, 1, 2, 3, 3], [0, 1, 1, 2, 2, 3])
 
 
 @pytest.mark.parametrize("operator", [toxicity.toxicity, quality_crf.quality])
@@ -130,3 +132,53 @@ def test_line_features_see_neighbours():
     x = quality_crf.with_neighbours(own, doc)
     assert (x[1, quality_crf.OWN : 2 * quality_crf.OWN] == own[0]).all() and not x[0, quality_crf.OWN : 2 * quality_crf.OWN].any()
     assert not x[4, quality_crf.OWN : 3 * quality_crf.OWN].any()
+
+
+def test_linkage_equals_plain_means():
+    rng = np.random.default_rng(2)
+    means = rng.random((9, 30))
+    unit = means / np.linalg.norm(means, axis=1, keepdims=True)
+    far = 1 - unit @ unit.T
+    groups, heights = [[i] for i in range(9)], [1e-9]
+    while len(groups) > 1:
+        pairs = [(far[np.ix_(groups[a], groups[b])].mean(), a, b) for a in range(len(groups)) for b in range(a + 1, len(groups))]
+        h, a, b = min(pairs)
+        groups[a] = groups[a] + groups.pop(b)
+        heights.append(h)
+    states, got = language._linkage(means)
+    assert np.allclose(got, heights) and sorted(states[-1][0]) == list(range(9))
+
+
+def test_decision_equals_a_plain_rule():
+    rng = np.random.default_rng(3)
+    family = np.array([0, 0, 0, 1, 1])
+    pairs = [(0, 1), (0, 2), (1, 2), (3, 4)]
+    model = language.LanguageModel(list("abcde"), family, pairs, np.zeros((1, 6)), np.zeros(6))
+    margins = rng.normal(size=(200, 6))
+    margins[:5, 2:] = 0.0  # ties
+    best, score = language.decide(margins, model)
+    for row, got in zip(margins, best):
+        fam = 0 if row[0] >= row[1] else 1
+        votes = {k: 0.0 for k in range(5) if family[k] == fam}
+        for m, (a, b) in zip(row[2:], pairs):
+            if family[a] == fam:
+                votes[a] += (m >= 0) + 1e-3 * np.tanh(m)
+                votes[b] += (m < 0) - 1e-3 * np.tanh(m)
+        assert got == max(sorted(votes), key=lambda k: votes[k])
+    assert ((score >= 0) & (score <= 1)).all()
+
+
+def test_250_languages(spark):
+    """No language is left out, however many there are."""
+    rng = random.Random(6)
+    rows = []
+    for k in range(250):
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyzäöüßéèñçøåæ", 9)
+        words = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 7))) for _ in range(12)]
+        rows += [(len(rows) + i, " ".join(rng.choice(words) for _ in range(40)), f"l{k:03d}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.identify(docs).toPandas().merge(docs.toPandas(), on="doc_id")
+    learned = set(got[~got.held_out].lang)
+    assert len(learned) == 250 and set(got.lang_pred) == learned
+    unseen = got[got.held_out & got.lang.isin(learned)]
+    assert (unseen.lang_pred == unseen.lang).mean() > 0.95
