@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..functions.arith import idiv
 from ..operators import alignments as al, coverage as cov, qc, tags as tg
-from ..session import scratch_path
+from ..session import scratch_path, stage
 from ..sources import genomic as gs, tables as ts
+from ..sources.text import numbered_lines
 from . import views as v
 from .queries_coverage import BINS
 from .queries_motifs import GENOME, _genome
@@ -71,16 +72,52 @@ select sample, qname, mate, chrom, s, s + case when fid % 23 < 3 then 45 else 50
     || ';XF=1.5' as tags
 from alignments""", "alignments"))
 def sam_round_trip(spark, sf):
+    tags = F.array_join(F.transform(F.array_sort(F.map_entries("tags")), lambda t: F.concat_ws("=", t["key"], t["value"])), ";")
+    return gs.read_alignments(spark, _sam(spark, sf)).select(
+        "sample", "qname", "mate", "chrom", "s", "e", "strand", "flag", "mapq", "cigar", "tlen", "seq", "qual", "x0", "reject",
+        "mate_chrom", "mate_s", tags.alias("tags"))
+
+
+def _sam(spark, sf):
     path = scratch_path(spark, "sam")
     a = v.alignments(spark, sf).withColumns({
         "mate_chrom": F.when(F.col("mate") == 1, F.col("chrom")).otherwise("chrX"), "mate_s": F.col("s") + 100,
         "tags": F.create_map(F.lit("RG"), F.concat(F.lit("g"), F.col("mate").cast("string")), F.lit("XF"), F.lit("1.5"))})
-    a = al.tag_failures(a, 2)
-    sinks.write_sam(a.withColumn("flag", F.when(F.col("strand") == "-", F.col("flag").bitwiseOR(F.lit(16))).otherwise(F.col("flag"))), path)
-    tags = F.array_join(F.transform(F.array_sort(F.map_entries("tags")), lambda t: F.concat_ws("=", t["key"], t["value"])), ";")
-    return gs.read_alignments(spark, path).select(
-        "sample", "qname", "mate", "chrom", "s", "e", "strand", "flag", "mapq", "cigar", "tlen", "seq", "qual", "x0", "reject",
-        "mate_chrom", "mate_s", tags.alias("tags"))
+    a = al.tag_failures(a, 2).withColumn("flag", F.when(F.col("strand") == "-", F.col("flag").bitwiseOR(F.lit(16))).otherwise(F.col("flag")))
+    sinks.write_sam(stage(a, "records"), path)
+    return path
+
+
+SQ = """
+select sample, chrom, max(e) as length,
+  case when chrom = 'chrM' then 1002 else cast(substr(chrom, 4) as bigint) end as ordinal
+from alignments group by sample, chrom"""
+
+
+@query(v.with_views("""
+select sample, row_number() over (partition by sample order by part, ordinal, id) - 1 as line_no, kind, text from (
+  select distinct sample, 0 as part, 0 as ordinal, '' as id, 'HD' as kind, '@HD' || chr(9) || 'VN:1.6' || chr(9) || 'SO:coordinate' as text from alignments
+  union all select sample, 1, ordinal, '', 'SQ', '@SQ' || chr(9) || 'SN:' || chrom || chr(9) || 'LN:' || length from sq
+  union all select distinct sample, 2, 0, 'g' || mate, 'RG', '@RG' || chr(9) || 'ID:g' || mate || chr(9) || 'SM:' || sample from alignments)""",
+                    "alignments", sq=SQ))
+def sam_header_round_trip(spark, sf):
+    """Header lines as read back: order, sequence dictionary, read groups."""
+    return gs.read_sam_header(spark, _sam(spark, sf)).select("sample", "line_no", "kind", "text")
+
+
+@query(v.with_views("""
+select a.sample, qname, mate, a.chrom, s, row_number() over (partition by a.sample order by ordinal, s, qname, mate,
+  flag | case strand when '-' then 16 else 0 end) - 1 as place
+from alignments a join sq on sq.sample = a.sample and sq.chrom = a.chrom""", "alignments", sq=SQ))
+def sam_order(spark, sf):
+    """Place of each record in its sample's file, which is that of the dictionary and the position."""
+    sample = F.regexp_extract("path", r"/sample=([^/]+)/", 1)
+    lines = numbered_lines(spark, _sam(spark, sf) + "/*", sample)
+    f = F.split("value", "\t")
+    heads = lines.filter(F.col("value").startswith("@")).groupBy("path").agg(F.count("*").alias("heads"))
+    return lines.filter(~F.col("value").startswith("@")).join(heads, "path").select(
+        F.col("path").alias("sample"), f[0].alias("qname"), F.when(f[1].cast("int").bitwiseAND(F.lit(128)) != 0, 2).otherwise(1).alias("mate"),
+        f[2].alias("chrom"), (f[3].cast("bigint") - 1).alias("s"), (F.col("line_no") - F.col("heads")).alias("place"))
 
 
 @query(v.with_views("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.genome import chromosome_ordinal
 
@@ -57,8 +57,8 @@ def write_alignments(df: DataFrame, path: str, mode: str = "error") -> None:
     _in_order(df, *order).write.mode(mode).partitionBy("sample", "chrom").parquet(path)
 
 
-def sam_lines(df: DataFrame) -> DataFrame:
-    """(sample, value): SAM text of alignment records, 1-based, with all tags in order of their names."""
+def sam_lines(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(sample, value): SAM text of alignment records, 1-based, with all tags in order of their names; other columns on request."""
     def text(c: str) -> Column:
         return F.coalesce(F.col(c).cast("string"), F.lit("*")) if c in df.columns else F.lit("*")
 
@@ -84,13 +84,61 @@ def sam_lines(df: DataFrame) -> DataFrame:
         text("seq"), text("qual"), F.array_join(fields, "\t"),
     )
     line = F.regexp_replace(line, "\t$", "")
-    return df.select("sample", line.alias("value"))
-
-
-def write_sam(df: DataFrame, path: str, mode: str = "error") -> None:
-    """SAM text per sample in coordinate order, without a header."""
-    ordered = _in_order(df, "sample", chromosome_ordinal("chrom"), "chrom", "s", "qname")
-    sam_lines(ordered).write.mode(mode).partitionBy("sample").text(path)
+    return df.select("sample", line.alias("value"), *keep)
+
+
+def sam_dictionary(df: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
+    """(sample, chrom, place, length): the sequences of each sample in karyotype order, by their number from 0.
+
+    ``lengths`` (chrom, length, and genome where both tables name it) lists them; without it
+    those that alignments lie on count, as long as the last base covered.
+    """
+    if lengths is None:
+        found = df.filter("chrom is not null").groupBy("sample", "chrom").agg(F.max("e").alias("length"))
+    else:
+        own = [c for c in ("genome",) if c in df.columns and c in lengths.columns]
+        samples = df.select("sample", *own).distinct()
+        listed = F.collect_list(F.struct("chrom", "length")).alias("listed")  # as many as sequences
+        if own:
+            found = samples.join(lengths.groupBy(*own).agg(listed), own).select("sample", F.inline("listed"))
+        else:
+            found = samples.withColumn("listed", lengths.agg(listed).scalar()).select("sample", F.inline("listed"))
+    order = Window.partitionBy("sample").orderBy(chromosome_ordinal("chrom"), "chrom")  # as many rows as sequences
+    return found.withColumn("place", F.row_number().over(order) - 1)
+
+
+def sam_header(df: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(sample, line_no, text): version and order, the sequence dictionary, and the read groups that the tags name."""
+    samples = df.select("sample").distinct()
+    lines = samples.select("sample", F.lit(0).alias("part"), F.lit(0).alias("at"), F.lit("").alias("id"), F.lit("@HD\tVN:1.6\tSO:coordinate").alias("text"))
+    names = F.concat(F.lit("@SQ\tSN:"), "chrom", F.lit("\tLN:"), F.col("length").cast("string"))
+    lines = lines.unionByName(dictionary.select("sample", F.lit(1).alias("part"), F.col("place").alias("at"), F.lit("").alias("id"), names.alias("text")))
+    if "tags" in df.columns:
+        groups = df.select("sample", F.col("tags")["RG"].alias("id")).filter("id is not null").distinct()
+        text = F.concat(F.lit("@RG\tID:"), "id", F.lit("\tSM:"), "sample")
+        lines = lines.unionByName(groups.select("sample", F.lit(2).alias("part"), F.lit(0).alias("at"), "id", text.alias("text")))
+    order = Window.partitionBy("sample").orderBy("part", "at", "id")  # as many rows as sequences and read groups
+    return lines.select("sample", (F.row_number().over(order) - 1).cast("bigint").alias("line_no"), "text")
+
+
+def write_sam(df: DataFrame, path: str, mode: str = "error", lengths: DataFrame | None = None) -> None:
+    """SAM text per sample: header with the sequence dictionary, then records in the dictionary's order.
+
+    Ends of the order: position, name, mate and flag; records without a place come last.
+    ``df`` is read several times, so write from a stored table.
+    """
+    dictionary = sam_dictionary(df, lengths)
+    place = dictionary.select("sample", "chrom", "place")
+    ranked = df.join(place, ["sample", "chrom"], "left")
+    last = (1 << 31) - 1
+    keys = {"part": F.lit(1), "at": F.coalesce("place", F.lit(last)), "pos": F.coalesce("s", F.lit(0).cast("bigint")),
+            "name": F.col("qname"), "second": F.col("mate").cast("int"), "bits": F.col("flag").cast("int")}
+    body = sam_lines(ranked.withColumns({f"_{k}": c for k, c in keys.items()}), [f"_{k}" for k in keys])
+    top = sam_header(df, dictionary).select(
+        "sample", F.col("text").alias("value"), F.lit(0).alias("_part"), F.col("line_no").cast("int").alias("_at"),
+        F.lit(0).cast("bigint").alias("_pos"), F.lit("").alias("_name"), F.lit(0).alias("_second"), F.lit(0).alias("_bits"))
+    ordered = _in_order(body.unionByName(top), "sample", *[f"_{k}" for k in keys]).select("sample", "value")
+    ordered.write.mode(mode).partitionBy("sample").text(path)
 
 
 def write_peak_report(header: DataFrame, rows: DataFrame, path: str, mode: str = "error") -> None:

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import arith as A
 from ..functions.arith import idiv
-from ..functions.ranking import running_total
-from ..functions.tiling import tile_range
 from ..operators.reads import assemble_records
+from ..session import stage
 from .text import numbered_lines
 
 # fixed values: column names and types of the formats
@@ -48,18 +47,20 @@ def read_alignments(spark: SparkSession, path: str, sample: str | Column | None
     if sample is not None:
         lines = lines.withColumn("sample", F.lit(sample) if isinstance(sample, str) else sample)
     f = F.split("value", "\t")
-    raw = lines.select("sample", f.alias("f"), F.size(f).alias("n_fields"))
+    extra = F.transform(F.slice("f", 12, F.greatest(F.size("f") - 11, F.lit(0))), lambda t: F.split(t, ":", 3))
+    entries = F.transform(
+        F.filter(extra, lambda t: F.size(t) == 3), lambda t: F.struct(t[0].alias("key"), t[2].alias("value"))
+    )
+    # columns of their own, so that the fields and tags of a line are taken apart once
+    raw = lines.select("sample", f.alias("f")).withColumns({"n_fields": F.size("f"), "entries": entries}).withColumn(
+        "names", F.transform("entries", lambda t: t["key"]))
 
     def field(i: int) -> Column:
         text = F.get("f", F.lit(i))
         return F.when(text != "*", text)
 
-    extra = F.transform(F.slice("f", 12, F.greatest(F.size("f") - 11, F.lit(0))), lambda t: F.split(t, ":", 3))
-    entries = F.transform(
-        F.filter(extra, lambda t: F.size(t) == 3), lambda t: F.struct(t[0].alias("key"), t[2].alias("value"))
-    )
-    names = F.transform(entries, lambda t: t["key"])
-    first = F.filter(entries, lambda t, i: F.array_position(names, t["key"]) == i + 1)  # of a repeated tag
+    repeated = F.size(F.array_distinct("names")) < F.size("names")
+    first = F.filter("entries", lambda t, i: F.array_position(F.col("names"), t["key"]) == i + 1)
     df = raw.select(
         "sample", "n_fields",
         field(0).alias("qname"),
@@ -73,7 +74,7 @@ def read_alignments(spark: SparkSession, path: str, sample: str | Column | None
         F.get("f", F.lit(8)).try_cast("bigint").alias("tlen"),
         field(9).alias("seq"),
         field(10).alias("qual"),
-        F.map_from_entries(first).alias("tags"),
+        F.map_from_entries(F.when(repeated, first).otherwise(F.col("entries"))).alias("tags"),
     )
     reject = (
         F.when(F.col("n_fields") < 11, "too few fields")
@@ -91,6 +92,22 @@ def read_alignments(spark: SparkSession, path: str, sample: str | Column | None
     )
 
 
+def read_sam_header(spark: SparkSession, path: str) -> DataFrame:
+    """Header lines of SAM text: sample, line_no (from 0), kind (HD, SQ, RG, PG, CO), fields (a map), text.
+
+    A folder named sample=... gives the sample; its parts are one file.
+    """
+    sample = F.regexp_extract("path", r"/sample=([^/]+)/", 1)
+    lines = numbered_lines(spark, path + "/*", sample).filter(F.col("value").startswith("@"))
+    parts = F.filter(F.split("value", "\t"), lambda t: t.contains(":"))
+    fields = F.transform(parts, lambda t: F.struct(F.substring_index(t, ":", 1).alias("key"), F.substr(t, F.instr(t, ":") + 1).alias("value")))
+    kind = F.substring("value", 2, 2)
+    free = F.create_map().cast("map<string,string>")  # a comment has no fields
+    return lines.select(
+        F.col("path").alias("sample"), "line_no", kind.alias("kind"),
+        F.when(kind == "CO", free).otherwise(F.map_from_entries(fields)).alias("fields"), F.col("value").alias("text"))
+
+
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Headerless tab-separated text, plain or gzipped; folders of the form key=value add their keys."""
     return spark.read.option("sep", "\t").option("comment", "#").schema(schema).csv(path)
@@ -129,27 +146,33 @@ def read_hpeaks(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 def read_sequences(spark: SparkSession, path: str, chunk: int = 1 << 16, overlap: int = 0) -> DataFrame:
     """FASTA to (chrom, off, seq): chunks of fixed size, each with the first ``overlap`` bases of the next.
 
-    Each line learns its sequence from the header lines (few) by ranges of line
-    numbers, and its offset from running lengths summed range by range. A chunk
-    gathers its own bases and no more.
+    The text is read once and its lines are written as a table. Within a split, lines are numbered by the headers before them and
+    get their place from a running length; the totals of these stretches (a row each) are
+    then summed along the file, which gives each stretch its sequence and its begin. A chunk
+    gathers its own bases and no more. Lines before the first header belong to nothing.
     """
-    block = 1 << 12
-    lines = numbered_lines(spark, path)
-    heads = lines.filter(F.col("value").startswith(">"))
-    until = F.lead("line_no").over(Window.partitionBy("path").orderBy("line_no"))
-    last = lines.groupBy("path").agg((F.max("line_no") + 1).alias("end"))
-    spans = (
-        heads.select("path", F.regexp_extract("value", r"^>(\S+)", 1).alias("chrom"), F.col("line_no").alias("h"), until.alias("until"))
-        .join(last, "path")
-        .select("path", "chrom", "h", F.coalesce("until", "end").alias("until"))
-        .select("*", F.explode(tile_range("h", "until", block)).alias("block"))
+    along = Window.partitionBy("path", "split").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    head = F.col("value").startswith(">")
+    lines = (
+        spark.read.text(path)
+        .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"),
+                F.monotonically_increasing_id().alias("row"))
+        .select("path", "split", "row", F.when(head, F.regexp_extract("value", r"^>(\S+)", 1)).alias("name"),
+                F.when(head, "").otherwise(F.trim("value")).alias("bases"))
+        .withColumns({"stretch": F.count("name").over(along), "read": F.sum(F.length("bases")).over(along)})
     )
-    body = lines.filter(~F.col("value").startswith(">")).withColumn("block", idiv("line_no", block))
-    named = body.join(spans, ["path", "block"]).filter("h < line_no and line_no < until")
-    placed = running_total(
-        named.select("path", "chrom", "block", "line_no", F.trim("value").alias("bases")),
-        ["path", "chrom"], "block", [F.col("line_no")], F.length("bases").cast("bigint"), "upto",
-    ).withColumn("at", F.col("upto") - F.length("bases"))
+    lines = stage(lines, "fasta")
+    stretches = lines.groupBy("path", "split", "stretch").agg(F.max("name").alias("name"), F.sum(F.length("bases")).alias("size"))
+    on = Window.partitionBy("path").orderBy("split", "stretch")
+    numbered = stretches.withColumn("number", F.count("name").over(on))
+    sequence, inside = Window.partitionBy("path", "number"), Window.partitionBy("path", "split").orderBy("stretch")
+    begins = numbered.select(
+        "path", "split", "stretch", F.max("name").over(sequence).alias("chrom"),
+        # where the stretch begins in its sequence, less what the split held before it
+        (F.sum("size").over(sequence.orderBy("split", "stretch")) - F.sum("size").over(inside)).alias("shift"),
+    ).filter("chrom is not null")
+    placed = lines.join(begins, ["path", "split", "stretch"]).select(
+        "chrom", "bases", (F.col("read") + F.col("shift")).alias("upto")).withColumn("at", F.col("upto") - F.length("bases"))
     first = F.greatest(idiv(F.col("at") - overlap, chunk), F.lit(0))
     parts = placed.filter("bases <> ''").select(
         "chrom", "at", "upto", "bases", F.explode(F.sequence(first, idiv(F.col("upto") - 1, chunk))).alias("piece")
