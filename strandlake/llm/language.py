@@ -21,6 +21,8 @@ PER_LANGUAGE = 400
 HEAD_SAMPLE = 2000
 #: a larger family is divided, so that pairs of languages grow with their number only
 MAX_FAMILY = 24
+#: ids that are sent to all tasks at most (16 bytes each)
+FEW_IDS = 1 << 20
 UNKNOWN = "und"
 
 
@@ -232,7 +234,8 @@ def language_sample(docs: DataFrame, each: int = PER_LANGUAGE) -> DataFrame:
     """At most ``each`` texts of every language outside the held-out rows, chosen by a hash of the id: text, lang, rank.
 
     A threshold on the hash, from the language's count, leaves about twice as many as are
-    wanted before they are ranked, so that no language is ordered as a whole.
+    wanted before they are ranked, so that no language is ordered as a whole. While the ids
+    chosen are few, they are sent to the texts.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).filter(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~is_held_out())
@@ -240,10 +243,13 @@ def language_sample(docs: DataFrame, each: int = PER_LANGUAGE) -> DataFrame:
     mark = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
     below = F.least(F.lit(1.0), (2.0 * each + 64.0) / F.col("n")) * float(1 << 40)
     chosen = (
-        known.join(counts, "lang").filter(mark <= below).select("doc_id", "lang").distinct()
+        known.join(F.broadcast(counts), "lang").filter(mark <= below)  # a row per language, as the model's.select("doc_id", "lang").distinct()
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")))
         .filter(F.col("rank") <= each)
     )
+    chosen = stage(chosen, "language_ids")
+    if chosen.count() <= FEW_IDS:  # else the texts are shuffled to them
+        chosen = F.broadcast(chosen)
     return whole_texts(docs).join(chosen, "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "lang", "rank")
 
 
