@@ -31,12 +31,58 @@ def tag_totals(tags: DataFrame) -> DataFrame:
     )
 
 
+#: a transform's error stays below a quarter while the norms' product does not exceed this
+EXACT_NORM = 1e13
+#: bits of a part of a count, where counts are too large for one transform
+LIMB = 12
+
+
+def _smooth(n: int) -> int:
+    """The least product of 2, 3 and 5 that is at least n, a length at which transforms are fast."""
+    best = 1 << (n - 1).bit_length()
+    for five in (1, 5, 25, 125):
+        for three in (1, 3, 9, 27, 81):
+            odd = five * three
+            best = min(best, odd << max(0, (-(-n // odd) - 1).bit_length()))
+    return best
+
+
+def shifted_products(pairs: Sequence[tuple[np.ndarray, np.ndarray]], reach: int) -> np.ndarray:
+    """Sum over the pairs of sum_i a[i] * b[i + d] for d = 0 to ``reach``, from vectors of counts; exact as far as it fits a long.
+
+    b is ``reach`` longer than a. Few counts are multiplied shift by shift; else the products
+    of all shifts come from one transform, at a cost that does not depend on ``reach``. Counts
+    too large for exact rounding are transformed in parts of 12 bits.
+    """
+    size = _smooth(max(len(b) for _, b in pairs) + 1)
+    places = sum(np.count_nonzero(a) for a, _ in pairs)
+    if places * (reach + 1) <= 40 * size:
+        out = np.zeros(reach + 1, np.int64)
+        for a, b in pairs:
+            at = np.flatnonzero(a)
+            for d in range(reach + 1):
+                out[d] += a[at] @ b[at + d]
+        return out
+    norm = sum(float(np.linalg.norm(a.astype(float)) * np.linalg.norm(b.astype(float))) for a, b in pairs)
+    if norm <= EXACT_NORM:
+        total = sum(np.conj(np.fft.rfft(a, size)) * np.fft.rfft(b, size) for a, b in pairs)
+        return np.rint(np.fft.irfft(total, size)[: reach + 1]).astype(np.int64)
+    out = np.zeros(reach + 1, np.int64)
+    for a, b in pairs:
+        low, high = a & ((1 << LIMB) - 1), a >> LIMB
+        if high.any():
+            out += shifted_products([(low, b)], reach) + (shifted_products([(high, b)], reach) << LIMB)
+        else:
+            out += shifted_products([(a, b & ((1 << LIMB) - 1))], reach) + (shifted_products([(a, b >> LIMB)], reach) << LIMB)
+    return out
+
+
 def tag_autocorrelation(tags: DataFrame, max_dist: int = 1000, tile: int = 1 << 17) -> DataFrame:
     """Sum of count products by distance, on the same and on the opposite strand.
 
     Same strand: both orders of a pair are one (d > 0). Opposite strand: the minus tag
     lies d bases after the plus tag. A task holds two count vectors of one tile and
-    the bases after it, and multiplies shifted vectors; pairs are never listed.
+    the bases after it, and correlates them block by block; pairs are never listed.
     """
     near = tags.withColumn("home", idiv("p", tile)).withColumn(
         "tile", F.explode(F.sequence(F.greatest(idiv(F.col("p") - max_dist, tile), F.lit(0)), F.col("home")))
@@ -44,19 +90,16 @@ def tag_autocorrelation(tags: DataFrame, max_dist: int = 1000, tile: int = 1 <<
 
     def products(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         sample, _, t = key
-        plus, minus = np.zeros(tile + max_dist), np.zeros(tile + max_dist)
+        plus, minus = np.zeros(tile + max_dist, np.int64), np.zeros(tile + max_dist, np.int64)
         at = (pdf["p"] - t * tile).to_numpy()
         forward = (pdf["strand"] != "-").to_numpy()
-        n = pdf["n"].to_numpy(dtype=float)
+        n = pdf["n"].to_numpy(dtype=np.int64)
         np.add.at(plus, at[forward], n[forward])
         np.add.at(minus, at[~forward], n[~forward])
-        rows = []
-        own_p, own_m = np.flatnonzero(plus[:tile]), np.flatnonzero(minus[:tile])
-        vp, vm = plus[own_p], minus[own_m]
-        for d in range(max_dist + 1):
-            same = vp @ plus[own_p + d] + vm @ minus[own_m + d] if d else 0.0
-            rows.append((sample, d, int(same), int(vp @ minus[own_p + d])))
-        return pd.DataFrame(rows, columns=["sample", "distance", "same", "opposite"])
+        same = shifted_products([(plus[:tile], plus), (minus[:tile], minus)], max_dist)
+        same[0] = 0
+        opposite = shifted_products([(plus[:tile], minus)], max_dist)
+        return pd.DataFrame({"sample": sample, "distance": np.arange(max_dist + 1), "same": same, "opposite": opposite})
 
     parts = near.select(*TRACK, "tile", "p", "strand", "n").groupBy("sample", "chrom", "tile").applyInPandas(
         products, "sample string, distance bigint, same bigint, opposite bigint"
