@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import arith as A
 from ..functions.names import clean_read_name
 from ..operators import alignments as al
+from ..session import stage_by
 from . import views as v
 from .registry import query
 from .trunk import prune_atac, prune_chip_paired, prune_chip_single, track
@@ -186,6 +187,13 @@ def prune_chip_paired_alignments(spark, sf):
     return prune_chip_paired(v.alignments(spark, sf), "mm10").select("sample", "qname", "mate", "chrom", "s", "flag")
 
 
+@query(v.with_views("select sample, qname, mate, chrom, s, mflag as flag from clean", "marked", clean=CLEAN))
+def prune_chip_paired_bucketed(spark, sf):
+    """The same from records written in buckets by name: they are not shuffled again."""
+    records = stage_by(v.alignments(spark, sf), "records", al.MATE_KEY)
+    return prune_chip_paired(records, "mm10").select("sample", "qname", "mate", "chrom", "s", "flag")
+
+
 @query(v.with_views("""
 select sample, chrom, bin, count(*) as n, round(count(*) * 1e6 / any_value(total), 4) as cpm from (
   select u.sample, chrom, unnest(range(fs // 25, (fe - 1) // 25 + 1)) as bin, total

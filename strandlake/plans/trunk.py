@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.arith import PAIRED, has_any
 from ..operators import alignments as al, coverage as cov, manifest as mf, motifs as mo, peaks as pk, qc, tags as tg
 from ..operators.intervals import exclude_overlaps, exclude_peaks_and_summits, keep_by_id, peaks_to_bed, place_keys
-from ..session import stage
+from ..session import stage, stage_by
 
 TRACK = ["sample", "chrom"]
 
@@ -185,7 +185,8 @@ def chip_study(alignments: DataFrame, samplesheet: DataFrame, excluded: DataFram
     of each sample and parameter set and the stretches beside them.
     """
     own = with_genomes(alignments, samplesheet)
-    marked = stage(al.mark_duplicates(own), "marked")
+    # marking leaves the records dealt out by name, and so the pair filter finds them
+    marked = stage_by(al.mark_duplicates(own), "marked", al.MATE_KEY, spread=False)
     kept = al.keep_chromosomes(marked)
     pruned = stage(_prune_by_layout(kept), "pruned")
     raw = stage(tg.tag_directory(pruned), "raw-tags")
