@@ -1,11 +1,13 @@
 """Exact copies beside SQL and on odd rows; licence notices; the pipeline; what is registered."""
 
 import hashlib
+import math
 import re
 import subprocess
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -50,9 +52,80 @@ def test_no_python_in_native_plans(spark, sf_dir):
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
 
 
-def test_notices_are_found(spark):
-    from pyspark.sql import functions as F
+HEADERS = {
+    "GPL": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "AGPL": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as
+published by the Free Software Foundation, either version 3 of the
+License, or (at your option) any later version.""",
+    "Apache": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance
+with the License.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "BSL": """Distributed under the Boost Software License,
+Version 1.0. (See accompanying file
+LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)""",
+    "EPL": """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0""",
+    "CC BY-ND": """This work is licensed under a Creative Commons
+Attribution-NoDerivatives 4.0 International License.""",
+    "CC BY-NC-SA": """This work is licensed under a Creative Commons
+Attribution-NonCommercial-ShareAlike 4.0 International License.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+}
+
+
+def test_wrapped_notices_of_many_families(spark):
+    model = licences.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    lead = " \n\nSome words about a river.\nAnd more of them.\n\t\n"
+    docs = spark.createDataFrame(
+        [(k, lead + text + "\n\nThe end of it.", "x") for k, text in enumerate(HEADERS.values())]
+        + [(100, "The general public may publish terms of the river foundation.", "x")], "doc_id long, text string, runs string")
+    rows = licences.scan_licences(docs, model).collect()
+    for k, family in enumerate(HEADERS):
+        own = [r for r in rows if r.doc_id == k and r.confirmed]
+        assert {r.family for r in own} == {family}, (family, own)
+        assert min(r.paragraph for r in own) >= 5 and max(r.paragraph + r.lines for r in own) <= 6 + HEADERS[family].count("\n")
+    assert not [r for r in rows if r.doc_id == 100]
+
+
+def test_odds_equal_plain_sums(spark):
+    """Probabilities from the model's weights by plain Python, for whole paragraphs and lines."""
+    model = licences.fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    body = HEADERS["GPL"]
+    rows = spark.createDataFrame([(1, body), (2, body.split("\n")[1]), (3, "no notice at all in here")], "id long, body string")
+    held = rows.select("id", F.explode(licences.grams(licences.words(F.col("body")))).alias("gram"))
+    weights, sums = dict(model.rows), {}
+    for r in held.collect():
+        if r.gram in weights:
+            sums[r.id] = [x + w for x, w in zip(sums.get(r.id, model.intercepts), weights[r.gram])]
+    got = {r["id"]: (r["k"], r["probability"]) for r in licences._scored(held, ["id"], spark, model).collect()}
+    assert got.keys() == sums.keys()
+    for k, odds in sums.items():
+        p = [math.exp(x - max(odds)) for x in odds]
+        best = max(range(1, len(p)), key=lambda i: (p[i], i))
+        assert got[k][0] == best and abs(got[k][1] - p[best] / sum(p)) < 1e-9
+
+
+def test_cues_are_in_every_paragraph_with_a_feature(spark):
+    model = licences.fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    features, cues = {g for g, _ in model.rows}, set(model.cues)
+    text = spark.createDataFrame([(t,) for _, t in licences.TEMPLATES], "body string").withColumn(
+        "w", F.filter(licences.words(F.col("body")), lambda x: x != ""))
+    some = text.withColumn("i", F.explode(F.sequence(F.lit(1), F.size("w") - 1))).withColumn("n", F.explode(F.array(F.lit(2), F.lit(3), F.lit(6))))
+    for r in some.select(F.slice("w", F.col("i"), F.col("n")).alias("w")).select(licences.grams(F.col("w")).alias("g")).collect():
+        assert not features & set(r.g) or cues & set(r.g)
 
+
+def test_notices_are_found(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = {(r.doc_id, k) for r in docs.collect() for k, line in enumerate(r.text.split("\n"))
             if "icensed under" in line or "MIT License" in line}
