@@ -40,6 +40,21 @@ def test_odd_rows(spark):
     assert exact_dedup.exact_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_shares_of_frequent_contents(spark):
+    """Contents in many shares give the rows of one share; the digest stands for the text outside of them."""
+    rows = [(i, ["hot text", "hottext ", "warm", f"own {i}"][0 if i % 3 == 0 else i % 4], "n", 1, 2) for i in range(600)]
+    df = spark.createDataFrame(rows + rows[:7] + [(None, "hot  text", "n", 1, 2)], SCHEMA).repartition(5)
+    want = sorted(map(tuple, exact_dedup.exact_dedup(df, copies=10_000).collect()), key=str)
+    assert sorted(map(tuple, exact_dedup.exact_dedup(df, copies=3).collect()), key=str) == want
+    best = {r[4]: r for r in want if r[3]}[hashlib.sha256(b"hottext").hexdigest()]
+    assert best[0] == best[1] == 0 and best[2] > 200
+
+
+def test_texts_are_shuffled_once_and_by_ranges(spark, sf_dir):
+    plan = queries.op10_exact_dedup(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"rangepartitioning\(begin", plan) and not re.search(r"hashpartitioning\([^)]*norm", plan)
+
+
 def test_kept_rows(spark):
     rows = [(1, "a b", "x"), (2, "ab", "y"), (1, "a b", "x"), (3, None, "z"), (None, "q", "w")]
     got = exact_dedup.keep_distinct(spark.createDataFrame(rows, "doc_id long, text string, _id string"))
