@@ -41,6 +41,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept as well. Empty table: no rows. Other columns of ``docs`` are not read.
     """
     norm = F.translate(F.coalesce(F.col("text"), F.lit("")), BLANK, "")
+    # never null, and seen to be: else the join puts a filter on the digest below every read of the texts
+    sha = F.coalesce(F.unhex(F.sha2("norm", 256)), F.lit(b""))
     rows = whole_texts(docs, id_col, text_col).select(
         "doc_id", norm.alias("norm"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("len"))
     marked = rows.withColumn("mark", F.xxhash64("norm"))
@@ -56,14 +58,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = (
         keyed.repartitionByRange("begin", "mark", "share").sortWithinPartitions(*content)
         .groupBy(*content).agg(F.min("row").alias("row"), F.count("*").alias("n"))
-        .select("mark", F.unhex(F.sha2("norm", 256)).alias("sha"), "row", "n")
+        .select("mark", sha.alias("sha"), "row", "n")
     )
     heads = (
         runs.groupBy("mark", "sha").agg(F.min("row").alias("row"), F.sum("n").alias("group_size"))
         .select("sha", F.col("row.doc_id").alias("keep_id"), (-F.col("row.less")).alias("keep_len"), "group_size")
     )
     return (
-        rows.select("doc_id", "len", F.unhex(F.sha2("norm", 256)).alias("sha"))
+        rows.select("doc_id", "len", sha.alias("sha"))
         .join(heads, "sha")
         .select(
             "doc_id", "keep_id", "group_size",
