@@ -16,6 +16,8 @@ from .textkit import (IS_LEAD, IS_SPACE, SpanHash, Texts, fit_logistic, is_held_
 SAMPLE_PER_LABEL = 1500
 CHAIN = 64
 STEPS = 150
+#: squares of the weights count so much, those of a line's features and those of its transitions
+UNARY_PENALTY, STEP_PENALTY = 1e-4, 1e-2
 THRESHOLD = 0.7
 
 _ASCII = [chr(b) if b < 128 else "" for b in range(256)]
@@ -93,14 +95,22 @@ def with_neighbours(x: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def marginals(odds: np.ndarray, chain: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """P(good) of each line, and the summed pair marginals of neighbours, by forward-backward.
+    """P(good) of each line, and the summed pair marginals of neighbours."""
+    return forward_backward(odds, chain, step, np.ones(len(odds)))[:2]
+
+
+def forward_backward(odds: np.ndarray, chain: np.ndarray, step: np.ndarray,
+                     weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """P(good) of each line, the summed pair marginals of neighbours and the summed logarithm
+    of the chains' normalisers (all labellings together).
 
     odds: log-odds of good from the line's features; chain: number of the chain it is in,
-    rising; step: the 2 x 2 transition weights (from, to), 0 bad, 1 good.
+    rising; step: the 2 x 2 transition weights (from, to), 0 bad, 1 good. The two sums count
+    each chain by the ``weight`` of its lines, which is the same for all of them.
     """
     n = len(odds)
     if not n:
-        return np.zeros(0), np.zeros((2, 2))
+        return np.zeros(0), np.zeros((2, 2)), 0.0
     size = np.bincount(chain)
     size = size[size > 0]
     start = np.concatenate([[0], np.cumsum(size)[:-1]])
@@ -110,21 +120,42 @@ def marginals(odds: np.ndarray, chain: np.ndarray, step: np.ndarray) -> tuple[np
     p = logistic(odds)
     emit = np.stack([1 - p, p], axis=1) + 1e-12
     fwd, back = np.zeros((n, 2)), np.ones((n, 2))
-    fwd[start] = emit[start] / emit[start].sum(axis=1, keepdims=True)
+    scale = np.ones(n)
+    scale[start] = emit[start].sum(axis=1)
+    fwd[start] = emit[start] / scale[start][:, None]
     for t in range(1, len(active)):
         at = start[: active[t]] + t
         a = (fwd[at - 1] @ step) * emit[at]
-        fwd[at] = a / a.sum(axis=1, keepdims=True)
+        scale[at] = a.sum(axis=1)
+        fwd[at] = a / scale[at][:, None]
     pairs = np.zeros((2, 2))
     for t in range(len(active) - 1, 0, -1):
         at = start[: active[t]] + t
         ahead = emit[at] * back[at]
         b = ahead @ step.T
         both = fwd[at - 1][:, :, None] * step[None] * ahead[:, None, :]
-        pairs += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        pairs += (both * (weight[at] / both.sum(axis=(1, 2)))[:, None, None]).sum(axis=0)
         back[at - 1] = b / b.sum(axis=1, keepdims=True)
     m = fwd * back
-    return m[:, 1] / m.sum(axis=1), pairs
+    # log(1 + exp(odds)) was taken out of each line's two weights
+    return m[:, 1] / m.sum(axis=1), pairs, float(weight @ (np.log(scale) + np.logaddexp(0, odds)))
+
+
+def objective(theta: np.ndarray, x: np.ndarray, good: np.ndarray, part: np.ndarray,
+              weight: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weighted negative log-likelihood of the labels (``good`` by line) with its penalty, and its gradient.
+
+    theta: a weight for each column of x, then the four logarithms of the transition weights.
+    """
+    odds, trans = x @ theta[:-4], theta[-4:].reshape(2, 2)
+    p, pairs, normaliser = forward_backward(odds, part, np.exp(trans), weight)
+    at = np.flatnonzero(part[1:] == part[:-1]) + 1
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (good[at - 1].astype(int), good[at].astype(int)), weight[at])
+    penalty = np.full(len(theta), UNARY_PENALTY)
+    penalty[-4:] = STEP_PENALTY
+    value = normaliser - weight @ (good * odds) - (seen * trans).sum() + 0.5 * penalty @ theta**2
+    return value, np.concatenate([x.T @ (weight * (p - good)), (pairs - seen).ravel()]) + penalty * theta
 
 
 @dataclass
@@ -136,9 +167,10 @@ class QualityModel:
 
 
 def fit(sample: pa.Table, totals: dict[int, int], chain: int = CHAIN, steps: int = STEPS) -> QualityModel:
-    """Maximum likelihood with every line carrying its text's label; each chain weighs the same.
+    """Penalised maximum likelihood with every line carrying its text's label.
 
-    Gradient steps with moment estimates; then slope and offset turn the log-odds of the
+    A chain counts by its label's share over its number of lines, in lines and pairs of
+    neighbours alike. Gradient steps with moment estimates on ``objective``; then slope and offset turn the log-odds of the
     length-weighted marginals into shares of label 1, at the true share of either label.
     """
     y = sample.column("label").to_numpy()
@@ -159,16 +191,10 @@ def fit(sample: pa.Table, totals: dict[int, int], chain: int = CHAIN, steps: int
     weight = np.where(y == 1, totals.get(1, n1) / n1, totals.get(0, n0) / n0)[doc]
     weight = weight / np.bincount(part)[part]  # a chain's lines share its weight
     weight /= weight.sum()
-    joined = part[1:] == part[:-1]
-    good = line_y[1:][joined] == 1
-    seen = np.diag([float((~good).sum()), float(good.sum())]) / max(1, joined.sum())
     theta = np.zeros(WIDTH + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for k in range(1, steps + 1):
-        step = np.exp(theta[WIDTH:].reshape(2, 2))
-        p, pairs = marginals(x @ theta[:WIDTH], part, step)
-        g = np.concatenate([x.T @ (weight * (p - line_y)) + 1e-4 * theta[:WIDTH],
-                            (pairs / max(1, joined.sum()) - seen).ravel() * 0.1 + 1e-3 * theta[WIDTH:]])
+        _, g = objective(theta, x, line_y, part, weight)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta -= 0.1 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
     model = QualityModel(theta[:WIDTH], theta[WIDTH:].reshape(2, 2))

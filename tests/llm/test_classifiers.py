@@ -124,6 +124,50 @@ def test_marginals_equal_enumeration(seed):
     assert np.allclose(got, want, atol=1e-6) and np.allclose(pairs, want_pairs, atol=1e-6)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_objective_equals_enumeration_and_its_gradient_differences(seed):
+    rng = np.random.default_rng(seed)
+    part = np.array([0] * 3 + [1] + [2] * 5)
+    weight = np.array([0.5, 2.0, 0.1])[part]
+    x, good = rng.normal(size=(len(part), 4)), rng.integers(0, 2, len(part)).astype(float)
+    theta = rng.normal(size=8)
+    value, gradient = quality_crf.objective(theta, x, good, part, weight)
+
+    def score(at, y):
+        return sum(v * (x[i] @ theta[:4]) for i, v in zip(at, y)) + sum(theta[4 + 2 * a + b] for a, b in zip(y, y[1:]))
+
+    want = 0.5 * (quality_crf.UNARY_PENALTY * (theta[:4] ** 2).sum() + quality_crf.STEP_PENALTY * (theta[4:] ** 2).sum())
+    for c, w in enumerate([0.5, 2.0, 0.1]):
+        at = np.flatnonzero(part == c)
+        every = [score(at, [(code >> k) & 1 for k in range(len(at))]) for code in range(2 ** len(at))]
+        want += w * (np.log(np.exp(every).sum()) - score(at, good[at].astype(int).tolist()))
+    assert np.isclose(value, want, atol=1e-8)
+    for k in range(len(theta)):
+        step = np.eye(len(theta))[k] * 1e-5
+        up, down = (quality_crf.objective(theta + d, x, good, part, weight)[0] for d in (step, -step))
+        assert np.isclose(gradient[k], (up - down) / 2e-5, atol=1e-6)
+
+
+def test_document_quality_weighs_lines_by_length():
+    """Log-odds of the mean of P(good), by all labellings of a text's lines; empty lines alone weigh the same."""
+    from strandlake.llm.textkit import Texts
+
+    rng = np.random.default_rng(5)
+    model = quality_crf.QualityModel(rng.normal(size=quality_crf.WIDTH) * 0.3, rng.normal(size=(2, 2)))
+    for text in ("A line.\n## || 12\n\nand one more, longer line", "", "\n\n", "one"):
+        texts = Texts(pa.array([text]))
+        own, _, doc = quality_crf.line_features(texts)
+        odds = quality_crf.with_neighbours(own, doc) @ model.weights
+        n, total, good = len(odds), 0.0, np.zeros(len(odds))
+        for code in range(2**n):
+            y = np.array([(code >> k) & 1 for k in range(n)])
+            w = np.exp(odds @ y + sum(model.transitions[a, b] for a, b in zip(y, y[1:])))
+            total, good = total + w, good + w * y
+        length = np.array([len(t) for t in text.split("\n")], float)
+        share = np.average(good / total, weights=length if length.sum() else None)
+        assert np.isclose(quality_crf._log_odds(texts, model)[0], np.log(share / (1 - share)), atol=1e-6)
+
+
 def test_line_features_see_neighbours():
     from strandlake.llm.textkit import Texts
 
