@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,6 +21,10 @@ _ALL = (1 << 2 * WORD) - 1
 SEED, LONGER = 14, 4
 #: a seed at more places is lengthened, as far as the reads' parts reach
 MANY_PLACES = 1000
+#: a seed is long enough if this many bases of the reference, on average, come to one of its codes
+PLACES = 64
+#: parts that are looked up together at most, where one part is too short
+TOGETHER = 4
 
 
 def _words(text: Column) -> Column:
@@ -67,7 +72,7 @@ def packed(sequences: DataFrame) -> DataFrame:
 
 
 def positions(pieces: DataFrame) -> DataFrame:
-    """A row per base of the packed reference: chrom, off, at (in its piece), right, left, odd.
+    """A row per base of the packed reference: piece, at (in its piece), right, left, odd.
 
     right: the word of bases from there on, left: the word of those before, odd: marks of the
     former. All three are numbers, however long the reads are.
@@ -77,10 +82,10 @@ def positions(pieces: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.size("w") - 1),
         lambda i: F.struct(i.alias("i"), F.coalesce(F.get("w", i - 1), none).alias("a"), F.get("w", i).alias("b"),
                            F.coalesce(F.get("w", i + 1), none).alias("c")))
-    rows = pieces.select("chrom", "off", F.inline(cells)).select("*", F.explode(F.sequence(F.lit(0), F.lit(WORD - 1))).alias("r"))
+    rows = pieces.select("piece", F.inline(cells)).select("*", F.explode(F.sequence(F.lit(0), F.lit(WORD - 1))).alias("r"))
     r = F.col("r")
     return rows.select(
-        "chrom", "off", (F.col("i") * WORD + r).alias("at"), _across(F.col("b.c"), F.col("c.c"), r).alias("right"),
+        "piece", (F.col("i") * WORD + r).alias("at"), _across(F.col("b.c"), F.col("c.c"), r).alias("right"),
         _across(F.col("a.c"), F.col("b.c"), r).alias("left"), _across(F.col("b.x"), F.col("c.x"), r).alias("odd"))
 
 
@@ -97,49 +102,82 @@ def _levels(shortest: int, longest: int) -> list[int]:
     return levels
 
 
-def _oriented(texts: DataFrame, seeds: int) -> DataFrame:
-    """Each text in both directions, with its words and ``seeds`` parts: one row per part without odd letters."""
-    turned = texts.select(
-        "seq", F.length("seq").alias("len"),
-        F.inline(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("q")),
-                         F.struct(F.lit("-").alias("strand"), reverse_complement("seq").alias("q")))))
-    part = F.floor(F.col("len") / seeds).cast("int")
+def _on_forward() -> Column:
+    """The text as it would lie on the forward strand."""
+    return F.when(F.col("strand") == "-", reverse_complement("seq")).otherwise(F.col("seq"))
+
+
+def _together(length: Column, max_mismatch: int, bases: int) -> Column:
+    """(k, part): the fewest parts looked up together that have so many bases, else those that have the most.
+
+    Of m + k parts, k at least are without a mismatch. Two parts and more lie in the first word.
+    """
+    ways = [(k, F.floor((length if k == 1 else F.least(length, F.lit(WORD))) / (max_mismatch + k)).cast("int"))
+            for k in range(1, TOGETHER + 1)]
+    rank = F.greatest(*(F.struct(F.least(k * part, F.lit(bases)).alias("held"), F.lit(-k).alias("k"), part.alias("part")) for k, part in ways))
+    return F.struct((-rank["k"]).alias("k"), rank["part"].alias("part"))
+
+
+def _shapes(k: int, max_mismatch: int) -> list[tuple[int, ...]]:
+    """Choices of k of m + k parts, by the distances from the first one chosen."""
+    return sorted({tuple(x - c[0] for x in c) for c in combinations(range(max_mismatch + k), k)})
+
+
+def _shape_code(word: Column, part: int, parts: Sequence[int]) -> Column:
+    """The bases of the given parts of a word, one after the other."""
+    code = F.lit(0).cast("bigint")
+    for i in parts:
+        code = F.shiftleft(code, 2 * part).bitwiseOR(
+            F.shiftright(word, 2 * (WORD - (i + 1) * part)).bitwiseAND(F.lit((1 << 2 * part) - 1)))
+    return code
+
+
+def _shape_mask(part: int, parts: Sequence[int]) -> int:
+    return sum(((1 << 2 * part) - 1) << 2 * (WORD - (i + 1) * part) for i in parts)
+
+
+def _oriented(texts: DataFrame, parts: Column) -> DataFrame:
+    """Each text in both directions: one row for each of its ``parts``, with the words beside the part's beginning.
+
+    texts: seq, k, part.
+    """
+    turned = texts.select("seq", F.length("seq").alias("len"), "k", "part", F.explode(F.array(F.lit("+"), F.lit("-"))).alias("strand"), parts.alias("n"))
+    turned = turned.withColumn("q", _on_forward())
     begin = F.col("begin")
     before = F.least(begin, F.lit(WORD))
     return (
-        turned.select("seq", "len", "strand", "q", _words(F.col("q")).alias("qw"), part.alias("part"),
-                      F.explode(F.transform(F.sequence(F.lit(0), F.lit(seeds - 1)), lambda i: i * part)).alias("begin"))
-        .filter(~F.substring(F.col("q"), begin + 1, F.col("part")).rlike("[^ACGT]"))
+        turned.select("seq", "len", "strand", "q", "k", "part",
+                      F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: i * F.col("part"))).alias("begin"))
         .select(
-            "seq", "len", "strand", "qw", "part", "begin",
+            "seq", "len", "strand", "q", "k", "part", "begin",
             _words(F.substring(F.col("q"), begin + 1, F.lit(WORD)))[0].alias("from_here"),
             # bases before the part, the last one lowest as in the reference
             F.when(begin > 0, _right(_words(F.substring(F.col("q"), begin - before + 1, before))[0]["c"], 2 * (WORD - before)))
             .otherwise(0).alias("q_left"),
             _right(F.lit(_ALL // 3), 2 * (WORD - before)).alias("left_mask"),
             _first_bases(F.least(F.col("len") - begin, F.lit(WORD))).alias("right_mask"))
-        .select("*", F.col("from_here.c").alias("q_right")).drop("from_here")
+        .select("*", F.col("from_here.c").alias("q_right"), F.col("from_here.x").alias("q_odd")).drop("from_here")
     )
 
 
-def text_hits(texts: DataFrame, sequences: DataFrame, max_mismatch: int = 2) -> DataFrame:
-    """All places (seq, strand, chrom, pos, len, nm) of distinct texts with at most so many mismatches; a written table.
+def _met(asked: DataFrame, here: DataFrame, on: Sequence[str], max_mismatch: int) -> DataFrame:
+    """Candidates (seq, strand, piece, start) of texts and positions with one code, as far as the words beside it agree.
 
-    A text with at most m mismatches agrees with its place in at least one of m + 1 parts. Its
-    parts' first bases are looked up in a table of seeds and positions. A seed at more than
-    ``MANY_PLACES`` places is lengthened step by step, as far as the part reaches; only
-    positions of frequent seeds are listed again under the longer one. A position carries
-    the words beside it, which settle most candidates at once; what is left is verified
-    in the packed piece of the reference. A text with fewer bases than parts has no place.
+    Sorted and merged by hint: Spark takes rows made of a few bytes each for those bytes, and would
+    send all positions through the driver.
     """
-    seeds = max_mismatch + 1
-    texts = texts.select(F.upper("seq").alias("seq")).filter(F.length("seq") >= seeds).distinct()
-    span = texts.agg(F.min(F.floor(F.length("seq") / seeds)), F.max(F.floor(F.length("seq") / seeds))).first()
-    pieces = stage(packed(sequences), "reference")
-    levels = _levels(*map(int, span)) if span[0] is not None else [1]
-    # short texts are few bytes but much work: they are not left to be merged into a few tasks by size
-    spread = texts.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    listed, wanted, found = positions(pieces), _oriented(spread, seeds), []
+    return asked.join(here.hint("merge"), list(on)).filter(_near(max_mismatch)).select(
+        "seq", "strand", "piece", (F.col("at") - F.col("begin")).alias("start"))
+
+
+def _by_part(texts: DataFrame, listed: DataFrame, max_mismatch: int) -> list[DataFrame]:
+    """Candidates of texts of which a single part is looked up; a frequent seed is lengthened as far as the part reaches."""
+    span = texts.agg(F.min("part"), F.max("part")).first()
+    if span[0] is None:
+        return []
+    levels = _levels(*map(int, span))
+    wanted = _oriented(texts, F.lit(max_mismatch + 1)).filter(~F.substring(F.col("q"), F.col("begin") + 1, F.col("part")).rlike("[^ACGT]")).drop("q", "k", "len", "q_odd")
+    found = []
     if len(levels) > 1:
         listed, wanted = stage(listed, "positions"), stage(wanted, "parts")
     for n, k in enumerate(levels):
@@ -152,15 +190,62 @@ def text_hits(texts: DataFrame, sequences: DataFrame, max_mismatch: int = 2) ->
             wanted = asked.filter(further).select(*wanted.columns)
             asked = asked.filter(~further)
             listed = here.join(often, "code", "left_semi").select(*listed.columns)
-        found.append(asked.join(here, "code").filter(_near(max_mismatch)).select(
-            "seq", "len", "strand", "qw", "chrom", "off", (F.col("at") - F.col("begin")).alias("start")))
-    candidates = reduce(DataFrame.unionByName, found)
+        found.append(_met(asked, here.drop("odd"), ["code"], max_mismatch))
+    return found
+
+
+def _by_shape(texts: DataFrame, listed: DataFrame, max_mismatch: int) -> list[DataFrame]:
+    """Candidates of texts of which k parts are looked up together, by their distances."""
+    kinds = sorted(map(tuple, texts.select("k", "part").distinct().collect()))  # a handful: part is under a word's length
+    shapes = [(k, part, shape) for k, part in kinds for shape in _shapes(k, max_mismatch)]
+    if not shapes:
+        return []
+
+    def coded(df: DataFrame, word: str, odd: str, fits: list[Column]) -> DataFrame:
+        cells = [F.when(fit & (F.col(odd).bitwiseAND(F.lit(_shape_mask(part, shape))) == 0),
+                        F.struct(F.lit(n).alias("shape"), _shape_code(F.col(word), part, shape).alias("code")))
+                 for n, ((_, part, shape), fit) in enumerate(zip(shapes, fits))]
+        return df.select("*", F.inline(F.array_compact(F.array(*cells)))).drop(odd)
+
+    here = coded(listed, "right", "odd", [F.lit(True)] * len(shapes))
+    wanted = _oriented(texts, F.lit(max_mismatch + 1))
+    fits = [(F.col("k") == k) & (F.col("part") == part) & (F.col("begin") <= (max_mismatch + k - 1 - shape[-1]) * part)
+            for k, part, shape in shapes]
+    asked = coded(wanted, "q_right", "q_odd", fits).drop("q", "k", "part", "len")
+    return [_met(asked, here, ["shape", "code"], max_mismatch)]
+
+
+def text_hits(texts: DataFrame, sequences: DataFrame, max_mismatch: int = 2) -> DataFrame:
+    """All places (seq, strand, chrom, pos, len, nm) of distinct texts with at most so many mismatches; a written table.
+
+    A text with at most m mismatches agrees with its place in at least one of m + 1 parts. Its
+    parts' first bases are looked up in a table of seeds and positions. A seed at more than
+    ``MANY_PLACES`` places is lengthened step by step, as far as the part reaches; only
+    positions of frequent seeds are listed again under the longer one. Where such a part is short
+    beside the reference, so that a code would stand for more than ``PLACES`` places, k of m + k
+    parts are looked up together: the text agrees in k of them, so the codes grow with the
+    reference and the candidates in proportion to texts and positions. A position carries
+    the words beside it, which settle most candidates at once; what is left is verified
+    in the packed piece of the reference. A text with fewer bases than parts has no place.
+    """
+    seeds = max_mismatch + 1
+    texts = texts.select(F.upper("seq").alias("seq")).filter(F.length("seq") >= seeds).distinct()
+    # texts and pieces are few bytes but much work: they are not left to be merged into a few tasks by size
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = stage(packed(sequences).repartition(tasks).withColumn("piece", F.monotonically_increasing_id()), "reference")
+    bases, size = 1, (pieces.agg(F.sum("size")).first()[0] or 0) / PLACES
+    while 4 ** bases < size:
+        bases += 1
+    spread = stage(texts.repartition(tasks).select("seq", _together(F.length("seq"), max_mismatch, bases).alias("way")).select("seq", "way.*"), "texts")
+    listed = positions(pieces)
+    found = _by_part(spread.filter("k = 1"), listed, max_mismatch) + _by_shape(spread.filter("k > 1"), listed, max_mismatch)
+    nothing = spread.limit(0).select("seq", F.lit("+").alias("strand"), F.lit(0).cast("bigint").alias("piece"), F.lit(0).cast("bigint").alias("start"))
+    candidates = reduce(DataFrame.unionByName, found, nothing)
     start, size = F.col("start"), F.col("size")
-    inside = candidates.filter(start >= 0).join(pieces, ["chrom", "off"]).filter(start + F.col("len") <= size)
-    hits = inside.withColumn("nm", _mismatches()).filter(F.col("nm") <= max_mismatch)
+    inside = candidates.filter(start >= 0).join(pieces.hint("merge"), "piece").withColumn("len", F.length("seq")).filter(start + F.col("len") <= size)
+    hits = inside.withColumn("qw", _words(_on_forward())).withColumn("nm", _mismatches()).filter(F.col("nm") <= max_mismatch)
     # found by several parts, or in pieces that overlap
-    return stage(hits.select("seq", "strand", "chrom", (F.col("off") + start).alias("pos"), F.col("len").cast("int").alias("len"), "nm")
-                 .distinct(), "text_hits")
+    return stage(hits.withColumn("pos", F.col("off") + start).select("seq", "strand", "chrom", "pos", "len", "nm").distinct(), "text_hits")
 
 
 def _near(max_mismatch: int) -> Column:
