@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import arith as A
-from ..functions.tiling import depth_runs
+from ..functions.arith import idiv
+from ..functions.tiling import TILE, depth_runs
 from ..sources.genome import genome_constants
-from .intervals import exclude_overlaps, flag_overlaps, overlap_counts, overlap_join, place_keys
+from .intervals import exclude_overlaps, flag_overlaps, overlap_counts, place_keys
+from .tags import shifted_products
 
 TRACK = ["sample", "chrom"]
 
@@ -75,41 +79,58 @@ def duplicate_split(df: DataFrame, peaks: DataFrame, paramsets: Sequence[str] =
 def tss_profile(fragments: DataFrame, tss: DataFrame, flank: int = 1000) -> DataFrame:
     """Summed depth at each offset from the points, in the direction of their strand.
 
-    Depth runs (already one per stretch of a genome, however many reads) meet the
-    points; each meeting adds two events, which are summed by offset. Equal points
-    are counted once with a weight. A sample that meets no point has depth 0 everywhere.
-    Where both tables name the genome, a sample meets the points of its own.
+    Depth (one run per stretch of a genome, however many reads) and points meet tile by
+    tile: the depths of a tile and of the flanks beside it are correlated with the
+    weights of its points, for all offsets at once, so a crowded tile costs what it is
+    wide and no (run, point) pair is formed. Equal points are counted once with a
+    weight. A sample that meets no point has depth 0 everywhere. Where both tables name
+    the genome, a sample meets the points of its own.
     """
     place = place_keys(fragments, tss)
-    points = tss.groupBy(*place, "s", "strand").agg(F.count(F.lit(1)).alias("weight"))
-    around = points.select(
-        *place, (F.col("s") - flank).alias("s"), (F.col("s") + flank + 1).alias("e"), F.col("s").alias("p"), "strand", "weight"
-    ).withColumn("s", F.greatest("s", F.lit(0)))
+    width = TILE
+    while width < 4 * flank:
+        width *= 2
+    points = tss.groupBy(*place, "s", (F.col("strand") == "+").alias("forward")).agg(F.count(F.lit(1)).alias("w")).groupBy(
+        *place, _tile(F.col("s"), width).alias("at")
+    ).agg(F.collect_list(F.struct(F.col("s").cast("bigint").alias("p"), F.coalesce("forward", F.lit(False)).alias("forward"), "w")).alias("points"))
     track = list(dict.fromkeys([*TRACK, *place]))
-    runs = depth_runs(fragments, track).select(*track, "s", "e", "depth")
-    met = overlap_join(runs, around, place)
-    lo, hi = F.greatest("s", "b_s"), F.least("e", "b_e")
-    forward = F.col("b_strand") == "+"
-    first = F.when(forward, lo - F.col("b_p")).otherwise(F.col("b_p") - hi + 1)
-    end = F.when(forward, hi - F.col("b_p")).otherwise(F.col("b_p") - lo + 1)
-    amount = F.col("depth") * F.col("b_weight")
-    zero = F.lit(0).cast("bigint")
-    # one event without weight per sample makes sure that each profile begins at the left end
-    events = (
-        met.select("sample", F.inline(F.array(
-            F.struct(first.alias("offset"), amount.alias("d")),
-            F.struct(end.alias("offset"), (-amount).alias("d")),
-        )))
-        .unionByName(fragments.select("sample").distinct().select(
-            "sample", F.lit(-flank).cast("bigint").alias("offset"), zero.alias("d")))
-        .groupBy("sample", "offset")
-        .agg(F.sum("d").alias("d"))
+    runs = depth_runs(fragments, track).select(*track, F.greatest("s", F.lit(0)).cast("bigint").alias("s"), F.col("e").cast("bigint").alias("e"), "depth").filter("s < e")
+    near = F.sequence(_tile(F.col("s") - flank, width), _tile(F.col("e") - 1 + flank, width))
+    runs = runs.select("*", F.explode(near).alias("at")).groupBy(*track, "at").agg(F.collect_list(F.struct("s", "e", "depth")).alias("runs"))
+    # sorted and merged by hint: neither side is as small as the tables that it is made of
+    met = runs.join(points.hint("merge"), [*place, "at"]).select(
+        "sample", "at", F.col("runs.s").alias("s"), F.col("runs.e").alias("e"), F.col("runs.depth").alias("depth"),
+        F.col("points.p").alias("p"), F.col("points.forward").alias("forward"), F.col("points.w").alias("w"))
+
+    def correlated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
+        for pdf in batches:
+            for r in pdf.itertuples():
+                first = r.at * width - flank
+                change = np.zeros(width + 2 * flank + 1, np.int64)
+                np.add.at(change, np.clip(r.s - first, 0, len(change) - 1), r.depth)
+                np.add.at(change, np.clip(r.e - first, 0, len(change) - 1), -r.depth)
+                depth = np.cumsum(change)[:-1]
+                total = sums.setdefault(r.sample, np.zeros(2 * flank + 1, np.int64))
+                forward = r.forward.astype(bool)
+                for own, step in ((forward, 1), (~forward, -1)):
+                    weights = np.zeros(width, np.int64)
+                    weights[r.p[own] - r.at * width] = r.w[own]
+                    total += shifted_products([(weights, depth)], 2 * flank)[::step]
+        yield pd.DataFrame({"sample": list(sums), "sums": list(sums.values())})
+
+    kind = fragments.select("sample").schema[0].dataType.simpleString()
+    parts = met.mapInPandas(correlated, f"sample {kind}, sums array<bigint>")
+    zeros = fragments.select("sample").distinct().withColumn("sums", F.array_repeat(F.lit(0).cast("bigint"), 2 * flank + 1))
+    return (
+        parts.unionByName(zeros).select("sample", F.posexplode("sums").alias("i", "d"))
+        .groupBy("sample", (F.col("i") - flank).cast("bigint").alias("offset")).agg(F.sum("d").alias("depth"))
     )
-    along = Window.partitionBy("sample").orderBy("offset")  # at most 2 * flank + 2 rows
-    upto = F.least(F.lead("offset").over(along) - 1, F.lit(flank))
-    steps = events.select("sample", "offset", F.coalesce(upto, F.lit(flank).cast("bigint")).alias("upto"),
-                          F.sum("d").over(along).alias("depth")).filter("offset <= upto")
-    return steps.select("sample", F.explode(F.sequence("offset", "upto")).alias("offset"), "depth")
+
+
+def _tile(p: Column, width: int) -> Column:
+    """The tile of a position, also of one before 0."""
+    return idiv(p - F.pmod(p, F.lit(width)), width)
 
 
 def tss_enrichment(fragments: DataFrame, tss: DataFrame, flank: int = 1000, outer: int = 100) -> DataFrame:

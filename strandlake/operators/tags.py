@@ -50,7 +50,7 @@ def _smooth(n: int) -> int:
 def shifted_products(pairs: Sequence[tuple[np.ndarray, np.ndarray]], reach: int) -> np.ndarray:
     """Sum over the pairs of sum_i a[i] * b[i + d] for d = 0 to ``reach``, from vectors of counts; exact as far as it fits a long.
 
-    b is ``reach`` longer than a. Few counts are multiplied shift by shift; else the products
+    b is ``reach`` longer than a. Few counts are multiplied one by one or shift by shift; else the products
     of all shifts come from one transform, at a cost that does not depend on ``reach``. Counts
     too large for exact rounding are transformed in parts of 12 bits.
     """
@@ -60,8 +60,12 @@ def shifted_products(pairs: Sequence[tuple[np.ndarray, np.ndarray]], reach: int)
         out = np.zeros(reach + 1, np.int64)
         for a, b in pairs:
             at = np.flatnonzero(a)
-            for d in range(reach + 1):
-                out[d] += a[at] @ b[at + d]
+            if len(at) <= reach:
+                for i in at:
+                    out += a[i] * b[i : i + reach + 1]
+            else:
+                for d in range(reach + 1):
+                    out[d] += a[at] @ b[at + d]
         return out
     norm = sum(float(np.linalg.norm(a.astype(float)) * np.linalg.norm(b.astype(float))) for a, b in pairs)
     if norm <= EXACT_NORM:
