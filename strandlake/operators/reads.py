@@ -10,14 +10,20 @@ MATES = ["sample", "ordinal", "idx"]
 
 
 def assemble_records(lines: DataFrame) -> DataFrame:
-    """Four lines -> one record: (file, line_no, value) -> (file, idx, name, seq, qual)."""
+    """Four lines -> one record: (file, line_no, value) -> (file, idx, name, seq, qual).
+
+    Lines are dealt out by record first: texts are aggregated by sorting, which is done once
+    then, for what a task has received, and not for all that it has read or made.
+    """
     part = F.col("line_no") % 4
 
     def line(i: int, name: str) -> Column:
-        return F.max(F.when(part == i, F.col("value"))).alias(name)
+        return F.max(F.when(F.col("part") == i, F.col("value"))).alias(name)
 
     return (
-        lines.groupBy("file", idiv("line_no", 4).alias("idx"))
+        lines.select("file", idiv("line_no", 4).alias("idx"), part.alias("part"), F.when(part != 2, F.col("value")).alias("value"))
+        .repartition("file", "idx")
+        .groupBy("file", "idx")
         .agg(line(0, "name"), line(1, "seq"), line(3, "qual"))
         .withColumn("name", F.regexp_replace("name", "^@", ""))
     )
