@@ -19,8 +19,12 @@ TRACK = ["sample", "chrom"]
 
 
 def with_genomes(alignments: DataFrame, samplesheet: DataFrame) -> DataFrame:
-    """Adds each sample's genome; pruning, exclusion and point features then go by genome and chromosome."""
-    return alignments.join(samplesheet.select("sample", "genome").distinct(), "sample")
+    """Adds each sample's genome; pruning, exclusion and point features then go by genome and chromosome.
+
+    The sheet's samples are written first, so that Spark knows how few they are and does not
+    shuffle the alignments by sample, which would leave a task per sample.
+    """
+    return alignments.join(stage(samplesheet.select("sample", "genome").distinct(), "genomes"), "sample")
 
 
 def prune_atac(alignments: DataFrame, genome: str | None = None) -> DataFrame:
