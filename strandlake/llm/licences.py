@@ -9,13 +9,11 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import stage
-from .textkit import few_by_hash, whole_texts
+from .textkit import whole_texts
 
 UNKNOWN = "unknown"
-#: paragraphs of the corpus that stand for "no licence": half to train, half to calibrate
-BACKGROUND = 4000
-#: documents whose paragraphs are looked at for them
-BACKGROUND_DOCS = 1000
+#: weight at most, in pieces of templates, of all corpus lines that train "no licence", however many they are
+BACKGROUND = 2000
 #: an n-gram in more than this share of the background says nothing and is no feature
 COMMON = 0.005
 #: share of a background paragraph's chance to be accepted as a family
@@ -150,10 +148,13 @@ def _scored(found: DataFrame, keys: list[str], spark: SparkSession, model: Licen
 
 
 def fit(docs: DataFrame) -> LicenceModel:
-    """Multinomial logistic regression on pieces of the templates and paragraphs of the corpus.
+    """Multinomial logistic regression on pieces of the templates and the lines of the corpus.
 
-    A bounded sample of documents, chosen by a hash of the id, gives the background;
-    paragraphs that share a three-word sequence with a template are left out of it.
+    The distinct lines of all whole texts are the background, half to train, half to set the
+    thresholds; lines that share a three-word sequence with a template are left out of it.
+    What is left holds two of the templates' sequences at most, so that equal sets of them are
+    one row with a count, of which there are few however large the corpus. Many lines weigh
+    as much as ``BACKGROUND`` pieces together.
     """
     spark = docs.sparkSession
     families = [UNKNOWN, *dict.fromkeys(f for f, _ in TEMPLATES)]
@@ -167,18 +168,19 @@ def fit(docs: DataFrame) -> LicenceModel:
         .withColumn("s", F.explode(F.sequence(F.lit(1), size - F.col("n") + 1)))
         .select("label", grams(F.slice("w", F.col("s"), F.col("n"))).alias("grams"))
     )
-    known = templates.select(F.explode(grams(F.col("w"))).alias("gram")).distinct()
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null")
-    chosen = few_by_hash(ids, ids.count(), BACKGROUND_DOCS)
-    some = whole_texts(docs).join(F.broadcast(chosen), "doc_id")
-    lines = lines_of(some).orderBy(F.xxhash64("body"), "body").limit(BACKGROUND).select("body").distinct()
-    lines = lines.withColumn("grams", grams(words(F.col("body")))).cache()
-    held = lines.select(F.xxhash64("body").alias("id"), F.explode("grams").alias("gram")).join(F.broadcast(known), "gram")
-    n_lines = lines.count()
+    known = [r["gram"] for r in templates.select(F.explode(grams(F.col("w"))).alias("gram")).distinct().collect()]
+    w = words(F.col("body"))
+    # a line without a known two-word sequence holds no longer one either
+    own = F.when(F.exists(pairs(w), lambda g: g.isin(known)), F.sort_array(F.filter(grams(w), lambda g: g.isin(known))))
+    lines = lines_of(whole_texts(docs)).select(F.xxhash64("body").alias("id"), own.alias("grams"))
+    half = F.pmod("id", F.lit(2)).alias("half")
+    distinct = lines.groupBy("id").agg(F.any_value("grams", True).alias("grams")).select(half, F.coalesce("grams", F.array().cast("array<bigint>")).alias("grams"))
     # two shared n-grams in a row are a three-word sequence
-    rest = held.groupBy("id").count().filter("count >= 3").select("id")
-    counts = {r["gram"]: r["count"] for r in held.join(rest, "id", "left_anti").groupBy("gram").count().collect()}
-    vocabulary = sorted(r["gram"] for r in known.collect() if counts.get(r["gram"], 0) <= COMMON * max(1, n_lines))
+    sets = stage(distinct.withColumn("grams", F.when(F.size("grams") < 3, F.col("grams"))).groupBy("half", "grams").agg(F.count("*").alias("n")), "background")
+    n_lines = sets.agg(F.sum("n")).first()[0] or 0
+    sets = sets.filter("grams is not null")
+    counts = {r["gram"]: r["n"] for r in sets.select(F.explode("grams").alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n")).collect()}
+    vocabulary = sorted(g for g in known if counts.get(g, 0) <= COMMON * max(1, n_lines))
     parts = templates.select(F.explode(F.arrays_zip(
         pairs(F.col("w")).alias("first"), F.slice(pairs(F.col("w")), 2, 1 << 20).alias("second"), F.slice("w", 3, 1 << 20).alias("third"))).alias("p")
     ).select("p.first", "p.second", F.when(F.col("p.third").isNotNull(), F.xxhash64("p.first", "p.third")).alias("three")).distinct().collect()
@@ -188,30 +190,29 @@ def fit(docs: DataFrame) -> LicenceModel:
             cues.add(r["first"])
         if r["three"] in features and not {r["first"], r["second"]} & cues:
             cues.add(min(r["first"], r["second"], key=lambda g: counts.get(g, 0)))
-    clean = lines.withColumn("id", F.xxhash64("body")).join(rest, "id", "left_anti")
-    train = pieces.unionByName(clean.filter("pmod(id, 2) = 0").select(F.lit(0).alias("label"), "grams"))
+    n_half = {r["half"]: r["n"] for r in sets.groupBy("half").agg(F.sum("n").alias("n")).collect()}
+    weight = min(1.0, BACKGROUND / max(1, n_half.get(0, 0)))
+    train = pieces.withColumn("weight", F.lit(1.0)).unionByName(
+        sets.filter("half = 0").select(F.lit(0).alias("label"), "grams", (F.col("n") * weight).alias("weight")))
     tokens = F.transform("grams", lambda g: g.cast("string"))
     counter = CountVectorizerModel.from_vocabulary(
         [str(g) for g in vocabulary], inputCol="tokens", outputCol="features", minTF=1.0)
     counter.setBinary(True)
-    features = counter.transform(train.select(F.col("label").cast("double").alias("label"), tokens.alias("tokens"))).cache()
-    fitted = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=60).fit(features)
+    features = counter.transform(train.select(F.col("label").cast("double").alias("label"), tokens.alias("tokens"), "weight")).cache()
+    fitted = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=60, weightCol="weight").fit(features)
     features.unpersist()
     matrix = fitted.coefficientMatrix.toArray()
     model = LicenceModel(
         families, [(g, [float(x) for x in matrix[:, i]]) for i, g in enumerate(vocabulary)],
         [float(x) for x in fitted.interceptVector.toArray()], [0.5] * len(families), sorted(cues))
-    judged = _scored(clean.filter("pmod(id, 2) = 1").select("id", F.explode("grams").alias("gram")), ["id"], spark, model)
-    n_held = max(1, clean.filter("pmod(id, 2) = 1").count())
-    top: dict[int, list[float]] = {}
-    for r in judged.select("k", "probability").collect():  # at most the bounded sample
-        top.setdefault(r["k"], []).append(r["probability"])
-    for k, p in top.items():
-        allowed = int(FALSE_ALARM * n_held)
-        worst = sorted(p, reverse=True)
-        if allowed < len(worst):
-            model.thresholds[k] = max(0.5, worst[allowed] + 1e-9)
-    lines.unpersist()
+    held = sets.filter("half = 1").select(F.xxhash64("grams").alias("id"), "grams", "n")
+    judged = _scored(held.select("id", "n", F.explode("grams").alias("gram")), ["id", "n"], spark, model)
+    # of each family's probabilities the first, from the top, that is beyond the number allowed
+    down = Window.partitionBy("k").orderBy(F.desc("probability"))
+    beyond = judged.groupBy("k", "probability").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(down)).filter(
+        F.col("upto") > int(FALSE_ALARM * max(1, n_half.get(1, 0))))
+    for r in beyond.groupBy("k").agg(F.max("probability").alias("p")).collect():
+        model.thresholds[r["k"]] = max(0.5, r["p"] + 1e-9)
     return model
 
 
