@@ -169,10 +169,11 @@ def fit(docs: DataFrame) -> LicenceModel:
         .select("label", grams(F.slice("w", F.col("s"), F.col("n"))).alias("grams"))
     )
     known = [r["gram"] for r in templates.select(F.explode(grams(F.col("w"))).alias("gram")).distinct().collect()]
-    w = words(F.col("body"))
+    w = F.col("w")
     # a line without a known two-word sequence holds no longer one either
     own = F.when(F.exists(pairs(w), lambda g: g.isin(known)), F.sort_array(F.filter(grams(w), lambda g: g.isin(known))))
-    lines = lines_of(whole_texts(docs)).select(F.xxhash64("body").alias("id"), own.alias("grams"))
+    # words as a column of their own are made once a line
+    lines = lines_of(whole_texts(docs)).select(F.xxhash64("body").alias("id"), words(F.col("body")).alias("w")).select("id", own.alias("grams"))
     half = F.pmod("id", F.lit(2)).alias("half")
     distinct = lines.groupBy("id").agg(F.any_value("grams", True).alias("grams")).select(half, F.coalesce("grams", F.array().cast("array<bigint>")).alias("grams"))
     # two shared n-grams in a row are a three-word sequence
