@@ -165,6 +165,26 @@ def test_an_interval_of_any_length_is_listed_twice_at_most_in_a_level(spark):
     assert all(r["count"] <= 2 for r in visits) and {r["_lev"] for r in visits if r["s"] == 2047} == {0, 2}
 
 
+def test_overlap_join_meets_lists_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(iv, "CELL_ROWS", 50)
+    rng = random.Random(5)
+    b_rows = [(k, "c1", s := rng.choice([7, 8, rng.randrange(-3000, 5000)]), s + rng.choice([0, 30, 900, 5000])) for k in range(900)]
+    b_rows += [(900, None, 5, 9), (901, "c1", None, 9), (902, "c1", 9, None)]
+    a_rows = [(k, rng.choice(["c1", None]), s := rng.randrange(-6000, 6000), s + rng.choice([0, 1, 200, 2500])) for k in range(200)]
+    a, b = (spark.createDataFrame(r, "id int, chrom string, s bigint, e bigint") for r in (a_rows, b_rows))
+    full = [y for y in b_rows if None not in y]
+    want = sorted((x[0], y[0]) for x in a_rows for y in full if x[1] == y[1] and x[2] < y[3] and y[2] < x[3])
+    got = iv.overlap_join(a, b)
+    assert sorted((r["id"], r["b_id"]) for r in got.collect()) == want
+    right = b.select("chrom", F.col("id").alias("b_id"), F.col("s").alias("b_s"), F.col("e").alias("b_e"))
+    lists = iv._in_cells(iv._listed(right, "b_s", "b_e", 1 << 11, None, 1, 2), ["chrom"], ["b_id", "b_s", "b_e"], F.lit(2048).cast("bigint"))
+    sizes = [r[0] for r in lists.select(F.size("_list")).collect()]
+    assert max(sizes) <= 120 and sum(sizes) > 10 * len(sizes)
+    # a pair is a row only once its list is read, after the join
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("inline") < plan.index("Join Inner")
+
+
 def test_a_hot_bin(spark):
     a = spark.range(3000).select(F.lit("c1").alias("chrom"), F.lit(100).cast("bigint").alias("s"), F.lit(150).cast("bigint").alias("e"), "id")
     b = spark.createDataFrame([("c1", 90, 120, 1), ("c1", 140, 10**8, 2), ("c1", 150, 160, 3)], "chrom string, s bigint, e bigint, x int")
