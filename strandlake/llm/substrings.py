@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
@@ -27,6 +28,9 @@ MANY_CONTEXTS = 2000
 MANY_LOCAL = 256
 #: starts of strings that such a part covers
 PART = 4
+#: bytes of texts, and of compressed ones, worked on at once: few enough for a core's cache to hold their hashes
+TEXT_BYTES = 1 << 17
+ZIPPED_BYTES = 1 << 15
 
 _SPAN = LENGTH - GRAM + 1  # grams in a string
 
@@ -51,9 +55,9 @@ def anchors(texts: Texts, spans: SpanHash) -> tuple[np.ndarray, np.ndarray, np.n
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     least = _slide(np.minimum, spans.windows(GRAM), _SPAN)[:n]
-    doc = np.repeat(np.arange(texts.count), texts.ends - texts.starts)[:n]
-    at = np.flatnonzero(np.arange(n) + LENGTH <= texts.ends[doc])
-    return at, doc[at], least[at]
+    strings = np.maximum(texts.ends - texts.starts - LENGTH + 1, 0)
+    at = np.arange(int(strings.sum())) + np.repeat(texts.starts - (np.cumsum(strings) - strings), strings)
+    return at, np.repeat(np.arange(texts.count), strings), least[at]
 
 
 def contents(docs: DataFrame) -> DataFrame:
@@ -61,7 +65,7 @@ def contents(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=TEXT_BYTES):
                 texts = Texts(part.column("text"))
                 raw = memoryview(texts.data.tobytes())
                 sha = [hashlib.sha256(raw[s:e]).digest() for s, e in zip(texts.starts.tolist(), texts.ends.tolist())]
@@ -81,10 +85,10 @@ def stretches(texts: Texts, spans: SpanHash) -> tuple[np.ndarray, ...]:
     if not len(at):
         return at, at, doc, key, key
     new = np.ones(len(at), bool)
-    new[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
-    place = np.arange(len(at)) - np.flatnonzero(new)[np.cumsum(new) - 1]
-    new |= place % _SPAN == 0
+    new[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1)  # strings of two texts never start in a row
     s = np.flatnonzero(new)
+    cuts = (np.diff(np.append(s, len(at))) - 1) // _SPAN + 1
+    s = np.repeat(s, cuts) + _SPAN * (np.arange(int(cuts.sum())) - np.repeat(np.cumsum(cuts) - cuts, cuts))
     e = np.append(s[1:], len(at)) - 1
     return at[s], at[e] + LENGTH, doc[s], key[s], spans.of(at[s], at[e] + LENGTH)
 
@@ -106,6 +110,19 @@ def _fields(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(records[:, :4]).view("<u4").ravel(), wide.view("<u8").ravel().astype(np.uint64)
 
 
+def _order(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The order by (key, doc, place), fastest where few keys are equal."""
+    order = np.argsort(key)
+    same = key[order[1:]] == key[order[:-1]]
+    tied = np.zeros(len(key), bool)
+    tied[1:] = same
+    tied[:-1] |= same
+    at = np.flatnonzero(tied)
+    own = np.sort(order[at])
+    order[at] = own[np.lexsort((doc[own], key[own]))]
+    return order
+
+
 def _sorted_out(anchor: np.ndarray, context: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
     """The pairs in order of (anchor, context, document), each once, and three marks of each.
 
@@ -114,7 +131,7 @@ def _sorted_out(anchor: np.ndarray, context: np.ndarray, doc: np.ndarray) -> tup
     """
     # the upper bits of both decide; where they do not, a pair more has to be compared
     upper = anchor if anchor.dtype == np.uint32 else anchor >> np.uint64(32)
-    order = np.lexsort((doc, (upper.astype(np.uint64) << np.uint64(32)) | (context & np.uint64(0xFFFFFFFF))))
+    order = _order((upper.astype(np.uint64) << np.uint64(32)) | (context & np.uint64(0xFFFFFFFF)), doc)
     anchor, context, doc = anchor[order], context[order], doc[order]
     same_anchor = anchor[1:] == anchor[:-1]
     same = same_anchor & (context[1:] == context[:-1])
@@ -159,11 +176,15 @@ def _dealt_contexts(docs: DataFrame, tasks: int) -> DataFrame:
                 alone = np.flatnonzero(lead & ~np.isin(number[at], several))
                 stay[alone + 1] = True  # else a document elsewhere with the same context would not be compared
                 to[at[~stay]] = 2 * tasks + spread[at[~stay]]
-            order = np.lexsort((doc, to))
+            least = int(doc.min())
+            if int(doc.max()) - least < 1 << 32:  # one key instead of two
+                order = np.argsort((to.astype(np.int64) << 32) | (doc - least))
+            else:
+                order = np.lexsort((doc, to))
             yield from pack(_records(anchor, context)[order], doc[order], to[order])
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=TEXT_BYTES):
                 texts = Texts(part.column("text"))
                 spans = SpanHash(texts.data)
                 ids = part.column("doc_id").to_numpy()
@@ -195,9 +216,8 @@ def _judged(tasks: int):
         if role == 0:
             anchor, context, doc, first, number = _sorted_out(anchor, context, doc)
             # an anchor of one document only, or of one context only, has nothing to compare
-            least, most = np.full(int(number[-1]) + 1, np.iinfo(np.int64).max), np.full(int(number[-1]) + 1, np.iinfo(np.int64).min)
-            np.minimum.at(least, number, doc)
-            np.maximum.at(most, number, doc)
+            begin = np.searchsorted(number, np.arange(int(number[-1]) + 1))
+            least, most = np.minimum.reduceat(doc, begin), np.maximum.reduceat(doc, begin)
             kinds = np.bincount(number[first], minlength=len(least))
             compare = first & (kinds > 1)[number] & (least < most)[number]
             gone = ~first
@@ -221,27 +241,33 @@ def _judged(tasks: int):
     return run
 
 
+def _listed(doc: np.ndarray, context: np.ndarray, lists: list[list[bytes]]) -> np.ndarray:
+    """Whether each context (six bytes, as all in the lists are) is in the lists of its document, by number below 2**16."""
+    raw = [b"".join(x) for x in lists]
+    owner = np.repeat(np.arange(len(raw), dtype=np.uint64), [len(r) // 8 for r in raw])
+    keys = np.sort(np.frombuffer(b"".join(raw), np.uint64) | (owner << np.uint64(48)))
+    if not len(keys):
+        return np.zeros(len(doc), bool)
+    own = context | (doc.astype(np.uint64) << np.uint64(48))
+    return keys[np.minimum(np.searchsorted(keys, own), len(keys) - 1)] == own
+
+
 def _found(rows: DataFrame) -> DataFrame:
     """From (doc_id, z, gone, compare): cuts (ch, doc_id, s, e) that are known, without context; and the
     contexts to be compared with their anchor, s and e being their place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "z"):
+            for part in slices(batch, "z", ZIPPED_BYTES):
                 texts = Texts(unzipped(part.column("z")))
                 spans = SpanHash(texts.data)
                 ch = spans.of(texts.starts, texts.ends).view(np.int64)
                 ids = part.column("doc_id").to_numpy()
                 s, e, doc, key, context = stretches(texts, spans)
                 context &= _CONTEXT
-                bounds = np.searchsorted(doc, np.arange(texts.count + 1))
-                marks = np.zeros(len(s), np.int8)
-                for i, (g, c) in enumerate(zip(part.column("gone").to_pylist(), part.column("compare").to_pylist())):
-                    own = slice(bounds[i], bounds[i + 1])
-                    marks[own][np.isin(context[own], np.frombuffer(b"".join(c), np.uint64))] = 2
-                    marks[own][np.isin(context[own], np.frombuffer(b"".join(g), np.uint64))] = 1
+                gone = _listed(doc, context, part.column("gone").to_pylist())
                 place = s - texts.starts[doc], e - texts.starts[doc]
-                cut = np.flatnonzero(marks == 1)
+                cut = np.flatnonzero(gone)
                 if len(cut):  # cuts that touch are one
                     new = np.ones(len(cut), bool)
                     new[1:] = (doc[cut][1:] != doc[cut][:-1]) | (place[0][cut][1:] > place[1][cut][:-1])
@@ -250,7 +276,7 @@ def _found(rows: DataFrame) -> DataFrame:
                     d = doc[cut[lead]]
                     none = pa.nulls(len(lead), pa.int64()), pa.nulls(len(lead), pa.binary())
                     yield _rows(ch[d], ids[d], place[0][cut[lead]], ends, *none)
-                cmp = np.flatnonzero(marks == 2)
+                cmp = np.flatnonzero(~gone & _listed(doc, context, part.column("compare").to_pylist()))
                 if len(cmp):
                     raw = texts.data.tobytes()
                     text = pa.array([raw[a:b] for a, b in zip(s[cmp].tolist(), e[cmp].tolist())], pa.binary())
@@ -282,7 +308,7 @@ def _split_around(rows: DataFrame) -> DataFrame:
                 spans = SpanHash(np.frombuffer(context, np.uint8))
                 grams = spans.windows(GRAM)
                 strings = len(context) - LENGTH + 1
-                place = np.array([int(grams[p : p + _SPAN].argmin()) for p in range(strings)])  # of the anchor in each
+                place = sliding_window_view(grams, _SPAN)[:strings].argmin(axis=1)  # of the anchor in each
                 cell = place // PART
                 cuts = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (place[1:] != place[:-1] - 1), [True]]))
                 for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -331,7 +357,7 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
     for k in range(7):
         key <<= np.uint64(9)
         key |= np.where(left >= k, wide[k : k + n], np.uint64(0))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)  # ties are settled below, ended ones by place
     key = key[order]
     new = np.ones(n, bool)
     new[1:] = key[1:] != key[:-1]
@@ -349,7 +375,7 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
         ended = left[own] < width
         after = np.where(ended, own, rank[np.minimum(own + width, n - 1)])
         key = rank[own] * n + after
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         own, key = own[by], key[by]
         order[at] = own
         split = np.ones(len(at), bool)
@@ -377,20 +403,23 @@ def common_prefix_groups(bwt: np.ndarray, first: np.ndarray, length: int) -> np.
     apart[first == 0] = True  # ends of contexts never match
     open_ = np.flatnonzero(~apart)
     here, above = source[open_].astype(np.int32), source[open_ - 1].astype(np.int32)
-    for _ in range(length - 1):
+    step = apart.astype(np.int32)
+    interval = np.empty(n, np.int32)
+    for k in range(length - 1):
         if not len(open_):
             break
-        interval = np.cumsum(apart, dtype=np.int32)
+        np.cumsum(step, out=interval)
         parted = interval[here] != interval[above]
-        apart[open_[parted]] = True
-        live = ~parted
-        open_, here, above = open_[live], here[live], above[live]
-    return apart
+        step[open_[parted]] = 1
+        if k < 8 or k % 6 == 0:  # a place that stays in the list though it is apart is found apart again
+            live = ~parted
+            open_, here, above = open_[live], here[live], above[live]
+    return step > 0
 
 
-def least_ids(contexts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
-    """For each string of LENGTH bytes in each context, the least id of a context that holds it."""
-    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
+def _least_by_place(contexts: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each context starts in a row of all, 0s between them, and for each place there the least id of a
+    context that holds the string of LENGTH bytes from it; of use where the place's own context holds it whole."""
     codes = np.zeros(int((sizes + 1).sum()) + 1, np.uint16)  # a 0 in front and after each context
     starts = 1 + np.cumsum(sizes + 1) - (sizes + 1)
     inside = np.ones(len(codes), bool)
@@ -405,9 +434,30 @@ def least_ids(contexts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     at = np.flatnonzero(apart)
     least = np.empty(len(codes), np.int64)
     least[order] = np.minimum.reduceat(own, at)[np.cumsum(apart) - 1]
+    return starts, least
+
+
+def least_ids(contexts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
+    """For each string of LENGTH bytes in each context, the least id of a context that holds it."""
+    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    starts, least = _least_by_place(contexts, sizes, ids)
     return [least[s : s + n - LENGTH + 1] for s, n in zip(starts.tolist(), sizes.tolist())]
 
 
+def repeats(contexts: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Strings in a row that a context with a smaller id holds too: number of the context, start and end (in bytes) in it."""
+    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    starts, least = _least_by_place(contexts, sizes, ids)
+    strings = np.maximum(sizes - LENGTH + 1, 0)
+    at = np.arange(int(strings.sum())) + np.repeat(starts - (np.cumsum(strings) - strings), strings)
+    hit = np.zeros(len(least), bool)
+    hit[at] = least[at] < np.repeat(ids, strings)
+    edge = np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))  # no string starts just before a context
+    s = np.flatnonzero(edge == 1)
+    number = np.searchsorted(starts, s, side="right") - 1
+    return number, s - starts[number], np.flatnonzero(edge == -1) - 1 + LENGTH - starts[number]
+
+
 def _may_share(contexts: list[bytes], anchor: np.ndarray) -> np.ndarray:
     """Whether each context can share a string with another one of its anchor.
 
@@ -441,33 +491,38 @@ def _may_share(contexts: list[bytes], anchor: np.ndarray) -> np.ndarray:
     return live
 
 
+def _whole_anchors(anchor: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
+    """Cuts contexts in order of anchor into parts of whole anchors, up to the bound of a suffix array or one anchor over it."""
+    stops = np.flatnonzero(np.append(anchor[1:] != anchor[:-1], True)[: len(anchor)]) + 1
+    total = np.cumsum(sizes)
+    at = 0
+    while at < len(anchor):
+        done = total[at - 1] if at else 0
+        bound = int(np.searchsorted(total, done + ARRAY_BYTES)) + 1  # with this many contexts it is reached
+        end = int(stops[min(np.searchsorted(stops, bound), len(stops) - 1)])
+        yield slice(at, end)
+        at = end
+
+
 def _repeated(table: pa.Table) -> pa.Table:
     """Cuts (ch, doc_id, s, e): strings of the contexts of one task that a smaller document's context has too."""
     anchor, ids = table.column("anchor").to_numpy(), table.column("doc_id").to_numpy()
     ch, place = table.column("ch").to_numpy(), table.column("s").to_numpy()
+    sizes = table.column("e").to_numpy() - place
     context = table.column("context").to_pylist()
     rows: list[tuple[np.ndarray, ...]] = []
     order = np.argsort(anchor, kind="stable")
     new = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]])) if len(order) else np.zeros(0, np.int64)
     several = np.diff(np.append(new, len(order))) > 1
     order = order[np.repeat(several, np.diff(np.append(new, len(order))))]
-    if len(order):
-        order = order[_may_share([context[i] for i in order.tolist()], anchor[order])]
-    at = 0
-    while at < len(order):  # whole anchors up to the bound go into one suffix array
-        end, size = at, 0
-        while end < len(order) and (size < ARRAY_BYTES or anchor[order[end]] == anchor[order[end - 1]]):
-            size += len(context[order[end]])
-            end += 1
-        own = order[at:end]
-        for i, least in zip(own.tolist(), least_ids([context[i] for i in own.tolist()], ids[own])):
-            hit = least < ids[i]
-            if hit.any():
-                edge = np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))
-                s = np.flatnonzero(edge == 1)
-                rows.append((np.full(len(s), ch[i]), np.full(len(s), ids[i]), place[i] + s,
-                             place[i] + np.flatnonzero(edge == -1) - 1 + LENGTH))
-        at = end
+    parts = [order[part] for part in _whole_anchors(anchor[order], sizes[order])]
+    parts = [part[_may_share([context[i] for i in part.tolist()], anchor[part])] for part in parts]
+    order = np.concatenate([order[:0], *parts])
+    for part in _whole_anchors(anchor[order], sizes[order]):  # each goes into one suffix array
+        own = order[part]
+        number, s, e = repeats([context[i] for i in own.tolist()], ids[own])
+        number = own[number]
+        rows.append((ch[number], ids[number], place[number] + s, place[number] + e))
     columns = [np.concatenate(c) for c in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 4
     return pa.table(dict(zip(("ch", "doc_id", "s", "e"), columns)))
 
@@ -477,7 +532,7 @@ def _removed(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "z"):
+            for part in slices(batch, "z", ZIPPED_BYTES):
                 texts = Texts(unzipped(part.column("z")))
                 ch = part.column("ch").to_numpy()
                 mine = SpanHash(texts.data).of(texts.starts, texts.ends).view(np.int64) == ch

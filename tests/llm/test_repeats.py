@@ -116,3 +116,38 @@ def test_suffixes_are_sorted():
     stops = np.flatnonzero(codes == 0)
     tails = [(codes[i : stops[np.searchsorted(stops, i)]].tolist(), i) for i in order.tolist()]
     assert tails == sorted(tails)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_strings_of_all_contexts_are_judged_together(seed):
+    rng = random.Random(seed)
+    contexts = [("".join(rng.choices(["ab", "a", "xyz" * 9], k=40)) + "a" * 50).encode()[:90] for _ in range(60)] + [b"a" * 50, b"b" * 49]
+    ids = np.array([rng.randint(-5, 20) for _ in contexts])
+    want = []
+    for i, least in enumerate(substrings.least_ids(contexts, ids)):
+        hit = [False, *(least < ids[i]).tolist(), False]
+        begins = [p for p in range(len(least)) if hit[p + 1] and not hit[p]]
+        stops = [p + 50 for p in range(len(least)) if hit[p + 1] and not hit[p + 2]]
+        want += [(i, s, e) for s, e in zip(begins, stops)]
+    assert want and list(zip(*(x.tolist() for x in substrings.repeats(contexts, ids)))) == want
+
+
+def test_parts_hold_whole_anchors(monkeypatch):
+    monkeypatch.setattr(substrings, "ARRAY_BYTES", 100)
+    anchor, sizes = np.array([1, 1, 2, 3, 3, 3, 3, 9]), np.array([60, 50, 70, 60, 60, 60, 60, 50])
+    assert [(p.start, p.stop) for p in substrings._whole_anchors(anchor, sizes)] == [(0, 2), (2, 7), (7, 8)]
+    assert list(substrings._whole_anchors(anchor[:0], sizes[:0])) == []
+
+
+def test_contexts_are_listed_by_document():
+    doc, context = np.array([0, 0, 1, 2]), np.array([5, 7, 5, (1 << 48) - 1], np.uint64)
+    lists = [[np.array([7, 9], np.uint64).tobytes(), b""], [], [np.array([(1 << 48) - 1], np.uint64).tobytes()]]
+    assert substrings._listed(doc, context, lists).tolist() == [False, True, False, True]
+    assert not substrings._listed(doc, context, [[], [b""], []]).any()
+
+
+def test_ties_go_by_document_and_place():
+    rng = np.random.default_rng(0)
+    key, doc = rng.integers(0, 300, 1000).astype(np.uint64), rng.integers(-5, 5, 1000)
+    key[:400] = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    assert substrings._order(key, doc).tolist() == np.lexsort((doc, key)).tolist()
