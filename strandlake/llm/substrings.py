@@ -16,8 +16,9 @@ from .textkit import SpanHash, Texts, mix, slices, unzipped, whole_texts, zipped
 
 #: a string of so many bytes that also starts in an earlier document is removed
 LENGTH = 50
-#: bytes of the grams among which each string picks its anchor
-GRAM = 16
+#: bytes of the grams among which each string picks its anchor: so many that texts seldom share one by
+#: chance, as all contexts of a shared anchor are compared, and their share would grow with the corpus
+GRAM = 32
 #: anchors that one task compares, bytes of contexts that one task gets, and those in one suffix array, about
 TASK_ANCHORS = 1_600_000
 TASK_BYTES = 1 << 22
@@ -564,8 +565,9 @@ def repeated_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     firsts = known.groupBy("ch").agg(F.min("doc_id").alias("first_id"))
     total = known.agg(F.sum("n_bytes")).first()[0] or 0
     tasks = max(32, int(2 * total / (_SPAN + 1) / TASK_ANCHORS))
-    judged = _dealt_contexts(docs, tasks).groupBy("task").applyInArrow(
-        _judged(tasks), "doc_id long, compare binary, gone binary")
+    # written, so that the packed pairs and the texts do not lie in shuffles at the same time
+    judged = stage(_dealt_contexts(docs, tasks).groupBy("task").applyInArrow(
+        _judged(tasks), "doc_id long, compare binary, gone binary"), "judged", "zstd")
     of_doc = judged.groupBy("doc_id").agg(F.collect_list("compare").alias("compare"), F.collect_list("gone").alias("gone"))
     of_doc = of_doc.join(firsts.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     found = stage(_found(zipped(docs).join(of_doc, "doc_id").select("doc_id", "z", "gone", "compare")), "contexts", "zstd")
@@ -575,7 +577,7 @@ def repeated_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # parts of different contexts may be alike: of these too only the first document's is compared
     apart = stage(_split_around(open_.join(many, "anchor", "left_semi")), "parts", "zstd")
     first = apart.groupBy("anchor", "context").agg(F.min("doc_id").alias("first_doc"))
-    apart = apart.join(first, ["anchor", "context"])
+    apart = stage(apart.join(first, ["anchor", "context"]), "firsts", "zstd")  # read three times
     later = apart.filter("doc_id > first_doc").select("ch", "doc_id", "s", "e")
     apart = apart.filter("doc_id = first_doc").select(*open_.columns)
     # parts whose middle is common too: their few strings are told apart one by one, without a task for all of them

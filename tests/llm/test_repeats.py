@@ -86,6 +86,28 @@ def test_on_documents(spark, sf_dir):
     assert got == by_dictionary(rows) and any(r[2] for r in got)
 
 
+def test_short_phrases_are_not_compared(spark, monkeypatch):
+    """A phrase of 24 bytes that many texts hold has none of their contexts compared, at any number of texts; and the
+    packed pairs are judged before the texts are shuffled."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    phrase, passage = ("".join(rng.choices(letters, k=n)) for n in (24, 60))
+    rows = [(i, "".join(rng.choices(letters, k=80)) + phrase + "".join(rng.choices(letters, k=80))) for i in range(60)]
+    rows += [(i, "".join(rng.choices(letters, k=80)) + passage + "".join(rng.choices(letters, k=80))) for i in (70, 71, 72)]
+    staged, plans, stage = {}, {}, substrings.stage
+
+    def spy(df, name, *compression):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        staged[name] = stage(df, name, *compression)
+        return staged[name]
+
+    monkeypatch.setattr(substrings, "stage", spy)
+    assert result(spark.createDataFrame(rows, SCHEMA)) == by_dictionary(rows)
+    compared = staged["contexts"].filter("context is not null").select("doc_id").distinct().collect()
+    assert {r[0] for r in compared} == {70, 71, 72}
+    assert "FlatMapGroupsInArrow" in plans["judged"] and "FlatMapGroupsInArrow" not in plans["contexts"]
+
+
 def test_odd_rows(spark):
     text = "".join(random.Random(2).choices("abcdefgh ", k=300))
     rows = [(None, text), (5, text), (5, text), (8, "x" + text[:60]), (2, text[100:160] + "q" * 200_000)]
