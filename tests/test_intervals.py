@@ -185,6 +185,13 @@ def test_overlap_join_meets_lists_of_bounded_size(spark, monkeypatch):
     assert plan.index("inline") < plan.index("Join Inner")
 
 
+def test_overlap_join_works_out_the_place_of_a_bin_once_a_list(spark):
+    a, b = (spark.createDataFrame([("c1", 5, 9, 1)], "chrom string, s bigint, e bigint, id int") for _ in range(2))
+    plan = iv.overlap_join(a, b)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("inline")]
+    assert "_from" in above and "_lev" not in above and "_bin" not in above
+
+
 def test_a_hot_bin(spark):
     a = spark.range(3000).select(F.lit("c1").alias("chrom"), F.lit(100).cast("bigint").alias("s"), F.lit(150).cast("bigint").alias("e"), "id")
     b = spark.createDataFrame([("c1", 90, 120, 1), ("c1", 140, 10**8, 2), ("c1", 150, 160, 3)], "chrom string, s bigint, e bigint, x int")
